@@ -79,3 +79,230 @@ SELECT rank, period, {ell('track_name')} AS track_name, {ell('all_artist_names')
 FROM ranked LEFT JOIN names USING (track_id)
 WHERE rank <= lim
 """
+
+_PER_TRACK_PERIOD = """
+per AS (
+  SELECT p.period, p.lim, f.track_id, COUNT(*) AS n
+  FROM fact f JOIN periods p
+    ON p.days IS NULL OR CAST(f.played_at AS DATE) >= DATE '2001-11-05' - CAST(p.days AS INTEGER)
+  GROUP BY p.period, p.lim, f.track_id)
+"""
+
+ORACLES["top_by_period_entity"] = f"""
+WITH {STAR}, {PERIODS_SQL}, {_PER_TRACK_PERIOD},
+fan AS (
+  SELECT per.period, per.lim, b.artist_id,
+         CAST(SUM(per.n * t.duration_ms) AS BIGINT) AS total_duration_ms, CAST(SUM(per.n) AS BIGINT) AS play_count
+  FROM per LEFT JOIN tracks t USING (track_id) LEFT JOIN bridge b USING (track_id)
+  GROUP BY per.period, per.lim, b.artist_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY period ORDER BY total_duration_ms DESC, artist_id) AS rank FROM fan)
+SELECT rank, period, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
+       total_duration_ms, play_count, artist_id
+FROM ranked LEFT JOIN artists USING (artist_id) WHERE rank <= lim
+"""
+
+ORACLES["top_by_period_brand"] = f"""
+WITH {STAR}, {PERIODS_SQL}, {_PER_TRACK_PERIOD},
+per_album AS (
+  SELECT per.period, per.lim, t.album_id,
+         CAST(SUM(per.n * t.duration_ms) AS BIGINT) AS total_duration_ms, CAST(SUM(per.n) AS BIGINT) AS play_count,
+         COUNT(*) AS tracks_played
+  FROM per LEFT JOIN tracks t USING (track_id)
+  GROUP BY per.period, per.lim, t.album_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY period ORDER BY total_duration_ms DESC, album_id) AS rank
+  FROM per_album)
+SELECT rank, period, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count,
+       tracks_played, album_id
+FROM ranked LEFT JOIN albums USING (album_id) WHERE rank <= lim
+"""
+
+_TRACK_TOTALS = """
+totals AS (
+  SELECT f.track_id, t.track_name, t.album_id, COUNT(*) AS play_count,
+         COUNT(*) * t.duration_ms AS total_duration_ms
+  FROM fact f LEFT JOIN tracks t USING (track_id)
+  GROUP BY f.track_id, t.track_name, t.album_id, t.duration_ms)
+"""
+
+ORACLES["top_k_all_time"] = f"""
+WITH {STAR}, {_TRACK_TOTALS},
+names AS (
+  SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
+top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, track_id) AS rank FROM totals)
+SELECT rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
+       {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count, track_id
+FROM top LEFT JOIN names USING (track_id) WHERE rank <= 20
+"""
+
+ORACLES["top_album_all_time"] = f"""
+WITH {STAR}, {_TRACK_TOTALS},
+per_album AS (
+  SELECT album_id, CAST(SUM(total_duration_ms) AS BIGINT) AS total_duration_ms,
+         CAST(SUM(play_count) AS BIGINT) AS play_count
+  FROM totals GROUP BY album_id),
+top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, album_id) AS rank FROM per_album)
+SELECT rank, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count, album_id
+FROM top LEFT JOIN albums USING (album_id) WHERE rank <= 20
+"""
+
+ORACLES["top_entity_with_nested_items"] = f"""
+WITH {STAR}, {_TRACK_TOTALS},
+names AS (
+  SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
+fan AS (SELECT t.*, b.artist_id FROM totals t LEFT JOIN bridge b USING (track_id)),
+stats AS (
+  SELECT fan.artist_id, names.all_artist_names,
+         CAST(SUM(fan.total_duration_ms) AS BIGINT) AS total_duration_ms,
+         CAST(SUM(fan.play_count) AS BIGINT) AS play_count
+  FROM fan LEFT JOIN names USING (track_id) GROUP BY fan.artist_id, names.all_artist_names),
+ranking AS (
+  SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, artist_id, all_artist_names) AS rank FROM stats),
+top AS (SELECT * FROM ranking WHERE rank <= 20),
+best AS (
+  SELECT artist_id, track_name, total_duration_ms AS track_ms, play_count AS track_plays,
+         row_number() OVER (PARTITION BY artist_id ORDER BY total_duration_ms DESC, track_id) AS track_rank
+  FROM fan WHERE artist_id IN (SELECT artist_id FROM top)),
+best10 AS (SELECT * FROM best WHERE track_rank <= 10)
+SELECT top.rank, {ell('a.artist_name')} AS artist_name, {hms('top.total_duration_ms')} AS total_duration,
+       top.play_count, top.artist_id,
+       to_json(list(struct_pack(rank := best10.track_rank, track_name := best10.track_name,
+                                percentage := round(best10.track_ms / top.total_duration_ms * 100, 1),
+                                duration := {hm('best10.track_ms')}, play_count := best10.track_plays)
+               ORDER BY best10.track_rank)) AS tracks
+FROM top LEFT JOIN artists a USING (artist_id) LEFT JOIN best10 USING (artist_id)
+GROUP BY top.rank, a.artist_name, top.all_artist_names, top.total_duration_ms, top.play_count, top.artist_id
+"""
+
+_PRIMARY_STATS = """
+pstats AS (
+  SELECT f.*, pb.artist_id, t.album_id, t.track_name, t.duration_ms
+  FROM {fact} f JOIN primary_bridge pb USING (track_id) JOIN tracks t USING (track_id))
+"""
+
+ORACLES["top_k_per_group_share"] = f"""
+WITH {STAR}, {_PRIMARY_STATS.format(fact='fact')},
+ts AS (
+  SELECT artist_id, track_id, track_name, COUNT(*) AS play_count,
+         CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms,
+         MIN(played_at) AS first_played_at, MAX(played_at) AS last_played_at
+  FROM pstats GROUP BY artist_id, track_id, track_name),
+shared AS (
+  SELECT *, round(CAST(100 AS DOUBLE) * total_duration_ms
+                  / nullif(SUM(total_duration_ms) OVER (PARTITION BY artist_id), 0), 1) AS pct_of_artist_time,
+         row_number() OVER (PARTITION BY artist_id ORDER BY total_duration_ms DESC, track_id) AS track_rank
+  FROM ts)
+SELECT artist_id, track_rank, track_id, track_name, play_count, {hms('total_duration_ms')} AS total_duration,
+       total_duration_ms, CAST(first_played_at AS VARCHAR) AS first_played_at,
+       CAST(last_played_at AS VARCHAR) AS last_played_at, pct_of_artist_time
+FROM shared WHERE track_rank <= 20
+"""
+
+ORACLES["completion_rate"] = f"""
+WITH {STAR}, {_PRIMARY_STATS.format(fact='fact')},
+ap AS (
+  SELECT artist_id, album_id, COUNT(DISTINCT track_id) AS tracks_heard, COUNT(*) AS total_plays,
+         CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms,
+         MIN(played_at) AS first_played_at, MAX(played_at) AS last_played_at
+  FROM pstats GROUP BY artist_id, album_id),
+j AS (
+  SELECT ap.*, al.album_name, al.total_tracks,
+         round(CAST(100 AS DOUBLE) * ap.tracks_heard / nullif(al.total_tracks, 0), 1) AS completion_rate
+  FROM ap JOIN albums al USING (album_id))
+SELECT artist_id, album_id, album_name, total_tracks, tracks_heard, total_plays,
+       {hms('total_duration_ms')} AS total_duration, total_duration_ms,
+       CAST(first_played_at AS VARCHAR) AS first_played_at, CAST(last_played_at AS VARCHAR) AS last_played_at,
+       completion_rate,
+       CASE WHEN completion_rate >= 90 THEN 'complete' WHEN completion_rate >= 50 THEN 'partial'
+            ELSE 'shallow' END AS listen_depth
+FROM j
+"""
+
+ORACLES["monthly_evolution"] = f"""
+WITH {STAR}, {_PRIMARY_STATS.format(fact='fact')},
+m AS (
+  SELECT artist_id, strftime(played_at, '%Y-%m') AS year_month, COUNT(*) AS play_count,
+         COUNT(DISTINCT track_id) AS unique_tracks, CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms
+  FROM pstats GROUP BY artist_id, strftime(played_at, '%Y-%m'))
+SELECT artist_id, year_month, play_count, unique_tracks, total_duration_ms, {hm('total_duration_ms')} AS total_duration
+FROM m
+"""
+
+ORACLES["daily_calendar"] = f"""
+WITH {STAR}, {_PRIMARY_STATS.format(fact='fact')},
+d AS (
+  SELECT artist_id, CAST(played_at AS DATE) AS listen_date, COUNT(*) AS play_count,
+         CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms
+  FROM pstats GROUP BY artist_id, CAST(played_at AS DATE))
+SELECT artist_id, CAST(listen_date AS VARCHAR) AS listen_date, play_count, total_duration_ms,
+       {hm('total_duration_ms')} AS total_duration
+FROM d
+"""
+
+ORACLES["hour_weekday_heatmap"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_PRIMARY_STATS.format(fact='efact')}
+SELECT artist_id, CAST(hour(played_at) AS INTEGER) AS hour_of_day,
+       CAST(dayofweek(played_at) + 1 AS INTEGER) AS day_of_week, dayname(played_at) AS day_name,
+       COUNT(*) AS play_count, CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms
+FROM pstats GROUP BY ALL
+"""
+
+ORACLES["entity_overview_streak"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_PRIMARY_STATS.format(fact='efact')},
+s AS (
+  SELECT artist_id, COUNT(*) AS total_plays, CAST(SUM(duration_ms) AS BIGINT) AS total_duration_ms,
+         COUNT(DISTINCT track_id) AS unique_tracks, COUNT(DISTINCT album_id) AS unique_albums,
+         MIN(CAST(played_at AS DATE)) AS first_played_date, MAX(CAST(played_at AS DATE)) AS last_played_date,
+         COUNT(DISTINCT CAST(played_at AS DATE)) AS days_with_listens
+  FROM pstats GROUP BY artist_id),
+days AS (
+  SELECT DISTINCT artist_id, CAST(played_at AS DATE) AS d FROM pstats WHERE CAST(played_at AS DATE) <= DATE '2024-01-30'),
+numbered AS (
+  SELECT artist_id, DATE '2024-01-30' - d AS days_ago,
+         row_number() OVER (PARTITION BY artist_id ORDER BY d DESC) AS rn
+  FROM days),
+streaks AS (SELECT artist_id, COUNT(*) AS current_streak FROM numbered WHERE days_ago = rn - 1 GROUP BY artist_id)
+SELECT s.artist_id, a.artist_name, s.total_plays, {hms('s.total_duration_ms')} AS total_duration,
+       s.total_duration_ms, s.unique_tracks, s.unique_albums,
+       CAST(s.first_played_date AS VARCHAR) AS first_heard, CAST(s.last_played_date AS VARCHAR) AS last_heard,
+       s.days_with_listens,
+       CAST(DATE '2024-01-30' - s.first_played_date AS INTEGER) AS days_since_discovery,
+       round(CAST(100 AS DOUBLE) * s.days_with_listens / nullif(DATE '2024-01-30' - s.first_played_date, 0), 1)
+         AS consistency_score,
+       round(s.total_plays / nullif(s.days_with_listens, 0), 1) AS avg_plays_per_active_day,
+       CAST(COALESCE(st.current_streak, 0) AS BIGINT) AS current_streak
+FROM s JOIN artists a USING (artist_id) LEFT JOIN streaks st USING (artist_id)
+"""
+
+ORACLES["top_tracks_recent"] = f"""
+WITH {STAR}, {EVENTS_FACT},
+totals AS (
+  SELECT f.track_id, t.track_name, COUNT(*) AS play_count, COUNT(*) * t.duration_ms AS total_duration_ms
+  FROM efact f LEFT JOIN tracks t USING (track_id)
+  WHERE f.played_at >= CAST(DATE '2024-01-31' - 7 AS TIMESTAMP)
+  GROUP BY f.track_id, t.track_name, t.duration_ms),
+top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, track_id) AS rank FROM totals),
+names AS (
+  SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names,
+         string_agg(CAST(b.artist_id AS VARCHAR), ',' ORDER BY b.artist_position) AS artist_ids
+  FROM bridge b LEFT JOIN artists a USING (artist_id) GROUP BY b.track_id)
+SELECT rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
+       {hms('total_duration_ms')} AS total_duration, play_count, track_id, artist_ids
+FROM top LEFT JOIN names USING (track_id) WHERE rank <= 10
+"""
+
+ORACLES["top_entity_recent"] = f"""
+WITH {STAR}, {EVENTS_FACT},
+per_artist AS (
+  SELECT pb.artist_id, CAST(SUM(t.duration_ms) AS BIGINT) AS total_duration_ms, COUNT(*) AS play_count
+  FROM efact f JOIN primary_bridge pb USING (track_id) LEFT JOIN tracks t USING (track_id)
+  WHERE f.played_at >= CAST(DATE '2024-01-31' - 7 AS TIMESTAMP)
+  GROUP BY pb.artist_id),
+top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, artist_id) AS rank FROM per_artist)
+SELECT rank, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
+       total_duration_ms, play_count, artist_id
+FROM top LEFT JOIN artists USING (artist_id) WHERE rank <= 10
+"""
