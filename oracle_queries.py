@@ -306,3 +306,150 @@ SELECT rank, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS
        total_duration_ms, play_count, artist_id
 FROM top LEFT JOIN artists USING (artist_id) WHERE rank <= 10
 """
+
+# ---- lake layer: keep-latest, incremental, merge -------------------------
+
+ORACLES["keep_latest_single"] = """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1
+"""
+
+ORACLES["keep_latest_composite"] = """
+SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey
+                               ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM lineitem) WHERE rn = 1
+"""
+
+ORACLES["keep_latest_two_orders"] = """
+SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+ORACLES["incremental_filter"] = """
+SELECT event_id, ts, user_id, event_type FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')
+"""
+
+ORACLES["merge_upsert"] = """
+WITH target AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+  WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+source AS (
+  SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 100.0 AS o_totalprice, o_orderdate
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM source
+"""
+
+# ---- quality ----------------------------------------------------------------
+
+_LI_ERRORS = """
+list_filter([
+  CASE WHEN l_shipdate IS NULL THEN 'l_shipdate: is null' END,
+  CASE WHEN l_quantity < 1 OR l_quantity > 45 THEN 'l_quantity: outside [1, 45]' END,
+  CASE WHEN l_discount < 0.0 OR l_discount > 0.08 THEN 'l_discount: outside [0.0, 0.08]' END,
+  CASE WHEN l_tax <= 0 THEN 'l_tax: must be positive' END,
+  CASE WHEN length(l_returnflag) > 1 THEN 'l_returnflag: longer than 1' END,
+  CASE WHEN CAST(l_shipdate AS DATE) < DATE '1995-01-01' OR CAST(l_shipdate AS DATE) > DATE '2001-06-30'
+       THEN 'l_shipdate: date outside [1995-01-01, 2001-06-30]' END
+], lambda x: x IS NOT NULL)
+"""
+
+ORACLES["quality_errors"] = f"""
+SELECT l_orderkey, l_linenumber, CAST(len(errs) AS INTEGER) AS n_errors, array_to_string(errs, '; ') AS errors
+FROM (SELECT *, {_LI_ERRORS} AS errs FROM lineitem) WHERE len(errs) > 0
+"""
+
+ORACLES["quality_split"] = f"""
+SELECT CASE WHEN len(errs) = 0 THEN 'accepted' ELSE 'quarantined' END AS status, COUNT(*) AS records
+FROM (SELECT {_LI_ERRORS} AS errs FROM lineitem) GROUP BY 1
+"""
+
+ORACLES["unique_violations"] = """
+SELECT l_partkey, l_suppkey, COUNT(*) AS occurrences FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1
+"""
+
+_CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORACLES["not_null_violations"] = " UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+     f"'customer' AS table_name FROM customer" for c in _CUSTOMER_COLS]
+    + [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+       f"'orders' AS table_name FROM orders" for c in _ORDERS_COLS])
+
+ORACLES["rejection_rate"] = f"""
+SELECT records_read, records_valid, records_rejected,
+       round(records_valid / nullif(records_read, 0), 4) AS success_rate,
+       round(records_rejected / nullif(records_read, 0), 4) AS rejection_rate
+FROM (SELECT COUNT(*) AS records_read, count(*) FILTER (WHERE len(errs) = 0) AS records_valid,
+             count(*) FILTER (WHERE len(errs) > 0) AS records_rejected
+      FROM (SELECT {_LI_ERRORS} AS errs FROM lineitem))
+"""
+
+# ---- nested values ----------------------------------------------------------
+
+ORACLES["json_extract_scalar"] = """
+SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, COUNT(*) AS events, round(sum(value), 2) AS total_value
+FROM events GROUP BY 1
+"""
+
+ORACLES["array_explode_offset"] = """
+SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no, length(unnest(parts)) AS line_chars
+FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+"""
+
+ORACLES["array_safe_index"] = """
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words, w[1] AS first_word, w[3] AS third_word,
+       CASE WHEN len(w) > 0 THEN w[-1] END AS last_word, w[100001] AS far_word
+FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
+"""
+
+ORACLES["nested_struct_build"] = """
+SELECT o_orderkey,
+       to_json(struct_pack(order_key := o_orderkey, status := o_orderstatus,
+               customer := struct_pack(key := c_custkey, name := c_name,
+                                       nation := struct_pack(key := n_nationkey, name := n_name)))) AS order_json
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+"""
+
+ORACLES["flatten_pairs"] = """
+SELECT vec_id, CAST(i AS INTEGER) AS pair_idx, CAST(embedding[2 * i + 1] AS DOUBLE) AS timestamp,
+       CAST(embedding[2 * i + 2] AS DOUBLE) AS value
+FROM embeddings, range(0, len(embedding) // 2) AS r(i)
+"""
+
+ORACLES["descriptor_expand"] = """
+WITH e AS (SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)
+SELECT event_id, 0 AS idx, value, k, 2 AS n_keys FROM e
+UNION ALL SELECT event_id, 1, -value, k + 1, 2 FROM e
+UNION ALL SELECT event_id, 2, NULL, k, 1 FROM e
+"""
+
+ORACLES["measure_pivot"] = """
+SELECT user_id, CAST(ts AS DATE) AS day,
+       round(sum(value) FILTER (WHERE event_type = 'click'), 2) AS click,
+       round(sum(value) FILTER (WHERE event_type = 'error'), 2) AS error,
+       round(sum(value) FILTER (WHERE event_type = 'purchase'), 2) AS purchase,
+       round(sum(value) FILTER (WHERE event_type = 'signup'), 2) AS signup,
+       round(sum(value) FILTER (WHERE event_type = 'view'), 2) AS view
+FROM events GROUP BY 1, 2
+"""
+
+ORACLES["window_dedupe"] = """
+WITH RECURSIVE kept(user_id, ts) AS (
+  SELECT user_id, MIN(ts) FROM events GROUP BY user_id
+  UNION ALL
+  SELECT e.user_id, MIN(e.ts) FROM events e JOIN kept k ON e.user_id = k.user_id AND e.ts >= k.ts + INTERVAL 24 HOUR
+  GROUP BY e.user_id)
+SELECT e.user_id, e.event_id, e.ts FROM kept k JOIN events e ON e.user_id = k.user_id AND e.ts = k.ts
+"""
+
+ORACLES["minute_anti_join"] = """
+SELECT s.event_id, s.user_id, s.ts FROM events s
+WHERE s.ts >= TIMESTAMP '2024-01-20' AND NOT EXISTS (
+  SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-25' AND t.user_id = s.user_id
+    AND date_trunc('minute', t.ts) = date_trunc('minute', s.ts))
+"""
