@@ -453,3 +453,385 @@ WHERE s.ts >= TIMESTAMP '2024-01-20' AND NOT EXISTS (
   SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-25' AND t.user_id = s.user_id
     AND date_trunc('minute', t.ts) = date_trunc('minute', s.ts))
 """
+
+
+def rnd(x: str, d: int) -> str:
+    """Decimal half-up rounding (mirrors ``round_half_up``)."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,9)), {d}) AS DOUBLE)"
+
+
+# ---- activities (events re-aim) ------------------------------------------------
+
+_ACTS = """
+acts AS (
+  SELECT event_id AS activity_id, user_id, ts AS start_ts, ts + INTERVAL 30 MINUTE AS end_ts, value / 10 AS distance_km
+  FROM events WHERE event_type = 'purchase'),
+plays AS (
+  SELECT e.event_id AS play_id, e.ts AS played_at, CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS track_id,
+         e.user_id, t.duration_ms
+  FROM events e LEFT JOIN tracks t ON t.track_id = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  WHERE e.event_type <> 'purchase'),
+pairs AS (
+  SELECT a.activity_id, p.* FROM acts a JOIN plays p
+    ON p.user_id = a.user_id AND p.played_at >= a.start_ts AND p.played_at <= a.end_ts)
+"""
+
+ORACLES["interval_join_counts"] = f"""
+WITH {STAR}, {_ACTS},
+agg AS (
+  SELECT activity_id, COUNT(*) AS plays_heard, COUNT(DISTINCT track_id) AS distinct_tracks,
+         CAST(SUM(duration_ms) AS BIGINT) AS music_ms
+  FROM pairs GROUP BY activity_id)
+SELECT a.activity_id, a.user_id, a.start_ts, a.distance_km,
+       COALESCE(plays_heard, 0) AS plays_heard, COALESCE(distinct_tracks, 0) AS distinct_tracks,
+       COALESCE(music_ms, 0) AS music_ms, {hms('COALESCE(music_ms, 0)')} AS music_duration,
+       '0h 30m 0s' AS activity_duration
+FROM acts a LEFT JOIN agg USING (activity_id)
+"""
+
+ORACLES["interval_join_array"] = f"""
+WITH {STAR}, {_ACTS},
+recent AS (SELECT * FROM acts ORDER BY start_ts DESC, activity_id DESC LIMIT 100),
+lists AS (
+  SELECT p.activity_id, to_json(list(struct_pack(play_id := p.play_id, track_id := p.track_id)
+                                     ORDER BY p.played_at, p.play_id, p.track_id)) AS plays
+  FROM pairs p WHERE p.activity_id IN (SELECT activity_id FROM recent) GROUP BY p.activity_id)
+SELECT r.activity_id, r.user_id, r.start_ts, l.plays FROM recent r LEFT JOIN lists l USING (activity_id)
+"""
+
+_LISTEN = f"""
+lf AS (
+  SELECT f.play_id, f.played_at, f.track_id, f.listener_id, t.track_name, t.duration_ms,
+         lead(f.played_at) OVER (PARTITION BY f.listener_id ORDER BY f.played_at, f.play_id) AS next_played_at
+  FROM efact f JOIN tracks t USING (track_id)),
+heard AS (
+  SELECT *, CASE WHEN next_played_at IS NOT NULL THEN
+              CASE WHEN duration_ms IS NULL THEN NULL
+                   ELSE least(duration_ms, (epoch_us(next_played_at) - epoch_us(played_at)) // 1000) END
+            ELSE duration_ms END AS real_listen_duration_ms
+  FROM lf)
+"""
+
+ORACLES["real_duration_lead"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_LISTEN}
+SELECT played_at, listener_id, track_id, track_name, CAST(played_at AS DATE) AS played_date,
+       strftime(played_at, '%H:%M:%S') AS played_time, duration_ms, real_listen_duration_ms
+FROM heard WHERE real_listen_duration_ms > 30000 ORDER BY played_at DESC, play_id DESC LIMIT 100
+"""
+
+ORACLES["real_duration_daily"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_LISTEN}
+SELECT listener_id, CAST(played_at AS DATE) AS played_date, COUNT(*) AS plays,
+       count(*) FILTER (WHERE real_listen_duration_ms > 30000) AS plays_over_30s,
+       CAST(SUM(real_listen_duration_ms) AS BIGINT) AS real_listen_ms
+FROM heard GROUP BY 1, 2
+"""
+
+ORACLES["sampled_polyline"] = """
+WITH n AS (
+  SELECT user_id, event_id, ts, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS point_idx,
+         CAST(ceil(COUNT(*) OVER (PARTITION BY user_id) / 80.0) AS BIGINT) AS step
+  FROM events)
+SELECT user_id, CAST(point_idx AS INTEGER) AS point_idx, ts, value, step FROM n WHERE point_idx % step = 0
+"""
+
+ORACLES["zone_percentages"] = """
+SELECT user_id,
+  round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE value < 50) / COUNT(*), 1) AS zone1_pct,
+  round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE value >= 50 AND value < 100) / COUNT(*), 1) AS zone2_pct,
+  round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE value >= 100 AND value < 150) / COUNT(*), 1) AS zone3_pct,
+  round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE value >= 150 AND value < 200) / COUNT(*), 1) AS zone4_pct,
+  round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE value >= 200) / COUNT(*), 1) AS zone5_pct
+FROM events GROUP BY user_id
+"""
+
+# ---- home page (events re-aim, as_of 2024-01-31) ---------------------------------------
+
+ORACLES["day_spine_fill"] = f"""
+WITH {STAR}, {EVENTS_FACT},
+spine AS (SELECT CAST(DATE '2024-01-31' - CAST(i AS INTEGER) AS DATE) AS date FROM range(0, 11) r(i)),
+per_day AS (
+  SELECT CAST(f.played_at AS DATE) AS date, CAST(SUM(t.duration_ms) AS BIGINT) AS total_duration_ms
+  FROM efact f LEFT JOIN tracks t USING (track_id)
+  WHERE f.played_at >= CAST(DATE '2024-01-31' - 14 AS TIMESTAMP) GROUP BY 1),
+filled AS (
+  SELECT s.date, COALESCE(p.total_duration_ms, 0) AS total_duration_ms FROM spine s LEFT JOIN per_day p USING (date)),
+stats AS (SELECT *, MAX(total_duration_ms) OVER () AS max_ms, AVG(total_duration_ms) OVER () AS avg_ms FROM filled)
+SELECT date, total_duration_ms,
+       CASE WHEN max_ms > 0 THEN {rnd('total_duration_ms / max_ms * 100', 2)} ELSE 0.0 END AS bar_height_percent,
+       substr(dayname(date), 1, 1) AS day_letter,
+       CAST(CAST(floor(total_duration_ms / 3600000) AS BIGINT) AS VARCHAR) || 'h' ||
+         lpad(CAST(CAST(floor((total_duration_ms % 3600000) / 60000) AS BIGINT) AS VARCHAR), 2, '0') || 'm'
+         AS duration_formatted,
+       CAST(CAST(floor(round(avg_ms) / 3600000) AS BIGINT) AS VARCHAR) || 'h ' ||
+         CAST(CAST(floor((CAST(round(avg_ms) AS BIGINT) % 3600000) / 60000) AS BIGINT) AS VARCHAR) || 'm'
+         AS avg_duration_formatted
+FROM stats
+"""
+
+ORACLES["week_spine_fill"] = f"""
+WITH spine AS (
+  SELECT CAST(CAST(date_trunc('week', DATE '2024-01-31') AS DATE) - CAST(7 * i AS INTEGER) AS DATE) AS week_start
+  FROM range(0, 7) r(i)),
+weekly AS (
+  SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, {rnd('SUM(value) / 10', 1)} AS total_km, COUNT(*) AS runs
+  FROM events
+  WHERE event_type = 'purchase'
+    AND ts >= CAST(CAST(date_trunc('week', DATE '2024-01-31') AS DATE) - 42 AS TIMESTAMP)
+  GROUP BY 1)
+SELECT s.week_start, COALESCE(w.total_km, 0.0) AS total_km, COALESCE(w.runs, 0) AS runs
+FROM spine s LEFT JOIN weekly w USING (week_start)
+"""
+
+ORACLES["running_by_day"] = f"""
+SELECT CAST(ts AS DATE) AS date, {rnd('SUM(value) / 10', 2)} AS km, COUNT(*) AS runs,
+       {rnd('MAX(value) / 100', 1)} AS aerobic,
+       substr(dayname(CAST(ts AS DATE)), 1, 1) AS day_letter,
+       CAST(dayofweek(CAST(ts AS DATE)) + 1 AS INTEGER) AS day_of_week
+FROM events
+WHERE event_type = 'purchase' AND ts >= CAST(CAST(date_trunc('week', DATE '2024-01-31') AS DATE) AS TIMESTAMP)
+GROUP BY CAST(ts AS DATE)
+"""
+
+ORACLES["seven_day_array"] = f"""
+WITH daily AS (
+  SELECT CAST(ts AS DATE) AS date, MAX(value) AS highest, MIN(value) AS lowest
+  FROM events WHERE event_type = 'view' AND ts >= CAST(DATE '2024-01-31' - 7 AS TIMESTAMP) GROUP BY 1),
+g AS (SELECT *, {rnd('highest - lowest', 2)} AS gain FROM daily)
+SELECT date, highest, lowest, gain, {rnd('AVG(gain) OVER ()', 2)} AS avg_gain, dayname(date) AS day_name FROM g
+"""
+
+ORACLES["median_baseline"] = f"""
+WITH daily AS (
+  SELECT CAST(ts AS DATE) AS date, {rnd('AVG(value)', 1)} AS hrv
+  FROM events WHERE event_type = 'click' AND ts >= CAST(DATE '2024-01-31' - 30 AS TIMESTAMP) GROUP BY 1),
+b AS (SELECT quantile_disc(hrv, 0.5) AS baseline, MAX(hrv) AS top FROM daily)
+SELECT date, hrv, baseline, hrv > baseline AS above_baseline,
+       {rnd('CASE WHEN top = 0 THEN NULL ELSE hrv / top END * 100', 1)} AS height_pct
+FROM daily, b
+"""
+
+_WIDE = f"""
+wide AS (
+  SELECT CAST(ts AS DATE) AS date,
+    {rnd("AVG(value) FILTER (WHERE event_type = 'click')", 2)} AS click,
+    {rnd("AVG(value) FILTER (WHERE event_type = 'error')", 2)} AS error,
+    {rnd("AVG(value) FILTER (WHERE event_type = 'purchase')", 2)} AS purchase,
+    {rnd("AVG(value) FILTER (WHERE event_type = 'signup')", 2)} AS signup,
+    {rnd("AVG(value) FILTER (WHERE event_type = 'view')", 2)} AS view
+  FROM events GROUP BY 1)
+"""
+
+ORACLES["latest_vs_30_days"] = f"""
+WITH {_WIDE},
+cur AS (SELECT * FROM wide ORDER BY date DESC LIMIT 1),
+prev AS (SELECT * FROM wide WHERE date <= DATE '2024-01-31' - 30 ORDER BY date DESC LIMIT 1),
+cl AS (SELECT metric, current_value FROM cur
+       UNPIVOT INCLUDE NULLS (current_value FOR metric IN (click, error, purchase, signup, view))),
+pl AS (SELECT metric, previous_value FROM prev
+       UNPIVOT INCLUDE NULLS (previous_value FOR metric IN (click, error, purchase, signup, view)))
+SELECT cl.metric, cl.current_value, pl.previous_value,
+       {rnd('cl.current_value - pl.previous_value', 2)} AS delta
+FROM cl LEFT JOIN pl USING (metric)
+"""
+
+ORACLES["weekly_avg_array"] = f"""
+WITH daily AS (SELECT CAST(ts AS DATE) AS date, AVG(value) AS v FROM events WHERE event_type = 'signup' GROUP BY 1),
+weekly AS (SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, {rnd('AVG(v)', 2)} AS weekly_avg
+           FROM daily GROUP BY 1),
+latest AS (SELECT v AS current, date AS latest_date FROM daily ORDER BY date DESC LIMIT 1),
+past AS (SELECT d.v AS past FROM daily d, latest l WHERE d.date = l.latest_date - 21)
+SELECT week_start, weekly_avg, {rnd('(SELECT current FROM latest)', 2)} AS current_value,
+       {rnd('COALESCE((SELECT current FROM latest) - (SELECT past FROM past), 0.0)', 2)} AS delta
+FROM weekly
+"""
+
+ORACLES["latest_day_stages"] = f"""
+WITH latest AS (SELECT MAX(CAST(ts AS DATE)) AS d FROM events),
+per AS (
+  SELECT event_type AS stage, {rnd('SUM(value)', 2)} AS total FROM events
+  WHERE CAST(ts AS DATE) = (SELECT d FROM latest) GROUP BY event_type)
+SELECT (SELECT d FROM latest) AS date, stage, total,
+       {rnd('CAST(100 AS DOUBLE) * total / SUM(total) OVER ()', 1)} AS pct
+FROM per
+"""
+
+ORACLES["steps_goal"] = f"""
+WITH daily AS (
+  SELECT CAST(ts AS DATE) AS date, CAST(round(CAST(SUM(value) AS DECIMAL(38,9))) AS BIGINT) AS steps
+  FROM events WHERE event_type = 'click' AND ts >= CAST(DATE '2024-01-31' - 7 AS TIMESTAMP) GROUP BY 1)
+SELECT date, steps, 5000 AS goal, {rnd('CAST(100 AS DOUBLE) * steps / 5000', 1)} AS goal_pct,
+       CAST(round(AVG(steps) OVER ()) AS BIGINT) AS avg_steps
+FROM daily
+"""
+
+# ---- read queries -------------------------------------------------------------
+
+_LOG = f"""
+{STAR}, {EVENTS_FACT},
+log AS (
+  SELECT f.play_id, f.played_at, CAST(f.played_at AS DATE) AS played_date,
+         strftime(f.played_at, '%H:%M:%S') AS played_time, f.track_id, t.track_name, t.album_id, t.duration_ms,
+         pa.artist_id, pa.artist_name
+  FROM efact f LEFT JOIN tracks t USING (track_id)
+  LEFT JOIN (SELECT pb.track_id, pb.artist_id, a.artist_name FROM primary_bridge pb JOIN artists a USING (artist_id)) pa
+    USING (track_id)),
+flt AS (
+  SELECT * FROM log WHERE played_at >= TIMESTAMP '2024-01-10' AND played_at < TIMESTAMP '2024-01-21'
+    AND contains(lower(artist_name), lower('SUPPLIER#0000000')))
+"""
+
+ORACLES["paged_log"] = f"""
+WITH {_LOG}
+SELECT * FROM flt ORDER BY played_at DESC, play_id DESC LIMIT 50 OFFSET 50
+"""
+
+ORACLES["paged_total"] = f"""
+WITH {_LOG}
+SELECT COUNT(*) AS total, CAST(ceil(COUNT(*) / 50.0) AS BIGINT) AS pages FROM flt
+"""
+
+ORACLES["facet_values"] = f"""
+WITH {_LOG}
+SELECT DISTINCT artist_name FROM log
+WHERE played_at >= TIMESTAMP '2024-01-10' AND played_at < TIMESTAMP '2024-01-21' AND artist_name IS NOT NULL
+"""
+
+ORACLES["search_contains"] = f"""
+WITH {STAR},
+per_artist AS (
+  SELECT pb.artist_id, COUNT(*) AS play_count FROM fact f JOIN primary_bridge pb USING (track_id) GROUP BY 1)
+SELECT a.artist_id, a.artist_name, p.play_count
+FROM artists a JOIN per_artist p USING (artist_id)
+WHERE contains(lower(a.artist_name), lower('plier#00000001'))
+ORDER BY p.play_count DESC, a.artist_id LIMIT 50
+"""
+
+# ---- enrichment work lists ------------------------------------------------------
+
+_ENRICH = f"""
+{STAR},
+enrichment AS (
+  SELECT s_suppkey AS artist_id, CAST(floor(s_acctbal / 100) AS INTEGER) AS popularity,
+         CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey AS followers, n_name AS genre,
+         CAST(DATE '2024-01-31' - CAST((s_suppkey * 7) % 200 AS INTEGER) AS DATE) AS enriched_at
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
+played AS (
+  SELECT b.artist_id, COUNT(*) AS play_count, MIN(f.played_at) AS first_played_at
+  FROM fact f JOIN bridge b USING (track_id) GROUP BY b.artist_id),
+work AS (SELECT * FROM played p WHERE NOT EXISTS (SELECT 1 FROM enrichment e WHERE e.artist_id = p.artist_id))
+"""
+
+ORACLES["anti_join_worklist"] = f"WITH {_ENRICH} SELECT * FROM work"
+
+ORACLES["batch_ids"] = f"""
+WITH {_ENRICH}
+SELECT artist_id, play_count, row_number() OVER (ORDER BY play_count DESC, artist_id) AS position,
+       CAST(floor((row_number() OVER (ORDER BY play_count DESC, artist_id) - 1) / 50) AS BIGINT) AS batch_id
+FROM work
+"""
+
+ORACLES["coverage_pct"] = f"""
+WITH {_ENRICH}
+SELECT COUNT(*) AS played_artists, count(*) FILTER (WHERE e.artist_id IS NULL) AS missing,
+       round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE e.artist_id IS NULL) / nullif(COUNT(*), 0), 2) AS pct_missing
+FROM played p LEFT JOIN enrichment e USING (artist_id)
+"""
+
+ORACLES["stale_rows"] = f"""
+WITH {_ENRICH}
+SELECT artist_id, enriched_at, CAST(DATE '2024-01-31' - enriched_at AS INTEGER) AS days_old
+FROM enrichment WHERE DATE '2024-01-31' - enriched_at > 90
+"""
+
+ORACLES["genre_summary"] = f"""
+WITH {_ENRICH}
+SELECT genre, COUNT(DISTINCT artist_id) AS artists, CAST(SUM(followers) AS BIGINT) AS total_followers,
+       {rnd('AVG(popularity)', 1)} AS avg_popularity
+FROM enrichment GROUP BY genre
+"""
+
+ORACLES["tier_histogram"] = f"""
+WITH {_ENRICH},
+t AS (
+  SELECT e.*, s.s_name AS artist_name,
+    CASE WHEN popularity >= 80 THEN '80-100 very high' WHEN popularity >= 60 THEN '60-79 high'
+         WHEN popularity >= 40 THEN '40-59 medium' WHEN popularity >= 20 THEN '20-39 low' ELSE '0-19 very low' END AS tier
+  FROM enrichment e JOIN supplier s ON s.s_suppkey = e.artist_id),
+c AS (SELECT tier, COUNT(*) AS artists, MIN(popularity) AS min_pop FROM t GROUP BY tier),
+r AS (SELECT tier, artist_name, row_number() OVER (PARTITION BY tier ORDER BY artist_name) AS rn FROM t),
+s AS (SELECT tier, string_agg(artist_name, ', ' ORDER BY artist_name) AS samples FROM r WHERE rn <= 3 GROUP BY tier)
+SELECT c.tier, c.artists, c.min_pop, s.samples FROM c JOIN s USING (tier)
+"""
+
+# ---- documented analytic queries --------------------------------------------------
+
+ORACLES["running_total"] = f"""
+WITH m AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, COUNT(*) AS items FROM lineitem GROUP BY 1)
+SELECT month, items,
+       CAST(SUM(items) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total,
+       {rnd('AVG(items) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 2)} AS rolling_3
+FROM m
+"""
+
+ORACLES["duration_histogram"] = """
+WITH t AS (SELECT CAST(p_size AS BIGINT) * 6000 AS ms FROM part)
+SELECT CASE WHEN ms < 60000 THEN '< 1 min' WHEN ms < 180000 THEN '1-3 min' WHEN ms < 300000 THEN '3-5 min'
+            ELSE '>= 5 min' END AS bucket, COUNT(*) AS tracks, MIN(ms) AS min_ms
+FROM t GROUP BY 1
+"""
+
+ORACLES["decade_buckets"] = f"""
+SELECT CAST(floor(year(o_orderdate) / 10) * 10 AS INTEGER) AS decade, CAST(year(o_orderdate) AS INTEGER) AS year,
+       COUNT(*) AS orders, {rnd('AVG(o_totalprice)', 2)} AS avg_price
+FROM orders GROUP BY 1, 2
+"""
+
+ORACLES["explicit_share"] = """
+SELECT p_brand AS album_id, COUNT(*) AS items, count(*) FILTER (WHERE l_returnflag = 'R') AS flagged,
+       round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE l_returnflag = 'R') / nullif(COUNT(*), 0), 1) AS flagged_pct
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand
+"""
+
+ORACLES["oldest_newest_union"] = """
+(SELECT o_orderkey, o_orderdate, o_totalprice, 'oldest' AS edge FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10)
+UNION ALL
+(SELECT o_orderkey, o_orderdate, o_totalprice, 'newest' AS edge FROM orders
+ ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10)
+"""
+
+ORACLES["distinct_sample_array"] = """
+WITH pairs AS (
+  SELECT DISTINCT p_brand AS album_id, s_name AS artist_name
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+r AS (SELECT *, row_number() OVER (PARTITION BY album_id ORDER BY artist_name) AS rn FROM pairs)
+SELECT album_id, COUNT(*) AS artists,
+       string_agg(artist_name, ', ' ORDER BY artist_name) FILTER (WHERE rn <= 3) AS sample_artists
+FROM r GROUP BY album_id
+"""
+
+ORACLES["collaborations"] = f"""
+WITH {STAR}, per AS (SELECT track_id, COUNT(*) AS artists FROM bridge GROUP BY track_id)
+SELECT artists, COUNT(*) AS tracks FROM per GROUP BY artists
+"""
+
+ORACLES["habits_by_hour"] = f"""
+WITH {EVENTS_FACT}
+SELECT CAST(hour(played_at) AS INTEGER) AS hour, COUNT(*) AS plays, COUNT(DISTINCT track_id) AS tracks,
+       COUNT(DISTINCT listener_id) AS listeners
+FROM efact GROUP BY 1
+"""
+
+ORACLES["plays_by_context"] = """
+SELECT event_type AS context, COUNT(*) AS plays, COUNT(DISTINCT user_id) AS listeners,
+       round(CAST(100 AS DOUBLE) * COUNT(*) / SUM(COUNT(*)) OVER (), 1) AS share_pct
+FROM events GROUP BY event_type
+"""
+
+ORACLES["daily_listening"] = f"""
+WITH {STAR}, {EVENTS_FACT}
+SELECT CAST(f.played_at AS DATE) AS day, COUNT(*) AS plays, COUNT(DISTINCT f.track_id) AS tracks,
+       {rnd('SUM(t.duration_ms) / 60000', 1)} AS minutes
+FROM efact f LEFT JOIN tracks t USING (track_id) GROUP BY 1
+"""

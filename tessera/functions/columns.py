@@ -167,3 +167,13 @@ def ordered_array(value: ColumnOrName, *order: ColumnOrName) -> Column:
 def ordered_join(value: ColumnOrName, sep: str, *order: ColumnOrName) -> Column:
     """STRING_AGG(value, sep ORDER BY order)."""
     return F.array_join(ordered_array(value, *order), sep)
+
+
+def round_half_up(x: ColumnOrName, digits: int = 2) -> Column:
+    """Decimal half-up rounding of a double, stable at binary midpoints.
+
+    ``round(double)`` on different engines disagrees on values such as
+    1.005 whose binary form sits just below the midpoint; going through
+    ``decimal(38,9)`` first rounds the decimal value everyone prints.
+    """
+    return F.round(_c(x).cast("decimal(38,9)"), digits).cast("double")
