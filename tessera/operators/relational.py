@@ -257,3 +257,18 @@ def conjunction(preds: Sequence[Column | None]) -> Column:
         if p is not None:
             out = out & p
     return out
+
+
+def thin_points(df: DataFrame, key: str, order_cols: Sequence[str], max_points: int,
+                index_col: str = "point_idx") -> DataFrame:
+    """P03 polyline thinning: keep every ``ceil(n / max_points)``-th point per key.
+
+    Point counts are a partial aggregate joined back; numbering is a
+    per-key ``row_number`` (streaming, spillable sort) — no key's points
+    are collected into one array.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(key).orderBy(*order_cols)
+    numbered = df.withColumn(index_col, F.row_number().over(w) - 1).join(counts, key)
+    step = F.ceil(F.col("_n") / F.lit(max_points))
+    return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n")

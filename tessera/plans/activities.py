@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import duration_to_hms, empty_to_null, least_strict, ms_to_hms, time_of_day
-from tessera.operators.relational import global_top_k, interval_join
+from tessera.operators.relational import global_top_k, interval_join, thin_points
 from tessera.plans.star import star_from_events
 from tessera.sources.tables import Tables
 
@@ -146,12 +146,8 @@ def sampled_polyline(spark: SparkSession, d: str) -> DataFrame:
     into one array.
     """
     ev = Tables(spark, d).events.select("user_id", "event_id", "ts", "value")
-    counts = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    numbered = ev.withColumn("point_idx", F.row_number().over(w) - 1).join(counts, "user_id")
-    step = F.ceil(F.col("_n") / F.lit(MAX_POLYLINE_POINTS))
-    return numbered.filter(F.pmod(F.col("point_idx"), step) == 0).select(
-        "user_id", "point_idx", "ts", "value", step.alias("step"))
+    return thin_points(ev, "user_id", ["ts", "event_id"], MAX_POLYLINE_POINTS).select(
+        "user_id", "point_idx", "ts", "value", "step")
 
 
 def zone_percentages(spark: SparkSession, d: str) -> DataFrame:
