@@ -81,8 +81,8 @@ def string_to_date_flexible(x) -> Column:
 def cast_value(x, target: str) -> Column:
     """INT64 / FLOAT64 / STRING / BOOL, null on failure.
 
-    BOOL is truthiness, not a parse: any non-empty text is true, numbers
-    are true when non-zero.
+    BOOL is truthiness, not a parse: JSON ``true``/``false`` keep their value,
+    numbers are true when non-zero, any other non-empty text is true.
     """
     c = _c(x)
     t = target.upper()
@@ -95,8 +95,11 @@ def cast_value(x, target: str) -> Column:
     if t in ("BOOL", "BOOLEAN"):
         s = _txt(c)
         numeric = s.rlike(_NUM_RE)
-        return F.when(c.isNull(), F.lit(None).cast("boolean")).when(
-            numeric, F.trim(s).try_cast("double") != 0).otherwise(F.length(s) > 0)
+        low = F.lower(F.trim(s))
+        # JSON literals arrive as text 'true' / 'false' from the path getter
+        return (F.when(c.isNull(), F.lit(None).cast("boolean"))
+                .when(low == "false", F.lit(False)).when(low == "true", F.lit(True))
+                .when(numeric, F.trim(s).try_cast("double") != 0).otherwise(F.length(s) > 0))
     raise ValueError(f"unsupported target type {target!r}")
 
 

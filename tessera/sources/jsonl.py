@@ -91,25 +91,26 @@ def user_and_type_from_name(df: DataFrame, service: str, types: Sequence[str], c
         "data_type", F.coalesce(typ, kw, F.lit("unknown")))
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
-                corrupt_col: str = "_corrupt_record"):
+def is_json_object(value: Column) -> Column:
+    """Line is syntactically valid JSON and an object (not an array or scalar)."""
+    return F.try_parse_json(value).isNotNull() & F.ltrim(value).startswith("{")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value"):
     """``(good, bad)`` — blank lines are skipped, malformed lines go to ``bad``.
 
-    ``from_json`` in PERMISSIVE mode with a corrupt-record column, so a bad
-    line never fails the job; a top-level array or scalar is malformed for
-    an object schema.
+    A line is bad when it is not a JSON object (syntax error, top-level
+    array or scalar).  A good line whose field does not fit the schema keeps
+    the rest of its fields and gets null there (§7.4 #7: a promoted struct
+    nulls the scalar values), via ``from_json`` PERMISSIVE partial results.
     """
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
     non_blank = lines.filter(F.trim(F.col(value_col)) != "")
-    parsed = non_blank.withColumn(
-        "_p", F.from_json(F.col(value_col), with_corrupt,
-                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}))
-    is_obj = F.ltrim(F.col(value_col)).startswith("{")
-    bad_cond = F.col("_p").isNull() | F.col(f"_p.{corrupt_col}").isNotNull() | ~is_obj
+    ok = is_json_object(F.col(value_col))
     others = [c for c in lines.columns if c != value_col]
-    good = parsed.filter(~bad_cond).select(*[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
-                                           F.col(value_col).alias("raw_data"), *others)
-    bad = parsed.filter(bad_cond).select(F.col(value_col).alias("raw_line"), *others)
+    parsed = non_blank.filter(ok).withColumn("_p", F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"}))
+    good = parsed.select(*[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
+                         F.col(value_col).alias("raw_data"), *others)
+    bad = non_blank.filter(~ok).select(F.col(value_col).alias("raw_line"), *others)
     return good, bad
 
 
@@ -121,7 +122,7 @@ def with_lineage(df: DataFrame, file_col: str = "source_file") -> DataFrame:
 def raw_envelope(lines: DataFrame, data_type: str | Column, value_col: str = "value",
                  extra: dict[str, Column] | None = None) -> DataFrame:
     """Whole record as ``raw_data`` + ``data_type`` + lineage; invalid JSON dropped."""
-    valid = F.try_parse_json(F.col(value_col)).isNotNull() & F.ltrim(F.col(value_col)).startswith("{")
+    valid = is_json_object(F.col(value_col))
     dt = data_type if isinstance(data_type, Column) else F.lit(data_type)
     out = lines.filter(valid).select(F.col(value_col).alias("raw_data"), dt.alias("data_type"),
                                      *[c for c in lines.columns if c != value_col and c != "data_type"])
@@ -292,7 +293,7 @@ def ingest(
 
     lines = scan_jsonl(spark, landing)
     blank = F.trim("value") == ""
-    is_obj = F.try_parse_json(F.col("value")).isNotNull() & F.ltrim(F.col("value")).startswith("{")
+    is_obj = is_json_object(F.col("value"))
     records = with_lineage(extract_fields(lines.filter(~blank & is_obj), specs))
     rules = [] if mode == "skip" else rules_from_specs(specs, required)
     checked = quality.with_errors(records, rules)

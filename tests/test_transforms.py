@@ -34,9 +34,9 @@ def test_iso_timestamp_zone_dropped(spark):
 
 
 def test_casts(spark):
-    df = spark.createDataFrame([(" 42 ",), ("1.5",), ("",), ("no",), ("0",)], "v string")
+    df = spark.createDataFrame([(" 42 ",), ("1.5",), ("",), ("no",), ("0",), ("false",)], "v string")
     got = df.select(T.cast_value("v", "INT64").alias("i"), T.cast_value("v", "FLOAT64").alias("f"),
                     T.cast_value("v", "BOOL").alias("b")).collect()
-    assert [r.i for r in got] == [42, None, None, None, 0]
-    assert [r.f for r in got] == [42.0, 1.5, None, None, 0.0]
-    assert [r.b for r in got] == [True, True, False, True, False]
+    assert [r.i for r in got] == [42, None, None, None, 0, None]
+    assert [r.f for r in got] == [42.0, 1.5, None, None, 0.0, None]
+    assert [r.b for r in got] == [True, True, False, True, False, False]
