@@ -835,3 +835,79 @@ SELECT CAST(f.played_at AS DATE) AS day, COUNT(*) AS plays, COUNT(DISTINCT f.tra
        {rnd('SUM(t.duration_ms) / 60000', 1)} AS minutes
 FROM efact f LEFT JOIN tracks t USING (track_id) GROUP BY 1
 """
+
+# ---- hub layer over the nested play log ----------------------------------------------
+
+_LOG_NESTED = f"""
+{STAR},
+credits AS (
+  SELECT b.track_id, list(struct_pack(artistId := b.artist_id, artistName := a.artist_name)
+                          ORDER BY b.artist_position) AS artists
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
+log AS (
+  SELECT l_orderkey * 100 + l_linenumber AS play_id, l_shipdate AS playedAt, l_partkey AS trackId,
+         p_name AS trackName, CAST(p_size AS BIGINT) * 6000 AS trackDurationMs, p_brand AS albumId,
+         p_brand AS albumName, c.artists AS artists, c.artists AS albumArtists
+  FROM lineitem JOIN part ON p_partkey = l_partkey LEFT JOIN credits c ON c.track_id = l_partkey)
+"""
+
+ORACLES["hub_bridge_tracks_artists"] = f"""
+WITH {_LOG_NESTED},
+ex AS (SELECT trackId, unnest(artists) AS a, generate_subscripts(artists, 1) - 1 AS pos FROM log)
+SELECT trackId AS track_id, a.artistId AS artist_id, CAST(MIN(pos) AS INTEGER) AS artist_position,
+       CASE WHEN MIN(pos) = 0 THEN 'primary' ELSE 'featuring' END AS artist_role
+FROM ex GROUP BY trackId, a.artistId
+"""
+
+ORACLES["hub_dim_tracks"] = f"""
+WITH {_LOG_NESTED},
+stats AS (
+  SELECT trackId, COUNT(*) AS play_count, CAST(SUM(trackDurationMs) AS BIGINT) AS total_listen_duration,
+         MIN(playedAt) AS first_played_at, MAX(playedAt) AS last_played_at
+  FROM log GROUP BY trackId),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trackId ORDER BY playedAt DESC, play_id DESC) AS rn FROM log)
+  WHERE rn = 1)
+SELECT l.trackId AS track_id, l.trackName AS track_name, l.trackDurationMs AS duration_ms, l.albumId AS album_id,
+       s.play_count, s.total_listen_duration, s.first_played_at, s.last_played_at,
+       array_to_string(list_transform(l.artists, lambda x: x.artistName), ', ') AS all_artist_names
+FROM latest l LEFT JOIN stats s USING (trackId) WHERE len(l.artists) > 0
+"""
+
+ORACLES["hub_dim_albums"] = f"""
+WITH {_LOG_NESTED},
+stats AS (
+  SELECT albumId, COUNT(*) AS play_count, CAST(SUM(trackDurationMs) AS BIGINT) AS total_listen_duration,
+         MIN(playedAt) AS first_played_at, MAX(playedAt) AS last_played_at
+  FROM log GROUP BY albumId),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY albumId ORDER BY playedAt DESC, play_id DESC) AS rn FROM log)
+  WHERE rn = 1)
+SELECT l.albumId AS album_id, l.albumName AS album_name, s.play_count, s.total_listen_duration,
+       s.first_played_at, s.last_played_at,
+       array_to_string(list_transform(l.albumArtists, lambda x: x.artistName), ', ') AS all_artist_names
+FROM latest l LEFT JOIN stats s USING (albumId) WHERE len(l.albumArtists) > 0
+"""
+
+ORACLES["hub_dim_artists"] = f"""
+WITH {_LOG_NESTED},
+enrichment AS (
+  SELECT s_suppkey AS artist_id, CAST(floor(s_acctbal / 100) AS INTEGER) AS popularity,
+         CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey AS followers, n_name AS genre
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
+ex AS (SELECT play_id, playedAt, trackDurationMs, unnest(artists) AS a FROM log),
+per AS (
+  SELECT a.artistId AS artist_id, COUNT(*) AS play_count, CAST(SUM(trackDurationMs) AS BIGINT) AS total_listen_duration,
+         MIN(playedAt) AS first_played_at, MAX(playedAt) AS last_played_at,
+         arg_max(a.artistName, (playedAt, play_id)) AS artist_name
+  FROM ex GROUP BY a.artistId)
+SELECT per.*, e.genre, e.popularity, e.followers FROM per LEFT JOIN enrichment e USING (artist_id)
+"""
+
+ORACLES["play_log"] = f"""
+WITH {STAR},
+prim AS (SELECT b.track_id, b.artist_id, a.artist_name FROM primary_bridge b JOIN artists a USING (artist_id))
+SELECT f.play_id, f.played_at, CAST(f.played_at AS DATE) AS played_date, strftime(f.played_at, '%H:%M:%S') AS played_time,
+       f.track_id, t.track_name, t.album_id, t.duration_ms, p.artist_id, p.artist_name
+FROM fact f LEFT JOIN tracks t USING (track_id) LEFT JOIN prim p USING (track_id)
+"""
