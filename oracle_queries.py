@@ -911,3 +911,33 @@ SELECT f.play_id, f.played_at, CAST(f.played_at AS DATE) AS played_date, strftim
        f.track_id, t.track_name, t.album_id, t.duration_ms, p.artist_id, p.artist_name
 FROM fact f LEFT JOIN tracks t USING (track_id) LEFT JOIN prim p USING (track_id)
 """
+
+ORACLES["artists_of_genre"] = f"""
+WITH {_ENRICH}
+SELECT e.artist_id, s.s_name AS artist_name, e.popularity, e.followers
+FROM enrichment e JOIN supplier s ON s.s_suppkey = e.artist_id WHERE lower(e.genre) = lower('nation_7')
+"""
+
+ORACLES["popularity_follower_ratio"] = f"""
+WITH {_ENRICH}
+SELECT artist_id, popularity, followers, {rnd('popularity * 1000 / nullif(followers, 0)', 4)} AS pop_per_k_followers
+FROM enrichment WHERE popularity >= 50
+"""
+
+ORACLES["enrichment_runs_by_day"] = f"""
+WITH {_ENRICH}
+SELECT enriched_at AS run_date, COUNT(*) AS artists, round(AVG(popularity), 2) AS avg_popularity
+FROM enrichment GROUP BY enriched_at
+"""
+
+ORACLES["lateral_aggregate"] = """
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words,
+       CAST(list_sum(list_transform(w, lambda x: length(x))) AS BIGINT) AS word_chars,
+       CAST(list_max(list_transform(w, lambda x: length(x))) AS INTEGER) AS longest_word
+FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
+"""
+
+ORACLES["array_filter_sort"] = """
+SELECT doc_id, CAST(len(p) AS INTEGER) AS n_long, array_to_string(p, ' ') AS long_words
+FROM (SELECT doc_id, list_sort(list_filter(string_split(text, ' '), lambda x: length(x) > 12)) AS p FROM documents)
+"""

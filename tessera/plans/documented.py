@@ -118,3 +118,25 @@ def daily_listening(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy(F.to_date("played_at").alias("day")).agg(
         F.count(F.lit(1)).alias("plays"), F.countDistinct("track_id").alias("tracks"),
         round_half_up(F.sum("duration_ms") / 60000, 1).alias("minutes"))
+
+
+def word_stats(spark: SparkSession, d: str) -> DataFrame:
+    """A correlated aggregate over each row's own array (whole texts).
+
+    ``aggregate`` / ``array_max`` over the split words stay inside the row —
+    no explode, no shuffle.
+    """
+    docs = Tables(spark, d).documents
+    words = F.split("text", " ")
+    lengths = F.transform(words, lambda w: F.length(w))
+    return docs.select(
+        "doc_id", F.size(words).alias("n_words"),
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("word_chars"),
+        F.array_max(lengths).alias("longest_word"))
+
+
+def long_words(spark: SparkSession, d: str, min_len: int = 12) -> DataFrame:
+    """``ARRAY(SELECT w FROM UNNEST(words) WHERE len > n ORDER BY w)`` per document."""
+    docs = Tables(spark, d).documents
+    picked = F.array_sort(F.filter(F.split("text", " "), lambda w: F.length(w) > min_len))
+    return docs.select("doc_id", F.size(picked).alias("n_long"), F.array_join(picked, " ").alias("long_words"))

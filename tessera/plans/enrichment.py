@@ -101,3 +101,41 @@ def popularity_tiers(spark: SparkSession, d: str) -> DataFrame:
     samples = top_k_per_group(tiered, ["tier"], [F.col("artist_name")], SAMPLE_SIZE, rank_col="_r").groupBy(
         "tier").agg(F.array_join(F.array_sort(F.collect_list("artist_name")), ", ").alias("samples"))
     return counts.join(samples, "tier").orderBy("min_pop")
+
+
+def artists_of_genre(spark: SparkSession, d: str, genre: str) -> DataFrame:
+    """Enriched artists tagged with ``genre`` (bound literal, case-insensitive)."""
+    e = enrichment(spark, d)
+    names = Tables(spark, d).supplier.select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name"))
+    return e.filter(F.lower("genre") == F.lower(F.lit(genre))).join(names, "artist_id").select(
+        "artist_id", "artist_name", "popularity", "followers")
+
+
+def popularity_follower_ratio(spark: SparkSession, d: str, min_popularity: int = 50) -> DataFrame:
+    """Popular artists with few followers — popularity per thousand followers."""
+    e = enrichment(spark, d).filter(F.col("popularity") >= min_popularity)
+    ratio = round_half_up(F.col("popularity") * 1000 / F.nullif(F.col("followers"), F.lit(0)), 4)
+    return e.select("artist_id", "popularity", "followers", ratio.alias("pop_per_k_followers"))
+
+
+def enrichment_runs_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Enrichment runs per day with the artists they touched."""
+    e = enrichment(spark, d)
+    return e.groupBy(F.col("enriched_at").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("artists"), F.round(F.avg("popularity"), 2).alias("avg_popularity"))
+
+
+def albums_lacking_enrichment(fact: DataFrame, tracks: DataFrame, album_enrichment: DataFrame,
+                              since=None) -> DataFrame:
+    """Albums with their first play, lacking an enrichment row.
+
+    Backfill mode (``since`` None) lists all of them by first play;
+    incremental mode keeps albums first played on or after ``since``.
+    """
+    per_track = fact.groupBy("track_id").agg(F.min("played_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    per_album = per_track.join(tracks.select("track_id", "album_id"), "track_id").groupBy("album_id").agg(
+        F.min("_first").alias("first_played_at"), F.sum("_n").alias("play_count"))
+    out = per_album.join(album_enrichment.select("album_id"), "album_id", "left_anti")
+    if since is not None:
+        out = out.filter(F.col("first_played_at") >= F.lit(since))
+    return out
