@@ -160,3 +160,22 @@ def zone_percentages(spark: SparkSession, d: str) -> DataFrame:
     return agg.select("user_id", *[
         F.round(F.lit(100.0) * F.col(f"_z{i}") / F.nullif(F.col("_n"), F.lit(0)), 1).alias(f"zone{i}_pct")
         for i in range(1, 6)])
+
+
+def recent_activities(spark: SparkSession, d: str) -> DataFrame:
+    """The recent-activities read (P01 projection)."""
+    return recent_activities_with_plays(spark, d)
+
+
+def activities_list(spark: SparkSession, d: str) -> DataFrame:
+    """Every activity with distance, minutes, zone shares of its user."""
+    acts = activities(spark, d)
+    zones = zone_percentages(spark, d)
+    return acts.join(zones, "user_id", "left").withColumn("duration_min", F.lit(float(ACTIVITY_MINUTES)))
+
+
+def activity_detail(spark: SparkSession, d: str, activity_id: int) -> dict[str, DataFrame]:
+    """One activity plus its user's ordered (thinned) track points."""
+    act = activities(spark, d).filter(F.col("activity_id") == F.lit(activity_id))
+    pts = sampled_polyline(spark, d).join(act.select("user_id"), "user_id", "left_semi").orderBy("point_idx")
+    return {"activity": act, "points": pts}

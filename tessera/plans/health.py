@@ -294,3 +294,25 @@ SLEEP_SCHEMA = T.StructType.fromJson({
         {"name": "restingHeartRate", "type": "long", "nullable": True, "metadata": {}},
     ],
 })
+
+
+def homepage_bundle(spark: SparkSession, d: str, as_of) -> DataFrame:
+    """The home-page datasets as one row of arrays (each part is
+    bounded: day spines, 7-day windows, top-10 lists)."""
+    from tessera.plans import music
+    from tessera.sources.sinks import bundle
+
+    star = star_from_events(spark, d)
+    return bundle({
+        "music_time_daily": music_time_daily(spark, d, as_of),
+        "running_weekly_volume": running_weekly_volume(spark, d, as_of),
+        "running_by_day": running_by_day(spark, d, as_of),
+        "body_battery": body_battery_week(spark, d, as_of),
+        "hrv": hrv_baseline(spark, d, as_of),
+        "race_prediction": latest_vs_earlier(spark, d, as_of),
+        "vo2max": weekly_average_trend(spark, d, as_of),
+        "sleep_stages": stages_of_latest_day(spark, d),
+        "steps": steps_week(spark, d, as_of),
+        "top_tracks": music.top_tracks_recent(star, as_of),
+        "top_artists": music.top_artists_recent(star, as_of),
+    })

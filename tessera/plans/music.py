@@ -344,3 +344,25 @@ def artist_overview(star: MusicStar, as_of) -> DataFrame:
             F.coalesce(F.col("current_streak"), F.lit(0)).cast("bigint").alias("current_streak"),
         )
     )
+
+
+def artist_documents(star: MusicStar, as_of) -> DataFrame:
+    """One nested document per artist from the six focus views.
+
+    Every part is per-artist bounded (top-20 tracks, albums, calendar days,
+    168 heat-map cells, months), so collecting each part per artist is safe.
+    """
+    from tessera.sources.sinks import entity_documents
+
+    return entity_documents("artist_id", {
+        "overview": artist_overview(star, as_of),
+        "top_tracks": artist_top_tracks(star),
+        "albums": artist_albums(star),
+        "calendar": artist_calendar(star),
+        "heatmap": artist_heatmap(star),
+        "evolution": artist_evolution(star),
+    }, order={
+        "top_tracks": [F.col("track_rank")], "calendar": [F.col("listen_date")],
+        "heatmap": [F.col("day_of_week"), F.col("hour_of_day")], "evolution": [F.col("year_month")],
+        "albums": [-F.col("total_duration_ms"), F.col("album_id")],
+    })

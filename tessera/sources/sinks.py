@@ -124,7 +124,8 @@ def entity_documents(key: str, parts: dict[str, DataFrame], order: dict[str, Seq
     Every part is grouped by ``key`` into an ordered list of structs and the
     lists are joined on the key (equi joins on the aggregated, one-row-per-
     entity frames).  Parts must be bounded per entity (top-k lists, calendar
-    rows), as the product views are.
+    rows), as the product views are.  ``order`` lists value expressions
+    sorted ascending (negate a number for descending).
     """
     order = order or {}
     doc = None
