@@ -159,8 +159,10 @@ stats AS (
          CAST(SUM(fan.total_duration_ms) AS BIGINT) AS total_duration_ms,
          CAST(SUM(fan.play_count) AS BIGINT) AS play_count
   FROM fan LEFT JOIN names USING (track_id) GROUP BY fan.artist_id, names.all_artist_names),
+credit_ids AS (SELECT all_artist_names, MIN(track_id) AS credit_id FROM names GROUP BY all_artist_names),
 ranking AS (
-  SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, artist_id, all_artist_names) AS rank FROM stats),
+  SELECT stats.*, row_number() OVER (ORDER BY total_duration_ms DESC, artist_id, credit_id) AS rank
+  FROM stats JOIN credit_ids USING (all_artist_names)),
 top AS (SELECT * FROM ranking WHERE rank <= 20),
 best AS (
   SELECT artist_id, track_name, total_duration_ms AS track_ms, play_count AS track_plays,

@@ -177,13 +177,20 @@ def top_artists_with_tracks(star: MusicStar, k: int = 20, tracks_per_artist: int
     """
     per_track = _track_totals(star).select("track_id", "track_name", "play_count", "total_duration_ms")
     credits = star.track_artist_names()
+    # Dictionary-encode the credit strings: tracks sharing one string share
+    # the smallest track id as ``credit_id``, so the big fan-out aggregate
+    # groups by two longs instead of (artist, long text); the text is looked
+    # up again only for the k ranked rows.
+    credit_ids = credits.groupBy("all_artist_names").agg(F.min("track_id").alias("credit_id"))
+    track_credit = credits.join(credit_ids, "all_artist_names").select("track_id", "credit_id")
     fan = per_track.join(star.bridge.select("track_id", "artist_id"), "track_id", "left")
     stats = (
-        fan.join(credits, "track_id", "left")
-        .groupBy("artist_id", "all_artist_names")
+        fan.join(track_credit, "track_id", "left")
+        .groupBy("artist_id", "credit_id")
         .agg(F.sum("total_duration_ms").alias("total_duration_ms"), F.sum("play_count").alias("play_count"))
     )
-    top = global_top_k(stats, [F.col("total_duration_ms").desc(), F.col("artist_id"), F.col("all_artist_names")], k)
+    ranked = global_top_k(stats, [F.col("total_duration_ms").desc(), F.col("artist_id"), F.col("credit_id")], k)
+    top = ranked.join(F.broadcast(credit_ids), "credit_id", "left")  # k rows joined
     top_ids = top.select("artist_id").distinct()
     artist_tracks = fan.join(_bounded(top_ids), "artist_id", "left_semi")
     best = top_k_per_group(

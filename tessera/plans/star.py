@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import ordered_join
@@ -57,13 +57,17 @@ class MusicStar:
 def bridge_from_pairs(pairs: DataFrame, track_col: str, artist_col: str) -> DataFrame:
     """Distinct (track, artist) credits with a 0-based position and role.
 
-    The distinct is a partial-aggregated shuffle on the pair; positions are
-    a per-track window over at most the track's credit list.
+    One aggregate builds each track's sorted credit set (deduplicated
+    map-side, so a track's many plays shrink to its distinct artists before
+    the shuffle); ``posexplode`` turns it back into rows with positions —
+    no second shuffle and no window sort.  A credit set is bounded by the
+    distinct artists of one track, like the play record's artist list.
     """
-    distinct_pairs = pairs.select(F.col(track_col).alias("track_id"), F.col(artist_col).alias("artist_id")).distinct()
-    w = Window.partitionBy("track_id").orderBy("artist_id")
-    return distinct_pairs.withColumn("artist_position", (F.row_number().over(w) - 1).cast("int")).withColumn(
-        "artist_role", F.when(F.col("artist_position") == 0, F.lit("primary")).otherwise(F.lit("featuring")))
+    credit_sets = pairs.groupBy(F.col(track_col).alias("track_id")).agg(
+        F.array_sort(F.collect_set(F.col(artist_col))).alias("_artists"))
+    return credit_sets.select("track_id", F.posexplode("_artists").alias("artist_position", "artist_id")).select(
+        "track_id", "artist_id", F.col("artist_position").cast("int").alias("artist_position"),
+        F.when(F.col("artist_position") == 0, F.lit("primary")).otherwise(F.lit("featuring")).alias("artist_role"))
 
 
 def star_from_tables(spark: SparkSession, sf_dir: str) -> MusicStar:
