@@ -74,7 +74,7 @@ names AS (
          string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names,
          string_agg(CAST(b.artist_id AS VARCHAR), ',' ORDER BY b.artist_position) AS artist_ids
   FROM bridge b LEFT JOIN artists a USING (artist_id) GROUP BY b.track_id)
-SELECT rank, period, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
+SELECT CAST(rank AS INTEGER) AS rank, period, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
        {hms('total_duration_ms')} AS total_duration, total_duration_ms, n AS play_count, track_id, artist_ids
 FROM ranked LEFT JOIN names USING (track_id)
 WHERE rank <= lim
@@ -97,7 +97,7 @@ fan AS (
   GROUP BY per.period, per.lim, b.artist_id),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY period ORDER BY total_duration_ms DESC, artist_id) AS rank FROM fan)
-SELECT rank, period, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
+SELECT CAST(rank AS INTEGER) AS rank, period, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
        total_duration_ms, play_count, artist_id
 FROM ranked LEFT JOIN artists USING (artist_id) WHERE rank <= lim
 """
@@ -113,7 +113,7 @@ per_album AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY period ORDER BY total_duration_ms DESC, album_id) AS rank
   FROM per_album)
-SELECT rank, period, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count,
+SELECT CAST(rank AS INTEGER) AS rank, period, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count,
        tracks_played, album_id
 FROM ranked LEFT JOIN albums USING (album_id) WHERE rank <= lim
 """
@@ -132,7 +132,7 @@ names AS (
   SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names
   FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
 top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, track_id) AS rank FROM totals)
-SELECT rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
+SELECT CAST(rank AS INTEGER) AS rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
        {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count, track_id
 FROM top LEFT JOIN names USING (track_id) WHERE rank <= 20
 """
@@ -144,7 +144,7 @@ per_album AS (
          CAST(SUM(play_count) AS BIGINT) AS play_count
   FROM totals GROUP BY album_id),
 top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, album_id) AS rank FROM per_album)
-SELECT rank, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count, album_id
+SELECT CAST(rank AS INTEGER) AS rank, album_name, {hms('total_duration_ms')} AS total_duration, total_duration_ms, play_count, album_id
 FROM top LEFT JOIN albums USING (album_id) WHERE rank <= 20
 """
 
@@ -169,12 +169,12 @@ best AS (
          row_number() OVER (PARTITION BY artist_id ORDER BY total_duration_ms DESC, track_id) AS track_rank
   FROM fan WHERE artist_id IN (SELECT artist_id FROM top)),
 best10 AS (SELECT * FROM best WHERE track_rank <= 10)
-SELECT top.rank, {ell('a.artist_name')} AS artist_name, {hms('top.total_duration_ms')} AS total_duration,
+SELECT CAST(top.rank AS INTEGER) AS rank, {ell('a.artist_name')} AS artist_name, {hms('top.total_duration_ms')} AS total_duration,
        top.play_count, top.artist_id,
-       to_json(list(struct_pack(rank := best10.track_rank, track_name := best10.track_name,
+       CAST(to_json(list(struct_pack(rank := best10.track_rank, track_name := best10.track_name,
                                 percentage := round(best10.track_ms / top.total_duration_ms * 100, 1),
                                 duration := {hm('best10.track_ms')}, play_count := best10.track_plays)
-               ORDER BY best10.track_rank)) AS tracks
+               ORDER BY best10.track_rank)) AS VARCHAR) AS tracks
 FROM top LEFT JOIN artists a USING (artist_id) LEFT JOIN best10 USING (artist_id)
 GROUP BY top.rank, a.artist_name, top.all_artist_names, top.total_duration_ms, top.play_count, top.artist_id
 """
@@ -197,7 +197,7 @@ shared AS (
                   / nullif(SUM(total_duration_ms) OVER (PARTITION BY artist_id), 0), 1) AS pct_of_artist_time,
          row_number() OVER (PARTITION BY artist_id ORDER BY total_duration_ms DESC, track_id) AS track_rank
   FROM ts)
-SELECT artist_id, track_rank, track_id, track_name, play_count, {hms('total_duration_ms')} AS total_duration,
+SELECT artist_id, CAST(track_rank AS INTEGER) AS track_rank, track_id, track_name, play_count, {hms('total_duration_ms')} AS total_duration,
        total_duration_ms, CAST(first_played_at AS VARCHAR) AS first_played_at,
        CAST(last_played_at AS VARCHAR) AS last_played_at, pct_of_artist_time
 FROM shared WHERE track_rank <= 20
@@ -291,7 +291,7 @@ names AS (
   SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names,
          string_agg(CAST(b.artist_id AS VARCHAR), ',' ORDER BY b.artist_position) AS artist_ids
   FROM bridge b LEFT JOIN artists a USING (artist_id) GROUP BY b.track_id)
-SELECT rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
+SELECT CAST(rank AS INTEGER) AS rank, {ell('track_name')} AS track_name, {ell('all_artist_names')} AS all_artist_names,
        {hms('total_duration_ms')} AS total_duration, play_count, track_id, artist_ids
 FROM top LEFT JOIN names USING (track_id) WHERE rank <= 10
 """
@@ -304,7 +304,7 @@ per_artist AS (
   WHERE f.played_at >= CAST(DATE '2024-01-31' - 7 AS TIMESTAMP)
   GROUP BY pb.artist_id),
 top AS (SELECT *, row_number() OVER (ORDER BY total_duration_ms DESC, artist_id) AS rank FROM per_artist)
-SELECT rank, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
+SELECT CAST(rank AS INTEGER) AS rank, {ell('artist_name')} AS artist_name, {hms('total_duration_ms')} AS total_duration,
        total_duration_ms, play_count, artist_id
 FROM top LEFT JOIN artists USING (artist_id) WHERE rank <= 10
 """
@@ -399,7 +399,7 @@ FROM events GROUP BY 1
 """
 
 ORACLES["array_explode_offset"] = """
-SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no, length(unnest(parts)) AS line_chars
+SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no, CAST(length(unnest(parts)) AS INTEGER) AS line_chars
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
 """
 
@@ -411,9 +411,9 @@ FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
 
 ORACLES["nested_struct_build"] = """
 SELECT o_orderkey,
-       to_json(struct_pack(order_key := o_orderkey, status := o_orderstatus,
+       CAST(to_json(struct_pack(order_key := o_orderkey, status := o_orderstatus,
                customer := struct_pack(key := c_custkey, name := c_name,
-                                       nation := struct_pack(key := n_nationkey, name := n_name)))) AS order_json
+                                       nation := struct_pack(key := n_nationkey, name := n_name)))) AS VARCHAR) AS order_json
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """
 
@@ -495,8 +495,8 @@ ORACLES["interval_join_array"] = f"""
 WITH {STAR}, {_ACTS},
 recent AS (SELECT * FROM acts ORDER BY start_ts DESC, activity_id DESC LIMIT 100),
 lists AS (
-  SELECT p.activity_id, to_json(list(struct_pack(play_id := p.play_id, track_id := p.track_id)
-                                     ORDER BY p.played_at, p.play_id, p.track_id)) AS plays
+  SELECT p.activity_id, CAST(to_json(list(struct_pack(play_id := p.play_id, track_id := p.track_id)
+                                     ORDER BY p.played_at, p.play_id, p.track_id)) AS VARCHAR) AS plays
   FROM pairs p WHERE p.activity_id IN (SELECT activity_id FROM recent) GROUP BY p.activity_id)
 SELECT r.activity_id, r.user_id, r.start_ts, l.plays FROM recent r LEFT JOIN lists l USING (activity_id)
 """
