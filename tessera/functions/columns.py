@@ -177,3 +177,20 @@ def round_half_up(x: ColumnOrName, digits: int = 2) -> Column:
     ``decimal(38,9)`` first rounds the decimal value everyone prints.
     """
     return F.round(_c(x).cast("decimal(38,9)"), digits).cast("double")
+
+
+# Fixed value: the timestamp range a TIMESTAMP_MILLIS value must fall in
+# (0001-01-01 … 9999-12-31), outside of which the SAFE form yields null.
+_MIN_MS = -62135596800000
+_MAX_MS = 253402300799999
+
+
+def safe_timestamp_millis(ms: ColumnOrName) -> Column:
+    """``SAFE.TIMESTAMP_MILLIS`` — null outside the supported range."""
+    m = _c(ms).cast("bigint")
+    return F.when((m >= _MIN_MS) & (m <= _MAX_MS), F.timestamp_millis(m))
+
+
+def datetime_of(x: ColumnOrName) -> Column:
+    """C11: DATETIME(text or timestamp) — zone-less timestamp."""
+    return F.to_timestamp_ntz(_c(x).cast("string"))

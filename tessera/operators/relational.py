@@ -272,3 +272,30 @@ def thin_points(df: DataFrame, key: str, order_cols: Sequence[str], max_points:
     numbered = df.withColumn(index_col, F.row_number().over(w) - 1).join(counts, key)
     step = F.ceil(F.col("_n") / F.lit(max_points))
     return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n")
+
+
+def limited_ordered_array(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
+                          value: Column, n: int, name: str, distinct: bool = False) -> DataFrame:
+    """``ARRAY_AGG([DISTINCT] v ORDER BY … LIMIT n)`` per group.
+
+    The group is cut to n rows with a bounded ``row_number`` (partial
+    group limit before the shuffle) before anything is collected, so a hot
+    group never materialises whole.  ``order_cols`` are ascending value
+    expressions (negate numbers for descending).
+    """
+    src = df.select(*group_cols, *[o.alias(f"_o{i}") for i, o in enumerate(order_cols)], value.alias("_v"))
+    if distinct:
+        src = src.dropDuplicates([*group_cols, "_v"])
+    ords = [F.col(f"_o{i}") for i in range(len(order_cols))]
+    top = top_k_per_group(src, group_cols, [*ords, F.col("_v")], n, rank_col="_r")
+    return top.groupBy(*group_cols).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col("_v")))), lambda x: x["_v"]).alias(name))
+
+
+def with_one_row(df: DataFrame, one_row: DataFrame, how: str = "left") -> DataFrame:
+    """Attach the columns of a one-row relation to every row.
+
+    ``how='left'`` is ``LEFT JOIN … ON TRUE``: rows survive (with nulls) when
+    the relation is empty.  The relation is broadcast — it has one row.
+    """
+    return df.join(F.broadcast(one_row), on=F.lit(True), how=how)

@@ -325,3 +325,29 @@ def ingest(
                         rejected_files, archived)
 
 
+
+
+def select_datasets(routed: DataFrame, requested: Sequence[str] | None = None, owner: str | None = None,
+                    dataset_col: str = "dataset", owner_col: str = "username") -> DataFrame:
+    """The user's dataset list if given; else the files of one owner; else all."""
+    if requested:
+        return routed.filter(F.col(dataset_col).isin(list(requested)))
+    if owner and owner_col in routed.columns:
+        return routed.filter(F.col(owner_col) == F.lit(owner))
+    return routed
+
+
+def retransform_legacy(spark: SparkSession, raw_dir: str, out_dir: str, widths: dict[str, int] | None = None) -> int:
+    """Read raw landing files, rewrite numeric ``[[…]]`` arrays as arrays of
+    structs (N10–N14) using the inferred schema, and write a JSON-lines mirror."""
+    from tessera.functions.nested import flatten_nested_arrays
+    from tessera.sources.schema import infer_schema
+    from tessera.sources.sinks import write_jsonl
+
+    lines = scan_jsonl(spark, raw_dir)
+    schema = infer_schema(lines)
+    good, _ = parse_lines(lines, schema)
+    flat = good.select(*[flatten_nested_arrays(F.col(f.name), f.dataType, widths, f.name).alias(f.name)
+                         for f in schema.fields])
+    write_jsonl(flat, out_dir)
+    return len(schema.fields)

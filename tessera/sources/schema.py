@@ -37,6 +37,10 @@ def _scalar_type(v) -> T.DataType:
         return DOUBLE
     if isinstance(v, dict):
         return detect_record_schema([v])
+    if isinstance(v, list):
+        # nested list ([[ts, v], …]): kept as array<array<…>> so the N10–N14
+        # flattening can rewrite it to an array of structs before loading
+        return _value_type(v)
     return STRING
 
 

@@ -163,3 +163,17 @@ def test_raw_envelope(spark):
     out = J.raw_envelope(df, "games", extra={"username": F.lit("alice")}).collect()
     assert len(out) == 1 and out[0].raw_data == '{"a": 1}' and out[0].data_type == "games"
     assert out[0].username == "alice" and out[0]._dp_inserted_at is not None
+
+
+def test_retransform_legacy_and_select(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    _write(raw, "a.jsonl", ['{"date": "2024-01-01", "stressValuesArray": [[1, 20], [2, 30]]}'])
+    n = J.retransform_legacy(spark, str(raw), str(tmp_path / "out"))
+    assert n == 2
+    out = spark.read.json(str(tmp_path / "out")).first()
+    assert [(x.timestamp, x.value) for x in out.stressValuesArray] == [(1, 20), (2, 30)]
+    routed = spark.createDataFrame([("a", "u1"), ("b", "u2")], "dataset string, username string")
+    assert J.select_datasets(routed, ["b"]).count() == 1
+    assert J.select_datasets(routed, owner="u1").first().dataset == "a"
+    assert J.select_datasets(routed).count() == 2

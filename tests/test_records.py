@@ -85,3 +85,22 @@ def test_minute_anti_join(spark):
     src = spark.createDataFrame([(1, T0 + dt.timedelta(seconds=10)), (1, T0 + dt.timedelta(minutes=5))], "u int, ts timestamp")
     tgt = spark.createDataFrame([(1, T0 + dt.timedelta(seconds=50))], "u int, ts timestamp")
     assert RC.skip_existing_minutes(src, tgt, "ts", ["u"]).count() == 1
+
+
+def test_since_yesterday_hour(spark):
+    from tessera.operators.records import since_yesterday_hour
+
+    now = F.to_timestamp(F.lit("2024-06-10 08:00:00"))
+    df = spark.createDataFrame([(dt.datetime(2024, 6, 9, 20, 59),), (dt.datetime(2024, 6, 9, 21, 0),)], "ts timestamp")
+    # Paris is UTC+2 in June: yesterday 23:00 local = 21:00 UTC
+    got = [r.ts.hour for r in df.filter(since_yesterday_hour("ts", "Europe/Paris", 23, now)).collect()]
+    assert got == [21]
+
+
+def test_safe_millis_and_datetime(spark):
+    from tessera.functions.columns import datetime_of, safe_timestamp_millis
+
+    df = spark.createDataFrame([(1704067200000,), (10**15,)], "ms long")
+    assert [r[0] for r in df.select(safe_timestamp_millis("ms")).collect()] == [dt.datetime(2024, 1, 1), None]
+    one = spark.createDataFrame([("2024-01-02 03:04:05",)], "s string").select(datetime_of("s")).first()[0]
+    assert one == dt.datetime(2024, 1, 2, 3, 4, 5)

@@ -89,3 +89,16 @@ def test_page_and_conjunction(spark):
     df = spark.range(0, 25)
     assert [r.id for r in R.page(df, [F.col("id")], 3, 10).collect()] == [20, 21, 22, 23, 24]
     assert df.filter(R.conjunction([F.col("id") > 5, None, F.col("id") < 8])).count() == 2
+
+
+def test_limited_ordered_array_and_one_row(spark):
+    df = spark.createDataFrame([("g", 3, "c"), ("g", 1, "a"), ("g", 2, "b"), ("g", 1, "a"), ("h", 5, "z")],
+                               "g string, o int, v string")
+    got = {r.g: r.top for r in R.limited_ordered_array(df, ["g"], [F.col("o")], F.col("v"), 2, "top").collect()}
+    assert got == {"g": ["a", "a"], "h": ["z"]}
+    got = {r.g: r.top for r in R.limited_ordered_array(df, ["g"], [F.col("o")], F.col("v"), 2, "top",
+                                                       distinct=True).collect()}
+    assert got == {"g": ["a", "b"], "h": ["z"]}
+    stats = spark.createDataFrame([(9,)], "m int")
+    assert [r.m for r in R.with_one_row(df, stats).collect()] == [9] * 5
+    assert [r.m for r in R.with_one_row(df, stats.limit(0)).collect()] == [None] * 5
