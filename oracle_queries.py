@@ -943,3 +943,58 @@ ORACLES["array_filter_sort"] = """
 SELECT doc_id, CAST(len(p) AS INTEGER) AS n_long, array_to_string(p, ' ') AS long_words
 FROM (SELECT doc_id, list_sort(list_filter(string_split(text, ' '), lambda x: length(x) > 12)) AS p FROM documents)
 """
+
+# ---- nightly summary (P21, P24, P25, P28) ----------------------------------------
+
+def _long(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,9))) AS BIGINT)"
+
+
+_NIGHTS = f"""
+nights AS (
+  SELECT CAST(ts AS DATE) AS date,
+         {_long("AVG(value) FILTER (WHERE event_type = 'signup')")} AS sleep_score,
+         arg_min(value, ts) FILTER (WHERE event_type = 'view') AS bed,
+         arg_max(value, ts) FILTER (WHERE event_type = 'view') AS wake,
+         {rnd("AVG(value) FILTER (WHERE event_type = 'click')", 1)} AS avg_hrv,
+         {_long("MIN(value) FILTER (WHERE event_type = 'error')")} AS resting_heart_rate
+  FROM events WHERE ts >= CAST(DATE '2024-01-31' - 6 AS TIMESTAMP) GROUP BY 1)
+"""
+
+ORACLES["resting_hr_week"] = f"""
+WITH {_NIGHTS},
+d AS (SELECT date, resting_heart_rate AS value FROM nights WHERE resting_heart_rate IS NOT NULL),
+s AS (SELECT MAX(value) AS mx, {_long('AVG(value)')} AS average FROM d)
+SELECT strftime(date, '%Y-%m-%d') AS date, substr(dayname(date), 1, 1) AS day, value,
+       {rnd('CASE WHEN mx = 0 THEN NULL ELSE value * 100 / mx END', 1)} AS display_height_percent, average
+FROM (SELECT * FROM d ORDER BY date LIMIT 7), s
+"""
+
+ORACLES["sleep_scores_week"] = f"""
+WITH {_NIGHTS},
+last AS (SELECT date, sleep_score AS score FROM nights WHERE sleep_score IS NOT NULL ORDER BY date DESC LIMIT 7)
+SELECT strftime(date, '%Y-%m-%d') AS date, substr(dayname(date), 1, 1) AS day, score,
+       {_long('AVG(score) OVER ()')} AS average
+FROM last
+"""
+
+ORACLES["sleep_battery_week"] = f"""
+WITH {_NIGHTS}
+SELECT date, substr(dayname(date), 1, 1) AS day_abbr, sleep_score, bed AS battery_at_bedtime,
+       wake AS battery_at_waketime, {rnd('wake - bed', 2)} AS battery_gain, avg_hrv,
+       resting_heart_rate AS resting_hr
+FROM nights WHERE sleep_score IS NOT NULL
+"""
+
+ORACLES["stress_week"] = f"""
+WITH stress AS (
+  SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS calendarDate, {_long('AVG(value)')} AS avg_stress,
+         {_long('MAX(value)')} AS max_stress
+  FROM events WHERE event_type = 'error' AND ts >= CAST(DATE '2024-01-31' - 6 AS TIMESTAMP) GROUP BY 1),
+last AS (
+  SELECT strptime(calendarDate, '%Y-%m-%d')::DATE AS date, avg_stress, max_stress FROM stress
+  WHERE strptime(calendarDate, '%Y-%m-%d')::DATE >= DATE '2024-01-31' - 6 ORDER BY date DESC LIMIT 7)
+SELECT strftime(date, '%Y-%m-%d') AS date, substr(dayname(date), 1, 1) AS day, avg_stress, max_stress,
+       {_long('AVG(avg_stress) OVER ()')} AS average_stress
+FROM last
+"""

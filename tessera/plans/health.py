@@ -177,6 +177,100 @@ def steps_week(spark: SparkSession, d: str, as_of) -> DataFrame:
         round_to_long(F.avg("steps").over(whole)).alias("avg_steps"))
 
 
+
+# ---- nightly summary (hub sleep service re-aimed) and its home-page reads ----------
+
+NIGHT_DAYS = 6             # ``date >= as_of - 6`` → at most 7 nights
+
+
+def nights(spark: SparkSession, d: str, as_of=None, days: int | None = None) -> DataFrame:
+    """One row per day — the hub sleep service shape, from ONE aggregate over events.
+
+    sleep_score = rounded mean of 'signup' values; body_battery = the first
+    and last 'view' value of the day (by time) and their difference;
+    avg_hrv = mean 'click' value; resting_heart_rate = lowest 'error' value.
+    Conditional aggregates share one scan and one small (per-day) shuffle.
+    """
+    ev = _events(spark, d)
+    if days is not None:  # look-back on the raw timestamp: reaches the Parquet scan
+        ev = ev.filter(_since("ts", as_of, days))
+    t = F.col("event_type")
+    view = F.when(t == "view", F.struct("ts", "value"))
+    daily = ev.groupBy(F.to_date("ts").alias("date")).agg(
+        round_to_long(F.avg(F.when(t == "signup", F.col("value")))).alias("sleep_score"),
+        F.min(view)["value"].alias("_bed"), F.max(view)["value"].alias("_wake"),
+        round_half_up(F.avg(F.when(t == "click", F.col("value"))), 1).alias("avg_hrv"),
+        round_to_long(F.min(F.when(t == "error", F.col("value")))).alias("resting_heart_rate"),
+    )
+    return daily.select(
+        "date", "sleep_score",
+        F.struct(F.col("_bed").alias("at_bedtime"), F.col("_wake").alias("at_waketime"),
+                 round_half_up(F.col("_wake") - F.col("_bed"), 2).alias("recovery")).alias("body_battery"),
+        "avg_hrv", "resting_heart_rate")
+
+
+def _recent_nights(spark, d, as_of, measure: str) -> DataFrame:
+    return nights(spark, d, as_of, NIGHT_DAYS).filter(F.col(measure).isNotNull())
+
+
+def resting_hr_week(spark: SparkSession, d: str, as_of) -> DataFrame:
+    """The 7-day resting heart rate — average, and per day the value with
+    its bar height against the week's maximum (J11 scalar, C28 safe divide)."""
+    daily = _recent_nights(spark, d, as_of, "resting_heart_rate").select(
+        "date", F.col("resting_heart_rate").alias("value"))
+    whole = Window.partitionBy()  # at most NIGHT_DAYS + 1 rows
+    ranked = daily.select(
+        "date", "value", F.row_number().over(whole.orderBy("date")).alias("_n"),
+        round_to_long(F.avg("value").over(whole)).alias("average"),
+        F.max("value").over(whole).alias("_max"))
+    return ranked.filter(F.col("_n") <= 7).select(  # ARRAY_AGG(... ORDER BY date LIMIT 7)
+        F.date_format("date", "yyyy-MM-dd").alias("date"), weekday_letter("date").alias("day"), "value",
+        round_half_up(safe_divide(F.col("value") * 100, F.col("_max")), 1).alias("display_height_percent"),
+        "average")
+
+
+def _last_seven(daily: DataFrame) -> DataFrame:
+    """``ORDER BY date DESC LIMIT 7`` over a per-day frame (bounded: ≤ 7 days in)."""
+    return daily.orderBy(F.col("date").desc()).limit(7)
+
+
+def sleep_scores_week(spark: SparkSession, d: str, as_of) -> DataFrame:
+    """P25: the last 7 nightly scores (ascending) and their rounded average."""
+    last = _last_seven(_recent_nights(spark, d, as_of, "sleep_score").select("date", F.col("sleep_score").alias("score")))
+    whole = Window.partitionBy()
+    return last.select(F.date_format("date", "yyyy-MM-dd").alias("date"), weekday_letter("date").alias("day"),
+                       "score", round_to_long(F.avg("score").over(whole)).alias("average"))
+
+
+def sleep_battery_week(spark: SparkSession, d: str, as_of) -> DataFrame:
+    """Sleep score, body battery (F04 nested fields), HRV and resting HR per night."""
+    n = _recent_nights(spark, d, as_of, "sleep_score")
+    return n.select(
+        "date", weekday_letter("date").alias("day_abbr"), "sleep_score",
+        F.col("body_battery.at_bedtime").alias("battery_at_bedtime"),
+        F.col("body_battery.at_waketime").alias("battery_at_waketime"),
+        F.col("body_battery.recovery").alias("battery_gain"),
+        "avg_hrv", F.col("resting_heart_rate").alias("resting_hr"))
+
+
+def stress_week(spark: SparkSession, d: str, as_of) -> DataFrame:
+    """Daily average and maximum stress ('error' values) of the last 7 days.
+
+    The daily source carries its day as ``yyyy-MM-dd`` text (``calendarDate``)
+    and is parsed back with C23 ``to_date(text, fmt)``.
+    """
+    ev = _events(spark, d).filter((F.col("event_type") == "error") & _since("ts", as_of, NIGHT_DAYS))
+    stress = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("calendarDate")).agg(
+        round_to_long(F.avg("value")).alias("avgStressLevel"), round_to_long(F.max("value")).alias("maxStressLevel"))
+    daily = stress.select(F.to_date("calendarDate", "yyyy-MM-dd").alias("date"),
+                          F.col("avgStressLevel").alias("avg_stress"), F.col("maxStressLevel").alias("max_stress"))
+    last = _last_seven(daily.filter(F.col("date") >= F.date_sub(as_date(as_of), NIGHT_DAYS)))
+    whole = Window.partitionBy()
+    return last.select(F.date_format("date", "yyyy-MM-dd").alias("date"), weekday_letter("date").alias("day"),
+                       "avg_stress", "max_stress",
+                       round_to_long(F.avg("avg_stress").over(whole)).alias("average_stress"))
+
+
 # ---- hub transforms over nested records (H07, H08) ---------------------------------
 
 RUNNING_TYPES = ("running", "track_running", "trail_running", "treadmill_running")
@@ -313,6 +407,10 @@ def homepage_bundle(spark: SparkSession, d: str, as_of) -> DataFrame:
         "vo2max": weekly_average_trend(spark, d, as_of),
         "sleep_stages": stages_of_latest_day(spark, d),
         "steps": steps_week(spark, d, as_of),
+        "resting_hr": resting_hr_week(spark, d, as_of),
+        "sleep_scores": sleep_scores_week(spark, d, as_of),
+        "sleep_body_battery": sleep_battery_week(spark, d, as_of),
+        "stress": stress_week(spark, d, as_of),
         "top_tracks": music.top_tracks_recent(star, as_of),
         "top_artists": music.top_artists_recent(star, as_of),
     })
