@@ -190,7 +190,10 @@ def top_artists_with_tracks(star: MusicStar, k: int = 20, tracks_per_artist: int
         .agg(F.sum("total_duration_ms").alias("total_duration_ms"), F.sum("play_count").alias("play_count"))
     )
     ranked = global_top_k(stats, [F.col("total_duration_ms").desc(), F.col("artist_id"), F.col("credit_id")], k)
-    top = ranked.join(F.broadcast(credit_ids), "credit_id", "left")  # k rows joined
+    # Both broadcast sides hold at most k rows: the ranked ids, then the
+    # credit strings they select (credit_ids itself grows with the catalogue).
+    names = credit_ids.join(_bounded(ranked.select("credit_id")), "credit_id", "left_semi")
+    top = ranked.join(_bounded(names), "credit_id", "left")
     top_ids = top.select("artist_id").distinct()
     artist_tracks = fan.join(_bounded(top_ids), "artist_id", "left_semi")
     best = top_k_per_group(
