@@ -998,3 +998,100 @@ SELECT strftime(date, '%Y-%m-%d') AS date, substr(dayname(date), 1, 1) AS day, a
        {_long('AVG(avg_stress) OVER ()')} AS average_stress
 FROM last
 """
+
+# ---- album enrichment (E02, D10–D14, D16–D19) -------------------------------------
+
+_ALBUM_ENRICH = """
+brands AS (
+  SELECT p_brand AS album_id, COUNT(*) AS total_tracks, CAST(SUM(p_size) % 101 AS INTEGER) AS popularity,
+         arg_min(p_type, p_partkey) AS label,
+         list_sort(coalesce(list(DISTINCT lower(p_type)) FILTER (WHERE p_size >= 49), [])) AS genres,
+         CAST(substr(p_brand, 7) AS INTEGER) AS no
+  FROM part GROUP BY p_brand),
+album_enrichment AS (
+  SELECT album_id, album_id AS album_name, popularity, label, genres, total_tracks,
+         CASE no % 4 WHEN 0 THEN 'single' WHEN 1 THEN 'compilation' ELSE 'album' END AS album_type,
+         CASE WHEN no % 5 <> 0 THEN strftime(DATE '1990-01-01' + no * 97, '%Y-%m-%d')
+              ELSE strftime(DATE '1990-01-01' + no * 97, '%Y') END AS release_date,
+         CASE WHEN no % 5 <> 0 THEN 'day' ELSE 'year' END AS release_date_precision,
+         CAST(DATE '2024-01-31' - CAST((no * 37) % 200 AS INTEGER) AS TIMESTAMP) AS enriched_at
+  FROM brands WHERE no % 3 <> 0)
+"""
+
+ORACLES["album_backfill_worklist"] = f"""
+WITH {STAR}, {_ALBUM_ENRICH}
+SELECT t.album_id, t.album_id AS album_name, MIN(f.played_at) AS first_played_at, COUNT(*) AS play_count
+FROM fact f JOIN tracks t USING (track_id)
+WHERE t.album_id NOT IN (SELECT album_id FROM album_enrichment)
+GROUP BY t.album_id
+"""
+
+ORACLES["top_enriched_albums"] = f"""
+WITH {STAR}, {_ALBUM_ENRICH},
+plays AS (SELECT t.album_id, COUNT(*) AS play_count FROM fact f JOIN tracks t USING (track_id) GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY p.play_count DESC, e.album_id) AS INTEGER) AS rank, e.album_name,
+       e.popularity, e.release_date, e.label, e.album_type, p.play_count, array_to_string(e.genres, ', ') AS genres
+FROM plays p JOIN album_enrichment e USING (album_id)
+ORDER BY p.play_count DESC, e.album_id LIMIT 30
+"""
+
+ORACLES["albums_by_genre"] = f"""
+WITH {_ALBUM_ENRICH}
+SELECT CAST(row_number() OVER (ORDER BY popularity DESC, album_id) AS INTEGER) AS rank, album_name, popularity,
+       release_date, label, array_to_string(genres, ', ') AS genre_list
+FROM album_enrichment WHERE list_contains(genres, 'promo')
+ORDER BY popularity DESC, album_id LIMIT 20
+"""
+
+ORACLES["albums_by_label"] = f"""
+WITH {_ALBUM_ENRICH},
+stats AS (
+  SELECT label, COUNT(DISTINCT album_id) AS album_count, {rnd('AVG(popularity)', 1)} AS avg_popularity,
+         array_to_string(list(album_name ORDER BY popularity DESC, album_name)[1:3], ', ') AS top_albums
+  FROM album_enrichment WHERE label IS NOT NULL GROUP BY label)
+SELECT CAST(row_number() OVER (ORDER BY album_count DESC, label) AS INTEGER) AS rank, label, album_count,
+       avg_popularity, top_albums
+FROM stats ORDER BY album_count DESC, label LIMIT 20
+"""
+
+ORACLES["release_timeline"] = f"""
+WITH {_ALBUM_ENRICH}
+SELECT CAST(year(strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_year, album_type,
+       COUNT(*) AS album_count, {rnd('AVG(popularity)', 1)} AS avg_popularity
+FROM album_enrichment WHERE release_date_precision = 'day' GROUP BY 1, 2
+"""
+
+ORACLES["stale_albums"] = f"""
+WITH {_ALBUM_ENRICH}
+SELECT album_id, album_name, enriched_at,
+       CAST(date_diff('day', CAST(enriched_at AS DATE), DATE '2024-01-31') AS INTEGER) AS days_since_enrichment,
+       popularity, release_date
+FROM album_enrichment WHERE enriched_at < TIMESTAMP '2024-01-31' - INTERVAL 90 DAY
+ORDER BY popularity DESC, album_id LIMIT 100
+"""
+
+ORACLES["album_tiers_by_type"] = f"""
+WITH {_ALBUM_ENRICH},
+t AS (
+  SELECT *, CASE WHEN popularity >= 80 THEN '80-100 (Very Popular)' WHEN popularity >= 60 THEN '60-79 (Popular)'
+                 WHEN popularity >= 40 THEN '40-59 (Moderate)' WHEN popularity >= 20 THEN '20-39 (Niche)'
+                 ELSE '0-19 (Emerging)' END AS popularity_tier
+  FROM album_enrichment)
+SELECT album_type, popularity_tier, COUNT(*) AS album_count,
+       array_to_string(list(album_name ORDER BY popularity DESC, album_name)[1:3], ', ') AS sample_albums,
+       MIN(popularity) AS min_popularity
+FROM t GROUP BY album_type, popularity_tier
+"""
+
+ORACLES["albums_without_genres"] = f"""
+WITH {_ALBUM_ENRICH}
+SELECT album_name, album_id, album_type, popularity, release_date, label, enriched_at
+FROM album_enrichment WHERE len(genres) = 0
+"""
+
+ORACLES["singles_vs_albums"] = f"""
+WITH {_ALBUM_ENRICH}
+SELECT album_type, COUNT(*) AS count, {rnd('AVG(popularity)', 1)} AS avg_popularity,
+       {rnd('AVG(total_tracks)', 1)} AS avg_tracks, COUNT(DISTINCT label) AS unique_labels
+FROM album_enrichment GROUP BY album_type
+"""
