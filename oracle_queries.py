@@ -1095,3 +1095,67 @@ SELECT album_type, COUNT(*) AS count, {rnd('AVG(popularity)', 1)} AS avg_popular
        {rnd('AVG(total_tracks)', 1)} AS avg_tracks, COUNT(DISTINCT label) AS unique_labels
 FROM album_enrichment GROUP BY album_type
 """
+
+# ---- saved library: saved tracks (D36–D42) ---------------------------------------
+
+_SAVED_TRACKS = f"""
+{STAR}, {_ALBUM_ENRICH},
+saved AS (
+  SELECT l.l_orderkey * 100 + l.l_linenumber AS save_id, l.l_shipdate + to_hours(l.l_linenumber) AS added_at,
+         l.l_partkey AS track_id, l.l_returnflag = 'R' AS explicit,
+         p.p_name AS track_name, p.p_brand AS album_id, CAST(p.p_size AS BIGINT) * 6000 AS duration_ms,
+         CAST((p.p_size * 3 + p.p_partkey) % 101 AS INTEGER) AS popularity,
+         pa.artist_id AS primary_artist_id, pa.artist_name AS primary_artist,
+         al.album_name, al.total_tracks AS album_total_tracks, e.release_date AS album_release_date, e.album_type
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
+  LEFT JOIN (SELECT pb.track_id, pb.artist_id, a.artist_name FROM primary_bridge pb JOIN artists a USING (artist_id)) pa
+    ON pa.track_id = l.l_partkey
+  LEFT JOIN albums al ON al.album_id = p.p_brand
+  LEFT JOIN album_enrichment e ON e.album_id = p.p_brand)
+"""
+
+ORACLES["recently_saved_tracks"] = f"""
+WITH {_SAVED_TRACKS}
+SELECT CAST(row_number() OVER (ORDER BY added_at DESC, save_id DESC) AS INTEGER) AS rank, added_at, track_name,
+       primary_artist, album_name, album_release_date, popularity,
+       {rnd('duration_ms / 1000.0 / 60', 2)} AS duration_minutes
+FROM saved ORDER BY added_at DESC, save_id DESC LIMIT 50
+"""
+
+ORACLES["top_saved_artists"] = f"""
+WITH {_SAVED_TRACKS},
+g AS (
+  SELECT a.artist_name, COUNT(*) AS tracks_saved, SUM(s.popularity) AS pop, SUM(s.duration_ms) AS ms
+  FROM saved s JOIN bridge b ON b.track_id = s.track_id JOIN artists a ON a.artist_id = b.artist_id
+  WHERE s.added_at >= TIMESTAMP '2000-01-01' GROUP BY a.artist_name)
+SELECT CAST(row_number() OVER (ORDER BY tracks_saved DESC, artist_name) AS INTEGER) AS rank, artist_name,
+       tracks_saved, {rnd('pop / tracks_saved', 2)} AS avg_popularity, {rnd('ms / 1000 / 60', 2)} AS total_minutes
+FROM g ORDER BY tracks_saved DESC, artist_name LIMIT 20
+"""
+
+ORACLES["saved_tracks_by_month"] = f"""
+WITH {_SAVED_TRACKS}
+SELECT CAST(date_trunc('month', added_at) AS DATE) AS month, COUNT(*) AS tracks_saved,
+       COUNT(DISTINCT primary_artist_id) AS unique_artists, COUNT(*) FILTER (WHERE explicit) AS explicit_tracks,
+       {rnd('AVG(popularity)', 1)} AS avg_popularity
+FROM saved GROUP BY 1
+"""
+
+ORACLES["albums_by_share_saved"] = f"""
+WITH {_SAVED_TRACKS},
+g AS (
+  SELECT album_name, primary_artist, album_total_tracks, COUNT(*) AS tracks_saved,
+         MIN(added_at) AS first_track_saved, MAX(added_at) AS last_track_saved
+  FROM saved GROUP BY album_name, primary_artist, album_total_tracks HAVING COUNT(*) >= 3)
+SELECT CAST(row_number() OVER (ORDER BY tracks_saved DESC, album_name, primary_artist NULLS FIRST) AS INTEGER) AS rank,
+       album_name, primary_artist, tracks_saved, album_total_tracks,
+       {rnd('tracks_saved * 100.0 / album_total_tracks', 1)} AS pct_album_saved, first_track_saved, last_track_saved
+FROM g ORDER BY tracks_saved DESC, album_name, primary_artist NULLS FIRST LIMIT 20
+"""
+
+ORACLES["saved_by_album_type"] = f"""
+WITH {_SAVED_TRACKS}
+SELECT album_type, COUNT(*) AS track_count, COUNT(DISTINCT album_id) AS unique_albums,
+       {rnd('AVG(popularity)', 1)} AS avg_popularity, {rnd('AVG(duration_ms) / 1000 / 60', 1)} AS avg_track_minutes
+FROM saved GROUP BY album_type
+"""
