@@ -1102,7 +1102,7 @@ _SAVED_TRACKS = f"""
 {STAR}, {_ALBUM_ENRICH},
 saved AS (
   SELECT l.l_orderkey * 100 + l.l_linenumber AS save_id, l.l_shipdate + to_hours(l.l_linenumber) AS added_at,
-         l.l_partkey AS track_id, l.l_returnflag = 'R' AS explicit,
+         l.l_partkey AS track_id, l.l_suppkey AS supplier_id, l.l_returnflag = 'R' AS explicit,
          p.p_name AS track_name, p.p_brand AS album_id, CAST(p.p_size AS BIGINT) * 6000 AS duration_ms,
          CAST((p.p_size * 3 + p.p_partkey) % 101 AS INTEGER) AS popularity,
          pa.artist_id AS primary_artist_id, pa.artist_name AS primary_artist,
@@ -1116,10 +1116,10 @@ saved AS (
 
 ORACLES["recently_saved_tracks"] = f"""
 WITH {_SAVED_TRACKS}
-SELECT CAST(row_number() OVER (ORDER BY added_at DESC, save_id DESC) AS INTEGER) AS rank, added_at, track_name,
-       primary_artist, album_name, album_release_date, popularity,
+SELECT CAST(row_number() OVER (ORDER BY added_at DESC, save_id DESC, track_id DESC, supplier_id DESC) AS INTEGER)
+         AS rank, added_at, track_name, primary_artist, album_name, album_release_date, popularity,
        {rnd('duration_ms / 1000.0 / 60', 2)} AS duration_minutes
-FROM saved ORDER BY added_at DESC, save_id DESC LIMIT 50
+FROM saved ORDER BY added_at DESC, save_id DESC, track_id DESC, supplier_id DESC LIMIT 50
 """
 
 ORACLES["top_saved_artists"] = f"""
@@ -1159,3 +1159,98 @@ SELECT album_type, COUNT(*) AS track_count, COUNT(DISTINCT album_id) AS unique_a
        {rnd('AVG(popularity)', 1)} AS avg_popularity, {rnd('AVG(duration_ms) / 1000 / 60', 1)} AS avg_track_minutes
 FROM saved GROUP BY album_type
 """
+
+# ---- saved library: saved albums with nested tracks (D26–D35) ---------------------
+
+_SAVED_ALBUMS = f"""
+{STAR},
+credits AS (
+  SELECT b.track_id, list(struct_pack(artist_id := b.artist_id, artist_name := a.artist_name)
+                           ORDER BY b.artist_position) AS artists
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
+lines AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS track_id, l.l_suppkey, p.p_name AS track_name,
+         CAST(p.p_size AS BIGINT) * 6000 AS duration_ms, c.artists, s.s_name
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN credits c ON c.track_id = l.l_partkey
+  LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey),
+nested AS (
+  SELECT l_orderkey,
+         list(struct_pack(track_number := l_linenumber, track_id := track_id, track_name := track_name,
+                          duration_ms := duration_ms, artists := artists)
+              ORDER BY l_linenumber, l_suppkey, track_id) AS tracks,
+         list(struct_pack(artist_id := l_suppkey, artist_name := s_name)
+              ORDER BY l_linenumber, l_suppkey, track_id) AS line_artists
+  FROM lines GROUP BY l_orderkey),
+sa AS (
+  SELECT o.o_orderkey AS album_id, 'Album #' || CAST(o.o_orderkey AS VARCHAR) AS album_name,
+         o.o_orderdate AS added_at, CAST(o.o_orderdate AS DATE) - CAST(o.o_custkey % 3650 AS INTEGER) AS release_date,
+         o.o_orderpriority AS label, CAST(o.o_custkey % 101 AS INTEGER) AS popularity,
+         CAST(len(n.tracks) AS INTEGER) AS total_tracks,
+         CASE WHEN len(n.tracks) = 1 THEN 'single' WHEN o.o_orderstatus = 'F' THEN 'album' ELSE 'compilation' END
+           AS album_type,
+         n.line_artists[1] AS primary_artist_rec, list_distinct(n.line_artists) AS album_artists, n.tracks,
+         o.o_orderdate AS o_orderdate
+  FROM orders o JOIN nested n ON n.l_orderkey = o.o_orderkey)
+"""
+
+ORACLES["recently_saved_albums"] = f"""
+WITH {_SAVED_ALBUMS}
+SELECT added_at, album_id, album_name, primary_artist_rec.artist_name AS primary_artist, release_date, total_tracks,
+       popularity, label
+FROM sa WHERE album_id IN (SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50)
+"""
+
+ORACLES["saved_albums_by_artist"] = f"""
+WITH {_SAVED_ALBUMS},
+x AS (SELECT unnest(album_artists).artist_name AS artist_name, popularity, release_date FROM sa
+      WHERE added_at >= TIMESTAMP '2000-01-01'),
+g AS (SELECT artist_name, COUNT(*) AS album_count, {rnd('AVG(popularity)', 2)} AS avg_popularity,
+             MIN(release_date) AS earliest_album, MAX(release_date) AS latest_album FROM x GROUP BY artist_name)
+SELECT *, CAST(row_number() OVER (ORDER BY album_count DESC, artist_name) AS INTEGER) AS rank
+FROM g ORDER BY album_count DESC, artist_name LIMIT 20
+"""
+
+ORACLES["albums_saved_by_month"] = f"""
+WITH {_SAVED_ALBUMS}
+SELECT CAST(date_trunc('month', added_at) AS DATE) AS month, COUNT(*) AS albums_saved,
+       COUNT(DISTINCT primary_artist_rec.artist_id) AS unique_artists
+FROM sa GROUP BY 1
+"""
+
+ORACLES["album_type_distribution"] = f"""
+WITH {_SAVED_ALBUMS}
+SELECT album_type, COUNT(*) AS count, {rnd('AVG(total_tracks)', 1)} AS avg_tracks,
+       {rnd('AVG(popularity)', 1)} AS avg_popularity
+FROM sa GROUP BY album_type
+"""
+
+ORACLES["longest_albums"] = f"""
+WITH {_SAVED_ALBUMS}
+SELECT CAST(row_number() OVER (ORDER BY total_tracks DESC, album_id) AS INTEGER) AS rank, album_name,
+       primary_artist_rec.artist_name AS primary_artist, total_tracks, release_date, album_type
+FROM sa ORDER BY total_tracks DESC, album_id LIMIT 20
+"""
+
+ORACLES["track_vs_album_artists"] = f"""
+WITH {_SAVED_ALBUMS},
+t AS (SELECT album_name, primary_artist_rec.artist_name AS album_artist, unnest(tracks) AS track FROM sa),
+ta AS (SELECT album_name, album_artist, track.track_name AS track_name, unnest(track.artists).artist_name AS name
+       FROM t WHERE len(track.artists) > 1)
+SELECT album_name, album_artist, track_name, array_to_string(list(name ORDER BY name), ', ') AS track_artists
+FROM ta GROUP BY album_name, album_artist, track_name
+"""
+
+ORACLES["copyright_types"] = f"""
+WITH {_SAVED_ALBUMS},
+c AS (
+  SELECT album_id, 'C' AS type, '(C) ' || CAST(year(release_date) AS VARCHAR) || ' ' || label AS text FROM sa
+  UNION ALL
+  SELECT album_id, 'P', '(P) ' || CAST(year(o_orderdate) AS VARCHAR) || ' ' || label FROM sa),
+y AS (SELECT album_id, type, nullif(regexp_extract(text, '\\d{{4}}', 0), '') AS year FROM c),
+s AS (SELECT type, COUNT(DISTINCT album_id) AS album_count FROM y GROUP BY type),
+yy AS (SELECT type, array_to_string(list(year ORDER BY year)[1:5], ', ') AS sample_years
+       FROM (SELECT DISTINCT type, year FROM y WHERE year IS NOT NULL) GROUP BY type)
+SELECT s.type, CASE s.type WHEN 'C' THEN 'Copyright' WHEN 'P' THEN 'Phonographic' ELSE 'Unknown' END
+         AS copyright_type_name, s.album_count, yy.sample_years
+FROM s LEFT JOIN yy USING (type)
+"""

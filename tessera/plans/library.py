@@ -36,6 +36,7 @@ def _saves(spark: SparkSession, d: str) -> DataFrame:
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("save_id"),
         (F.col("l_shipdate") + F.make_interval(hours=F.col("l_linenumber"))).alias("added_at"),
         F.col("l_partkey").alias("track_id"),
+        F.col("l_suppkey").alias("supplier_id"),
         (F.col("l_returnflag") == "R").alias("explicit"),
     )
 
@@ -66,7 +67,9 @@ def saved_tracks(spark: SparkSession, d: str, star: MusicStar | None = None) ->
 def recently_saved_tracks(spark: SparkSession, d: str, k: int = 50) -> DataFrame:
     """The last ``k`` saved tracks."""
     # rank the bare saves first (a per-task top-k), then join attributes to k rows
-    top = global_top_k(_saves(spark, d), [F.col("added_at").desc(), F.col("save_id").desc()], k)
+    # (order, line) repeats in the data: the track and supplier complete the order
+    order = [F.col("added_at").desc(), F.col("save_id").desc(), F.col("track_id").desc(), F.col("supplier_id").desc()]
+    top = global_top_k(_saves(spark, d), order, k)
     top = _with_attributes(spark, d, top, star_from_tables(spark, d))
     return top.select("rank", "added_at", "track_name", "primary_artist", "album_name", "album_release_date",
                       "popularity", round_half_up(F.col("duration_ms") / 1000.0 / 60, 2).alias("duration_minutes"))
@@ -119,3 +122,136 @@ def saved_by_album_type(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("track_count"), F.countDistinct("album_id").alias("unique_albums"),
         round_half_up(F.avg("popularity"), 1).alias("avg_popularity"),
         round_half_up(F.avg("duration_ms") / 1000 / 60, 1).alias("avg_track_minutes"))
+
+
+# ---- saved albums with nested tracks (D26–D35) ---------------------------------------
+
+def _track_credits(star: MusicStar) -> DataFrame:
+    """Per track, its credited artists in position order (bounded by one track's credits)."""
+    return star.bridge.join(star.artists, "artist_id").groupBy("track_id").agg(
+        ordered_array(F.struct("artist_id", "artist_name"), F.col("artist_position")).alias("artists"))
+
+
+def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
+    """One row per saved album: order attributes, nested ``tracks`` (each with
+    its ``artists``), ``album_artists`` (distinct line suppliers, in line
+    order) and two ``copyrights`` entries.
+
+    The lines are grouped by order key and joined to ``orders`` on that same
+    key, so the aggregate's hash partitioning is reused by the join.
+    """
+    t = Tables(spark, d)
+    star = star_from_tables(spark, d)
+    selected = orders is not None  # a bounded selection (top-k) of orders
+    orders = orders if selected else t.orders
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("track_id"), "l_suppkey")
+    if selected:  # prune the lines to the k orders before nesting them
+        lines = lines.join(F.broadcast(orders.select(F.col("o_orderkey").alias("l_orderkey"))), "l_orderkey",
+                           "left_semi")
+    part = t.part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
+                         (F.col("p_size").cast("bigint") * 6000).alias("duration_ms"))
+    lines = (lines.join(part, "track_id", "left").join(_track_credits(star), "track_id", "left")
+             .join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    # a line number can repeat inside an order: supplier and part make the order total
+    line_order = [F.col("l_linenumber"), F.col("l_suppkey"), F.col("track_id")]
+    nested = lines.groupBy("l_orderkey").agg(
+        ordered_array(F.struct(F.col("l_linenumber").alias("track_number"), "track_id", "track_name", "duration_ms",
+                               "artists"), *line_order).alias("tracks"),
+        ordered_array(F.struct(F.col("l_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name")),
+                      *line_order).alias("_line_artists"))
+    albums = orders.join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
+    release = F.date_sub(F.to_date("o_orderdate"), F.pmod(F.col("o_custkey"), F.lit(3650)).cast("int"))
+    label = F.col("o_orderpriority")
+    return albums.select(
+        F.col("o_orderkey").alias("album_id"), F.concat(F.lit("Album #"), F.col("o_orderkey").cast("string"))
+        .alias("album_name"), F.col("o_orderdate").alias("added_at"), release.alias("release_date"),
+        label.alias("label"), F.pmod(F.col("o_custkey"), F.lit(101)).cast("int").alias("popularity"),
+        F.size("tracks").alias("total_tracks"),
+        F.when(F.size("tracks") == 1, "single").when(F.col("o_orderstatus") == "F", "album").otherwise("compilation")
+        .alias("album_type"),
+        F.array_distinct("_line_artists").alias("album_artists"), "tracks",
+        F.array(
+            F.struct(F.lit("C").alias("type"),
+                     F.concat(F.lit("(C) "), F.year(release).cast("string"), F.lit(" "), label).alias("text")),
+            F.struct(F.lit("P").alias("type"),
+                     F.concat(F.lit("(P) "), F.year("o_orderdate").cast("string"), F.lit(" "), label).alias("text")),
+        ).alias("copyrights"),
+    )
+
+
+def _primary(arr: str) -> F.Column:
+    return first_elem(arr)["artist_name"]
+
+
+def recently_saved_albums(spark: SparkSession, d: str, k: int = 50) -> DataFrame:
+    """The last ``k`` saved albums (ranked on ``orders`` before nesting)."""
+    top = global_top_k(Tables(spark, d).orders, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], k,
+                       rank_col=None)
+    a = saved_albums(spark, d, top)
+    return a.select("added_at", "album_id", "album_name", _primary("album_artists").alias("primary_artist"),
+                    "release_date", "total_tracks", "popularity", "label")
+
+
+def saved_albums_by_artist(spark: SparkSession, d: str, since: str = SAVED_SINCE, k: int = 20) -> DataFrame:
+    """Album artists (unnested) of albums saved since ``since``, top ``k`` by albums."""
+    a = saved_albums(spark, d).filter(F.col("added_at") >= F.lit(since).cast("timestamp_ntz"))
+    per = a.select(F.explode("album_artists").alias("artist"), "popularity", "release_date").groupBy(
+        F.col("artist.artist_name").alias("artist_name")).agg(
+        F.count(F.lit(1)).alias("album_count"), round_half_up(F.avg("popularity"), 2).alias("avg_popularity"),
+        F.min("release_date").alias("earliest_album"), F.max("release_date").alias("latest_album"))
+    return global_top_k(per, [F.col("album_count").desc(), F.col("artist_name")], k)
+
+
+def albums_saved_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """Albums saved per month with distinct primary album artists."""
+    a = saved_albums(spark, d)
+    return a.groupBy(F.to_date(F.date_trunc("month", "added_at")).alias("month")).agg(
+        F.count(F.lit(1)).alias("albums_saved"),
+        F.countDistinct(first_elem("album_artists")["artist_id"]).alias("unique_artists"))
+
+
+def album_type_distribution(spark: SparkSession, d: str) -> DataFrame:
+    """Saved albums per type — average tracks and popularity."""
+    a = saved_albums(spark, d)
+    return a.groupBy("album_type").agg(
+        F.count(F.lit(1)).alias("count"), round_half_up(F.avg("total_tracks"), 1).alias("avg_tracks"),
+        round_half_up(F.avg("popularity"), 1).alias("avg_popularity"))
+
+
+def longest_albums(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
+    """The saved albums with the most tracks."""
+    top = global_top_k(saved_albums(spark, d), [F.col("total_tracks").desc(), F.col("album_id")], k)
+    return top.select("rank", "album_name", _primary("album_artists").alias("primary_artist"), "total_tracks",
+                      "release_date", "album_type")
+
+
+def track_vs_album_artists(spark: SparkSession, d: str) -> DataFrame:
+    """Collaborations inside saved albums — per (album, album artist,
+    track name), the names of every credited artist of those tracks.
+
+    The double unnest ``UNNEST(tracks) × UNNEST(track.artists)`` followed by
+    a regroup is written as one explode of ``tracks`` and a ``flatten`` of
+    the collected artist lists: the same multiset of names, without the
+    artist-level rows.
+    """
+    a = saved_albums(spark, d)
+    tr = a.select("album_name", _primary("album_artists").alias("album_artist"), F.explode("tracks").alias("track"))
+    tr = tr.filter(F.size("track.artists") > 1)
+    return tr.groupBy("album_name", "album_artist", F.col("track.track_name").alias("track_name")).agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list(F.col("track.artists.artist_name")))), ", ")
+        .alias("track_artists"))
+
+
+def copyright_types(spark: SparkSession, d: str, samples: int = 5) -> DataFrame:
+    """Copyright entries by type — albums and up to five sample years
+    (the smallest distinct years, so the sample is deterministic)."""
+    a = saved_albums(spark, d)
+    c = a.select("album_id", F.explode("copyrights").alias("c")).select(
+        "album_id", F.col("c.type").alias("type"), regexp_extract_or_null(F.col("c.text"), r"\d{4}").alias("year"))
+    stats = c.groupBy("type").agg(F.countDistinct("album_id").alias("album_count"))
+    years = limited_ordered_array(c.filter(F.col("year").isNotNull()), ["type"], [F.col("year")], F.col("year"),
+                                  samples, "sample_years", distinct=True)
+    name = F.when(F.col("type") == "C", "Copyright").when(F.col("type") == "P", "Phonographic").otherwise("Unknown")
+    return stats.join(years, "type", "left").select(
+        "type", name.alias("copyright_type_name"), "album_count",
+        F.array_join("sample_years", ", ").alias("sample_years"))
