@@ -1254,3 +1254,41 @@ SELECT s.type, CASE s.type WHEN 'C' THEN 'Copyright' WHEN 'P' THEN 'Phonographic
          AS copyright_type_name, s.album_count, yy.sample_years
 FROM s LEFT JOIN yy USING (type)
 """
+
+# ---- recent plays (D20, D21, D23) -------------------------------------------------
+
+_CREDIT_NAMES = """
+credit_names AS (
+  SELECT b.track_id, array_to_string(list(a.artist_name ORDER BY a.artist_name), ', ') AS artists
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id)
+"""
+
+ORACLES["recent_plays_with_artists"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_CREDIT_NAMES}
+SELECT f.played_at, t.track_name, t.album_id AS album_name, c.artists, t.duration_ms / 1000 AS duration_seconds,
+       CAST((p.p_size * 3 + p.p_partkey) % 101 AS INTEGER) AS track_popularity
+FROM efact f LEFT JOIN tracks t USING (track_id) LEFT JOIN part p ON p.p_partkey = f.track_id
+LEFT JOIN credit_names c USING (track_id)
+WHERE f.played_at >= TIMESTAMP '2024-01-24'
+"""
+
+ORACLES["most_played_recent"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_CREDIT_NAMES},
+per AS (SELECT track_id, COUNT(*) AS play_count, MAX(played_at) AS last_played FROM efact
+        WHERE played_at >= TIMESTAMP '2024-01-01' GROUP BY track_id),
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY play_count DESC, track_id) AS INTEGER) AS rank FROM per
+        ORDER BY play_count DESC, track_id LIMIT 20)
+SELECT top.rank, top.track_id, t.track_name, t.album_id AS album_name, c.artists, top.play_count, top.last_played
+FROM top LEFT JOIN tracks t USING (track_id) LEFT JOIN credit_names c USING (track_id)
+"""
+
+ORACLES["favourite_artists_recent"] = f"""
+WITH {STAR}, {EVENTS_FACT},
+g AS (SELECT b.artist_id, COUNT(*) AS play_count, COUNT(DISTINCT f.track_id) AS unique_tracks_played,
+             MAX(f.played_at) AS last_played
+      FROM efact f JOIN bridge b USING (track_id) WHERE f.played_at >= TIMESTAMP '2023-11-02' GROUP BY b.artist_id),
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY play_count DESC, artist_id) AS INTEGER) AS rank FROM g
+        ORDER BY play_count DESC, artist_id LIMIT 20)
+SELECT top.rank, top.artist_id, a.artist_name, top.play_count, top.unique_tracks_played, top.last_played
+FROM top LEFT JOIN artists a USING (artist_id)
+"""

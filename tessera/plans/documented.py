@@ -140,3 +140,63 @@ def long_words(spark: SparkSession, d: str, min_len: int = 12) -> DataFrame:
     docs = Tables(spark, d).documents
     picked = F.array_sort(F.filter(F.split("text", " "), lambda w: F.length(w) > min_len))
     return docs.select("doc_id", F.size(picked).alias("n_long"), F.array_join(picked, " ").alias("long_words"))
+
+
+# ---- recent plays (D20, D21, D23) over the sub-day play log --------------------------
+
+RECENT_AS_OF = "2024-01-31"
+
+
+def _recent(star, days: int):
+    bound = F.date_sub(F.lit(RECENT_AS_OF).cast("date"), days).cast("timestamp_ntz")
+    return star.fact.filter(F.col("played_at") >= bound)
+
+
+def _credit_names(star) -> DataFrame:
+    """Per track, its credited artist names sorted by name, as text (bounded by one track's credits)."""
+    return star.bridge.join(star.artists, "artist_id").groupBy("track_id").agg(
+        F.array_join(F.array_sort(F.collect_list("artist_name")), ", ").alias("artists"))
+
+
+def recent_plays_with_artists(spark: SparkSession, d: str, days: int = 7) -> DataFrame:
+    """Every play of the last ``days`` days with its artists (by name), newest first."""
+    from tessera.plans.library import track_popularity
+
+    star = star_from_events(spark, d)
+    part = Tables(spark, d).part.select(F.col("p_partkey").alias("track_id"),
+                                        track_popularity(F.col("p_partkey"), F.col("p_size")).alias("track_popularity"))
+    plays = _recent(star, days).join(star.tracks, "track_id", "left").join(part, "track_id", "left").join(
+        _credit_names(star), "track_id", "left")
+    return plays.select(
+        "played_at", "track_name", F.col("album_id").alias("album_name"), "artists",
+        (F.col("duration_ms") / 1000).alias("duration_seconds"), "track_popularity",
+    ).orderBy(F.col("played_at").desc())
+
+
+def most_played_recent(spark: SparkSession, d: str, days: int = 30, k: int = 20) -> DataFrame:
+    """Most played tracks of the last ``days`` days with their artists and last play.
+
+    Plays are counted per track first; names are attached to the k ranked rows only.
+    """
+    star = star_from_events(spark, d)
+    per = _recent(star, days).groupBy("track_id").agg(
+        F.count(F.lit(1)).alias("play_count"), F.max("played_at").alias("last_played"))
+    top = global_top_k(per, [F.col("play_count").desc(), F.col("track_id")], k)
+    return top.join(star.tracks, "track_id", "left").join(_credit_names(star), "track_id", "left").select(
+        "rank", "track_id", "track_name", F.col("album_id").alias("album_name"), "artists", "play_count",
+        "last_played")
+
+
+def favourite_artists_recent(spark: SparkSession, d: str, days: int = 90, k: int = 20) -> DataFrame:
+    """Artists by plays over the last ``days`` days (a play counts for
+    every credited artist), distinct tracks and last play.  Per-track totals
+    go through the bridge, so the fan-out multiplies tracks, not plays."""
+    star = star_from_events(spark, d)
+    per_track = _recent(star, days).groupBy("track_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("played_at").alias("last"))
+    per_artist = per_track.join(star.bridge.select("track_id", "artist_id"), "track_id").groupBy("artist_id").agg(
+        F.sum("n").alias("play_count"), F.count(F.lit(1)).alias("unique_tracks_played"),
+        F.max("last").alias("last_played"))
+    top = global_top_k(per_artist, [F.col("play_count").desc(), F.col("artist_id")], k)
+    return top.join(star.artists, "artist_id", "left").select(
+        "rank", "artist_id", "artist_name", "play_count", "unique_tracks_played", "last_played")

@@ -27,7 +27,7 @@ SAVED_SINCE = "2000-01-01"     # the documented ``addedAt >= …`` filters, as a
 MIN_SAVED_PER_ALBUM = 3        # D40 HAVING
 
 
-def _popularity(track_id: F.Column, size: F.Column) -> F.Column:
+def track_popularity(track_id: F.Column, size: F.Column) -> F.Column:
     return F.pmod(size * 3 + track_id, F.lit(101)).cast("int")
 
 
@@ -46,7 +46,7 @@ def _with_attributes(spark: SparkSession, d: str, saves: DataFrame, star: MusicS
     tracks = Tables(spark, d).part.select(
         F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
         F.col("p_brand").alias("album_id"), (F.col("p_size").cast("bigint") * 6000).alias("duration_ms"),
-        _popularity(F.col("p_partkey"), F.col("p_size")).alias("popularity"))
+        track_popularity(F.col("p_partkey"), F.col("p_size")).alias("popularity"))
     primary = star.primary_bridge().join(star.artists, "artist_id").select(
         "track_id", F.col("artist_id").alias("primary_artist_id"), F.col("artist_name").alias("primary_artist"))
     albums = star.albums.select("album_id", "album_name", F.col("total_tracks").alias("album_total_tracks")).join(
