@@ -928,8 +928,10 @@ FROM enrichment WHERE popularity >= 50
 
 ORACLES["enrichment_runs_by_day"] = f"""
 WITH {_ENRICH}
-SELECT enriched_at AS run_date, COUNT(*) AS artists, round(AVG(popularity), 2) AS avg_popularity
-FROM enrichment GROUP BY enriched_at
+SELECT enriched_at AS run_date, COUNT(*) AS artists,
+       COUNT(DISTINCT CASE WHEN genre IS NOT NULL THEN artist_id END) AS artists_with_genres,
+       {rnd('AVG(popularity)', 1)} AS avg_popularity, {rnd('AVG(followers)', 0)} AS avg_followers
+FROM enrichment WHERE enriched_at >= DATE '2024-01-31' - 7 GROUP BY enriched_at
 """
 
 ORACLES["lateral_aggregate"] = """

@@ -118,11 +118,18 @@ def popularity_follower_ratio(spark: SparkSession, d: str, min_popularity: int =
     return e.select("artist_id", "popularity", "followers", ratio.alias("pop_per_k_followers"))
 
 
-def enrichment_runs_by_day(spark: SparkSession, d: str) -> DataFrame:
-    """Enrichment runs per day with the artists they touched."""
-    e = enrichment(spark, d)
+RUN_DAYS = 7
+
+
+def enrichment_runs_by_day(spark: SparkSession, d: str, days: int = RUN_DAYS) -> DataFrame:
+    """Enrichment runs of the last ``days`` days — artists
+    touched, those with a genre (``COUNT(DISTINCT CASE …)``), averages."""
+    e = enrichment(spark, d).filter(F.col("enriched_at") >= F.date_sub(as_date(ENRICH_AS_OF), days))
     return e.groupBy(F.col("enriched_at").alias("run_date")).agg(
-        F.count(F.lit(1)).alias("artists"), F.round(F.avg("popularity"), 2).alias("avg_popularity"))
+        F.count(F.lit(1)).alias("artists"),
+        F.countDistinct(F.when(F.col("genre").isNotNull(), F.col("artist_id"))).alias("artists_with_genres"),
+        round_half_up(F.avg("popularity"), 1).alias("avg_popularity"),
+        round_half_up(F.avg("followers"), 0).alias("avg_followers"))
 
 
 def albums_lacking_enrichment(fact: DataFrame, tracks: DataFrame, album_enrichment: DataFrame,
