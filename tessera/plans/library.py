@@ -132,13 +132,16 @@ def _track_credits(star: MusicStar) -> DataFrame:
         ordered_array(F.struct("artist_id", "artist_name"), F.col("artist_position")).alias("artists"))
 
 
-def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
+def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None, track_details: bool = True) -> DataFrame:
     """One row per saved album: order attributes, nested ``tracks`` (each with
     its ``artists``), ``album_artists`` (distinct line suppliers, in line
     order) and two ``copyrights`` entries.
 
     The lines are grouped by order key and joined to ``orders`` on that same
-    key, so the aggregate's hash partitioning is reused by the join.
+    key, so the aggregate's hash partitioning is reused by the join.  With
+    ``track_details=False`` each track keeps only its number and id: queries
+    that read the album level (counts, album artists, copyrights) skip the
+    part and credit joins entirely.
     """
     t = Tables(spark, d)
     star = star_from_tables(spark, d)
@@ -148,15 +151,17 @@ def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None) -
     if selected:  # prune the lines to the k orders before nesting them
         lines = lines.join(F.broadcast(orders.select(F.col("o_orderkey").alias("l_orderkey"))), "l_orderkey",
                            "left_semi")
-    part = t.part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
-                         (F.col("p_size").cast("bigint") * 6000).alias("duration_ms"))
-    lines = (lines.join(part, "track_id", "left").join(_track_credits(star), "track_id", "left")
-             .join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    track_fields = [F.col("l_linenumber").alias("track_number"), "track_id"]
+    if track_details:
+        part = t.part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
+                             (F.col("p_size").cast("bigint") * 6000).alias("duration_ms"))
+        lines = lines.join(part, "track_id", "left").join(_track_credits(star), "track_id", "left")
+        track_fields += ["track_name", "duration_ms", "artists"]
+    lines = lines.join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     # a line number can repeat inside an order: supplier and part make the order total
     line_order = [F.col("l_linenumber"), F.col("l_suppkey"), F.col("track_id")]
     nested = lines.groupBy("l_orderkey").agg(
-        ordered_array(F.struct(F.col("l_linenumber").alias("track_number"), "track_id", "track_name", "duration_ms",
-                               "artists"), *line_order).alias("tracks"),
+        ordered_array(F.struct(*track_fields), *line_order).alias("tracks"),
         ordered_array(F.struct(F.col("l_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name")),
                       *line_order).alias("_line_artists"))
     albums = orders.join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -187,14 +192,14 @@ def recently_saved_albums(spark: SparkSession, d: str, k: int = 50) -> DataFrame
     """The last ``k`` saved albums (ranked on ``orders`` before nesting)."""
     top = global_top_k(Tables(spark, d).orders, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], k,
                        rank_col=None)
-    a = saved_albums(spark, d, top)
+    a = saved_albums(spark, d, top, track_details=False)
     return a.select("added_at", "album_id", "album_name", _primary("album_artists").alias("primary_artist"),
                     "release_date", "total_tracks", "popularity", "label")
 
 
 def saved_albums_by_artist(spark: SparkSession, d: str, since: str = SAVED_SINCE, k: int = 20) -> DataFrame:
     """Album artists (unnested) of albums saved since ``since``, top ``k`` by albums."""
-    a = saved_albums(spark, d).filter(F.col("added_at") >= F.lit(since).cast("timestamp_ntz"))
+    a = saved_albums(spark, d, track_details=False).filter(F.col("added_at") >= F.lit(since).cast("timestamp_ntz"))
     per = a.select(F.explode("album_artists").alias("artist"), "popularity", "release_date").groupBy(
         F.col("artist.artist_name").alias("artist_name")).agg(
         F.count(F.lit(1)).alias("album_count"), round_half_up(F.avg("popularity"), 2).alias("avg_popularity"),
@@ -204,7 +209,7 @@ def saved_albums_by_artist(spark: SparkSession, d: str, since: str = SAVED_SINCE
 
 def albums_saved_by_month(spark: SparkSession, d: str) -> DataFrame:
     """Albums saved per month with distinct primary album artists."""
-    a = saved_albums(spark, d)
+    a = saved_albums(spark, d, track_details=False)
     return a.groupBy(F.to_date(F.date_trunc("month", "added_at")).alias("month")).agg(
         F.count(F.lit(1)).alias("albums_saved"),
         F.countDistinct(first_elem("album_artists")["artist_id"]).alias("unique_artists"))
@@ -212,7 +217,7 @@ def albums_saved_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 def album_type_distribution(spark: SparkSession, d: str) -> DataFrame:
     """Saved albums per type — average tracks and popularity."""
-    a = saved_albums(spark, d)
+    a = saved_albums(spark, d, track_details=False)
     return a.groupBy("album_type").agg(
         F.count(F.lit(1)).alias("count"), round_half_up(F.avg("total_tracks"), 1).alias("avg_tracks"),
         round_half_up(F.avg("popularity"), 1).alias("avg_popularity"))
@@ -220,7 +225,7 @@ def album_type_distribution(spark: SparkSession, d: str) -> DataFrame:
 
 def longest_albums(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
     """The saved albums with the most tracks."""
-    top = global_top_k(saved_albums(spark, d), [F.col("total_tracks").desc(), F.col("album_id")], k)
+    top = global_top_k(saved_albums(spark, d, track_details=False), [F.col("total_tracks").desc(), F.col("album_id")], k)
     return top.select("rank", "album_name", _primary("album_artists").alias("primary_artist"), "total_tracks",
                       "release_date", "album_type")
 
@@ -245,7 +250,7 @@ def track_vs_album_artists(spark: SparkSession, d: str) -> DataFrame:
 def copyright_types(spark: SparkSession, d: str, samples: int = 5) -> DataFrame:
     """Copyright entries by type — albums and up to five sample years
     (the smallest distinct years, so the sample is deterministic)."""
-    a = saved_albums(spark, d)
+    a = saved_albums(spark, d, track_details=False)
     c = a.select("album_id", F.explode("copyrights").alias("c")).select(
         "album_id", F.col("c.type").alias("type"), regexp_extract_or_null(F.col("c.text"), r"\d{4}").alias("year"))
     stats = c.groupBy("type").agg(F.countDistinct("album_id").alias("album_count"))
