@@ -74,9 +74,17 @@ def run_available_now(df: DataFrame, name: str, writer=None, sink_path: str | No
     return q
 
 
+def _event_time(df: DataFrame, ts_col: str) -> DataFrame:
+    """Watermarks need an instant (TIMESTAMP): a zone-less column is read as
+    UTC wall-clock time (the session zone), i.e. the same instant."""
+    if isinstance(df.schema[ts_col].dataType, T.TimestampNTZType):
+        return df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    return df
+
+
 def dedupe_within_watermark(df: DataFrame, key: Sequence[str], ts_col: str, delay: str = "25 hours") -> DataFrame:
     """Drop re-delivered records (overlap buffer) with bounded state."""
-    return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(key))
+    return _event_time(df, ts_col).withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def tumbling_aggregates(df: DataFrame, ts_col: str, value_col: str, unit: str = "day",
@@ -93,7 +101,7 @@ def tumbling_aggregates(df: DataFrame, ts_col: str, value_col: str, unit: str =
     else:
         raise ValueError("unit must be 'day' or 'week' (months are batch-only: variable length)")
     return (
-        df.withWatermark(ts_col, delay)
+        _event_time(df, ts_col).withWatermark(ts_col, delay)
         .groupBy(win.alias("window"), *group)
         .agg(F.count(F.lit(1)).alias("events"), F.sum(value_col).alias("total"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *group,

@@ -75,3 +75,24 @@ def test_greedy_dedupe_stream(spark, tmp_path):
     q.stop()
     got = sorted(int((r.ts - t0).total_seconds() // 3600) for r in spark.sql("select * from greedy_test").collect())
     assert got == [0, 24]
+
+
+def test_daily_windows_over_events_table(spark, tmp_path):
+    """X06 on the provided events table read as a file stream: every day the
+    watermark has closed equals the batch aggregate of the same day."""
+    sf = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    agg = X.tumbling_aggregates(stream, "ts", "value", unit="day", delay="1 day", group=["event_type"])
+    q = agg.writeStream.format("memory").queryName("events_daily").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.window_start.date(), r.event_type): (r.events, round(r.total, 6))
+           for r in spark.sql("select * from events_daily").collect()}
+    assert got
+    last = max(d for d, _ in got)
+    want = {(r.d, r.event_type): (r.n, round(r.t, 6)) for r in events.groupBy(
+        F.to_date("ts").alias("d"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("t")).collect()
+        if r.d <= last}
+    assert got == want
