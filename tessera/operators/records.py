@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,39 +85,75 @@ def body_metrics(df: DataFrame, weight: str, height: str, hydration: str | None
     return out
 
 
+def gap_segments(df: DataFrame, key: str, ts_col: str, gap_hours: float, tie_col: str | None = None,
+                 name: str = "_seg") -> DataFrame:
+    """Split each key's timeline at gaps of at least ``gap_hours``: ``name`` is the
+    time of the segment's first row.
+
+    The previous time of a row comes from a window per (key, day); the first
+    row of a day takes the last time of the key's previous active day from a
+    per-day aggregate (one row per key-day, bounded by the calendar).  The
+    segment start is carried forward the same way, so no window ever spans a
+    key's whole history.
+    """
+    limit_us = int(gap_hours * 3600 * 1_000_000)
+    ts = F.col(ts_col)
+    keyed = df.withColumn("_day", F.to_date(ts))
+    order = [ts] + ([F.col(tie_col)] if tie_col else [])
+    w_day = Window.partitionBy(key, "_day").orderBy(*order)
+    w_days = Window.partitionBy(key).orderBy("_day")  # one row per active day of the key
+    day_last = keyed.groupBy(key, "_day").agg(F.max(ts_col).alias("_day_last"))
+    prev_day = day_last.select(key, "_day", F.lag("_day_last").over(w_days).alias("_prev_day_last"))
+    rows = keyed.withColumn("_prev", F.lag(ts).over(w_day)).join(prev_day, [key, "_day"], "left")
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_day_last"))
+    gap = F.expr(f"timestampdiff(MICROSECOND, _p, {ts_col})")
+    rows = rows.withColumn("_p", prev).withColumn(
+        "_start", F.when(F.col("_p").isNull() | (gap >= F.lit(limit_us)), ts)).withColumn(
+        "_seg_in_day", F.max("_start").over(w_day.rowsBetween(Window.unboundedPreceding, 0)))
+    carry = rows.groupBy(key, "_day").agg(F.max("_start").alias("_day_start")).select(
+        key, "_day", F.max("_day_start").over(w_days.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    return rows.join(carry, [key, "_day"], "left").withColumn(
+        name, F.coalesce("_seg_in_day", "_carry")).drop(
+        "_day", "_prev", "_prev_day_last", "_p", "_start", "_seg_in_day", "_carry")
+
+
 def greedy_window_dedupe(
     df: DataFrame, key: str, ts_col: str, window_hours: float, tie_col: str | None = None
 ) -> DataFrame:
     """Per key, keep the first row, then drop every row closer than
     ``window_hours`` to the last KEPT row.
 
-    Order-dependent, so it is a fold, not a window aggregate.  The data is
-    hash-partitioned on the key and sorted inside each partition; a pandas
-    iterator then streams the sorted Arrow batches carrying only
-    ``(last key, last kept time)`` — memory stays at one batch however many
-    rows a key has, and nothing is collected per group.
+    Order-dependent, so it is a fold, not a window aggregate.  A row that
+    follows a gap of at least ``window_hours`` is always kept, so each key is
+    first cut into independent segments at such gaps (:func:`gap_segments`);
+    the segments are hash-partitioned on (key, segment) and sorted inside each
+    partition, and a pandas iterator streams the sorted Arrow batches carrying
+    only ``(last segment, last kept time)`` — memory stays at one batch, a
+    key's segments fold in parallel, and nothing is collected per group.
     """
     limit_us = int(window_hours * 3600 * 1_000_000)
-    order = [key, ts_col] + ([tie_col] if tie_col else [])
-    prepared = df.repartition(key).sortWithinPartitions(*order)
-    schema = prepared.schema
+    cols = df.columns
+    seg = gap_segments(df, key, ts_col, window_hours, tie_col)
+    order = [key, "_seg", ts_col] + ([tie_col] if tie_col else [])
+    prepared = seg.repartition(key, "_seg").sortWithinPartitions(*order)
+    schema = df.select(*cols).schema
 
     def fold(batches):
-        last_key = None
+        last_group = None
         last_kept = None
         for pdf in batches:
             if pdf.empty:
                 continue
             ts = pd.to_datetime(pdf[ts_col]).astype("int64") // 1000
-            keys = pdf[key].tolist()
+            groups = list(zip(pdf[key].tolist(), pdf["_seg"].tolist()))
             keep = []
-            for k, t in zip(keys, ts.tolist()):
-                if k != last_key or last_kept is None or t - last_kept >= limit_us:
+            for g, t in zip(groups, ts.tolist()):
+                if g != last_group or last_kept is None or t - last_kept >= limit_us:
                     keep.append(True)
-                    last_key, last_kept = k, t
+                    last_group, last_kept = g, t
                 else:
                     keep.append(False)
-            yield pdf[keep]
+            yield pdf[keep][cols]
 
     return prepared.mapInPandas(fold, schema)
 

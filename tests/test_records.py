@@ -104,3 +104,32 @@ def test_safe_millis_and_datetime(spark):
     assert [r[0] for r in df.select(safe_timestamp_millis("ms")).collect()] == [dt.datetime(2024, 1, 1), None]
     one = spark.createDataFrame([("2024-01-02 03:04:05",)], "s string").select(datetime_of("s")).first()[0]
     assert one == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_greedy_dedupe_segments_match_brute_force(spark):
+    import random
+
+    from tessera.operators.records import gap_segments, greedy_window_dedupe
+
+    rnd = random.Random(7)
+    rows = []
+    for k in range(4):
+        t = T0
+        for i in range(60):
+            t = t + dt.timedelta(hours=rnd.choice([0.5, 3, 11, 23.9, 24, 30, 50]))
+            rows.append((k, i, t))
+    df = spark.createDataFrame(rows, "k int, i int, ts timestamp")
+
+    def brute(points):
+        kept, last = [], None
+        for i, t in sorted(points, key=lambda p: p[1]):
+            if last is None or (t - last) >= dt.timedelta(hours=24):
+                kept.append(i)
+                last = t
+        return kept
+
+    want = {(k, i) for k in range(4) for i in brute([(i, t) for kk, i, t in rows if kk == k])}
+    got = {(r.k, r.i) for r in greedy_window_dedupe(df, "k", "ts", 24.0).collect()}
+    assert got == want
+    segs = gap_segments(df, "k", "ts", 24.0).filter(F.col("k") == 0).select("_seg").distinct().count()
+    assert segs > 1  # the 30 h / 50 h gaps cut key 0 into independent segments
