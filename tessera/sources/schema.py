@@ -23,6 +23,7 @@ from collections.abc import Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING, LONG, DOUBLE, BOOL = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
@@ -102,7 +103,10 @@ def detect_record_schema(records: Iterable[dict]) -> T.StructType:
 def _partition_schemas(batches):
     """mapInPandas body: one partial schema (as JSON text) per partition."""
     acc = T.StructType([])
+    pid = None
     for pdf in batches:
+        if pid is None and len(pdf):
+            pid = int(pdf["pid"].iloc[0])
         recs = []
         for line in pdf["value"]:
             if line is None or not line.strip():
@@ -115,18 +119,43 @@ def _partition_schemas(batches):
                 recs.append(obj)
         if recs:
             acc = merge_schema(acc, detect_record_schema(recs))
-    yield pd.DataFrame({"schema": [acc.json()]})
+    if pid is not None:
+        yield pd.DataFrame({"pid": [pid], "schema": [acc.json()]})
+
+
+# Fixed value: partial schemas are merged on executors down to at most this many
+MERGE_FANIN = 64
+
+
+def _merge_partials(batches):
+    """mapInPandas body: merge the partial schemas of a partition, streaming."""
+    acc = T.StructType([])
+    first = None
+    for pdf in batches:
+        for pid, text in zip(pdf["pid"], pdf["schema"]):
+            first = int(pid) if first is None else first
+            acc = merge_schema(acc, T.StructType.fromJson(json.loads(text)))
+    if first is not None:
+        yield pd.DataFrame({"pid": [first], "schema": [acc.json()]})
 
 
 def infer_schema(lines: DataFrame, value_col: str = "value") -> T.StructType:
     """Infer the schema of JSON lines over ALL records, distributed.
 
-    Returns an empty struct when no line parses.  Only one small JSON text
-    per partition is collected.
+    Each partition infers one partial schema; the partials are merged on
+    executors in input order (contiguous ranges of at most ``MERGE_FANIN``
+    partitions), so the
+    driver receives at most ``MERGE_FANIN`` small JSON texts however many
+    files or partitions the input has.  Returns an empty struct when no line
+    parses.
     """
-    partials = lines.select(lines[value_col].alias("value")).mapInPandas(_partition_schemas, "schema string")
+    partials = lines.select(lines[value_col].alias("value"), F.spark_partition_id().alias("pid")).mapInPandas(
+        _partition_schemas, "pid int, schema string")
+    # contiguous partition ranges, merged in input order: fields keep first-seen order
+    merged = (partials.repartitionByRange(MERGE_FANIN, "pid").sortWithinPartitions("pid")
+              .mapInPandas(_merge_partials, "pid int, schema string"))
     out = T.StructType([])
-    for row in partials.toLocalIterator():
+    for row in merged.orderBy("pid").toLocalIterator():
         out = merge_schema(out, T.StructType.fromJson(json.loads(row["schema"])))
     return out
 
