@@ -259,19 +259,48 @@ def conjunction(preds: Sequence[Column | None]) -> Column:
     return out
 
 
+def keyed_row_number(df: DataFrame, key: str, order_cols: Sequence[str], name: str = "row_number",
+                     count_col: str | None = None) -> DataFrame:
+    """1-based ``row_number() over (partition by key order by …)`` with no key in one task.
+
+    A window partitioned by the key sends a hot key's rows to one task.
+    Here the rows are range-partitioned on (key, order…) — the sampled
+    bounds cut a hot key across many partitions — and numbered locally from
+    their position in the sorted partition.  One row per (partition, key)
+    carries the count; a window over those rows (a key spans at most all
+    partitions) gives each piece the rows of its key in earlier partitions.
+    The join back is on (partition, key), so every join group is at most one
+    range partition.  ``order_cols`` must make the order total.
+    ``count_col`` adds the key's total row count.
+    """
+    numbered = (
+        df.orderBy(key, *order_cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    )
+    pieces = numbered.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    by_key = Window.partitionBy(key).orderBy("_pid")
+    pieces = pieces.withColumn(
+        "_offset", F.coalesce(F.sum("_cnt").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if count_col:
+        pieces = pieces.withColumn(count_col, F.sum("_cnt").over(Window.partitionBy(key)))
+    out = numbered.join(pieces.drop("_cnt"), ["_pid", key]).withColumn(
+        name, F.col("_offset") + F.col("_pos") - F.col("_first") + 1)
+    return out.drop("_pid", "_pos", "_first", "_offset")
+
+
 def thin_points(df: DataFrame, key: str, order_cols: Sequence[str], max_points: int,
                 index_col: str = "point_idx") -> DataFrame:
     """P03 polyline thinning: keep every ``ceil(n / max_points)``-th point per key.
 
-    Point counts are a partial aggregate joined back; numbering is a
-    per-key ``row_number`` (streaming, spillable sort) — no key's points
-    are collected into one array.
+    Numbering and point counts come from :func:`keyed_row_number`, so a key
+    with a third of all points is numbered by many tasks — no per-key window
+    and no key's points collected into one array.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    numbered = df.withColumn(index_col, F.row_number().over(w) - 1).join(counts, key)
+    numbered = keyed_row_number(df, key, order_cols, "_rn", count_col="_n").withColumn(
+        index_col, F.col("_rn") - 1)
     step = F.ceil(F.col("_n") / F.lit(max_points))
-    return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n")
+    return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n", "_rn")
 
 
 def limited_ordered_array(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],

@@ -102,3 +102,26 @@ def test_limited_ordered_array_and_one_row(spark):
     stats = spark.createDataFrame([(9,)], "m int")
     assert [r.m for r in R.with_one_row(df, stats).collect()] == [9] * 5
     assert [r.m for r in R.with_one_row(df, stats.limit(0)).collect()] == [None] * 5
+
+
+def test_keyed_row_number_splits_hot_key(spark):
+    from pyspark.sql import Window
+
+    # key 0 holds two thirds of the rows; 8 range partitions cut it into pieces
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("k"),
+        (F.col("id") * 7919 % 6001).alias("t"), F.col("id"))
+    got = R.keyed_row_number(df, "k", ["t", "id"], "rn", count_col="n")
+    # the mechanism: the range exchange cuts the hot key over several partitions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = (df.orderBy("k", "t", "id").select(F.spark_partition_id().alias("p"), "k")
+                  .filter(F.col("k") == 0).select("p").distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
+    assert got.select("k", "t", "id", "rn").exceptAll(want.select("k", "t", "id", "rn")).count() == 0
+    assert got.count() == 6000
+    assert {r.k: r.n for r in got.select("k", "n").distinct().collect()} == {
+        r.k: r.c for r in df.groupBy("k").agg(F.count("*").alias("c")).collect()}
+    assert spread > 1
