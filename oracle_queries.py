@@ -1294,3 +1294,64 @@ top AS (SELECT *, CAST(row_number() OVER (ORDER BY play_count DESC, artist_id) A
 SELECT top.rank, top.artist_id, a.artist_name, top.play_count, top.unique_tracks_played, top.last_played
 FROM top LEFT JOIN artists a USING (artist_id)
 """
+
+# ---- hub health over derived records (H07, H08) -------------------------------------
+
+ORACLES["hub_running_activities"] = f"""
+WITH acts AS (
+  SELECT event_id AS activity_id, user_id, ts, value, 1800.0 + (event_id % 600) AS duration,
+         ['running', 'trail_running', 'treadmill_running', 'cycling'][user_id % 4 + 1] AS type_key
+  FROM events WHERE event_type = 'purchase'),
+laps AS (
+  SELECT a.activity_id, list(p.value ORDER BY p.ts, p.event_id) AS vs
+  FROM acts a JOIN events p ON p.user_id = a.user_id AND p.event_type <> 'purchase'
+   AND p.ts >= a.ts AND p.ts <= a.ts + INTERVAL 30 MINUTE
+  GROUP BY a.activity_id)
+SELECT a.activity_id, 'Run ' || CAST(a.activity_id AS VARCHAR) AS activity_name,
+       replace(replace(lower(a.type_key), '_', ' '), 'running', 'run') AS activity_type, a.ts AS start_time,
+       {rnd('a.value * 100 / 1000', 2)} AS distance_km, {rnd('a.duration / 60', 1)} AS duration_min,
+       {rnd('(1000.0 / 60) / (a.value * 100 / a.duration)', 2)} AS pace_min_per_km,
+       {rnd('(a.value * 100 / a.duration) * 3.6', 1)} AS speed_kmh,
+       CAST(round(CAST(100.0 + a.value / 5 AS DECIMAL(38,9))) AS BIGINT) AS avg_hr,
+       CAST(120 + floor(a.value / 5) AS BIGINT) AS max_hr, a.value * 3 AS calories,
+       CAST(coalesce(len(l.vs), 0) AS INTEGER) AS lap_count,
+       {rnd('l.vs[1] * 10 / 1000', 2)} AS first_lap_km,
+       CAST(round(CAST(100.0 + l.vs[len(l.vs)] / 5 AS DECIMAL(38,9))) AS BIGINT) AS last_lap_hr
+FROM acts a LEFT JOIN laps l USING (activity_id)
+WHERE lower(a.type_key) IN ('running', 'track_running', 'trail_running', 'treadmill_running')
+"""
+
+
+def _phase_sql(name: str, secs: str, lo: float, hi: float) -> str:
+    pct = rnd(f"100.0 * {secs} / total", 1)
+    return (f"{rnd(f'{secs} / 3600', 2)} AS {name}_hours, {pct} AS {name}_pct, "
+            f"CASE WHEN {pct} < {lo} THEN 'insufficient' WHEN {pct} > {hi} THEN 'excessive' ELSE 'optimal' END "
+            f"AS {name}_status")
+
+
+ORACLES["hub_sleep_nights"] = f"""
+WITH d AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, COUNT(*) * 1200 AS total,
+         COUNT(*) FILTER (WHERE event_type = 'click') * 1200 AS deep,
+         COUNT(*) FILTER (WHERE event_type = 'view') * 1200 AS light,
+         COUNT(*) FILTER (WHERE event_type = 'signup') * 1200 AS rem,
+         COUNT(*) FILTER (WHERE event_type = 'error') AS awake_count,
+         MIN(ts) AS start_ts, SUM(value) AS s,
+         MAX(value) FILTER (WHERE event_type = 'view') - MIN(value) FILTER (WHERE event_type = 'view') AS bb,
+         AVG(value) FILTER (WHERE event_type = 'click') AS hrv,
+         MIN(value) FILTER (WHERE event_type = 'error') AS rhr,
+         arg_max(value, (ts, event_id)) AS last_v
+  FROM events GROUP BY 1, 2),
+n AS (SELECT *, CAST(round(CAST(s AS DECIMAL(38,9))) AS BIGINT) % 101 AS score FROM d)
+SELECT user_id, date, date_trunc('millisecond', start_ts) AS sleep_start_gmt, {rnd('total / 3600', 2)} AS sleep_hours,
+       {_phase_sql('deep', 'deep', 16.0, 33.0)}, {_phase_sql('light', 'light', 30.0, 64.0)},
+       {_phase_sql('rem', 'rem', 21.0, 31.0)},
+       CAST(awake_count AS BIGINT) AS awake_minutes, CAST(awake_count AS BIGINT) AS awake_count,
+       CAST(round(CAST(bb AS DECIMAL(38,9))) AS BIGINT) AS body_battery_change, score,
+       CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 80 THEN 'good' WHEN score >= 60 THEN 'fair'
+            ELSE 'poor' END AS quality,
+       {rnd('hrv', 2)} AS avg_hrv, CAST(round(CAST(rhr AS DECIMAL(38,9))) AS BIGINT) AS resting_hr,
+       CAST(total / 1200 AS INTEGER) AS level_count,
+       date_trunc('second', start_ts) + INTERVAL 1 HOUR AS first_level_local, last_v / 100 AS last_level
+FROM n
+"""

@@ -7,6 +7,8 @@ filter is written on the raw timestamp so it reaches the Parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from tessera.functions.columns import (
     weekday_letter,
     weekday_name,
 )
-from tessera.operators.relational import as_date, date_spine, spine_fill, week_spine
+from tessera.operators.relational import as_date, date_spine, interval_join, spine_fill, week_spine
 from tessera.plans.star import star_from_events
 from tessera.sources.tables import Tables
 
@@ -291,10 +293,10 @@ def running_activities(activities: DataFrame, splits: DataFrame | None = None) -
         F.col("activityId").alias("activity_id"), F.col("activityName").alias("activity_name"),
         F.replace(F.replace(t, F.lit("_"), F.lit(" ")), F.lit("running"), F.lit("run")).alias("activity_type"),
         F.col("startTimeGMT").alias("start_time"),
-        F.round(F.col("distance") / 1000, 2).alias("distance_km"),
-        F.round(F.col("duration") / 60, 1).alias("duration_min"),
-        F.round(pace, 2).alias("pace_min_per_km"),
-        F.round(F.col("averageSpeed") * 3.6, 1).alias("speed_kmh"),
+        round_half_up(F.col("distance") / 1000, 2).alias("distance_km"),
+        round_half_up(F.col("duration") / 60, 1).alias("duration_min"),
+        round_half_up(pace, 2).alias("pace_min_per_km"),
+        round_half_up(F.col("averageSpeed") * 3.6, 1).alias("speed_kmh"),
         round_to_long(F.col("averageHR")).alias("avg_hr"),
         round_to_long(F.col("maxHR")).alias("max_hr"),
         F.col("calories"),
@@ -306,8 +308,8 @@ def running_activities(activities: DataFrame, splits: DataFrame | None = None) -
                 F.array_sort(F.col("lapDTOs"), lambda a, b: F.when(a["lapIndex"] < b["lapIndex"], -1).when(
                     a["lapIndex"] > b["lapIndex"], 1).otherwise(0)),
                 lambda x: F.struct(
-                    x["lapIndex"].alias("lap"), F.round(x["distance"] / 1000, 2).alias("distance_km"),
-                    F.round(x["duration"] / 60, 1).alias("duration_min"),
+                    x["lapIndex"].alias("lap"), round_half_up(x["distance"] / 1000, 2).alias("distance_km"),
+                    round_half_up(x["duration"] / 60, 1).alias("duration_min"),
                     round_to_long(x["averageHR"]).alias("avg_hr"))).alias("laps"))
         out = out.join(laps, "activity_id", "left")
     return out
@@ -322,13 +324,14 @@ def _phase(seconds, total, ideal_start, ideal_end):
     )
 
 
-def sleep_nights(sleep: DataFrame) -> DataFrame:
+def sleep_nights(sleep: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One night with three phase structs (hours, %, status), awake time,
     body-battery change, quality tier, and the level array in local time.
 
     Input follows the sleep export: ``date``, ``dailySleepDTO`` struct,
     ``sleepLevels`` array<struct<startGMT, endGMT, activityLevel>>,
-    ``bodyBatteryChange``, ``avgOvernightHrv``, ``restingHeartRate``.
+    ``bodyBatteryChange``, ``avgOvernightHrv``, ``restingHeartRate``;
+    ``keys`` (e.g. a user id) pass through.
     """
     s = F.col("dailySleepDTO")
     total = s["sleepTimeSeconds"]
@@ -342,7 +345,7 @@ def sleep_nights(sleep: DataFrame) -> DataFrame:
             F.timestamp_add("HOUR", offset_h, F.to_timestamp(x["endGMT"])).alias("end_local"),
             x["activityLevel"].alias("level")))
     return sleep.select(
-        F.to_date("date").alias("date"),
+        *keys, F.to_date("date").alias("date"),
         F.timestamp_millis(s["sleepStartTimestampGMT"]).alias("sleep_start_gmt"),
         F.round(total / 3600, 2).alias("sleep_hours"),
         _phase(s["deepSleepSeconds"], total, scores["deepPercentage"]["idealStartInSeconds"],
@@ -414,3 +417,115 @@ def homepage_bundle(spark: SparkSession, d: str, as_of) -> DataFrame:
         "top_tracks": music.top_tracks_recent(star, as_of),
         "top_artists": music.top_artists_recent(star, as_of),
     })
+
+
+# ---- hub health over records derived from the events table (H07, H08) --------------
+
+# Fixed values of the re-aim: activity type by user, ideal phase shares (percent)
+RUN_TYPES_BY_USER = ("running", "trail_running", "treadmill_running", "cycling")
+IDEAL_PHASES = {"deepPercentage": (16.0, 33.0), "lightPercentage": (30.0, 64.0), "remPercentage": (21.0, 31.0)}
+LEVEL_MINUTES = 10
+
+
+def activity_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Activity export rows and their splits, derived from 'purchase' events.
+
+    Laps are the same user's other events inside the activity's 30 minutes
+    (interval join, J06), nested per activity in time order — bounded by one
+    activity's window.
+    """
+    from tessera.plans import activities as A
+
+    ev = _events(spark, d)
+    acts = ev.filter(F.col("event_type") == A.ACTIVITY_TYPE)
+    type_key = F.element_at(F.array(*[F.lit(t) for t in RUN_TYPES_BY_USER]),
+                            (F.pmod(F.col("user_id"), F.lit(len(RUN_TYPES_BY_USER))) + 1).cast("int"))
+    duration = F.lit(1800.0) + F.pmod(F.col("event_id"), F.lit(600)).cast("double")
+    records = acts.select(
+        F.col("event_id").alias("activityId"), F.concat(F.lit("Run "), F.col("event_id").cast("string")).alias(
+            "activityName"),
+        F.struct(type_key.alias("typeKey")).alias("activityType"), F.col("ts").alias("startTimeGMT"),
+        (F.col("value") * 100).alias("distance"), duration.alias("duration"),
+        (F.col("value") * 100 / duration).alias("averageSpeed"), (F.lit(100.0) + F.col("value") / 5).alias("averageHR"),
+        (F.lit(120) + F.floor(F.col("value") / 5)).cast("bigint").alias("maxHR"),
+        (F.col("value") * 3).alias("calories"))
+    spans = acts.select(F.col("event_id").alias("activityId"), "user_id", F.col("ts").alias("start_ts"),
+                        (F.col("ts") + F.expr(f"INTERVAL {A.ACTIVITY_MINUTES} MINUTES")).alias("end_ts"))
+    points = ev.filter(F.col("event_type") != A.ACTIVITY_TYPE).select("user_id", "event_id", "ts", "value")
+    pairs = interval_join(spans, points, "start_ts", "end_ts", "ts", keys=["user_id"],
+                          bucket_seconds=A.ACTIVITY_MINUTES * 60)
+    lap = F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v"))
+    splits = pairs.groupBy("activityId").agg(F.array_sort(F.collect_list(lap)).alias("_laps")).select(
+        "activityId",
+        F.transform("_laps", lambda x, i: F.struct(
+            (i + 1).cast("bigint").alias("lapIndex"), (x["_v"] * 10).alias("distance"), F.lit(300.0).alias("duration"),
+            (x["_v"] * 10 / 300).alias("averageSpeed"), (F.lit(100.0) + x["_v"] / 5).alias("averageHR"))).alias(
+            "lapDTOs"))
+    return records, splits
+
+
+def hub_running_activities(spark: SparkSession, d: str) -> DataFrame:
+    """H07 on derived records: running activities with unit conversions, laps summarised."""
+    records, splits = activity_records(spark, d)
+    runs = running_activities(records, splits)
+    return runs.select(
+        "activity_id", "activity_name", "activity_type", "start_time", "distance_km", "duration_min",
+        "pace_min_per_km", "speed_kmh", "avg_hr", "max_hr", "calories",
+        F.when(F.col("laps").isNull(), F.lit(0)).otherwise(F.size("laps")).alias("lap_count"),
+        F.element_at("laps", 1)["distance_km"].alias("first_lap_km"),
+        F.element_at("laps", -1)["avg_hr"].alias("last_lap_hr"))
+
+
+def sleep_records(spark: SparkSession, d: str) -> DataFrame:
+    """Sleep export rows (``SLEEP_SCHEMA`` shape), one per user and day of events.
+
+    Phases come from event counts (20 min each), the levels array from the
+    day's events in time order (bounded by one user-day).
+    """
+    ev = _events(spark, d)
+    t = F.col("event_type")
+    n = lambda typ: F.count_if(t == typ).cast("bigint") * 1200
+    level = F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v"))
+    day = ev.groupBy("user_id", F.to_date("ts").alias("_date")).agg(
+        F.count(F.lit(1)).alias("_n"), n("click").alias("deep"), n("view").alias("light"), n("signup").alias("rem"),
+        F.count_if(t == "error").alias("awake_count"), F.min("ts").alias("_start"),
+        F.sum("value").alias("_sum"), F.max(F.when(t == "view", F.col("value"))).alias("_hi"),
+        F.min(F.when(t == "view", F.col("value"))).alias("_lo"),
+        F.avg(F.when(t == "click", F.col("value"))).alias("_hrv"),
+        F.min(F.when(t == "error", F.col("value"))).alias("_rhr"),
+        F.array_sort(F.collect_list(level)).alias("_levels"))
+    start_ms = F.unix_millis(F.col("_start").cast("timestamp"))
+    ideal = {p: F.struct(F.lit(lo).alias("idealStartInSeconds"), F.lit(hi).alias("idealEndInSeconds")).alias(p)
+             for p, (lo, hi) in IDEAL_PHASES.items()}
+    dto = F.struct(
+        (F.col("_n").cast("bigint") * 1200).alias("sleepTimeSeconds"), F.col("deep").alias("deepSleepSeconds"),
+        F.col("light").alias("lightSleepSeconds"), F.col("rem").alias("remSleepSeconds"),
+        (F.col("awake_count").cast("bigint") * 60).alias("awakeSleepSeconds"),
+        F.col("awake_count").cast("bigint").alias("awakeCount"),
+        (start_ms + 3600000).alias("sleepStartTimestampLocal"), (start_ms + 3600000 + 8 * 3600000).alias(
+            "sleepEndTimestampLocal"),
+        start_ms.alias("sleepStartTimestampGMT"),
+        F.struct(F.struct(F.pmod(round_half_up(F.col("_sum"), 0).cast("bigint"), F.lit(101)).alias("value")).alias(
+                     "overall"),
+                 *ideal.values()).alias("sleepScores"))
+    levels = F.transform("_levels", lambda x: F.struct(
+        F.date_format(x["_t"], "yyyy-MM-dd HH:mm:ss").alias("startGMT"),
+        F.date_format(x["_t"] + F.expr(f"INTERVAL {LEVEL_MINUTES} MINUTES"), "yyyy-MM-dd HH:mm:ss").alias("endGMT"),
+        (x["_v"] / 100).alias("activityLevel")))
+    return day.select(
+        "user_id", F.date_format("_date", "yyyy-MM-dd").alias("date"), dto.alias("dailySleepDTO"),
+        levels.alias("sleepLevels"), round_to_long(F.col("_hi") - F.col("_lo")).alias("bodyBatteryChange"),
+        F.col("_hrv").alias("avgOvernightHrv"), round_to_long(F.col("_rhr")).alias("restingHeartRate"))
+
+
+def hub_sleep_nights(spark: SparkSession, d: str) -> DataFrame:
+    """H08 on derived records: one night per user and day, phases flattened for display."""
+    n = sleep_nights(sleep_records(spark, d), keys=["user_id"])
+    return n.select(
+        "user_id", "date", F.col("sleep_start_gmt").cast("timestamp_ntz").alias("sleep_start_gmt"), "sleep_hours",
+        *[F.col(f"{p}.{f}").alias(f"{p}_{f}") for p in ("deep", "light", "rem") for f in ("hours", "pct", "status")],
+        F.col("awake.minutes").alias("awake_minutes"), F.col("awake.count").alias("awake_count"),
+        "body_battery_change", "score", "quality", round_half_up(F.col("avg_hrv"), 2).alias("avg_hrv"), "resting_hr",
+        F.size("levels").alias("level_count"),
+        F.element_at("levels", 1)["start_local"].cast("timestamp_ntz").alias("first_level_local"),
+        F.element_at("levels", -1)["level"].alias("last_level"))
