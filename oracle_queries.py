@@ -1355,3 +1355,36 @@ SELECT user_id, date, date_trunc('millisecond', start_ts) AS sleep_start_gmt, {r
        date_trunc('second', start_ts) + INTERVAL 1 HOUR AS first_level_local, last_v / 100 AS last_level
 FROM n
 """
+
+ORACLES["staged_artist_enrichment"] = """
+WITH raw AS (
+  SELECT s_suppkey AS artistId, s_name AS artistName, r.run,
+         CAST((floor(s_acctbal / 100) + r.run * 3) % 101 + CASE WHEN (floor(s_acctbal / 100) + r.run * 3) % 101 < 0
+              THEN 101 ELSE 0 END AS BIGINT) AS popularity,
+         CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey + r.run AS followerCount,
+         CASE WHEN r.run = 0 THEN lower(n_name) ELSE lower(n_name) || ', remastered' END AS genres,
+         'https://img/' || CAST(s_suppkey AS VARCHAR) || '/640' AS imageUrlLarge,
+         'https://img/' || CAST(s_suppkey AS VARCHAR) || '/300' AS imageUrlMedium,
+         CASE WHEN r.run = 1 AND s_suppkey % 5 = 0 THEN NULL
+              ELSE 'https://img/' || CAST(s_suppkey AS VARCHAR) || '/64' END AS imageUrlSmall,
+         CASE WHEN r.run = 0 THEN TIMESTAMP '2024-01-01'
+              ELSE CAST(DATE '2024-01-01' + CAST(s_suppkey % 20 - 10 AS INTEGER) AS TIMESTAMP) END AS enrichedAt
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey, (SELECT 0 AS run UNION ALL SELECT 1) r)
+SELECT artistId, artistName, popularity, followerCount, genres, imageUrlLarge, imageUrlMedium, imageUrlSmall,
+       enrichedAt
+FROM (SELECT *, row_number() OVER (PARTITION BY artistId ORDER BY enrichedAt DESC, run DESC) AS rn FROM raw)
+WHERE rn = 1
+"""
+
+
+def _score_run(cond: str) -> str:
+    fields = ", ".join(f"{k} := {rnd(f'AVG(value) FILTER (WHERE event_type = {chr(39)}{k}{chr(39)})', 2)}"
+                       for k in ("click", "error", "purchase", "signup", "view"))
+    return (f"SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS startDate, CAST(to_json(struct_pack({fields})) AS VARCHAR)"
+            f" AS score FROM events WHERE {cond} GROUP BY 1")
+
+
+ORACLES["staged_scores"] = f"""
+WITH r0 AS ({_score_run('TRUE')}), r1 AS ({_score_run('user_id % 2 = 0')})
+SELECT startDate, coalesce(r1.score, r0.score) AS score FROM r0 FULL JOIN r1 USING (startDate)
+"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import safe_get, to_json_keep_nulls
+from tessera.functions.columns import round_half_up, safe_get, to_json_keep_nulls
 from tessera.functions.nested import json_path, json_string_array
 from tessera.operators.keep import keep_latest
 
@@ -110,3 +110,75 @@ def score_as_json(raw: DataFrame, key: str, nested_col: str, order_extra: Sequen
     out = raw.withColumn(nested_col, to_json_keep_nulls(F.col(nested_col)))
     order = [F.col(c).desc() for c in order_extra] + [F.col("_dp_inserted_at").desc()]
     return keep_latest(out, [key], order)
+
+
+# ---- staging over raw records derived from the provided tables ------------------------
+
+# Fixed values of the re-aim: image sizes (large, medium, small) and the enrichment runs
+IMAGE_SIZES = (640, 300, 64)
+FIRST_RUN_AT = "2024-01-01 00:00:00"
+
+
+def artist_enrichment_raw(spark, d: str) -> DataFrame:
+    """Raw artist-enrichment records, two runs per supplier (JSON text columns).
+
+    Run 1 re-enriches every artist with a shifted date (some earlier than run
+    0, so keep-latest must order by ``enrichedAt`` first), an extra genre,
+    and drops the small image for every fifth artist.
+    """
+    from tessera.sources.tables import Tables
+
+    t = Tables(spark, d)
+    sup = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    runs = []
+    for run in (0, 1):
+        imgs = [F.struct(F.concat(F.lit("https://img/"), F.col("s_suppkey").cast("string"), F.lit(f"/{s}")).alias("url"),
+                         F.lit(s).cast("bigint").alias("height"), F.lit(s).cast("bigint").alias("width"))
+                for s in IMAGE_SIZES]
+        images = F.array(*imgs)
+        genres = F.array(F.lower("n_name"))
+        enriched = F.lit(FIRST_RUN_AT)
+        if run == 1:
+            images = F.when(F.pmod(F.col("s_suppkey"), F.lit(5)) == 0, F.array(*imgs[:2])).otherwise(images)
+            genres = F.array(F.lower("n_name"), F.lit("remastered"))
+            enriched = F.date_format(F.date_add(F.lit(FIRST_RUN_AT[:10]).cast("date"),
+                                                (F.pmod(F.col("s_suppkey"), F.lit(20)) - 10).cast("int")),
+                                     "yyyy-MM-dd HH:mm:ss")
+        runs.append(sup.select(
+            F.col("s_suppkey").alias("artistId"), F.col("s_name").alias("artistName"),
+            F.pmod(F.floor(F.col("s_acctbal") / 100) + run * 3, F.lit(101)).cast("bigint").alias("popularity"),
+            (F.col("s_nationkey").cast("bigint") * 1000 + F.col("s_suppkey") + run).alias("followerCount"),
+            F.to_json(genres).alias("genres"), F.to_json(images).alias("images"), enriched.alias("enrichedAt"),
+            F.lit(f"2024-02-0{run + 1} 00:00:00").cast("timestamp").alias("_dp_inserted_at")))
+    return runs[0].unionByName(runs[1])
+
+
+def staged_artist_enrichment(spark, d: str) -> DataFrame:
+    """L01 over the derived raw records: one row per artist, flattened for display."""
+    s = artist_enrichment(artist_enrichment_raw(spark, d))
+    return s.select("artistId", "artistName", "popularity", "followerCount",
+                    F.array_join("genres", ", ").alias("genres"), "imageUrlLarge", "imageUrlMedium", "imageUrlSmall",
+                    F.col("enrichedAt").cast("timestamp_ntz").alias("enrichedAt"))
+
+
+def score_raw(spark, d: str) -> DataFrame:
+    """Raw daily score records (``startDate`` + a nested ``score`` struct), two
+    deliveries per day: the second (later ``_dp_inserted_at``) covers only the
+    events of even users, so some of its fields are null."""
+    from tessera.sources.tables import Tables
+
+    ev = Tables(spark, d).events
+    types = ("click", "error", "purchase", "signup", "view")
+    out = []
+    for run, cond in ((0, F.lit(True)), (1, F.pmod(F.col("user_id"), F.lit(2)) == 0)):
+        t = F.col("event_type")
+        per = ev.filter(cond).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("startDate")).agg(
+            *[round_half_up(F.avg(F.when(t == k, F.col("value"))), 2).alias(k) for k in types])
+        out.append(per.select("startDate", F.struct(*types).alias("score"),
+                              F.lit(f"2024-02-0{run + 1} 00:00:00").cast("timestamp").alias("_dp_inserted_at")))
+    return out[0].unionByName(out[1])
+
+
+def staged_scores(spark, d: str) -> DataFrame:
+    """L05 over the derived records: the latest delivery per day, score as JSON text with nulls kept."""
+    return score_as_json(score_raw(spark, d), "startDate", "score").select("startDate", "score")
