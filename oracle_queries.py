@@ -1388,3 +1388,12 @@ ORACLES["staged_scores"] = f"""
 WITH r0 AS ({_score_run('TRUE')}), r1 AS ({_score_run('user_id % 2 = 0')})
 SELECT startDate, coalesce(r1.score, r0.score) AS score FROM r0 FULL JOIN r1 USING (startDate)
 """
+
+ORACLES["staged_recently_played"] = """
+SELECT ts AS playedAt, json_extract_string(props, '$.k') AS trackId,
+       'https://img/album/' || json_extract_string(props, '$.k') || CASE WHEN user_id % 2 = 0 THEN '/v1' ELSE '/v0' END
+         AS albumImageUrl,
+       CAST(300 + (event_id % 3) * 100 AS BIGINT) AS albumImageHeight,
+       CAST(300 + (event_id % 3) * 100 AS BIGINT) AS albumImageWidth
+FROM events
+"""

@@ -182,3 +182,34 @@ def score_raw(spark, d: str) -> DataFrame:
 def staged_scores(spark, d: str) -> DataFrame:
     """L05 over the derived records: the latest delivery per day, score as JSON text with nulls kept."""
     return score_as_json(score_raw(spark, d), "startDate", "score").select("startDate", "score")
+
+
+def recently_played_raw(spark, d: str) -> DataFrame:
+    """Raw play deliveries from events: the typed image columns are missing on
+    every third play (the ingest path getter could not resolve them) while the
+    raw JSON record still holds them; even users are delivered twice (v0, v1)."""
+    from tessera.sources.tables import Tables
+
+    ev = Tables(spark, d).events.select("event_id", "ts", "user_id", F.get_json_object("props", "$.k").alias("k"))
+    out = []
+    for run, cond in ((0, F.lit(True)), (1, F.pmod(F.col("user_id"), F.lit(2)) == 0)):
+        url = F.concat(F.lit("https://img/album/"), F.col("k"), F.lit(f"/v{run}"))
+        size = (F.lit(300) + F.pmod(F.col("event_id"), F.lit(3)) * 100).cast("bigint")
+        image = F.struct(url.alias("url"), size.alias("height"), size.alias("width"))
+        raw = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("played_at"),
+                                 F.struct(F.col("k").alias("id"),
+                                          F.struct(F.array(image).alias("images")).alias("album")).alias("track")))
+        missing = F.pmod(F.col("event_id"), F.lit(3)) == 0
+        out.append(ev.filter(cond).select(
+            F.col("ts").alias("playedAt"), F.col("k").alias("trackId"),
+            F.when(missing, F.lit(None).cast("string")).otherwise(url).alias("albumImageUrl"),
+            F.when(missing, F.lit(None).cast("bigint")).otherwise(size).alias("albumImageHeight"),
+            F.when(missing, F.lit(None).cast("bigint")).otherwise(size).alias("albumImageWidth"),
+            raw.alias("raw_data"), F.lit(f"2024-02-0{run + 1} 00:00:00").cast("timestamp").alias("_dp_inserted_at")))
+    return out[0].unionByName(out[1])
+
+
+def staged_recently_played(spark, d: str) -> DataFrame:
+    """L02 over the derived deliveries: latest delivery per play, image fields completed from the raw JSON."""
+    return recently_played(recently_played_raw(spark, d)).select(
+        "playedAt", "trackId", "albumImageUrl", "albumImageHeight", "albumImageWidth")
