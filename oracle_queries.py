@@ -1397,3 +1397,12 @@ SELECT ts AS playedAt, json_extract_string(props, '$.k') AS trackId,
        CAST(300 + (event_id % 3) * 100 AS BIGINT) AS albumImageWidth
 FROM events
 """
+
+# ---- read endpoints R01–R03: one period of a ranking, up to a limit -----------------
+
+ORACLES["read_top_tracks"] = (f"SELECT * FROM ({ORACLES['top_by_period_item']}) r "
+                              "WHERE period = 'last_30_days' AND rank <= 10")
+ORACLES["read_top_artists"] = (f"SELECT * FROM ({ORACLES['top_by_period_entity']}) r "
+                               "WHERE period = 'last_365_days' AND rank <= 15")
+ORACLES["read_top_albums"] = (f"SELECT * FROM ({ORACLES['top_by_period_brand']}) r "
+                              "WHERE period = 'all_time' AND rank <= 5")

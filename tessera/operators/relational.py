@@ -52,9 +52,15 @@ def period_rollup(
     every row feeds conditional aggregates for each period it falls into;
     the map-side partial aggregate keeps one row per key per task.  The
     per-key result is then unpivoted to ``(period, keys…, sums…, n)``;
-    keys with no row in a period do not appear for it.
+    keys with no row in a period do not appear for it.  When no period is
+    all-time, rows older than the longest look-back are filtered on the raw
+    timestamp first, so the bound reaches the Parquet scan.
     """
     sums = sums or {}
+    windows = [days for _, days, _ in periods]
+    if None not in windows:  # every period is bounded: prune the scan to the longest look-back
+        lo = F.date_sub(as_date(as_of), max(windows))
+        df = df.filter(F.col(ts_col) >= lo.cast(df.schema[ts_col].dataType))
     day = F.to_date(F.col(ts_col))
     aggs = []
     for i, (_, days, _) in enumerate(periods):

@@ -21,6 +21,7 @@ from tessera.operators.relational import (
     global_top_k,
     period_limit,
     period_order,
+    PERIODS,
     period_rollup,
     share_of_total,
     top_k_per_group,
@@ -33,15 +34,15 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def _track_counts_by_period(star: MusicStar, as_of) -> DataFrame:
-    counts = period_rollup(star.fact, "played_at", as_of, ["track_id"])
+def _track_counts_by_period(star: MusicStar, as_of, periods=PERIODS) -> DataFrame:
+    counts = period_rollup(star.fact, "played_at", as_of, ["track_id"], periods=periods)
     return counts.join(star.tracks.select("track_id", "album_id", "duration_ms"), "track_id", "left").withColumn(
         "total_duration_ms", F.col("n") * F.col("duration_ms"))
 
 
-def top_tracks_by_period(star: MusicStar, as_of) -> DataFrame:
+def top_tracks_by_period(star: MusicStar, as_of, periods=PERIODS) -> DataFrame:
     """Top tracks per look-back period (20, 10 for ``yesterday``)."""
-    agg = _track_counts_by_period(star, as_of)
+    agg = _track_counts_by_period(star, as_of, periods)
     ranked = top_k_per_group(
         agg, ["period"], [F.col("total_duration_ms").desc(), F.col("track_id")], 20,
         per_group_limit=period_limit())
@@ -72,9 +73,9 @@ def top_tracks_by_period(star: MusicStar, as_of) -> DataFrame:
     )
 
 
-def top_artists_by_period(star: MusicStar, as_of) -> DataFrame:
+def top_artists_by_period(star: MusicStar, as_of, periods=PERIODS) -> DataFrame:
     """Top artists per period; a play counts once for every credited artist."""
-    agg = _track_counts_by_period(star, as_of)
+    agg = _track_counts_by_period(star, as_of, periods)
     fan = agg.join(star.bridge.select("track_id", "artist_id"), "track_id", "left")
     per_artist = fan.groupBy("period", "artist_id").agg(
         F.sum("total_duration_ms").alias("total_duration_ms"), F.sum("n").alias("play_count"))
@@ -91,9 +92,9 @@ def top_artists_by_period(star: MusicStar, as_of) -> DataFrame:
     )
 
 
-def top_albums_by_period(star: MusicStar, as_of) -> DataFrame:
+def top_albums_by_period(star: MusicStar, as_of, periods=PERIODS) -> DataFrame:
     """Top albums per period."""
-    agg = _track_counts_by_period(star, as_of)
+    agg = _track_counts_by_period(star, as_of, periods)
     per_album = agg.groupBy("period", "album_id").agg(
         F.sum("total_duration_ms").alias("total_duration_ms"), F.sum("n").alias("play_count"),
         F.count(F.lit(1)).alias("tracks_played"))

@@ -27,25 +27,32 @@ def _check_period(period: str) -> None:
         raise ValueError(f"period must be one of {VALID_PERIODS}")
 
 
+def _periods(period: str):
+    """Only the requested period is aggregated (a bounded one prunes the scan)."""
+    from tessera.operators.relational import PERIODS
+
+    return tuple(p for p in PERIODS if p[0] == period)
+
+
 def top_artists(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R01."""
     _check_period(period)
     limit = min(limit, MAX_RANK_LIMIT)
-    return music.top_artists_by_period(star, as_of).filter((F.col("period") == period) & (F.col("rank") <= limit))
+    return music.top_artists_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
 def top_tracks(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R02."""
     _check_period(period)
     limit = min(limit, MAX_RANK_LIMIT)
-    return music.top_tracks_by_period(star, as_of).filter((F.col("period") == period) & (F.col("rank") <= limit))
+    return music.top_tracks_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
 def top_albums(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R03."""
     _check_period(period)
     limit = min(limit, MAX_RANK_LIMIT)
-    return music.top_albums_by_period(star, as_of).filter((F.col("period") == period) & (F.col("rank") <= limit))
+    return music.top_albums_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
 def music_rankings(star: MusicStar, as_of, period: str, limit: int = 20) -> dict[str, DataFrame]:
