@@ -1406,3 +1406,31 @@ ORACLES["read_top_artists"] = (f"SELECT * FROM ({ORACLES['top_by_period_entity']
                                "WHERE period = 'last_365_days' AND rank <= 15")
 ORACLES["read_top_albums"] = (f"SELECT * FROM ({ORACLES['top_by_period_brand']}) r "
                               "WHERE period = 'all_time' AND rank <= 5")
+
+ORACLES["activities_with_music"] = f"""
+WITH {STAR},
+acts AS (
+  SELECT event_id AS activity_id, user_id, ts AS start_ts, ts + INTERVAL 30 MINUTE AS end_ts, value / 10 AS distance_km
+  FROM events WHERE event_type = 'purchase' ORDER BY event_id DESC LIMIT 100),
+plays AS (
+  SELECT ts AS played_at, CAST(json_extract_string(props, '$.k') AS BIGINT) AS track_id, user_id
+  FROM events WHERE event_type <> 'purchase'),
+names AS (
+  SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artist_names
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id),
+det AS (
+  SELECT a.*, p.played_at, p.track_id, t.track_name, n.all_artist_names, t.duration_ms, ar.artist_name AS primary_artist
+  FROM acts a
+  LEFT JOIN plays p ON p.user_id = a.user_id AND p.played_at >= a.start_ts AND p.played_at <= a.end_ts
+  LEFT JOIN tracks t ON t.track_id = p.track_id
+  LEFT JOIN names n ON n.track_id = p.track_id
+  LEFT JOIN bridge ba ON ba.track_id = t.track_id AND ba.artist_position = 0
+  LEFT JOIN artists ar ON ar.artist_id = ba.artist_id),
+g AS (
+  SELECT activity_id, user_id, start_ts, end_ts, distance_km,
+         array_to_string(list(concat_ws('|', strftime(played_at, '%Y-%m-%d %H:%M:%S'), track_name, all_artist_names,
+                                        primary_artist) ORDER BY played_at), '; ') AS tracks_played_during_activity,
+         COUNT(DISTINCT track_id) AS unique_tracks_count, SUM(duration_ms) AS total_music_duration_ms
+  FROM det GROUP BY activity_id, user_id, start_ts, end_ts, distance_km)
+SELECT *, '0h 30m 0s' AS duration_formatted, {hms('total_music_duration_ms')} AS music_duration_formatted FROM g
+"""

@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import duration_to_hms, empty_to_null, least_strict, ms_to_hms, time_of_day
+from tessera.functions.columns import (
+    duration_to_hms,
+    empty_to_null,
+    least_strict,
+    ms_to_hms,
+    ordered_array,
+    time_of_day,
+)
 from tessera.operators.relational import global_top_k, interval_join, thin_points
 from tessera.plans.star import star_from_events
 from tessera.sources.tables import Tables
@@ -70,6 +77,39 @@ def activity_music(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def last_activities_with_music(spark: SparkSession, d: str, k: int = 100) -> DataFrame:
+    """The last ``k`` activities (by id) with every play heard during each —
+    time, track, credits, album, primary artist — plus distinct tracks, music
+    time and readable durations.
+
+    The primary artist comes from a left join whose ON clause carries the
+    constant role condition (J04), so tracks without a primary credit keep
+    their row.  An activity with no play keeps one entry of nulls, like the
+    left-joined model; the track list is returned as text (one
+    ``time|track|credits|artist`` item per play, in time order).
+    """
+    recent = F.broadcast(global_top_k(activities(spark, d), [F.col("activity_id").desc()], k, rank_col=None))  # k rows
+    star = star_from_events(spark, d)
+    bridge = star.bridge
+    tracks = star.tracks.alias("t").join(
+        bridge.alias("b"), (F.col("t.track_id") == F.col("b.track_id")) & (F.col("b.artist_role") == "primary"),
+        "left").join(star.artists.alias("ar"), F.col("b.artist_id") == F.col("ar.artist_id"), "left").select(
+        F.col("t.track_id").alias("track_id"), F.col("t.track_name").alias("track_name"),
+        F.col("t.album_id").alias("album_name"), F.col("ar.artist_name").alias("primary_artist"))
+    heard = _pairs(spark, d, recent).select("activity_id", "played_at", "track_id", "duration_ms").join(
+        tracks, "track_id", "left").join(star.track_artist_names(), "track_id", "left")
+    rows = recent.join(heard, "activity_id", "left")
+    item = F.concat_ws("|", F.date_format("played_at", "yyyy-MM-dd HH:mm:ss"), F.col("track_name"),
+                       F.col("all_artist_names"), F.col("primary_artist"))
+    agg = rows.groupBy("activity_id", "user_id", "start_ts", "end_ts", "distance_km").agg(
+        F.array_join(ordered_array(item, F.col("played_at")), "; ").alias("tracks_played_during_activity"),
+        F.countDistinct("track_id").alias("unique_tracks_count"),
+        F.sum("duration_ms").alias("total_music_duration_ms"))
+    return agg.select(
+        "*", duration_to_hms(F.lit(ACTIVITY_MINUTES * 60)).alias("duration_formatted"),
+        ms_to_hms("total_music_duration_ms").alias("music_duration_formatted"))
+
+
 def recent_activities_with_plays(spark: SparkSession, d: str, k: int = 100) -> DataFrame:
     """The last ``k`` activities, each with its plays as an ordered list (JSON)."""
     recent = global_top_k(activities(spark, d), [F.col("start_ts").desc(), F.col("activity_id").desc()], k,
