@@ -535,7 +535,7 @@ WITH n AS (
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS point_idx,
          CAST(ceil(COUNT(*) OVER (PARTITION BY user_id) / 80.0) AS BIGINT) AS step
   FROM events)
-SELECT user_id, CAST(point_idx AS INTEGER) AS point_idx, ts, value, step FROM n WHERE point_idx % step = 0
+SELECT user_id, CAST(point_idx AS BIGINT) AS point_idx, ts, value, step FROM n WHERE point_idx % step = 0
 """
 
 ORACLES["zone_percentages"] = """
@@ -1430,7 +1430,7 @@ g AS (
   SELECT activity_id, user_id, start_ts, end_ts, distance_km,
          array_to_string(list(concat_ws('|', strftime(played_at, '%Y-%m-%d %H:%M:%S'), track_name, all_artist_names,
                                         primary_artist) ORDER BY played_at), '; ') AS tracks_played_during_activity,
-         COUNT(DISTINCT track_id) AS unique_tracks_count, SUM(duration_ms) AS total_music_duration_ms
+         COUNT(DISTINCT track_id) AS unique_tracks_count, CAST(SUM(duration_ms) AS BIGINT) AS total_music_duration_ms
   FROM det GROUP BY activity_id, user_id, start_ts, end_ts, distance_km)
 SELECT *, '0h 30m 0s' AS duration_formatted, {hms('total_music_duration_ms')} AS music_duration_formatted FROM g
 """
