@@ -5,8 +5,9 @@ Plan shape shared by all rankings: aggregate the fact on ``track_id`` first
 attributes to the aggregate rather than to every play, rank with a literal
 ``row_number`` bound (partial ``WindowGroupLimit`` below the shuffle), and
 look up display attributes only for the ranked rows.  ``count(distinct
-played_at)`` in the source models equals a row count here because the fact
-is unique on ``play_id`` and the bridge is distinct on (track, artist).
+played_at)`` in the source models is a row count here: the fact holds one
+row per play (a play is a line or an event) and the bridge is distinct on
+(track, artist).
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ derives it from the provided TPC-H-style tables so every query's work grows
 with the data:
 
 * play fact      ← lineitem: one play per line, ``played_at = l_shipdate``,
-                   ``play_id`` unique per (order, line), ``track_id = l_partkey``
+                   ``play_id = order * 100 + line`` (a label: (order, line)
+                   repeats in the provided data), ``track_id = l_partkey``
 * dim_tracks     ← part: name, album (= brand), duration ``p_size * 6000`` ms
 * dim_albums     ← distinct brands with their track count
 * dim_artists    ← supplier
