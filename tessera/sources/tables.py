@@ -31,6 +31,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        # dates are taken from UTC instants, as in the source models; a session
+        # created elsewhere (a driver, a notebook) may carry a local zone
+        if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
