@@ -1356,24 +1356,59 @@ SELECT user_id, date, date_trunc('millisecond', start_ts) AS sleep_start_gmt, {r
 FROM n
 """
 
-ORACLES["staged_artist_enrichment"] = """
-WITH raw AS (
+_STAGED_ENRICH = """
+raw AS (
   SELECT s_suppkey AS artistId, s_name AS artistName, r.run,
          CAST((floor(s_acctbal / 100) + r.run * 3) % 101 + CASE WHEN (floor(s_acctbal / 100) + r.run * 3) % 101 < 0
               THEN 101 ELSE 0 END AS BIGINT) AS popularity,
          CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey + r.run AS followerCount,
-         CASE WHEN r.run = 0 THEN lower(n_name) ELSE lower(n_name) || ', remastered' END AS genres,
-         'https://img/' || CAST(s_suppkey AS VARCHAR) || '/640' AS imageUrlLarge,
-         'https://img/' || CAST(s_suppkey AS VARCHAR) || '/300' AS imageUrlMedium,
-         CASE WHEN r.run = 1 AND s_suppkey % 5 = 0 THEN NULL
+         CASE WHEN r.run = 0 THEN lower(n_name) WHEN s_suppkey % 7 = 0 THEN ''
+              ELSE lower(n_name) || ', remastered' END AS genres,
+         CASE WHEN r.run = 1 AND s_suppkey % 11 = 0 THEN NULL
+              ELSE 'https://img/' || CAST(s_suppkey AS VARCHAR) || '/640' END AS imageUrlLarge,
+         CASE WHEN r.run = 1 AND s_suppkey % 11 = 0 THEN NULL
+              ELSE 'https://img/' || CAST(s_suppkey AS VARCHAR) || '/300' END AS imageUrlMedium,
+         CASE WHEN r.run = 1 AND (s_suppkey % 5 = 0 OR s_suppkey % 11 = 0) THEN NULL
               ELSE 'https://img/' || CAST(s_suppkey AS VARCHAR) || '/64' END AS imageUrlSmall,
          CASE WHEN r.run = 0 THEN TIMESTAMP '2024-01-01'
               ELSE CAST(DATE '2024-01-01' + CAST(s_suppkey % 20 - 10 AS INTEGER) AS TIMESTAMP) END AS enrichedAt
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey, (SELECT 0 AS run UNION ALL SELECT 1) r)
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey, (SELECT 0 AS run UNION ALL SELECT 1) r),
+staged AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY artistId ORDER BY enrichedAt DESC, run DESC) AS rn
+                 FROM raw) WHERE rn = 1)
+"""
+
+ORACLES["staged_artist_enrichment"] = f"""
+WITH {_STAGED_ENRICH}
 SELECT artistId, artistName, popularity, followerCount, genres, imageUrlLarge, imageUrlMedium, imageUrlSmall,
        enrichedAt
-FROM (SELECT *, row_number() OVER (PARTITION BY artistId ORDER BY enrichedAt DESC, run DESC) AS rn FROM raw)
-WHERE rn = 1
+FROM staged
+"""
+
+ORACLES["artists_large_image"] = f"""
+WITH {_STAGED_ENRICH},
+imgs AS (
+  SELECT artistId, artistName, popularity, followerCount, imageUrlLarge AS url, 640 AS h FROM staged
+  WHERE imageUrlLarge IS NOT NULL
+  UNION ALL
+  SELECT artistId, artistName, popularity, followerCount, imageUrlMedium, 300 FROM staged WHERE imageUrlMedium IS NOT NULL
+  UNION ALL
+  SELECT artistId, artistName, popularity, followerCount, imageUrlSmall, 64 FROM staged WHERE imageUrlSmall IS NOT NULL)
+SELECT CAST(row_number() OVER (ORDER BY popularity DESC, artistId) AS INTEGER) AS rank, artistName, popularity,
+       followerCount, url AS profile_image, CAST(h AS BIGINT) AS height, CAST(h AS BIGINT) AS width
+FROM imgs WHERE h >= 640 ORDER BY popularity DESC, artistId LIMIT 20
+"""
+
+ORACLES["artists_without_genres"] = f"""
+WITH {_STAGED_ENRICH}
+SELECT artistName, artistId, popularity, followerCount, enrichedAt FROM staged WHERE genres = ''
+"""
+
+ORACLES["artists_with_profile_image"] = f"""
+WITH {_STAGED_ENRICH}
+SELECT CAST(row_number() OVER (ORDER BY popularity DESC, artistId) AS INTEGER) AS rank, artistName, popularity,
+       followerCount, imageUrlLarge AS profile_image
+FROM staged WHERE imageUrlLarge IS NOT NULL ORDER BY popularity DESC, artistId LIMIT 20
 """
 
 

@@ -123,8 +123,9 @@ def artist_enrichment_raw(spark, d: str) -> DataFrame:
     """Raw artist-enrichment records, two runs per supplier (JSON text columns).
 
     Run 1 re-enriches every artist with a shifted date (some earlier than run
-    0, so keep-latest must order by ``enrichedAt`` first), an extra genre,
-    and drops the small image for every fifth artist.
+    0, so keep-latest must order by ``enrichedAt`` first) and an extra genre;
+    it drops the small image of every fifth artist, all images of every
+    eleventh and all genres of every seventh.
     """
     from tessera.sources.tables import Tables
 
@@ -139,8 +140,10 @@ def artist_enrichment_raw(spark, d: str) -> DataFrame:
         genres = F.array(F.lower("n_name"))
         enriched = F.lit(FIRST_RUN_AT)
         if run == 1:
-            images = F.when(F.pmod(F.col("s_suppkey"), F.lit(5)) == 0, F.array(*imgs[:2])).otherwise(images)
-            genres = F.array(F.lower("n_name"), F.lit("remastered"))
+            images = (F.when(F.pmod(F.col("s_suppkey"), F.lit(11)) == 0, F.array().cast(T.ArrayType(IMAGE)))
+                      .when(F.pmod(F.col("s_suppkey"), F.lit(5)) == 0, F.array(*imgs[:2])).otherwise(images))
+            genres = F.when(F.pmod(F.col("s_suppkey"), F.lit(7)) == 0, F.array().cast("array<string>")).otherwise(
+                F.array(F.lower("n_name"), F.lit("remastered")))
             enriched = F.date_format(F.date_add(F.lit(FIRST_RUN_AT[:10]).cast("date"),
                                                 (F.pmod(F.col("s_suppkey"), F.lit(20)) - 10).cast("int")),
                                      "yyyy-MM-dd HH:mm:ss")
@@ -213,3 +216,38 @@ def staged_recently_played(spark, d: str) -> DataFrame:
     """L02 over the derived deliveries: latest delivery per play, image fields completed from the raw JSON."""
     return recently_played(recently_played_raw(spark, d)).select(
         "playedAt", "trackId", "albumImageUrl", "albumImageHeight", "albumImageWidth")
+
+
+def _staged(spark, d: str) -> DataFrame:
+    return artist_enrichment(artist_enrichment_raw(spark, d))
+
+
+def artists_large_image(spark, d: str, min_height: int = 640, k: int = 20) -> DataFrame:
+    """artists' images of at least ``min_height`` px (unnested), most popular first."""
+    from tessera.operators.relational import global_top_k
+
+    s = _staged(spark, d)
+    imgs = s.select("artistId", "artistName", "popularity", "followerCount",
+                    F.explode(F.filter(F.array("image_large", "image_medium", "image_small"),
+                                       lambda x: x.isNotNull())).alias("image"))
+    big = imgs.filter(F.col("image.height") >= min_height)
+    top = global_top_k(big, [F.col("popularity").desc(), F.col("artistId")], k)
+    return top.select("rank", "artistName", "popularity", "followerCount", F.col("image.url").alias("profile_image"),
+                      F.col("image.height").alias("height"), F.col("image.width").alias("width"))
+
+
+def artists_without_genres(spark, d: str) -> DataFrame:
+    """Enriched artists whose genre list is empty (data-quality monitor)."""
+    s = _staged(spark, d).filter(F.size("genres") == 0)
+    return s.select("artistName", "artistId", "popularity", "followerCount",
+                    F.col("enrichedAt").cast("timestamp_ntz").alias("enrichedAt"))
+
+
+def artists_with_profile_image(spark, d: str, k: int = 20) -> DataFrame:
+    """Artists that have a large image URL, most popular first."""
+    from tessera.operators.relational import global_top_k
+
+    s = _staged(spark, d).filter(F.col("imageUrlLarge").isNotNull())
+    top = global_top_k(s, [F.col("popularity").desc(), F.col("artistId")], k)
+    return top.select("rank", "artistName", "popularity", "followerCount",
+                      F.col("imageUrlLarge").alias("profile_image"))
