@@ -234,17 +234,29 @@ def track_vs_album_artists(spark: SparkSession, d: str) -> DataFrame:
     """Collaborations inside saved albums — per (album, album artist,
     track name), the names of every credited artist of those tracks.
 
-    The double unnest ``UNNEST(tracks) × UNNEST(track.artists)`` followed by
-    a regroup is written as one explode of ``tracks`` and a ``flatten`` of
-    the collected artist lists: the same multiset of names, without the
-    artist-level rows.
+    The model nests tracks (with their artists) per album and unnests them
+    twice again.  Here the lines are joined straight to each track's
+    credited names (bounded by one track's credits) and regrouped per
+    (order, track name): the same multiset of names, with no album-level
+    arrays built only to be exploded.  The album artist is the supplier of
+    the order's first line, as in :func:`saved_albums`.
     """
-    a = saved_albums(spark, d)
-    tr = a.select("album_name", _primary("album_artists").alias("album_artist"), F.explode("tracks").alias("track"))
-    tr = tr.filter(F.size("track.artists") > 1)
-    return tr.groupBy("album_name", "album_artist", F.col("track.track_name").alias("track_name")).agg(
-        F.array_join(F.array_sort(F.flatten(F.collect_list(F.col("track.artists.artist_name")))), ", ")
-        .alias("track_artists"))
+    t = Tables(spark, d)
+    star = star_from_tables(spark, d)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("track_id"), "l_suppkey")
+    names = star.bridge.join(star.artists, "artist_id").groupBy("track_id").agg(
+        F.collect_list("artist_name").alias("names")).filter(F.size("names") > 1)
+    part = t.part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"))
+    per = lines.join(names, "track_id").join(part, "track_id", "left").groupBy("l_orderkey", "track_name").agg(
+        F.flatten(F.collect_list("names")).alias("_names"))
+    first = lines.groupBy("l_orderkey").agg(
+        F.min(F.struct("l_linenumber", "l_suppkey", "track_id"))["l_suppkey"].alias("_s"))
+    albums = (t.orders.select(F.col("o_orderkey").alias("l_orderkey")).join(first, "l_orderkey")
+              .join(t.supplier.select(F.col("s_suppkey").alias("_s"), F.col("s_name").alias("album_artist")), "_s",
+                    "left"))
+    return per.join(albums, "l_orderkey").select(
+        F.concat(F.lit("Album #"), F.col("l_orderkey").cast("string")).alias("album_name"), "album_artist",
+        "track_name", F.array_join(F.array_sort("_names"), ", ").alias("track_artists"))
 
 
 def copyright_types(spark: SparkSession, d: str, samples: int = 5) -> DataFrame:
