@@ -109,6 +109,22 @@ def tumbling_aggregates(df: DataFrame, ts_col: str, value_col: str, unit: str =
     )
 
 
+def sliding_counts(df: DataFrame, ts_col: str, keys: Sequence[str], days: int = 7, slide: str = "1 day",
+                   delay: str = "1 day") -> DataFrame:
+    """X07 for short spans: plays per key over a ``days``-long window that
+    slides every ``slide``, finalised by the watermark (state per open window
+    and key).  Long look-backs (30 / 365 days, all time) stay batch
+    recomputations with ``period_rollup``: their state would hold a year of
+    keys."""
+    win = F.window(ts_col, f"{days} days", slide)
+    return (
+        _event_time(df, ts_col).withWatermark(ts_col, delay)
+        .groupBy(win.alias("window"), *keys)
+        .agg(F.count(F.lit(1)).alias("plays"))
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "plays")
+    )
+
+
 def greedy_dedupe_stream(df: DataFrame, key: str, ts_col: str, window_hours: float,
                          out_schema: T.StructType | None = None) -> DataFrame:
     """The greedy window dedupe (N26) as keyed streaming state.
