@@ -19,7 +19,7 @@ from tessera.functions.columns import (
     ordered_array,
     time_of_day,
 )
-from tessera.operators.relational import global_top_k, interval_join, thin_points
+from tessera.operators.relational import global_top_k, interval_join, keyed_row_number, thin_points
 from tessera.plans.star import star_from_events
 from tessera.sources.tables import Tables
 
@@ -126,25 +126,17 @@ def recent_activities_with_plays(spark: SparkSession, d: str, k: int = 100) -> D
 
 
 def next_event_time(df: DataFrame, entity: str, ts_col: str, id_col: str, name: str = "next_ts") -> DataFrame:
-    """W06 ``LEAD(ts)`` per entity, skew-safe.
+    """W06 ``LEAD(ts)`` per entity, with no entity in one task.
 
-    A plain ``lead() over (partition by entity)`` sends a hot entity's whole
-    history to one task.  Here the window runs per (entity, day); the last
-    row of a day takes the first time of the entity's next active day, found
-    on a per-day aggregate (one row per entity-day, bounded by the calendar).
+    A ``lead() over (partition by entity)`` sends a hot entity's whole
+    history to one task.  Here every row gets its exact per-entity row
+    number from :func:`keyed_row_number` (range pieces, a hot entity is cut
+    over many partitions), and the next row is a join on (entity, number + 1)
+    — hash-partitioned on a key that is unique per row, so evenly spread.
     """
-    day = F.to_date(F.col(ts_col))
-    keyed = df.withColumn("_day", day)
-    w = Window.partitionBy(entity, "_day").orderBy(ts_col, id_col)
-    in_day = keyed.withColumn("_next_in_day", F.lead(ts_col).over(w))
-    firsts = keyed.groupBy(entity, "_day").agg(F.min(ts_col).alias("_first"))
-    wd = Window.partitionBy(entity).orderBy("_day")
-    next_day_first = firsts.select(entity, "_day", F.lead("_first").over(wd).alias("_next_day_first"))
-    return (
-        in_day.join(next_day_first, [entity, "_day"], "left")
-        .withColumn(name, F.coalesce("_next_in_day", "_next_day_first"))
-        .drop("_day", "_next_in_day", "_next_day_first")
-    )
+    numbered = keyed_row_number(df, entity, [ts_col, id_col], "_rn")
+    following = numbered.select(entity, (F.col("_rn") - 1).alias("_rn"), F.col(ts_col).alias(name))
+    return numbered.join(following, [entity, "_rn"], "left").drop("_rn")
 
 
 def listen_with_next(spark: SparkSession, d: str) -> DataFrame:
