@@ -21,6 +21,22 @@ _REQUIRED_CONF = {
 }
 
 
+# Sizing for a ~100 TB, ~1000-executor cluster, applied only where the
+# cluster configuration leaves a key unset.  Shuffles start wide (64k
+# partitions: ~20 TB of projected shuffle data at ~300 MB each) and AQE
+# coalesces them toward 256 MB; scans split files at 256 MB; skewed join
+# partitions above 1 GB (and 5x the median) are split.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "65536",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_spark(
     app: str = "tessera",
     master: str | None = None,
@@ -29,8 +45,9 @@ def get_spark(
 ) -> SparkSession:
     """Return (or create) the session.
 
-    On a cluster ``master`` stays None so the launcher decides.  Locally
-    (tests, bench) pass ``local[N]``.  ``spark.checkpoint.dir`` is read
+    On a cluster ``master`` stays None so the launcher decides, and
+    ``CLUSTER_DEFAULTS`` fill the sizing keys the cluster left unset.
+    Locally (tests, bench) pass ``local[N]``.  ``spark.checkpoint.dir`` is read
     from the cluster configuration; only when it is unset (tests) is a
     private scratch folder created.
     """
@@ -47,6 +64,12 @@ def get_spark(
     for key, value in _REQUIRED_CONF.items():
         if key != "spark.ui.enabled":
             spark.conf.set(key, value)
+    if not master:  # on a cluster: size for the data unless the cluster (or the caller) already decided
+        explicit = spark.sparkContext.getConf()
+        requested = set(extra_conf or {}) | ({"spark.sql.shuffle.partitions"} if shuffle_partitions else set())
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not explicit.contains(key) and key not in requested:
+                spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -59,7 +82,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local"):
+            # executors on many machines need one shared folder; a local temp dir would lose lineage cuts
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")  # local mode only (tests, bench)
     sc.setCheckpointDir(configured)
     return configured
 
