@@ -143,6 +143,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column], name: str = "
     broadcast them back.  The sorted, numbered frame is checkpointed so both
     uses see one materialization.
     """
+    from tessera.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)  # the session's shared folder (a private one only in local mode)
     sorted_df = df.orderBy(*order_cols)
     numbered = (
         sorted_df.withColumn("_pid", F.spark_partition_id())

@@ -70,7 +70,8 @@ def get_spark(
         for key, value in CLUSTER_DEFAULTS.items():
             if not explicit.contains(key) and key not in requested:
                 spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)  # clusters set theirs; it is read when a lineage cut needs it
     return spark
 
 
