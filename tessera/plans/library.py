@@ -132,7 +132,8 @@ def _track_credits(star: MusicStar) -> DataFrame:
         ordered_array(F.struct("artist_id", "artist_name"), F.col("artist_position")).alias("artists"))
 
 
-def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None, track_details: bool = True) -> DataFrame:
+def saved_albums(spark: SparkSession, d: str, top_orders: DataFrame | None = None,
+                 track_details: bool = True) -> DataFrame:
     """One row per saved album: order attributes, nested ``tracks`` (each with
     its ``artists``), ``album_artists`` (distinct line suppliers, in line
     order) and two ``copyrights`` entries.
@@ -141,14 +142,16 @@ def saved_albums(spark: SparkSession, d: str, orders: DataFrame | None = None, t
     key, so the aggregate's hash partitioning is reused by the join.  With
     ``track_details=False`` each track keeps only its number and id: queries
     that read the album level (counts, album artists, copyrights) skip the
-    part and credit joins entirely.
+    part and credit joins entirely.  ``top_orders`` is a top-k of ``orders``
+    (at most k rows): the lines are pruned to those keys by a broadcast semi
+    join before anything is nested.
     """
     t = Tables(spark, d)
     star = star_from_tables(spark, d)
-    selected = orders is not None  # a bounded selection (top-k) of orders
-    orders = orders if selected else t.orders
+    selected = top_orders is not None
+    orders = top_orders if selected else t.orders
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("track_id"), "l_suppkey")
-    if selected:  # prune the lines to the k orders before nesting them
+    if selected:  # k keys: bounded by the ranking, safe to broadcast
         lines = lines.join(F.broadcast(orders.select(F.col("o_orderkey").alias("l_orderkey"))), "l_orderkey",
                            "left_semi")
     track_fields = [F.col("l_linenumber").alias("track_number"), "track_id"]
