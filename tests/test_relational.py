@@ -125,3 +125,18 @@ def test_keyed_row_number_splits_hot_key(spark):
     assert {r.k: r.n for r in got.select("k", "n").distinct().collect()} == {
         r.k: r.c for r in df.groupBy("k").agg(F.count("*").alias("c")).collect()}
     assert spread > 1
+
+
+def test_next_event_time_matches_window_lead(spark):
+    from pyspark.sql import Window
+
+    from tessera.plans.activities import next_event_time
+
+    # user 0 holds most rows; ids make the order total
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 4 == 0, F.col("id") % 5).otherwise(F.lit(0)).alias("u"),
+        F.timestamp_seconds(F.lit(1704067200) + (F.col("id") * 7919 % 3001) * 60).alias("ts"), F.col("id"))
+    got = next_event_time(df, "u", "ts", "id", "nxt")
+    want = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("u").orderBy("ts", "id")))
+    assert got.count() == 3000
+    assert got.select("u", "ts", "id", "nxt").exceptAll(want.select("u", "ts", "id", "nxt")).count() == 0
