@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_half_up
-from tessera.operators.relational import as_date, batch_ids, global_top_k, top_k_per_group
+from tessera.operators.relational import as_date, batch_ids, top_k_per_group
 from tessera.plans.star import MusicStar, star_from_tables
 from tessera.sources.tables import Tables
 
