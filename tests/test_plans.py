@@ -31,3 +31,12 @@ def test_no_nested_loop_or_stray_python(spark, name):
 def test_lookback_reaches_the_scan(spark):
     plan = _plan(spark, "read_top_tracks")
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan)
+
+
+@pytest.mark.parametrize("name", ["real_duration_lead", "real_duration_daily", "sampled_polyline"])
+def test_per_entity_order_has_no_entity_window(spark, name):
+    """The per-listener lead and the per-user point numbering come from
+    range-pieced row numbers: no window partitioned by the entity alone."""
+    plan = _plan(spark, name)
+    assert "lead(" not in plan
+    assert not re.search(r"Window \[row_number\(\)[^\]]*\], \[user_id#\d+L?\]", plan)
