@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices
+from tessera.llm.common import slices, staged
 
 #: Bits of the word bins and of the bigram bins; pseudo-counts of the two smoothing steps.
 WORD_BITS, PAIR_BITS, PRIOR_PAIR, PRIOR_WORD = 16, 19, 50.0, 1000.0
@@ -105,8 +105,9 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .filter("quality = 1 and toxic = 0").select(F.col("doc_id").alias("label_id"), F.lit(True).alias("target"))
     )
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    flagged = texts.join(chosen, texts.doc_id == chosen.label_id, "left")
-    return flagged.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    # a sort-merge join at every size; written once, as counting and scoring both read it
+    flagged = texts.join(chosen.hint("merge"), texts.doc_id == chosen.label_id, "left")
+    return staged(flagged.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")), "scoring")
 
 
 def models(flagged: DataFrame) -> tuple[Model, Model]:
