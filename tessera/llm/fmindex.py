@@ -9,20 +9,21 @@ from __future__ import annotations
 
 import numpy as np
 
-_ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
 
 class Bits:
-    """Packed bit vector with rank: ones before a position."""
+    """Bit vector packed in 64-bit words, with rank: ones before a position."""
 
     def __init__(self, bits: np.ndarray):
-        self.packed = np.concatenate((np.packbits(bits, bitorder="little"), np.zeros(1, np.uint8)))
-        self.before = np.concatenate(([0], np.cumsum(_ONES[self.packed], dtype=np.int64))).astype(np.int32)
+        packed = np.packbits(bits, bitorder="little")
+        self.packed = np.concatenate((packed, np.zeros(16 - len(packed) % 8, np.uint8))).view(np.uint64)
+        ones = np.bitwise_count(self.packed)
+        self.before = (np.cumsum(ones, dtype=np.int64) - ones).astype(np.int32)
 
     def rank(self, at: np.ndarray) -> np.ndarray:
-        byte = at >> 3
-        low = self.packed[byte] & ((1 << (at & 7)) - 1).astype(np.uint8)
-        return self.before[byte] + _ONES[low]
+        word = at >> 6
+        return self.before[word] + np.bitwise_count(self.packed[word] & _BELOW[at & 63])
 
 
 class WaveletTree:
@@ -30,21 +31,27 @@ class WaveletTree:
 
     def __init__(self, values: np.ndarray, levels: int):
         self.levels, self.bits, self.zeros = levels, [], []
+        top = int(values.max()) + 1 if len(values) else 1
         for level in range(levels - 1, -1, -1):
             bit = (values >> level) & 1
             self.bits.append(Bits(bit.astype(np.uint8)))
             self.zeros.append(int(len(values) - bit.sum()))
             values = np.concatenate((values[bit == 0], values[bit == 1]))
+        # where each number's own run begins below the last level
+        self.start = np.zeros(top, np.int32)
+        self.start = self.path(np.arange(top, dtype=np.int32), self.start)
+
+    def path(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Position below the last level that each value's path from a position leads to."""
+        for level, (bits, zeros) in enumerate(zip(self.bits, self.zeros, strict=True)):
+            one = (values >> (self.levels - 1 - level)) & 1
+            ones = bits.rank(at)
+            at = np.where(one, zeros + ones, at - ones)
+        return at
 
     def rank(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each value stands before its position."""
-        low, high = np.zeros_like(at), at
-        for level, (bits, zeros) in enumerate(zip(self.bits, self.zeros, strict=True)):
-            one = ((values >> (self.levels - 1 - level)) & 1).astype(bool)
-            r_low, r_high = bits.rank(low), bits.rank(high)
-            low = np.where(one, zeros + r_low, low - r_low)
-            high = np.where(one, zeros + r_high, high - r_high)
-        return high - low
+        return self.path(values, at) - self.start[values]
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -76,24 +83,24 @@ class FMIndex:
         # cyclic: the number before the first one is the last separator
         transform = text[suffix_order(text, depth + 1) - 1]
         self.tree = WaveletTree(transform, max(1, top.bit_length()))
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=top + 1))))[: top + 1]
-        self.size = len(text)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=top + 1)))).astype(np.int32)
 
     def matching_statistics(self, text: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
         """Longest run of numbers ending at each end (at most ``depth``) that the index holds ``least`` times or more."""
-        length = np.zeros(len(ends), np.int64)
-        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64)
-        active = np.arange(len(ends))
-        for step in range(self.depth):
+        length = np.zeros(len(ends), np.int32)
+        value = text[ends].astype(np.int32)
+        low, high = self.first[value], self.first[value + 1]  # the last number alone
+        active = np.flatnonzero((value > 0) & (high - low >= least))
+        low, high = low[active], high[active]
+        length[active] = 1
+        for step in range(1, self.depth):
             at = ends[active] - step
-            value = text[np.maximum(at, 0)]
+            value = text[np.maximum(at, 0)].astype(np.int32)
             base = self.first[value]
-            new_low = base + self.tree.rank(value, low[active])
-            new_high = base + self.tree.rank(value, high[active])
-            go = (at >= 0) & (value > 0) & (new_high - new_low >= least)
-            active, low_, high_ = active[go], new_low[go], new_high[go]
-            low[active], high[active] = low_, high_
-            length[active] = step + 1
+            low, high = base + self.tree.rank(value, low), base + self.tree.rank(value, high)
+            go = (at >= 0) & (value > 0) & (high - low >= least)
+            active, low, high = active[go], low[go], high[go]
             if not len(active):
                 break
+            length[active] = step + 1
         return length

@@ -42,7 +42,7 @@ from tessera.llm.fmindex import FMIndex
 WINDOW, GRAM = 35, 5
 SPAN = WINDOW - GRAM + 1
 #: Different segments of one minimiser that a shard takes; words of one FM-index; words of a shard.
-MOST, INDEX_WORDS, SHARD_WORDS = 2_000, 400_000, 2_000_000
+MOST, INDEX_WORDS, SHARD_WORDS = 2_000, 100_000, 2_000_000
 _BASE = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
 
@@ -155,13 +155,14 @@ def marks(parts: list[list[bytes]], weights: list[int]) -> list[int]:
     index = FMIndex(coded, WINDOW)
     starts = np.cumsum([0] + [len(c) + 1 for c in coded])
     text = np.concatenate([x for c in coded for x in (c, np.zeros(1, np.int64))])
-    ends = np.concatenate([np.arange(s + WINDOW - 1, s + len(c)) for s, c in zip(starts, coded, strict=False)])
-    repeated = index.matching_statistics(text, ends, 2) >= WINDOW
-    out, at = [], 0
-    for c, n in zip(coded, weights, strict=True):
-        m = len(c) - WINDOW + 1
-        hit = repeated[at : at + m] | (n > 1)
-        out.append(int((hit.astype(np.int64) << np.arange(m)).sum()))
+    # segments that stand in several places repeat whole; the windows of the others are looked up
+    alone = [i for i, n in enumerate(weights) if n == 1]
+    ends = [np.arange(starts[i] + WINDOW - 1, starts[i] + len(coded[i])) for i in alone]
+    repeated = index.matching_statistics(text, np.concatenate(ends), 2) >= WINDOW if ends else np.zeros(0, bool)
+    out, at = [(1 << (len(c) - WINDOW + 1)) - 1 for c in coded], 0
+    for i in alone:
+        m = len(coded[i]) - WINDOW + 1
+        out[i] = int((repeated[at : at + m].astype(np.int64) << np.arange(m)).sum())
         at += m
     return out
 
@@ -275,6 +276,7 @@ def repeated_segments(texts: DataFrame, most: int = MOST) -> DataFrame:
         held.join(hot, "key", "left_semi")
         .mapInArrow(_windows, "key long, digest long, windows int, n long, h1 long, h2 long, bit long"), "substr-windows")
     twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("times")).filter("times > 1").select("h1", "h2")
+    twice = staged(twice, "substr-twice")  # a plain join below, which Spark may split at a hot window
     by_digest = windows.join(twice, ["h1", "h2"]).groupBy("key", "digest", "windows").agg(F.bit_or("bit").alias("mask"))
     marked = staged(by_index.unionByName(by_digest).filter("mask <> 0"), "substr-marks")
     some = unlike.join(marked, ["key", "digest", "windows"]).select("row", "start", "windows", "mask")
