@@ -2,15 +2,16 @@
 
 Every document is read once: its base figures, and a hash of each of its
 normalised lines (lower case, single spaces) with the number of words it
-holds.  Per host (the source) the distinct documents of a line are counted.
-A copy or near copy of a document repeats the lines around a line too, so
-documents count as distinct where the neighbouring lines differ.  Lines in
-more than ``LINE_DOCS`` distinct documents, making up at least ``DISTINCT``
-of the line's documents, are removed.  A document with less than ``LEFT`` of
-its words left is rejected.
+holds.  Per host (the source) the documents of a line are counted, and how many
+of them are distinct: copies and near copies of one document are not.  A
+document is told apart by its rarest line, as the smallest digest of that
+line's three-word runs, which an edit here or there seldom changes.  Lines in
+more than ``LINE_DOCS`` distinct documents, making up at least ``DISTINCT`` of
+the line's documents, are removed.  A document with less than ``LEFT`` of its
+words left is rejected.
 
-A line's counts are pre-aggregated per task and never collected; a host or a
-line that holds a third of all rows is spread by the line and its neighbours.
+A line's counts are pre-aggregated per task and never collected; joins on a
+line read written tables, so Spark may split one that holds a third of all rows.
 
 Defined results: a null text counts as empty and fails the base rules; a null
 source is a host of its own; every input row gives one row, so repeated rows
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -61,16 +63,19 @@ def base_figures(text: str) -> tuple[int, int, int, int, int]:
 
 
 def line_hashes(text: str) -> list[tuple[int, int, int]]:
-    """(hash, hash of the neighbouring lines, words) of each different line with a word; repeats add their words."""
-    parts = [p for p in (line.split() for line in text.lower().encode().split(b"\n")) if p]
-    hashes = [xxhash.xxh64_intdigest(b" ".join(p)) - (1 << 63) for p in parts]
+    """(hash, smallest run digest, words) of each different line with a word; repeats add their words."""
     found: dict[int, list[int]] = {}
-    for i, (h, p) in enumerate(zip(hashes, parts, strict=True)):
+    for line in text.lower().encode().split(b"\n"):
+        words = line.split()
+        if not words:
+            continue
+        whole = b" ".join(words)
+        h = xxhash.xxh64_intdigest(whole) - (1 << 63)
         if h in found:
-            found[h][1] += len(p)
+            found[h][1] += len(words)
         else:
-            around = (hashes[i - 1] if i else 0, hashes[i + 1] if i + 1 < len(hashes) else 0)
-            found[h] = [xxhash.xxh64_intdigest(b"%d %d" % around) - (1 << 63), len(p)]
+            runs = map(b" ".join, zip(words, words[1:], words[2:], strict=False)) if len(words) > 3 else (whole,)
+            found[h] = [min(map(crc32, runs)), len(words)]
     return [(h, c, n) for h, (c, n) in found.items()]
 
 
@@ -103,13 +108,20 @@ def _judged(docs: DataFrame, line_docs: int, distinct: float, left: float) -> Da
     # an opaque row id, fixed by the write: ids of documents may be null or repeated
     base = staged(read.withColumn("row", F.monotonically_increasing_id()), "quality")
     lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.c", "l.n")
+    found = staged(lines.groupBy("host", "h").agg(F.count("*").alias("docs")), "quality-lines")
+    rarest = F.min(F.struct("docs", -F.col("n"), "h", "c"))
+    known = staged(lines.join(found, ["host", "h"]).groupBy("row").agg(rarest["c"].alias("own")), "quality-rarest")
+    often = staged(lines.join(found.filter(F.col("docs") > line_docs), ["host", "h"]), "quality-often")
     frequent = (
-        lines.groupBy("host", "h", "c").agg(F.count("*").alias("n"))
+        often.join(known, "row")
+        .groupBy("host", "h", "own").agg(F.count("*").alias("n"))
         .groupBy("host", "h").agg(F.sum("n").alias("docs"), F.count("*").alias("distinct"))
         .filter((F.col("distinct") > line_docs) & (F.col("distinct") >= F.col("docs") * distinct))
         .select("host", "h")
     )
-    removed = lines.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_removed_words"))
+    removed = often.join(staged(frequent, "quality-frequent"), ["host", "h"]).groupBy("row").agg(
+        F.sum("n").alias("n_removed_words")
+    )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     enough = F.col("n_words") - F.col("n_removed_words") >= left * F.col("n_words")
     return (
