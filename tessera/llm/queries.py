@@ -59,4 +59,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_repeated_substrings": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), win AS (
+            SELECT r, s, array_to_string(w[s : s + 34], ' ') AS t
+            FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM d)
+        ), cover AS (
+            SELECT DISTINCT r, unnest(range(s, s + 35)) AS p
+            FROM win SEMI JOIN (SELECT t FROM win GROUP BY t HAVING count(*) > 1) AS twice USING (t)
+        ), token AS (
+            SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+        ), kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY p) AS k, count(*) AS n FROM token ANTI JOIN cover USING (r, p) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
+}
