@@ -2,16 +2,19 @@
 
 period_rollup (A22), top_k_per_group (W01/W03/F15), global_top_k (O04/W02),
 interval_join (J06), spine (U04/J12), current_streak (W10),
-share_of_total (A20), page (O07), global_row_number / batch_ids (E03).
+share_of_total (A20), page (O07), bucketed_row_number / bucketed_lead (W06, P03), batch_ids (E03).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 # The five look-back periods of the ranking queries, in
 # display order, with their day offsets from ``as_of`` (None = all time)
@@ -135,42 +138,93 @@ def global_top_k(df: DataFrame, order_cols: Sequence[Column], k: int, rank_col:
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order_cols)))
 
 
-def global_row_number(df: DataFrame, order_cols: Sequence[Column], name: str = "row_number") -> DataFrame:
-    """1-based row number over a total order, without a single-partition window.
+def time_buckets(ts: Column) -> tuple[Column, Column]:
+    """Day and minute of a time, as the two bucket levels of an order that leads with it."""
+    minute = F.floor(_micros(ts) / 60_000_000)
+    return F.floor(minute / 1440), minute
 
-    Range-sort the data, number rows inside each sorted partition, count
-    rows per partition (one row per partition), prefix-sum those counts and
-    broadcast them back.  The sorted, numbered frame is checkpointed so both
-    uses see one materialization.
+
+class Buckets:
+    """Rows cut by value: (keys, coarse bucket, fine bucket), for orders that lead with the buckets.
+
+    Both bucket columns must never fall along the order, the fine one inside
+    a coarse one.  They depend on values only, so every evaluation (a retry, a
+    second scan, another partitioning) cuts the rows alike.  Keys and buckets
+    are held null-free, so that the plain joins below keep null keys and
+    share the windows' partitioning.
     """
-    from tessera.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)  # the session's shared folder (a private one only in local mode)
-    sorted_df = df.orderBy(*order_cols)
-    numbered = (
-        sorted_df.withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-        .checkpoint(eager=True)
-    )
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_pid", "_offset")
-    # one row per partition: bounded by the partition count, safe to broadcast
-    return (
-        numbered.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_offset") + F.col("_local") + 1)
-        .drop("_pid", "_mid", "_local", "_offset")
-    )
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], buckets: tuple[Column, Column]):
+        self.columns = df.columns
+        for i, k in enumerate(keys):
+            df = df.withColumn(f"_k{i}", F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")))
+        lowest = F.lit(-(2**63)).cast("bigint")  # nulls stand first
+        for name, b in zip(("_b1", "_b2"), buckets):
+            df = df.withColumn(name, F.coalesce(b.cast("bigint"), lowest))
+        self.rows = df
+        self.keys = [f"_k{i}" for i in range(len(keys))]
+        self.coarse = [*self.keys, "_b1"]
+        self.fine = [*self.coarse, "_b2"]
+
+    def inside(self, order_cols: Sequence) -> WindowSpec:
+        """The rows of one fine bucket, in order."""
+        return Window.partitionBy(*self.fine).orderBy(*order_cols)
+
+    def combine(self, per_bucket: Column, up: Column, fine_over, coarse_over) -> DataFrame:
+        """One row per fine bucket: ``_f`` over its coarse bucket's fine rows, ``_c`` over its key's coarse rows."""
+        fine = self.rows.groupBy(*self.fine).agg(per_bucket.alias("_v"))
+        coarse = fine.groupBy(*self.coarse).agg(up.alias("_v"))
+        by_fine = Window.partitionBy(*self.coarse).orderBy("_b2")
+        by_coarse = Window.partitionBy(*self.keys).orderBy("_b1")
+        coarse = coarse.select(*self.coarse, coarse_over(by_coarse).alias("_c"))
+        return fine.select(*self.fine, fine_over(by_fine).alias("_f")).join(coarse, self.coarse)
+
+
+def _sum_before(w: WindowSpec) -> Column:
+    return F.coalesce(F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def bucketed_row_number(df: DataFrame, keys: Sequence[str], buckets: tuple[Column, Column], order_cols: Sequence,
+                        name: str = "row_number", count_col: str | None = None) -> DataFrame:
+    """1-based ``row_number() over (partition by keys order by …)`` with no key in one task.
+
+    Rows are numbered inside their fine bucket; the counts of earlier buckets
+    (one row per bucket, summed fine within coarse within key) are joined back
+    on the bucket.  A hot key is spread over its buckets.  The order must be
+    total and lead with the buckets; ``count_col`` adds the key's row count.
+    """
+    b = Buckets(df, keys, buckets)
+    before = b.combine(F.count(F.lit(1)), F.sum("_v"), _sum_before, _sum_before)
+    numbered = b.rows.withColumn("_in", F.row_number().over(b.inside(order_cols))).join(before, b.fine)
+    numbered = numbered.withColumn(name, F.col("_c") + F.col("_f") + F.col("_in"))
+    extra = [name]
+    if count_col:
+        totals = b.rows.groupBy(*b.keys).agg(F.count(F.lit(1)).alias(count_col))
+        numbered = numbered.join(totals, b.keys)
+        extra.append(count_col)
+    return numbered.select(*b.columns, *extra)
+
+
+def bucketed_lead(df: DataFrame, keys: Sequence[str], ts_col: str, tie_cols: Sequence[str], name: str) -> DataFrame:
+    """``LEAD(ts) over (partition by keys order by ts, ties)`` with no key in one task.
+
+    Inside a fine bucket the next row's time is a window; a bucket's last row
+    takes the first time of the key's next bucket (one row per bucket).
+    """
+    b = Buckets(df, keys, time_buckets(F.col(ts_col)))
+    following = b.combine(F.min(ts_col), F.min("_v"), lambda w: F.lead("_v").over(w), lambda w: F.lead("_v").over(w))
+    w = b.inside([ts_col, *tie_cols])
+    led = b.rows.withColumn("_in", F.lead(ts_col).over(w)).withColumn("_more", F.lead(F.lit(True)).over(w))
+    led = led.join(following, b.fine)
+    return led.withColumn(name, F.when(F.col("_more"), F.col("_in")).otherwise(F.coalesce("_f", "_c"))).select(
+        *b.columns, name)
 
 
-def batch_ids(df: DataFrame, order_cols: Sequence[Column], size: int, name: str = "batch_id") -> DataFrame:
-    """Split an ordered work list into fixed batches of ``size``."""
-    rn = global_row_number(df, order_cols, "_rn")
-    return rn.withColumn(name, F.floor((F.col("_rn") - 1) / size).cast("bigint")).withColumnRenamed(
-        "_rn", "position")
+def batch_ids(df: DataFrame, buckets: tuple[Column, Column], order_cols: Sequence[Column], size: int,
+              name: str = "batch_id") -> DataFrame:
+    """Split a wholly ordered work list into fixed batches of ``size``."""
+    numbered = bucketed_row_number(df, [], buckets, order_cols, "position")
+    return numbered.withColumn(name, F.floor((F.col("position") - 1) / size).cast("bigint"))
 
 
 def _micros(ts: Column) -> Column:
@@ -247,9 +301,15 @@ def current_streak(
 
 
 def share_of_total(df: DataFrame, group_cols: Sequence[str], measure: str, name: str, digits: int = 1) -> DataFrame:
-    """A20 + A21: ``round(100 * m / sum(m) over group, digits)`` without a self join."""
-    total = F.sum(F.col(measure)).over(Window.partitionBy(*group_cols))
-    return df.withColumn(name, F.round(F.lit(100.0) * F.col(measure) / F.nullif(total, F.lit(0)), digits))
+    """A20 + A21: ``round(100 * m / sum(m) over group, digits)``.
+
+    The totals are a partial aggregate joined back (nulls group together), so
+    a group with a third of the rows is summed by all tasks, not one window.
+    """
+    totals = df.groupBy(*[F.col(c).alias(f"_t_{c}") for c in group_cols]).agg(F.sum(measure).alias("_total"))
+    same = reduce(and_, [df[c].eqNullSafe(totals[f"_t_{c}"]) for c in group_cols], F.lit(True))
+    share = F.round(F.lit(100.0) * F.col(measure) / F.nullif(F.col("_total"), F.lit(0)), digits)
+    return df.join(totals, same).withColumn(name, share).select(*df.columns, name)
 
 
 def page(df: DataFrame, order_cols: Sequence[Column], page_no: int, size: int) -> DataFrame:
@@ -268,45 +328,14 @@ def conjunction(preds: Sequence[Column | None]) -> Column:
     return out
 
 
-def keyed_row_number(df: DataFrame, key: str, order_cols: Sequence[str], name: str = "row_number",
-                     count_col: str | None = None) -> DataFrame:
-    """1-based ``row_number() over (partition by key order by …)`` with no key in one task.
-
-    A window partitioned by the key sends a hot key's rows to one task.
-    Here the rows are range-partitioned on (key, order…) — the sampled
-    bounds cut a hot key across many partitions — and numbered locally from
-    their position in the sorted partition.  One row per (partition, key)
-    carries the count; a window over those rows (a key spans at most all
-    partitions) gives each piece the rows of its key in earlier partitions.
-    The join back is on (partition, key), so every join group is at most one
-    range partition.  ``order_cols`` must make the order total.
-    ``count_col`` adds the key's total row count.
-    """
-    numbered = (
-        df.orderBy(key, *order_cols)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-    )
-    pieces = numbered.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    by_key = Window.partitionBy(key).orderBy("_pid")
-    pieces = pieces.withColumn(
-        "_offset", F.coalesce(F.sum("_cnt").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    if count_col:
-        pieces = pieces.withColumn(count_col, F.sum("_cnt").over(Window.partitionBy(key)))
-    out = numbered.join(pieces.drop("_cnt"), ["_pid", key]).withColumn(
-        name, F.col("_offset") + F.col("_pos") - F.col("_first") + 1)
-    return out.drop("_pid", "_pos", "_first", "_offset")
-
-
-def thin_points(df: DataFrame, key: str, order_cols: Sequence[str], max_points: int,
+def thin_points(df: DataFrame, key: str, buckets: tuple[Column, Column], order_cols: Sequence[str], max_points: int,
                 index_col: str = "point_idx") -> DataFrame:
     """P03 polyline thinning: keep every ``ceil(n / max_points)``-th point per key.
 
-    Numbering and point counts come from :func:`keyed_row_number`, so a key
-    with a third of all points is numbered by many tasks — no per-key window
-    and no key's points collected into one array.
+    Numbers and point counts come from :func:`bucketed_row_number`, so a key
+    with a third of all points is numbered by many tasks.
     """
-    numbered = keyed_row_number(df, key, order_cols, "_rn", count_col="_n").withColumn(
+    numbered = bucketed_row_number(df, [key], buckets, order_cols, "_rn", count_col="_n").withColumn(
         index_col, F.col("_rn") - 1)
     step = F.ceil(F.col("_n") / F.lit(max_points))
     return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n", "_rn")

@@ -19,7 +19,7 @@ from tessera.functions.columns import (
     ordered_array,
     time_of_day,
 )
-from tessera.operators.relational import global_top_k, interval_join, keyed_row_number, thin_points
+from tessera.operators.relational import bucketed_lead, global_top_k, interval_join, thin_points, time_buckets
 from tessera.plans.star import star_from_events
 from tessera.sources.tables import Tables
 
@@ -125,25 +125,11 @@ def recent_activities_with_plays(spark: SparkSession, d: str, k: int = 100) -> D
     )
 
 
-def next_event_time(df: DataFrame, entity: str, ts_col: str, id_col: str, name: str = "next_ts") -> DataFrame:
-    """W06 ``LEAD(ts)`` per entity, with no entity in one task.
-
-    A ``lead() over (partition by entity)`` sends a hot entity's whole
-    history to one task.  Here every row gets its exact per-entity row
-    number from :func:`keyed_row_number` (range pieces, a hot entity is cut
-    over many partitions), and the next row is a join on (entity, number + 1)
-    — hash-partitioned on a key that is unique per row, so evenly spread.
-    """
-    numbered = keyed_row_number(df, entity, [ts_col, id_col], "_rn")
-    following = numbered.select(entity, (F.col("_rn") - 1).alias("_rn"), F.col(ts_col).alias(name))
-    return numbered.join(following, [entity, "_rn"], "left").drop("_rn")
-
-
 def listen_with_next(spark: SparkSession, d: str) -> DataFrame:
     """P07 core: real listen time = least(duration, gap to the listener's next play)."""
     star = star_from_events(spark, d)
     fact = star.fact.join(star.tracks.select("track_id", "track_name", "duration_ms"), "track_id")
-    with_next = next_event_time(fact, "listener_id", "played_at", "play_id", "next_played_at")
+    with_next = bucketed_lead(fact, ["listener_id"], "played_at", ["play_id"], "next_played_at")
     gap_ms = F.expr("timestampdiff(MILLISECOND, played_at, next_played_at)")
     return with_next.withColumn(
         "real_listen_duration_ms",
@@ -173,12 +159,11 @@ def real_duration_daily(spark: SparkSession, d: str) -> DataFrame:
 def sampled_polyline(spark: SparkSession, d: str) -> DataFrame:
     """Keep every ``ceil(n/80)``-th point of each user's track (≤ ~80 points).
 
-    Point counts come from a partial aggregate joined back; the per-user
-    numbering is a streaming row_number — no user's points are collected
-    into one array.
+    Numbers and counts are summed over time buckets, so no user's points
+    meet in one task or one array.
     """
     ev = Tables(spark, d).events.select("user_id", "event_id", "ts", "value")
-    return thin_points(ev, "user_id", ["ts", "event_id"], MAX_POLYLINE_POINTS).select(
+    return thin_points(ev, "user_id", time_buckets(F.col("ts")), ["ts", "event_id"], MAX_POLYLINE_POINTS).select(
         "user_id", "point_idx", "ts", "value", "step")
 
 

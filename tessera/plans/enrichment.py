@@ -55,7 +55,8 @@ def artists_lacking_enrichment(spark: SparkSession, d: str) -> DataFrame:
 def enrichment_batches(spark: SparkSession, d: str) -> DataFrame:
     """The work list cut into fixed batches in play order."""
     work = artists_lacking_enrichment(spark, d)
-    return batch_ids(work, [F.col("play_count").desc(), F.col("artist_id")], ARTIST_BATCH).select(
+    buckets = (-F.col("play_count"), F.floor(F.col("artist_id") / 1024))
+    return batch_ids(work, buckets, [F.col("play_count").desc(), F.col("artist_id")], ARTIST_BATCH).select(
         "artist_id", "play_count", "position", "batch_id")
 
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import relational as R
@@ -46,13 +48,14 @@ def test_spines(spark):
     assert weeks == ["2024-01-15", "2024-01-22", "2024-01-29"]
 
 
-def test_global_row_number_and_batches(spark):
+def test_whole_table_numbers_and_batches(spark):
     df = spark.range(0, 1000, numPartitions=7).select((F.col("id") * 7919 % 1000).alias("v"))
-    out = R.global_row_number(df, [F.col("v").desc()], "rn")
+    v = F.col("v")
+    out = R.bucketed_row_number(df, [], (-F.ceil(v / 100), -F.ceil(v / 9)), [v.desc()], "rn")
     rows = sorted((r.rn, r.v) for r in out.collect())
     assert [r[0] for r in rows] == list(range(1, 1001))
     assert [r[1] for r in rows] == sorted([r[1] for r in rows], reverse=True)
-    b = R.batch_ids(df, [F.col("v")], 300)
+    b = R.batch_ids(df, (F.floor(v / 100), F.floor(v / 10)), [v], 300)
     counts = sorted((r.batch_id, r["count"]) for r in b.groupBy("batch_id").count().collect())
     assert counts == [(0, 300), (1, 300), (2, 300), (3, 100)]
 
@@ -81,7 +84,7 @@ def test_top_k_per_group_and_share(spark):
 def test_thin_points(spark):
     rows = [(n, i) for n in (1, 80, 81, 200) for i in range(n)]
     df = spark.createDataFrame(rows, "k int, i int")
-    got = {r.k: r["count"] for r in R.thin_points(df, "k", ["i"], 80).groupBy("k").count().collect()}
+    got = {r.k: r["count"] for r in R.thin_points(df, "k", (F.floor(F.col("i") / 50), F.floor(F.col("i") / 5)), ["i"], 80).groupBy("k").count().collect()}
     assert got == {1: 1, 80: 80, 81: 41, 200: 67}
 
 
@@ -104,39 +107,41 @@ def test_limited_ordered_array_and_one_row(spark):
     assert [r.m for r in R.with_one_row(df, stats.limit(0)).collect()] == [None] * 5
 
 
-def test_keyed_row_number_splits_hot_key(spark):
-    from pyspark.sql import Window
+@pytest.fixture(scope="module")
+def hot(spark):
+    """600,000 rows with a payload column; key 0 holds two thirds, one key is null."""
+    i = F.col("id")
+    return spark.range(0, 600_000, numPartitions=7).select(
+        F.when(i % 3 == 0, F.nullif(i % 7, F.lit(6))).otherwise(F.lit(0)).alias("k"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + i * 7919 % 600_011 * 7).alias("ts"), i.alias("id"),
+        F.sha2(i.cast("string"), 256).alias("payload"))
 
-    # key 0 holds two thirds of the rows; 8 range partitions cut it into pieces
-    df = spark.range(0, 6000).select(
-        F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("k"),
-        (F.col("id") * 7919 % 6001).alias("t"), F.col("id"))
-    got = R.keyed_row_number(df, "k", ["t", "id"], "rn", count_col="n")
-    # the mechanism: the range exchange cuts the hot key over several partitions
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+@pytest.mark.parametrize("aqe,partitions", [("true", 4), ("false", 16), ("true", 200)])
+def test_bucketed_numbers_and_lead_match_windows(spark, hot, aqe, partitions):
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
-        spread = (df.orderBy("k", "t", "id").select(F.spark_partition_id().alias("p"), "k")
-                  .filter(F.col("k") == 0).select("p").distinct().count())
+        got = R.bucketed_row_number(hot, ["k"], R.time_buckets(F.col("ts")), ["ts", "id"], "rn", count_col="n")
+        got = R.bucketed_lead(got, ["k"], "ts", ["id"], "nxt")
+        want = hot.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("k")))
+        want = want.withColumn("nxt", F.lead("ts").over(w))
+        total = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64(
+            "id", F.col("rn").cast("long"), F.col("n").cast("long"), "nxt"))).first()
+        assert total(got) == total(want)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
-    assert got.select("k", "t", "id", "rn").exceptAll(want.select("k", "t", "id", "rn")).count() == 0
-    assert got.count() == 6000
-    assert {r.k: r.n for r in got.select("k", "n").distinct().collect()} == {
-        r.k: r.c for r in df.groupBy("k").agg(F.count("*").alias("c")).collect()}
-    assert spread > 1
-
-
-def test_next_event_time_matches_window_lead(spark):
-    from pyspark.sql import Window
-
-    from tessera.plans.activities import next_event_time
-
-    # user 0 holds most rows; ids make the order total
-    df = spark.range(0, 3000).select(
-        F.when(F.col("id") % 4 == 0, F.col("id") % 5).otherwise(F.lit(0)).alias("u"),
-        F.timestamp_seconds(F.lit(1704067200) + (F.col("id") * 7919 % 3001) * 60).alias("ts"), F.col("id"))
-    got = next_event_time(df, "u", "ts", "id", "nxt")
-    want = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("u").orderBy("ts", "id")))
-    assert got.count() == 3000
-    assert got.select("u", "ts", "id", "nxt").exceptAll(want.select("u", "ts", "id", "nxt")).count() == 0
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_no_window_over_a_key_alone(spark, hot, capsys):
+    """Rows are windowed by key and bucket; only one row per bucket is windowed by key."""
+    R.bucketed_row_number(hot, ["k"], R.time_buckets(F.col("ts")), ["ts", "id"]).explain()
+    plan = capsys.readouterr().out
+    assert "monotonically_increasing_id" not in plan and "SPARK_PARTITION_ID" not in plan
+    lines = [x for x in plan.splitlines() if "Window [row_number()" in x]
+    assert lines and all("_b1" in x and "_b2" in x for x in lines)
+
+
