@@ -691,13 +691,12 @@ SELECT * FROM flt ORDER BY played_at DESC, play_id DESC LIMIT 50 OFFSET 50
 
 ORACLES["paged_total"] = f"""
 WITH {_LOG}
-SELECT COUNT(*) AS total, CAST(ceil(COUNT(*) / 50.0) AS BIGINT) AS pages FROM flt
+SELECT COUNT(*) AS total, greatest(CAST(ceil(COUNT(*) / 50.0) AS BIGINT), 1) AS pages FROM flt
 """
 
 ORACLES["facet_values"] = f"""
 WITH {_LOG}
-SELECT DISTINCT artist_name FROM log
-WHERE played_at >= TIMESTAMP '2024-01-10' AND played_at < TIMESTAMP '2024-01-21' AND artist_name IS NOT NULL
+SELECT DISTINCT artist_name FROM log WHERE artist_name IS NOT NULL
 """
 
 ORACLES["search_contains"] = f"""

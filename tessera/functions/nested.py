@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,13 +125,20 @@ def _is_numeric_matrix(dt: T.DataType) -> bool:
 def flatten_nested_arrays(col: Column, dt: T.DataType, widths: dict[str, int] | None = None, name: str = "") -> Column:
     """Walk a schema and rewrite every numeric ``[[…]]`` to an array of
     structs (pairs → ``{timestamp,value}``, wider → ``{val_i}``), recursing
-    into structs and arrays of structs.  Driven by the schema on the driver;
+    into structs and arrays of structs.  ``widths`` names the widest element of
+    each path (see :func:`matrix_widths`); without it an element keeps what
+    stands behind its pair in ``more``.  Driven by the schema on the driver;
     the resulting expression runs on executors.
     """
     widths = widths or {}
     if _is_numeric_matrix(dt):
-        w = widths.get(name, 2)
-        return flatten_pairs(col) if w == 2 else flatten_wide(col, w)
+        w = widths.get(name)
+        if w is not None:
+            return flatten_pairs(col) if w <= 2 else flatten_wide(col, w)
+        # width unknown: a pair, and whatever stands behind it
+        return F.transform(col, lambda x: F.struct(
+            F.get(x, F.lit(0)).alias("timestamp"), F.get(x, F.lit(1)).alias("value"),
+            F.when(F.size(x) > 2, F.slice(x, F.lit(3), F.greatest(F.size(x) - 2, F.lit(0)))).alias("more")))
     if isinstance(dt, T.StructType):
         return F.when(col.isNotNull(), F.struct(*[
             flatten_nested_arrays(col[f.name], f.dataType, widths, f"{name}.{f.name}".strip(".")).alias(f.name)
@@ -140,3 +147,30 @@ def flatten_nested_arrays(col: Column, dt: T.DataType, widths: dict[str, int] |
     if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
         return F.transform(col, lambda x: flatten_nested_arrays(x, dt.elementType, widths, name))
     return col
+
+
+def _widest(field: str):
+    return lambda element: F.array_max(F.transform(element[field], lambda x: F.size(x)))
+
+
+def matrix_widths(df: DataFrame) -> dict[str, int]:
+    """Widest element of every numeric ``[[…]]`` of a frame, by path: one row of maxima reaches the driver."""
+    found: dict[str, Column] = {}
+
+    def walk(col: Column, dt: T.DataType, name: str) -> None:
+        if _is_numeric_matrix(dt):
+            found[name] = F.array_max(F.transform(col, lambda x: F.size(x)))
+        elif isinstance(dt, T.StructType):
+            for f in dt.fields:
+                walk(col[f.name], f.dataType, f"{name}.{f.name}".strip("."))
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+            for f in dt.elementType.fields:
+                if _is_numeric_matrix(f.dataType):  # the widest over the array's elements
+                    found[f"{name}.{f.name}".strip(".")] = F.array_max(F.transform(col, _widest(f.name)))
+
+    for f in df.schema.fields:
+        walk(F.col(f.name), f.dataType, f.name)
+    if not found:
+        return {}
+    row = df.agg(*[F.max(c).alias(f"w{i}") for i, c in enumerate(found.values())]).first()
+    return {name: w for name, w in zip(found, row) if w is not None}

@@ -8,8 +8,10 @@ written table and an executor loss only reruns tasks of the write job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,13 +103,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_path(spark: SparkSession, staging: str, final: str) -> None:
-    """Swap a fully written staging directory into place."""
+    """Swap a fully written staging directory into place.
+
+    The old version is renamed aside first and removed only after the new one
+    stands; if the second rename fails the old version is put back.
+    """
     fs, dst = _fs(spark, final)
     _, src = _fs(spark, staging)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"rename {staging} -> {final} failed")
+    _, aside = _fs(spark, f"{final.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, aside):
+        raise OSError(f"rename {final} aside failed")
+    try:
+        done, why = fs.rename(src, dst), None
+    except Py4JJavaError as e:  # some file systems raise where others return false
+        done, why = False, e
+    if not done:
+        if had:
+            fs.rename(aside, dst)
+        raise OSError(f"rename {staging} -> {final} failed") from why
+    if had:
+        fs.delete(aside, True)
 
 
 def merge_into_path(
@@ -124,8 +140,8 @@ def merge_into_path(
     First run or ``full_refresh`` → the source is written as the table.
     Otherwise: new version = merge_upsert(target, source); written to a
     staging directory, then swapped in.  With ``partition_by`` only the
-    partitions the source touches are rewritten (dynamic partition
-    overwrite); untouched days are neither read nor written.
+    partitions that the source writes to or whose keys move are rewritten
+    (dynamic partition overwrite); of the others only the key columns are read.
     """
     from tessera.session import scratch_path
 
@@ -138,13 +154,20 @@ def merge_into_path(
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     if partition_by:
-        touched = src.select(*partition_by).distinct()
+        # partitions the source writes to, and those that hold a key that moves (keys and partitions only are read)
+        held = target.join(src.select(*keys).distinct(), list(keys), "left_semi").select(*partition_by)
+        touched = src.select(*partition_by).unionByName(held).distinct()
         affected = target.join(touched, list(partition_by), "left_semi")
         merged = merge_upsert(affected, src, keys)
         staged = scratch_path(spark, "merge")
         merged.write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
-        (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        written = spark.read.schema(merged.schema).parquet(staged)
+        emptied = touched.join(written.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
+        (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
+        for row in emptied:  # partition directories whose keys all moved away
+            fs, gone = _fs(spark, path.rstrip("/") + "".join(f"/{c}={row[c]}" for c in partition_by))
+            fs.delete(gone, True)
         return spark.read.parquet(path)
     merged = merge_upsert(target, src, keys)
     staged = scratch_path(spark, "merge")

@@ -365,4 +365,5 @@ def with_one_row(df: DataFrame, one_row: DataFrame, how: str = "left") -> DataFr
     ``how='left'`` is ``LEFT JOIN … ON TRUE``: rows survive (with nulls) when
     the relation is empty.  The relation is broadcast — it has one row.
     """
-    return df.join(F.broadcast(one_row), on=F.lit(True), how=how)
+    keyed = one_row.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(keyed), "_one", how).drop("_one")

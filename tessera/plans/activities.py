@@ -43,10 +43,8 @@ def activities(spark: SparkSession, d: str) -> DataFrame:
 
 def plays(spark: SparkSession, d: str) -> DataFrame:
     star = star_from_events(spark, d)
-    ev_types = Tables(spark, d).events.select(F.col("event_id").alias("play_id"), "event_type")
     return (
-        star.fact.join(ev_types, "play_id")
-        .filter(F.col("event_type") != ACTIVITY_TYPE)
+        star.fact.filter(F.col("event_type") != ACTIVITY_TYPE)
         .join(star.tracks.select("track_id", "duration_ms"), "track_id", "left")
         .select("play_id", "played_at", "track_id", F.col("listener_id").alias("user_id"), "duration_ms")
     )
@@ -192,7 +190,10 @@ def activities_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def activity_detail(spark: SparkSession, d: str, activity_id: int) -> dict[str, DataFrame]:
-    """One activity plus its user's ordered (thinned) track points."""
+    """One activity and all its points in time order (its user's events while it lasts)."""
     act = activities(spark, d).filter(F.col("activity_id") == F.lit(activity_id))
-    pts = sampled_polyline(spark, d).join(act.select("user_id"), "user_id", "left_semi").orderBy("point_idx")
-    return {"activity": act, "points": pts}
+    ev = Tables(spark, d).events.select("user_id", "event_id", "ts", "value")
+    span = F.broadcast(act.select(F.col("user_id").alias("_user"), "start_ts", "end_ts"))  # one row
+    inside = (F.col("user_id") == F.col("_user")) & F.col("ts").between(F.col("start_ts"), F.col("end_ts"))
+    points = ev.join(span, inside).select("user_id", "event_id", "ts", "value").orderBy("ts", "event_id")
+    return {"activity": act, "points": points}

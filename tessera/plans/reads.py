@@ -27,6 +27,11 @@ def _check_period(period: str) -> None:
         raise ValueError(f"period must be one of {VALID_PERIODS}")
 
 
+def _check_limit(limit: int, most: int) -> None:
+    if not 1 <= limit <= most:
+        raise ValueError(f"limit must be between 1 and {most}")
+
+
 def _periods(period: str):
     """Only the requested period is aggregated (a bounded one prunes the scan)."""
     from tessera.operators.relational import PERIODS
@@ -37,21 +42,21 @@ def _periods(period: str):
 def top_artists(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R01."""
     _check_period(period)
-    limit = min(limit, MAX_RANK_LIMIT)
+    _check_limit(limit, MAX_RANK_LIMIT)
     return music.top_artists_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
 def top_tracks(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R02."""
     _check_period(period)
-    limit = min(limit, MAX_RANK_LIMIT)
+    _check_limit(limit, MAX_RANK_LIMIT)
     return music.top_tracks_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
 def top_albums(star: MusicStar, as_of, period: str, limit: int = 20) -> DataFrame:
     """R03."""
     _check_period(period)
-    limit = min(limit, MAX_RANK_LIMIT)
+    _check_limit(limit, MAX_RANK_LIMIT)
     return music.top_albums_by_period(star, as_of, _periods(period)).filter(F.col("rank") <= limit)
 
 
@@ -77,7 +82,8 @@ def play_log(star: MusicStar) -> DataFrame:
     )
 
 
-def _log_filter(start_date=None, end_date=None, artist: str | None = None):
+def _log_filter(start_date=None, end_date=None, artist: str | None = None, time_from: str | None = None,
+                time_to: str | None = None):
     def d(x):
         return F.lit(x.isoformat() if isinstance(x, _dt.date) else str(x)).cast("date")
 
@@ -85,26 +91,33 @@ def _log_filter(start_date=None, end_date=None, artist: str | None = None):
         (F.col("played_at") >= d(start_date).cast("timestamp_ntz")) if start_date else None,
         (F.col("played_at") < F.date_add(d(end_date), 1).cast("timestamp_ntz")) if end_date else None,
         F.lower(F.col("artist_name")).contains(F.lower(F.lit(artist))) if artist else None,
+        F.col("played_time") >= F.lit(time_from) if time_from else None,
+        F.col("played_time") <= F.lit(time_to) if time_to else None,
     ])
 
 
 def recently_played(star: MusicStar, page_no: int = 1, size: int = 50, start_date=None, end_date=None,
-                    artist: str | None = None) -> dict[str, DataFrame]:
-    """One page of the filtered log, the total, page count and artist facet."""
+                    artist: str | None = None, time_from: str | None = None,
+                    time_to: str | None = None) -> dict[str, DataFrame]:
+    """One page of the filtered log, the total, page count (1 when empty) and the facet of all artists.
+
+    ``time_from`` / ``time_to`` (``HH:MM``) compare as text with the time of day.
+    """
     if size > MAX_PAGE_SIZE:
         raise ValueError(f"size must be <= {MAX_PAGE_SIZE}")
-    log = play_log(star).filter(_log_filter(start_date, end_date, artist))
+    log = play_log(star).filter(_log_filter(start_date, end_date, artist, time_from, time_to))
     rows = page(log, [F.col("played_at").desc(), F.col("play_id").desc()], page_no, size)
     total = log.agg(F.count(F.lit(1)).alias("total")).withColumn(
-        "pages", F.ceil(F.col("total") / F.lit(size)).cast("bigint"))
-    facet = play_log(star).filter(_log_filter(start_date, end_date, None)).select("artist_name").filter(
-        F.col("artist_name").isNotNull()).distinct()
+        "pages", F.greatest(F.ceil(F.col("total") / F.lit(size)).cast("bigint"), F.lit(1).cast("bigint")))
+    # whatever the page's filters: every artist with a play
+    played = star.fact.select("track_id").distinct().join(star.primary_bridge(), "track_id").join(star.artists, "artist_id")
+    facet = played.select("artist_name").filter(F.col("artist_name").isNotNull()).distinct()
     return {"rows": rows, "total": total, "artists": facet}
 
 
 def search_artists(star: MusicStar, search: str | None = None, limit: int = 50) -> DataFrame:
     """Artists whose name contains ``search`` (case-insensitive), by plays."""
-    limit = min(limit, MAX_SEARCH_LIMIT)
+    _check_limit(limit, MAX_SEARCH_LIMIT)
     per_track = star.fact.groupBy("track_id").agg(F.count(F.lit(1)).alias("n"))
     per_artist = per_track.join(star.primary_bridge(), "track_id").groupBy("artist_id").agg(
         F.sum("n").alias("play_count"))

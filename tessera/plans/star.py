@@ -37,6 +37,7 @@ class MusicStar:
     albums: DataFrame    # album_id, album_name, total_tracks
     artists: DataFrame   # artist_id, artist_name
     bridge: DataFrame    # track_id, artist_id, artist_position, artist_role
+    primary: DataFrame | None = None  # the bridge's primary rows, where they can be had without building it
 
     def track_artist_names(self) -> DataFrame:
         """H04 ``all_artist_names``: artist names ordered by credit position."""
@@ -52,6 +53,8 @@ class MusicStar:
             ordered_join(F.col("artist_id").cast("string"), ",", F.col("artist_position")).alias("artist_ids"))
 
     def primary_bridge(self) -> DataFrame:
+        if self.primary is not None:
+            return self.primary
         return self.bridge.filter((F.col("artist_role") == "primary") & F.col("artist_id").isNotNull())
 
 
@@ -71,6 +74,13 @@ def bridge_from_pairs(pairs: DataFrame, track_col: str, artist_col: str) -> Data
         F.when(F.col("artist_position") == 0, F.lit("primary")).otherwise(F.lit("featuring")).alias("artist_role"))
 
 
+def primary_from_pairs(pairs: DataFrame, track_col: str, artist_col: str) -> DataFrame:
+    """The primary rows of :func:`bridge_from_pairs`: the smallest artist of a track, by one hash aggregate."""
+    first = pairs.groupBy(F.col(track_col).alias("track_id")).agg(F.min(artist_col).alias("artist_id"))
+    return first.filter(F.col("artist_id").isNotNull()).select(
+        "track_id", "artist_id", F.lit(0).alias("artist_position"), F.lit("primary").alias("artist_role"))
+
+
 def star_from_tables(spark: SparkSession, sf_dir: str) -> MusicStar:
     t = Tables(spark, sf_dir)
     li = t.lineitem
@@ -90,7 +100,7 @@ def star_from_tables(spark: SparkSession, sf_dir: str) -> MusicStar:
         F.count(F.lit(1)).alias("total_tracks")).withColumn("album_name", F.col("album_id"))
     artists = t.supplier.select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name"))
     bridge = bridge_from_pairs(li, "l_partkey", "l_suppkey")
-    return MusicStar(fact, tracks, albums, artists, bridge)
+    return MusicStar(fact, tracks, albums, artists, bridge, primary_from_pairs(li, "l_partkey", "l_suppkey"))
 
 
 def star_from_events(spark: SparkSession, sf_dir: str) -> MusicStar:
@@ -106,5 +116,6 @@ def star_from_events(spark: SparkSession, sf_dir: str) -> MusicStar:
         F.col("ts").alias("played_at"),
         F.get_json_object("props", "$.k").cast("bigint").alias("track_id"),
         F.col("user_id").alias("listener_id"),
+        "event_type",
     )
-    return MusicStar(fact, base.tracks, base.albums, base.artists, base.bridge)
+    return MusicStar(fact, base.tracks, base.albums, base.artists, base.bridge, base.primary)

@@ -139,6 +139,23 @@ def files_without_valid_records(lines: DataFrame, good_flag: Column, file_col: s
 
 # ---- config-driven extraction (S14, N01–N07, T01–T09) --------------------------------
 
+def _rule_map(d: dict) -> dict:
+    """A field's rules by name, from the mapping form or the list form (``- type: range``, ``min: 0``)."""
+    rules = d.get("validations") or {}
+    if not isinstance(rules, dict):
+        out: dict = {}
+        for r in rules:
+            kind, rest = r["type"], {k: v for k, v in r.items() if k != "type"}
+            if kind in ("not_null", "positive"):
+                out[kind] = True
+            elif kind in ("range", "date_range", "max_length"):
+                out |= {"max_length": rest.get("max_length", rest.get("max"))} if kind == "max_length" else rest
+            else:
+                raise ValueError(f"unknown rule {kind!r} of field {d.get('name')!r}")
+        rules = out
+    return rules if d.get("max_length") is None else rules | {"max_length": d["max_length"]}
+
+
 @dataclass
 class FieldSpec:
     """One declared field: JSON path, type, mode, transform, rules, nested fields."""
@@ -156,9 +173,9 @@ class FieldSpec:
     @staticmethod
     def from_dict(d: dict) -> "FieldSpec":
         return FieldSpec(
-            name=d["name"], json_path=d.get("json_path"), type=d.get("type", "STRING"),
+            name=d["name"], json_path=d.get("json_path"), type=d.get("bq_type") or d.get("type", "STRING"),
             mode=d.get("mode", "NULLABLE"), transform=d.get("transform"), json_path_base=d.get("json_path_base"),
-            array_index=d.get("array_index"), validations=d.get("validations") or {},
+            array_index=d.get("array_index"), validations=_rule_map(d),
             fields=[FieldSpec.from_dict(x) for x in d.get("fields") or []],
         )
 
@@ -317,10 +334,10 @@ def ingest(
         checked.filter(~ok).write.mode("append").parquet(quarantine)
     archived: list[str] = []
     if archive_dir:
-        archived = [f for f in files if f not in set(rejected_files)]
-        sinks.move_files(spark, archived, archive_dir)
+        bad = set(rejected_files)
+        archived = sinks.move_files(spark, [f for f in files if f not in bad], archive_dir, landing)
     if rejected_dir and rejected_files:
-        sinks.move_files(spark, rejected_files, rejected_dir)
+        sinks.move_files(spark, rejected_files, rejected_dir, landing)
     return IngestResult(len(files), metrics.get("records_read", 0), metrics.get("records_rejected", 0), bad_lines,
                         rejected_files, archived)
 
@@ -340,13 +357,14 @@ def select_datasets(routed: DataFrame, requested: Sequence[str] | None = None, o
 def retransform_legacy(spark: SparkSession, raw_dir: str, out_dir: str, widths: dict[str, int] | None = None) -> int:
     """Read raw landing files, rewrite numeric ``[[…]]`` arrays as arrays of
     structs (N10–N14) using the inferred schema, and write a JSON-lines mirror."""
-    from tessera.functions.nested import flatten_nested_arrays
+    from tessera.functions.nested import flatten_nested_arrays, matrix_widths
     from tessera.sources.schema import infer_schema
     from tessera.sources.sinks import write_jsonl
 
     lines = scan_jsonl(spark, raw_dir)
     schema = infer_schema(lines)
     good, _ = parse_lines(lines, schema)
+    widths = matrix_widths(good) | (widths or {})
     flat = good.select(*[flatten_nested_arrays(F.col(f.name), f.dataType, widths, f.name).alias(f.name)
                          for f in schema.fields])
     write_jsonl(flat, out_dir)

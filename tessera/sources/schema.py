@@ -1,27 +1,23 @@
 """Schema system (§1.3): inferred over all records (S08), merged (S09),
 declared in config (S14), and applied on append (S10).
 
-Inference is distributed: every task folds the records of its partition
-into one partial schema (a few hundred bytes), only those partial schemas
-reach the driver (one per partition), and the driver folds them with the
-same merge rules.  No record ever reaches the driver.
-
-Promotion rules (fixed, from the reference's inference):
-  * booleans are checked before integers; null values are ignored, so a
-    field that is always null does not appear;
+Inference is Spark's own: one aggregate over the parsed lines gives the merged
+type of every field, and only that one type text reaches the driver.  Where
+records disagree, one more aggregate per clashing path looks for objects.
+
+Promotion rules (fixed):
+  * null values are ignored, so a field that is always null does not appear;
   * INTEGER + FLOAT → FLOAT; RECORD beats any other type; any other clash
     → STRING;
-  * an empty or all-null list is a list of STRING; a list's element type
-    comes from its first non-null item (lists of records merge all items);
-  * on a list / non-list clash the first-seen shape stays.
+  * an empty or all-null list is a list of STRING.
+Fields come in name order.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,33 +25,6 @@ from pyspark.sql import types as T
 STRING, LONG, DOUBLE, BOOL = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
 
 
-def _scalar_type(v) -> T.DataType:
-    if isinstance(v, bool):
-        return BOOL
-    if isinstance(v, int):
-        return LONG
-    if isinstance(v, float):
-        return DOUBLE
-    if isinstance(v, dict):
-        return detect_record_schema([v])
-    if isinstance(v, list):
-        # nested list ([[ts, v], …]): kept as array<array<…>> so the N10–N14
-        # flattening can rewrite it to an array of structs before loading
-        return _value_type(v)
-    return STRING
-
-
-def _value_type(v) -> T.DataType:
-    if isinstance(v, list):
-        sample = next((x for x in v if x is not None), None)
-        if sample is None:
-            return T.ArrayType(STRING)
-        if isinstance(sample, dict):
-            return T.ArrayType(detect_record_schema([x for x in v if isinstance(x, dict)]))
-        return T.ArrayType(_scalar_type(sample))
-    return _scalar_type(v)
-
-
 def merge_types(cur: T.DataType, new: T.DataType) -> T.DataType:
     """S09 type promotion; the shape (list or not) of ``cur`` is kept."""
     cur_list, new_list = isinstance(cur, T.ArrayType), isinstance(new, T.ArrayType)
@@ -89,75 +58,48 @@ def merge_schema(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, fields[n], True) for n in order])
 
 
-def detect_record_schema(records: Iterable[dict]) -> T.StructType:
-    """Schema of a list of JSON objects under the promotion rules."""
-    out = T.StructType([])
-    for rec in records:
-        if not isinstance(rec, dict):
-            continue
-        fields = [T.StructField(k, _value_type(v), True) for k, v in rec.items() if v is not None]
-        out = merge_schema(out, T.StructType(fields))
-    return out
-
-
-def _partition_schemas(batches):
-    """mapInPandas body: one partial schema (as JSON text) per partition."""
-    acc = T.StructType([])
-    pid = None
-    for pdf in batches:
-        if pid is None and len(pdf):
-            pid = int(pdf["pid"].iloc[0])
-        recs = []
-        for line in pdf["value"]:
-            if line is None or not line.strip():
-                continue
-            try:
-                obj = json.loads(line)
-            except ValueError:
-                continue
-            if isinstance(obj, dict):
-                recs.append(obj)
-        if recs:
-            acc = merge_schema(acc, detect_record_schema(recs))
-    if pid is not None:
-        yield pd.DataFrame({"pid": [pid], "schema": [acc.json()]})
-
-
-# Fixed value: partial schemas are merged on executors down to at most this many
-MERGE_FANIN = 64
-
-
-def _merge_partials(batches):
-    """mapInPandas body: merge the partial schemas of a partition, streaming."""
-    acc = T.StructType([])
-    first = None
-    for pdf in batches:
-        for pid, text in zip(pdf["pid"], pdf["schema"]):
-            first = int(pid) if first is None else first
-            acc = merge_schema(acc, T.StructType.fromJson(json.loads(text)))
-    if first is not None:
-        yield pd.DataFrame({"pid": [first], "schema": [acc.json()]})
+def _merged_type(values: DataFrame) -> T.DataType | None:
+    """Spark's merged type of the variant column ``v`` (VARIANT where values disagree); None without rows."""
+    text = values.agg(F.expr("schema_of_variant_agg(v)")).first()[0]
+    if text is None:
+        return None
+    # the aggregate's type text is DDL but for the name of records
+    return T.DataType.fromDDL(re.sub(r"\bOBJECT<", "struct<", text))
+
+
+def _promoted(dt: T.DataType | None, values: DataFrame) -> T.DataType | None:
+    """The promotion rules applied to a merged type; ``values`` are its values as variants in ``v``."""
+    if dt is None or isinstance(dt, T.NullType):
+        return None
+    if isinstance(dt, T.StructType):
+        fields = []
+        for f in dt.fields:
+            path = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+            found = _promoted(f.dataType, values.select(F.try_variant_get("v", path, "variant").alias("v")))
+            if found is not None:
+                fields.append(T.StructField(f.name, found))
+        return T.StructType(fields)
+    if isinstance(dt, T.ArrayType):
+        items = values.select(F.explode(F.col("v").try_cast("array<variant>")).alias("v"))
+        return T.ArrayType(_promoted(dt.elementType, items) or STRING)
+    if isinstance(dt, T.VariantType):  # a clash: a record wins, else text
+        records = values.filter(F.schema_of_variant("v").startswith("OBJECT"))
+        return _promoted(_merged_type(records), records) or STRING
+    if isinstance(dt, T.DecimalType):  # JSON numbers with a fraction, or beyond 64 bits
+        return DOUBLE
+    if isinstance(dt, (T.LongType, T.DoubleType, T.BooleanType)):
+        return dt
+    return STRING
 
 
 def infer_schema(lines: DataFrame, value_col: str = "value") -> T.StructType:
-    """Infer the schema of JSON lines over ALL records, distributed.
-
-    Each partition infers one partial schema; the partials are merged on
-    executors in input order (contiguous ranges of at most ``MERGE_FANIN``
-    partitions), so the
-    driver receives at most ``MERGE_FANIN`` small JSON texts however many
-    files or partitions the input has.  Returns an empty struct when no line
-    parses.
+    """The schema of JSON lines over all records; lines that are no objects are left out.
+
+    An empty struct when no line is an object.
     """
-    partials = lines.select(lines[value_col].alias("value"), F.spark_partition_id().alias("pid")).mapInPandas(
-        _partition_schemas, "pid int, schema string")
-    # contiguous partition ranges, merged in input order: fields keep first-seen order
-    merged = (partials.repartitionByRange(MERGE_FANIN, "pid").sortWithinPartitions("pid")
-              .mapInPandas(_merge_partials, "pid int, schema string"))
-    out = T.StructType([])
-    for row in merged.orderBy("pid").toLocalIterator():
-        out = merge_schema(out, T.StructType.fromJson(json.loads(row["schema"])))
-    return out
+    parsed = lines.select(F.try_parse_json(F.col(value_col)).alias("v"))
+    records = parsed.filter(F.schema_of_variant("v").startswith("OBJECT"))
+    return _promoted(_merged_type(records), records) or T.StructType([])
 
 
 # ---- declared schemas (S14) ---------------------------------------------------------
@@ -182,7 +124,7 @@ def schema_from_config(fields: Sequence[dict]) -> T.StructType:
     """``[{name, type, mode, fields}]`` → StructType (REPEATED → array)."""
     out = []
     for f in fields:
-        dt = spark_type(f.get("type", "STRING"), f.get("fields"))
+        dt = spark_type(f.get("bq_type") or f.get("type", "STRING"), f.get("fields"))
         if str(f.get("mode", "NULLABLE")).upper() == "REPEATED":
             dt = T.ArrayType(dt)
         out.append(T.StructField(f["name"], dt, str(f.get("mode", "NULLABLE")).upper() != "REQUIRED"))
@@ -192,8 +134,6 @@ def schema_from_config(fields: Sequence[dict]) -> T.StructType:
 def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Add missing columns as typed nulls and keep the target's order;
     columns unknown to the target are ignored."""
-    from pyspark.sql import functions as F
-
     have = {f.name.lower(): f.name for f in df.schema.fields}
     cols = []
     for f in schema.fields:

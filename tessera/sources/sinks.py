@@ -10,6 +10,7 @@ over already-aggregated, per-entity-bounded views, written with
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,8 +43,20 @@ def append(df: DataFrame, path: str, partition_col: str | None = None, unit: str
     w.parquet(path)
 
 
+def _partition_end(value: str) -> _dt.date | None:
+    """Last day of a ``YYYY-MM-DD``, ``YYYY-MM`` or ``YYYY`` partition; None for any other name."""
+    m = re.fullmatch(r"(\d{4})(?:-(\d{2}))?(?:-(\d{2}))?", value)
+    if not m:
+        return None
+    year, month, day = (int(x) if x else None for x in m.groups())
+    if day:
+        return _dt.date(year, month, day)
+    after = _dt.date(year + 1, 1, 1) if month in (None, 12) else _dt.date(year, month + 1, 1)
+    return after - _dt.timedelta(days=1)
+
+
 def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: _dt.date | None = None) -> list[str]:
-    """S15 expiry: delete ``_partition=YYYY-MM-DD`` directories older than ``keep_days``."""
+    """S15 expiry: delete day, month and year partitions whose last day is older than ``keep_days``."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -55,29 +68,35 @@ def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: _dt
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("_partition="):
-            try:
-                d = _dt.date.fromisoformat(name.split("=", 1)[1][:10])
-            except ValueError:
-                continue
-            if d < cutoff:
+            end = _partition_end(name.split("=", 1)[1])
+            if end is not None and end < cutoff:
                 fs.delete(st.getPath(), True)
                 removed.append(name)
     return removed
 
 
-def move_files(spark: SparkSession, files: Sequence[str], dest_dir: str) -> list[str]:
-    """Move files to ``dest_dir`` (archive / rejected), keeping their names."""
+def move_files(spark: SparkSession, files: Sequence[str], dest_dir: str, root: str | None = None) -> list[str]:
+    """Move files to ``dest_dir`` (archive / rejected), keeping their path below ``root`` (else their name).
+
+    Returns where the files went; raises if one could not be moved, as it would be read again.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dest = jvm.org.apache.hadoop.fs.Path(dest_dir)
+    path = jvm.org.apache.hadoop.fs.Path
+    dest = path(dest_dir)
     fs = dest.getFileSystem(conf)
-    fs.mkdirs(dest)
+    base = None
+    if root:
+        base = path(root).getFileSystem(conf).makeQualified(path(root)).toUri().getPath().rstrip("/") + "/"
     moved = []
     for f in files:
-        src = jvm.org.apache.hadoop.fs.Path(f)
-        target = jvm.org.apache.hadoop.fs.Path(dest, src.getName())
-        if src.getFileSystem(conf).rename(src, target):
-            moved.append(str(target))
+        src = path(f)
+        whole = src.toUri().getPath()
+        target = path(dest, whole[len(base) :] if base and whole.startswith(base) else src.getName())
+        fs.mkdirs(target.getParent())
+        if not src.getFileSystem(conf).rename(src, target):
+            raise OSError(f"could not move {f} to {target}")
+        moved.append(str(target))
     return moved
 
 

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +49,18 @@ def test_schema_evolution_rows(spark):
             '{"id": 4, "common": "w", "nested": {"a": 1}}', '{"id": 5, "common": "v", "nested": {"b": 2}}']
     df = spark.createDataFrame([(r,) for r in rows], "value string").repartition(3)
     got = S.infer_schema(df)
-    assert got.simpleString() in (
-        "struct<id:bigint,common:string,late_field:string,nested:struct<a:bigint,b:bigint>>",
-        "struct<id:bigint,common:string,nested:struct<a:bigint,b:bigint>,late_field:string>",
-    )
+    assert got.simpleString() == (
+        "struct<common:string,id:bigint,late_field:string,nested:struct<a:bigint,b:bigint>>")
+
+
+def test_schema_clashes_inside_lists_and_records(spark):
+    rows = ['{"l": [1, "x"], "m": [[1, 2], [3, 4.5]], "o": [{"k": 1}, {"k": {"z": true}}], "odd \'key": 1}',
+            '{"l": [{"q": 1}], "m": [], "o": null, "big": 12345678901234567890}', "[1]", "{bad", ""]
+    got = S.infer_schema(spark.createDataFrame([(r,) for r in rows], "value string"))
+    assert got.simpleString() == (
+        "struct<big:double,l:array<struct<q:bigint>>,m:array<array<double>>,"
+        "o:array<struct<k:struct<z:boolean>>>,odd 'key:bigint>")
+    assert S.infer_schema(spark.createDataFrame([("[]",)], "value string")) == T.StructType([])
 
 
 def test_promotion_rules(spark):
@@ -177,3 +187,36 @@ def test_retransform_legacy_and_select(spark, tmp_path):
     assert J.select_datasets(routed, ["b"]).count() == 1
     assert J.select_datasets(routed, owner="u1").first().dataset == "a"
     assert J.select_datasets(routed).count() == 2
+
+
+def test_list_form_rules_and_bq_type():
+    spec = J.FieldSpec.from_dict({
+        "name": "ms", "json_path": "$.ms", "bq_type": "INT64", "max_length": 9,
+        "validations": [{"type": "not_null"}, {"type": "range", "min": 0, "max": 7200000}]})
+    assert spec.type == "INT64"
+    assert spec.validations == {"not_null": True, "min": 0, "max": 7200000, "max_length": 9}
+    with pytest.raises(ValueError):
+        J.FieldSpec.from_dict({"name": "x", "validations": [{"type": "unheard"}]})
+
+
+def test_files_of_one_name_are_archived_apart(spark, tmp_path):
+    land = tmp_path / "land"
+    for sub, n in (("a", 1), ("b", 2)):
+        (land / sub).mkdir(parents=True)
+        _write(land / sub, "same.jsonl", [json.dumps({"id": n})])
+    specs = [J.FieldSpec.from_dict({"name": "id", "json_path": "$.id", "type": "INTEGER"})]
+    res = J.ingest(spark, str(land), specs, str(tmp_path / "t"), archive_dir=str(tmp_path / "arch"))
+    assert len(res.archived) == 2 and not list(land.rglob("*.jsonl"))
+    assert sorted(str(p.relative_to(tmp_path / "arch")) for p in (tmp_path / "arch").rglob("*.jsonl")) == [
+        "a/same.jsonl", "b/same.jsonl"]
+
+
+def test_wide_arrays_keep_all_values(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    _write(raw, "a.jsonl", ['{"p": [[1, 2]], "w": [[1, 2, 3], [4, 5, 6, 7]], "in": [{"q": [[1, 2, 3]]}]}'])
+    J.retransform_legacy(spark, str(raw), str(tmp_path / "out"))
+    r = spark.read.json(str(tmp_path / "out")).first()
+    assert [(x.timestamp, x.value) for x in r.p] == [(1, 2)]
+    assert [(x.val_0, x.val_1, x.val_2, x.val_3) for x in r.w] == [(1, 2, 3, None), (4, 5, 6, 7)]
+    assert r["in"][0].q[0].val_2 == 3

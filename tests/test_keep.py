@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import keep
@@ -63,6 +64,27 @@ def test_merge_into_partitioned_path(spark, tmp_path):
         (1, "a", "2024-01-01"), (2, "B", "2024-01-02"), (3, "c", "2024-01-02")]
 
 
+def test_merge_moves_a_key_between_partitions(spark, tmp_path):
+    path = str(tmp_path / "mtbl")
+    schema = "id int, v string, day string"
+    first = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-02"),
+                                   (4, "d", "2024-01-03")], schema)
+    keep.merge_into_path(spark, first, path, ["id"], partition_by=["day"], updated_col=None)
+    moved = spark.createDataFrame([(1, "A", "2024-01-02"), (2, "B", "2024-01-04")], schema)
+    out = keep.merge_into_path(spark, moved, path, ["id"], partition_by=["day"], updated_col=None)
+    assert sorted((r.id, r.v, str(r.day)) for r in out.collect()) == [
+        (1, "A", "2024-01-02"), (2, "B", "2024-01-04"), (3, "c", "2024-01-02"), (4, "d", "2024-01-03")]
+    assert not (tmp_path / "mtbl" / "day=2024-01-01").exists()
+
+
+def test_failed_swap_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "old")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(OSError):
+        keep.replace_path(spark, str(tmp_path / "missing"), path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_unique_violations(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [(r.k, r.occurrences) for r in keep.unique_key_violations(df, ["k"]).collect()] == [(1, 2)]

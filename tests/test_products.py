@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -42,6 +43,25 @@ def test_activity_reads(spark):
     one = lst.select("activity_id").first().activity_id
     det = activities.activity_detail(spark, SF, one)
     assert det["activity"].count() == 1 and det["points"].count() > 0
+    act = det["activity"].first()
+    assert all(p.user_id == act.user_id and act.start_ts <= p.ts <= act.end_ts for p in det["points"].collect())
+
+
+def test_limits_outside_their_range_are_refused(spark):
+    star = star_from_tables(spark, SF)
+    for bad in (0, reads.MAX_RANK_LIMIT + 1):
+        with pytest.raises(ValueError):
+            reads.top_artists(star, "2001-11-05", "all_time", bad)
+    with pytest.raises(ValueError):
+        reads.search_artists(star, "x", reads.MAX_SEARCH_LIMIT + 1)
+
+
+def test_log_by_time_of_day_and_empty_pages(spark):
+    star = star_from_events(spark, SF)
+    got = reads.recently_played(star, size=200, time_from="10:00", time_to="11:00")
+    assert all("10:00" <= r.played_time <= "11:00" for r in got["rows"].collect()) and got["rows"].count() > 0
+    none = reads.recently_played(star, artist="nobody at all")
+    assert (none["total"].first().total, none["total"].first().pages) == (0, 1) and none["artists"].count() > 0
 
 
 def test_albums_lacking_enrichment(spark):

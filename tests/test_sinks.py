@@ -37,6 +37,15 @@ def test_append_partitioned_and_expiry(spark, tmp_path):
     assert removed == ["_partition=2024-01-01"] and spark.read.parquet(path).count() == 1
 
 
+def test_expiry_of_months_and_years(spark, tmp_path):
+    df = spark.createDataFrame([(1, dt.datetime(2001, 1, 5)), (2, dt.datetime(2024, 1, 5))], "id int, ts timestamp")
+    for unit, gone in (("MONTH", "_partition=2001-01"), ("YEAR", "_partition=2001")):
+        path = str(tmp_path / unit)
+        K.append(df, path, partition_col="ts", unit=unit)
+        assert K.expire_partitions(spark, path, keep_days=30, today=dt.date(2024, 1, 25)) == [gone]
+        assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+
+
 def test_entity_documents(spark, tmp_path):
     top = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, "c")], "artist_id int, rank int, name string")
     cal = spark.createDataFrame([(1, dt.date(2024, 1, 1), 3)], "artist_id int, day date, plays int")
