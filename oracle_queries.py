@@ -1468,3 +1468,117 @@ g AS (
   FROM det GROUP BY activity_id, user_id, start_ts, end_ts, distance_km)
 SELECT *, '0h 30m 0s' AS duration_formatted, {hms('total_music_duration_ms')} AS music_duration_formatted FROM g
 """
+
+# ---- documented reports on the saved library, tiles, incremental work list -----------
+
+ORACLES["explicit_vs_clean"] = f"""
+WITH {_SAVED_TRACKS}
+SELECT explicit, COUNT(*) AS track_count, {rnd('AVG(popularity)', 1)} AS avg_popularity,
+       {rnd('AVG(duration_ms) / 1000 / 60', 1)} AS avg_duration_minutes
+FROM saved GROUP BY explicit
+"""
+
+ORACLES["saved_collaborations"] = f"""
+WITH {_SAVED_TRACKS},
+names AS (
+  SELECT b.track_id, string_agg(a.artist_name, ', ' ORDER BY b.artist_position) AS all_artists, COUNT(*) AS artist_count
+  FROM bridge b JOIN artists a USING (artist_id) GROUP BY b.track_id HAVING COUNT(*) > 1)
+SELECT track_name, album_name, all_artists, artist_count, popularity, added_at
+FROM saved JOIN names USING (track_id)
+ORDER BY added_at DESC, save_id DESC, track_id DESC, supplier_id DESC LIMIT 50
+"""
+
+ORACLES["release_edges"] = f"""
+WITH {_SAVED_TRACKS}, dated AS (SELECT * FROM saved WHERE album_release_date IS NOT NULL)
+(SELECT 'Oldest' AS category, track_name, primary_artist AS artist, album_name, album_release_date, added_at
+ FROM dated ORDER BY album_release_date, save_id, track_id, supplier_id LIMIT 10)
+UNION ALL
+(SELECT 'Newest' AS category, track_name, primary_artist AS artist, album_name, album_release_date, added_at
+ FROM dated ORDER BY album_release_date DESC, save_id DESC, track_id DESC, supplier_id DESC LIMIT 10)
+"""
+
+ORACLES["saves_by_decade"] = f"""
+WITH {_SAVED_TRACKS}
+SELECT CAST(floor(CAST(substr(album_release_date, 1, 4) AS INTEGER) / 10) * 10 AS INTEGER) AS decade,
+       COUNT(*) AS track_count, COUNT(DISTINCT album_id) AS unique_albums,
+       COUNT(DISTINCT primary_artist_id) AS unique_artists, {rnd('AVG(popularity)', 1)} AS avg_popularity
+FROM saved WHERE album_release_date IS NOT NULL GROUP BY 1
+"""
+
+ORACLES["saved_durations"] = f"""
+WITH {_SAVED_TRACKS},
+r AS (
+  SELECT *, CASE WHEN duration_ms < 120000 THEN '< 2 min' WHEN duration_ms < 180000 THEN '2-3 min'
+                 WHEN duration_ms < 240000 THEN '3-4 min' WHEN duration_ms < 300000 THEN '4-5 min'
+                 WHEN duration_ms < 360000 THEN '5-6 min' ELSE '> 6 min' END AS duration_range FROM saved),
+n AS (SELECT *, row_number() OVER (PARTITION BY duration_range ORDER BY popularity DESC, track_id, save_id) AS rn FROM r)
+SELECT duration_range, COUNT(*) AS track_count, {rnd('AVG(popularity)', 1)} AS avg_popularity, MIN(duration_ms) AS min_ms,
+       string_agg(track_name, '; ' ORDER BY rn) FILTER (WHERE rn <= 3) AS sample_tracks
+FROM n GROUP BY duration_range
+"""
+
+ORACLES["labels_with_artists"] = f"""
+WITH {_SAVED_ALBUMS},
+a AS (SELECT label, popularity, primary_artist_rec.artist_name AS artist FROM sa WHERE label IS NOT NULL),
+s AS (SELECT label, artist, row_number() OVER (PARTITION BY label ORDER BY artist) AS rn
+      FROM (SELECT DISTINCT label, artist FROM a))
+SELECT g.label, album_count, avg_popularity, sample_artists
+FROM (SELECT label, COUNT(*) AS album_count, {rnd('AVG(popularity)', 1)} AS avg_popularity FROM a GROUP BY label) g
+JOIN (SELECT label, string_agg(artist, ', ' ORDER BY artist) AS sample_artists FROM s WHERE rn <= 5 GROUP BY label) x
+  USING (label)
+ORDER BY album_count DESC, label LIMIT 20
+"""
+
+ORACLES["explicit_albums"] = f"""
+WITH per AS (
+  SELECT l_orderkey, COUNT(*) FILTER (WHERE l_returnflag = 'R') AS explicit_tracks, COUNT(*) AS total_tracks
+  FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) FILTER (WHERE l_returnflag = 'R') > 0),
+first_line AS (
+  SELECT l_orderkey, l_suppkey FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) = 1)
+SELECT 'Album #' || CAST(l_orderkey AS VARCHAR) AS album_name, s_name AS primary_artist, explicit_tracks, total_tracks,
+       {rnd('explicit_tracks * 100.0 / total_tracks', 1)} AS pct_explicit
+FROM per JOIN first_line USING (l_orderkey) LEFT JOIN supplier ON s_suppkey = l_suppkey
+ORDER BY pct_explicit DESC, l_orderkey LIMIT 20
+"""
+
+ORACLES["album_minutes_by_year"] = f"""
+WITH {_SAVED_ALBUMS},
+t AS (SELECT album_id, release_date, list_sum(list_transform(tracks, lambda x: x.duration_ms)) AS total,
+             list_avg(list_transform(tracks, lambda x: x.duration_ms)) AS mean FROM sa)
+SELECT CAST(year(release_date) AS INTEGER) AS release_year, COUNT(*) AS album_count,
+       {rnd('AVG(total) / 1000 / 60', 1)} AS avg_album_minutes, {rnd('AVG(mean) / 1000', 1)} AS avg_track_seconds
+FROM t GROUP BY 1
+"""
+
+ORACLES["collaborative_albums"] = f"""
+WITH {_SAVED_ALBUMS}
+SELECT album_name, album_type, popularity, release_date, CAST(len(album_artists) AS INTEGER) AS artist_count,
+       array_to_string(list_sort(list_transform(album_artists, lambda x: x.artist_name)), ', ') AS artists
+FROM sa WHERE len(album_artists) > 1 ORDER BY popularity DESC, album_id LIMIT 20
+"""
+
+ORACLES["runs_last_week"] = f"""
+SELECT CAST(ts AS DATE) AS date, {rnd('SUM(value / 10)', 2)} AS total_distance_km,
+       {rnd('SUM(COALESCE(value / 100, 0))', 1)} AS aerobic_score,
+       {rnd('SUM(COALESCE(CASE WHEN value >= 150 THEN value / 50 - 3 END, 0))', 1)} AS anaerobic_score,
+       substr(dayname(CAST(ts AS DATE)), 1, 1) AS day_of_week
+FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-24' GROUP BY CAST(ts AS DATE)
+"""
+
+ORACLES["trend_with_weeks"] = f"""
+WITH daily AS (
+  SELECT CAST(ts AS DATE) AS date, AVG(value) AS v FROM events
+  WHERE event_type = 'signup' AND ts >= TIMESTAMP '2023-07-31' GROUP BY 1),
+cur AS (SELECT date AS current_date, v AS now FROM daily ORDER BY date DESC LIMIT 1),
+old AS (SELECT v AS past FROM daily WHERE date <= DATE '2023-07-31' ORDER BY date LIMIT 1),
+weeks AS (SELECT date_trunc('week', date) AS week, {rnd('AVG(v)', 2)} AS w FROM daily GROUP BY 1)
+SELECT cur.current_date, {rnd('now', 2)} AS current_value,
+       '[' || (SELECT string_agg(CAST(w AS VARCHAR), ',' ORDER BY week) FROM weeks) || ']' AS weekly_array,
+       {rnd('now - COALESCE(past, now)', 2)} AS delta
+FROM cur LEFT JOIN old ON TRUE
+"""
+
+ORACLES["incremental_worklist"] = f"""
+WITH {_ENRICH} SELECT * FROM work WHERE first_played_at >= TIMESTAMP '1992-01-13'
+"""

@@ -84,8 +84,8 @@ def greatest_strict(*cols: ColumnOrName) -> Column:
 
 
 def round_to_long(x: ColumnOrName) -> Column:
-    """Float → integer rounding half away from zero (Spark's cast truncates)."""
-    return F.round(_c(x)).cast("bigint")
+    """Float → integer rounding half away from zero (Spark's cast truncates), by decimal as :func:`round_half_up`."""
+    return F.round(_c(x).cast("decimal(38,9)")).cast("bigint")
 
 
 def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:

@@ -359,11 +359,11 @@ def limited_ordered_array(df: DataFrame, group_cols: Sequence[str], order_cols:
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col("_v")))), lambda x: x["_v"]).alias(name))
 
 
-def with_one_row(df: DataFrame, one_row: DataFrame, how: str = "left") -> DataFrame:
-    """Attach the columns of a one-row relation to every row.
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a relation of at most one row to every row.
 
-    ``how='left'`` is ``LEFT JOIN … ON TRUE``: rows survive (with nulls) when
-    the relation is empty.  The relation is broadcast — it has one row.
+    ``LEFT JOIN … ON TRUE``: rows survive, with nulls, when the relation is
+    empty.  It is one scalar subquery, so no join runs; a second row is an error.
     """
-    keyed = one_row.withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(keyed), "_one", how).drop("_one")
+    packed = one_row.select(F.struct(*one_row.columns).alias("_r")).scalar()
+    return df.withColumn("_r", packed).select(*df.columns, *[F.col("_r")[c].alias(c) for c in one_row.columns])

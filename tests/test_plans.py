@@ -20,7 +20,7 @@ def _plan(spark, name):
     return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n)))
 def test_no_nested_loop_or_stray_python(spark, name):
     plan = _plan(spark, name)
     assert not NESTED_LOOP.search(plan), f"{name} plans a nested-loop / cartesian join"
@@ -35,8 +35,9 @@ def test_lookback_reaches_the_scan(spark):
 
 @pytest.mark.parametrize("name", ["real_duration_lead", "real_duration_daily", "sampled_polyline"])
 def test_per_entity_order_has_no_entity_window(spark, name):
-    """The per-listener lead and the per-user point numbering come from
-    range-pieced row numbers: no window partitioned by the entity alone."""
+    """The per-listener lead and the per-user point numbering are windows over
+    one bucket's rows: every window over rows is partitioned by the fine bucket."""
     plan = _plan(spark, name)
-    assert "lead(" not in plan
-    assert not re.search(r"Window \[row_number\(\)[^\]]*\], \[user_id#\d+L?\]", plan)
+    windows = re.findall(r"Window \[(?:row_number\(\)|lead\(played_at)[^\]]*\], \[([^\]]*)\]", plan)
+    assert windows and all("_b2#" in w for w in windows)
+    assert "monotonically_increasing_id" not in plan and "SPARK_PARTITION_ID" not in plan
