@@ -42,7 +42,7 @@ from tessera.llm.fmindex import FMIndex
 WINDOW, GRAM = 35, 5
 SPAN = WINDOW - GRAM + 1
 #: Different segments of one minimiser that a shard takes; words of one FM-index; words of a shard.
-MOST, INDEX_WORDS, SHARD_WORDS = 2_000, 100_000, 2_000_000
+MOST, INDEX_WORDS, SHARD_WORDS = 4_000, 100_000, 2_000_000
 _BASE = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
 
