@@ -160,11 +160,13 @@ def weekly_average_trend(spark: SparkSession, d: str, as_of, lookback_days: int
 def stages_of_latest_day(spark: SparkSession, d: str) -> DataFrame:
     """The latest day's totals per stage (event type) with their share."""
     ev = _events(spark, d)
-    latest = ev.select(F.max(F.to_date("ts"))).scalar()
-    day = ev.filter(F.to_date("ts") == latest)
+    # on the raw time, so that the scan can skip all earlier row groups
+    last = ev.select(F.max("ts")).scalar()
+    latest = F.to_date(last)
+    day = ev.filter(F.col("ts") >= latest.cast("timestamp_ntz"))
     per = day.groupBy("event_type").agg(round_half_up(F.sum("value"), 2).alias("total"))
     total = F.sum("total").over(Window.partitionBy())  # one row per stage type
-    return per.select(F.lit(latest).alias("date"), F.col("event_type").alias("stage"), "total",
+    return per.select(latest.alias("date"), F.col("event_type").alias("stage"), "total",
                       round_half_up(F.lit(100.0) * F.col("total") / total, 1).alias("pct"))
 
 
