@@ -77,13 +77,22 @@ def flatten_wide(arr, width: int) -> Column:
 
 
 def flatten_by_width(arr, mappings: dict[int, Sequence[str]]) -> Column:
-    """Pick the field names by the width of the first element."""
+    """``array<struct>`` whose field names are picked by the width of the first element.
+
+    One column has one type, so the structs hold the names of all widths, null
+    where a width lacks one; a width without names gives null.
+    """
     a = _c(arr)
+    names = list(dict.fromkeys(n for own in mappings.values() for n in own))
     width = F.size(F.get(a, F.lit(0)))
+
+    def named(own: Sequence[str]) -> Column:
+        at = [list(own).index(n) if n in own else -1 for n in names]  # position -1 is null
+        return F.transform(a, lambda x: F.struct(*[F.get(x, F.lit(i)).alias(n) for i, n in zip(at, names, strict=True)]))
+
     out = None
-    for w, names in sorted(mappings.items()):
-        branch = struct_from_positions(a, list(names))
-        out = F.when(width == w, F.to_json(branch)) if out is None else out.when(width == w, F.to_json(branch))
+    for w, own in sorted(mappings.items()):
+        out = F.when(width == w, named(own)) if out is None else out.when(width == w, named(own))
     return out
 
 
