@@ -6,6 +6,9 @@ each result is stated from the tables' own columns.
 
 from __future__ import annotations
 
+from oracle_queries import _LOG_NESTED, _PRIMARY_STATS, EVENTS_FACT, STAR
+from oracle_queries import ORACLES as OTHERS
+
 ORACLES: dict[str, str] = {}
 
 _EV = """
@@ -123,3 +126,102 @@ SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_type ELSE 'unknown' END A
        CAST((event_id % 3 = 0)::INTEGER + (event_id % 4 = 0)::INTEGER AS INTEGER) AS n_errors
 FROM ev
 """
+
+
+# ---- reads and exports ------------------------------------------------------------
+
+ORACLES["rankings_together"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, rank, CAST({key} AS VARCHAR) AS id, play_count, total_duration_ms "
+    f"FROM ({OTHERS[name]}) r WHERE period = 'last_30_days' AND rank <= 10"
+    for kind, key, name in (("artists", "artist_id", "top_by_period_entity"), ("tracks", "track_id", "top_by_period_item"),
+                            ("albums", "album_id", "top_by_period_brand")))
+
+ORACLES["activity_list"] = f"""
+WITH z AS ({OTHERS['zone_percentages']})
+SELECT e.user_id, event_id AS activity_id, ts AS start_ts, ts + INTERVAL 30 MINUTE AS end_ts, value / 10 AS distance_km,
+       zone1_pct, zone2_pct, zone3_pct, zone4_pct, zone5_pct, CAST(30 AS DOUBLE) AS duration_min
+FROM events e LEFT JOIN z ON z.user_id = e.user_id WHERE event_type = 'purchase'
+"""
+
+ORACLES["activity_points"] = """
+SELECT a.event_id AS activity_id, p.event_id, p.ts, p.value
+FROM events a JOIN events p ON p.user_id = a.user_id AND p.ts BETWEEN a.ts AND a.ts + INTERVAL 30 MINUTE
+WHERE a.event_type = 'purchase'
+"""
+
+for _key, _name in (("profile_overview", "entity_overview_streak"), ("profile_heatmap", "hour_weekday_heatmap"),
+                    ("profile_tracks", "top_k_per_group_share"), ("profile_albums", "completion_rate"),
+                    ("profile_calendar", "daily_calendar"), ("profile_evolution", "monthly_evolution")):
+    ORACLES[_key] = f"SELECT * FROM ({OTHERS[_name]}) r WHERE artist_id = 7"
+
+ORACLES["homepage_sizes"] = "SELECT " + ", ".join(
+    f"(SELECT COUNT(*) FROM ({OTHERS[name]}) r) AS {part}"
+    for part, name in (
+        ("music_time_daily", "day_spine_fill"), ("running_weekly_volume", "week_spine_fill"),
+        ("running_by_day", "running_by_day"), ("body_battery", "seven_day_array"), ("hrv", "median_baseline"),
+        ("race_prediction", "latest_vs_30_days"), ("vo2max", "weekly_avg_array"), ("sleep_stages", "latest_day_stages"),
+        ("steps", "steps_goal"), ("resting_hr", "resting_hr_week"), ("sleep_scores", "sleep_scores_week"),
+        ("sleep_body_battery", "sleep_battery_week"), ("stress", "stress_week"), ("top_tracks", "top_tracks_recent"),
+        ("top_artists", "top_entity_recent")))
+
+ORACLES["hub_fact_played"] = """
+SELECT l_orderkey * 100 + l_linenumber AS play_id, l_shipdate AS "playedAt", l_partkey AS "trackId",
+       CAST(CAST(l_shipdate AS DATE) + 1 AS TIMESTAMP) AS _dp_inserted_at
+FROM lineitem JOIN part ON p_partkey = l_partkey
+"""
+
+ORACLES["hub_bridge_albums_artists"] = f"""
+WITH {_LOG_NESTED}
+SELECT DISTINCT album_id, a.artistId AS artist_id FROM (SELECT albumId AS album_id, unnest(albumArtists) AS a FROM log)
+"""
+
+_SAVES = """
+SELECT event_id, ts AS "addedAt", CAST(CAST(ts AS DATE) + CASE WHEN second THEN 2 ELSE 1 END AS DATE) AS _dp_inserted_at,
+       CASE WHEN n >= 1 THEN run || '/' || CAST(event_id AS VARCHAR) || '/1' END AS "imageUrlLarge",
+       CASE WHEN n >= 2 THEN run || '/' || CAST(event_id AS VARCHAR) || '/2' END AS "imageUrlMedium",
+       CASE WHEN n >= 3 THEN run || '/' || CAST(event_id AS VARCHAR) || '/3' END AS "imageUrlSmall"
+FROM (SELECT *, event_id % 2 = 0 AS second, event_id % 4 + (event_id % 2 = 0)::INTEGER AS n,
+             CASE WHEN event_id % 2 = 0 THEN 'two' ELSE 'one' END AS run FROM events)
+"""
+ORACLES["staged_saved_albums"] = ORACLES["staged_saved_tracks"] = _SAVES
+
+ORACLES["artist_document_sizes"] = f"""
+WITH {STAR}, {EVENTS_FACT}, {_PRIMARY_STATS.format(fact='efact')}
+SELECT artist_id, CAST(1 AS BIGINT) AS overview, least(20, COUNT(DISTINCT track_id)) AS top_tracks,
+       COUNT(DISTINCT album_id) AS albums, COUNT(DISTINCT CAST(played_at AS DATE)) AS calendar,
+       COUNT(DISTINCT dayofweek(played_at) * 24 + hour(played_at)) AS heatmap,
+       COUNT(DISTINCT strftime(played_at, '%Y-%m')) AS evolution
+FROM pstats GROUP BY artist_id
+"""
+
+ORACLES["exported_artists"] = f"""
+WITH {STAR},
+s AS (SELECT artist_id, COUNT(*) AS plays, MAX(played_at) AS last_played_at
+      FROM fact JOIN primary_bridge USING (track_id) GROUP BY artist_id),
+r AS (SELECT *, row_number() OVER (ORDER BY plays DESC, artist_id) AS place FROM s)
+SELECT artist_id, plays, last_played_at FROM r WHERE place <= 20 OR last_played_at >= TIMESTAMP '2001-10-01'
+"""
+
+ORACLES["json_round_trip"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate, o_totalprice, o_custkey, o_orderpriority FROM orders
+"""
+
+ORACLES["csv_round_trip"] = """
+SELECT o_orderkey, '{"o_custkey":' || CAST(o_custkey AS VARCHAR) || ',"o_orderstatus":"' || o_orderstatus || '"}' AS customer FROM orders
+"""
+
+ORACLES["pending_months"] = """
+WITH b AS (SELECT MIN(CAST(o_orderdate AS DATE)) AS lo, MAX(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+m AS (SELECT CAST(unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS DATE) AS m, lo, hi FROM b),
+s AS (SELECT greatest(m, lo) AS slice_start, least(last_day(m), hi) AS slice_end FROM m)
+SELECT slice_start, slice_end FROM s
+WHERE month(slice_start) % 3 > 0
+   OR date_trunc('month', slice_start) NOT IN (SELECT date_trunc('month', o_orderdate) FROM orders)
+"""
+
+ORACLES["pending_chunks"] = """
+WITH b AS (SELECT MIN(CAST(ts AS DATE)) AS lo, MAX(CAST(ts AS DATE)) AS hi FROM events),
+s AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS slice_start, hi FROM b)
+SELECT slice_start, least(slice_start + 6, hi) AS slice_end FROM s
+WHERE day(slice_start) % 2 > 0 OR slice_start NOT IN (SELECT CAST(ts AS DATE) FROM events)
+"""
