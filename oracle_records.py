@@ -225,3 +225,85 @@ s AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS sl
 SELECT slice_start, least(slice_start + 6, hi) AS slice_end FROM s
 WHERE day(slice_start) % 2 > 0 OR slice_start NOT IN (SELECT CAST(ts AS DATE) FROM events)
 """
+
+
+# ---- landing files, streams, written tables ------------------------------------------
+
+ORACLES["landing_names"] = """
+SELECT event_id, date_trunc('minute', ts) AS file_at, 'app' AS service, event_type AS type_in_name,
+       CASE WHEN event_type = 'purchase' THEN 'sales' WHEN event_type IN ('click', 'view') THEN 'traffic' END AS route,
+       CASE event_type WHEN 'error' THEN 'faults' WHEN 'signup' THEN 'accounts' ELSE 'unknown' END AS keyword,
+       CASE WHEN event_id % 3 = 0 THEN 'unknown' ELSE 'u' || CAST(user_id AS VARCHAR) END AS username,
+       CASE WHEN event_id % 3 > 0 OR event_type IN ('click', 'view') THEN event_type ELSE 'unknown' END AS data_type
+FROM events
+"""
+
+ORACLES["parsed_lines"] = """
+SELECT CASE WHEN event_id % 6 IN (0, 4) THEN 'good' ELSE 'bad' END AS part, event_id,
+       CASE WHEN event_id % 6 = 0 THEN event_id END AS id, CASE WHEN event_id % 6 IN (0, 4) THEN event_type END AS kind
+FROM events WHERE event_id % 6 <> 1
+"""
+
+ORACLES["raw_envelopes"] = """
+WITH t AS (
+  SELECT *, CASE event_id % 6 WHEN 0 THEN '{"id": ' || CAST(event_id AS VARCHAR) || ', "kind": "' || event_type || '", "more": [1, {"a": null}]}'
+                              ELSE '{"id": "no number", "kind": "' || event_type || '"}' END AS raw_data
+  FROM events WHERE event_id % 6 IN (0, 4))
+SELECT event_id, raw_data, 'event' AS data_type,
+       'user_' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id % 6 AS VARCHAR) AS source_file,
+       CAST(length(raw_data) AS INTEGER) AS size, true AS stamped
+FROM t
+"""
+
+ORACLES["files_without_records"] = """
+SELECT DISTINCT 'user_' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id % 6 AS VARCHAR) AS source_file
+FROM events WHERE event_id % 6 NOT IN (0, 4)
+"""
+
+ORACLES["declared_fields"] = f"""
+WITH {_EV}
+SELECT event_id AS id, user_id AS uid, k AS n, 2 AS n_items, k AS first_n, 'z' AS second_t, k AS point_a, value AS point_b FROM ev
+"""
+
+ORACLES["inferred_fields"] = """
+SELECT * FROM (VALUES ('deep', 'struct<n:bigint>'), ('flag', 'boolean'), ('id', 'bigint'), ('kind', 'string'),
+                      ('list', 'array<string>'), ('reading', 'double')) AS f(field, type)
+"""
+
+ORACLES["ingested_events"] = """
+SELECT CASE WHEN length(event_type) <= 6 AND value BETWEEN 10 AND 180 THEN 'accepted' ELSE 'rejected' END AS part,
+       event_id, date_trunc('millisecond', ts) AS at, event_type AS kind, value AS reading
+FROM events WHERE event_id % 10 < 7
+"""
+
+ORACLES["streamed_windows"] = """
+WITH mark AS (SELECT MAX(date_trunc('millisecond', ts)) - INTERVAL 1 DAY AS m FROM events),
+w AS (
+  SELECT 'day' AS unit, date_trunc('day', ts) AS s, date_trunc('day', ts) + INTERVAL 1 DAY AS e, event_type FROM events
+  UNION ALL
+  SELECT 'week', date_trunc('week', ts), date_trunc('week', ts) + INTERVAL 7 DAY, event_type FROM events
+  UNION ALL
+  SELECT 'slide', date_trunc('day', ts) - to_days(CAST(i AS INTEGER)), date_trunc('day', ts) - to_days(CAST(i AS INTEGER)) + INTERVAL 7 DAY,
+         event_type
+  FROM events, range(7) AS r(i))
+SELECT unit, CAST(s AS TIMESTAMP) AS window_start, CAST(e AS TIMESTAMP) AS window_end, event_type, COUNT(*) AS events
+FROM w, mark WHERE e <= m GROUP BY ALL
+"""
+
+ORACLES["streamed_dedupe"] = "SELECT event_id, ts, user_id FROM events"
+
+ORACLES["streamed_merge"] = """
+SELECT event_id, date_trunc('millisecond', ts + CASE WHEN event_id % 2 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END) AS at,
+       event_type AS kind, value + CASE WHEN event_id % 2 = 0 THEN 1000 ELSE 0 END AS reading
+FROM events
+"""
+
+ORACLES["merged_days"] = """
+SELECT event_id, value + (event_id % 3 = 0)::INTEGER AS value, CAST(CAST(ts AS DATE) + (event_id % 3 = 0)::INTEGER AS DATE) AS day,
+       true AS stamped
+FROM events
+"""
+
+ORACLES["model_run"] = """
+SELECT user_id, COUNT(*) AS events, COUNT(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY user_id
+"""

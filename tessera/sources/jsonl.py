@@ -295,6 +295,7 @@ def ingest(
     partition_unit: str = "DAY",
     dry_run: bool = False,
     required: Sequence[str] = (),
+    pattern: str = "*.jsonl",
 ) -> IngestResult:
     """Parse every landing file → validate → ONE append → archive.
 
@@ -308,7 +309,7 @@ def ingest(
 
     from tessera.sources import sinks
 
-    lines = scan_jsonl(spark, landing)
+    lines = scan_jsonl(spark, landing, pattern)
     blank = F.trim("value") == ""
     is_obj = is_json_object(F.col("value"))
     records = with_lineage(extract_fields(lines.filter(~blank & is_obj), specs))

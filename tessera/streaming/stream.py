@@ -26,10 +26,10 @@ from tessera.sources.jsonl import FieldSpec, extract_fields, with_lineage
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, pattern: str = "*.jsonl") -> DataFrame:
     """JSONL lines of newly landed files; processed files are moved
     to ``archive_dir`` by the source itself once their batch committed."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl").option(
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern).option(
         "recursiveFileLookup", "true")
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
