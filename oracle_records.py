@@ -307,3 +307,5 @@ FROM events
 ORACLES["model_run"] = """
 SELECT user_id, COUNT(*) AS events, COUNT(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY user_id
 """
+
+ORACLES["streamed_window_dedupe"] = OTHERS["window_dedupe"]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import scratch_path
+
 
 def envelope(df: DataFrame, payload: str, date, data_type: str) -> DataFrame:
     """List payload → one row per element, scalar → ``{data}``; stamp date + type."""
@@ -85,36 +86,44 @@ def body_metrics(df: DataFrame, weight: str, height: str, hydration: str | None
     return out
 
 
-def gap_segments(df: DataFrame, key: str, ts_col: str, gap_hours: float, tie_col: str | None = None,
-                 name: str = "_seg") -> DataFrame:
-    """Split each key's timeline at gaps of at least ``gap_hours``: ``name`` is the
-    time of the segment's first row.
+# Buckets of the window dedupe: minutes within days (UTC, of the epoch)
+_MINUTE_US, _DAY_US = 60_000_000, 86_400_000_000
+
+
+def _micros(ts_col: str) -> Column:
+    return F.unix_micros(F.col(ts_col).cast("timestamp"))
+
+
+def first_at_or_after(times: DataFrame, ahead_us: int) -> DataFrame:
+    """(_k, _t long, distinct) -> (_k, _t, _n): the key's first time at or after ``_t + ahead_us``; none gives no row.
 
-    The previous time of a row comes from a window per (key, day); the first
-    row of a day takes the last time of the key's previous active day from a
-    per-day aggregate (one row per key-day, bounded by the calendar).  The
-    segment start is carried forward the same way, so no window ever spans a
-    key's whole history.
+    Asked and present times meet in minute buckets of their key.  What a bucket
+    cannot answer takes the first time of the key's next bucket: of the later
+    minutes of the day, else of the later days (one row per key and day), so no
+    window spans a key's whole history.
     """
-    limit_us = int(gap_hours * 3600 * 1_000_000)
-    ts = F.col(ts_col)
-    keyed = df.withColumn("_day", F.to_date(ts))
-    order = [ts] + ([F.col(tie_col)] if tie_col else [])
-    w_day = Window.partitionBy(key, "_day").orderBy(*order)
-    w_days = Window.partitionBy(key).orderBy("_day")  # one row per active day of the key
-    day_last = keyed.groupBy(key, "_day").agg(F.max(ts_col).alias("_day_last"))
-    prev_day = day_last.select(key, "_day", F.lag("_day_last").over(w_days).alias("_prev_day_last"))
-    rows = keyed.withColumn("_prev", F.lag(ts).over(w_day)).join(prev_day, [key, "_day"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_day_last"))
-    gap = F.expr(f"timestampdiff(MICROSECOND, _p, {ts_col})")
-    rows = rows.withColumn("_p", prev).withColumn(
-        "_start", F.when(F.col("_p").isNull() | (gap >= F.lit(limit_us)), ts)).withColumn(
-        "_seg_in_day", F.max("_start").over(w_day.rowsBetween(Window.unboundedPreceding, 0)))
-    carry = rows.groupBy(key, "_day").agg(F.max("_start").alias("_day_start")).select(
-        key, "_day", F.max("_day_start").over(w_days.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    return rows.join(carry, [key, "_day"], "left").withColumn(
-        name, F.coalesce("_seg_in_day", "_carry")).drop(
-        "_day", "_prev", "_prev_day_last", "_p", "_start", "_seg_in_day", "_carry")
+    start = lambda width: F.col("_x") - F.pmod(F.col("_x"), F.lit(width))
+    none = F.lit(None).cast("long")
+    points = (
+        times.select("_k", F.col("_t").alias("_x"), F.col("_t").alias("_u"), none.alias("_q"))
+        .unionByName(times.select("_k", (F.col("_t") + ahead_us).alias("_x"), none.alias("_u"), F.col("_t").alias("_q")))
+        .withColumn("_b", start(_MINUTE_US))
+    )
+    # latest first, present times before asked ones: the least so far is the first at or after
+    here = Window.partitionBy("_k", "_b").orderBy(F.col("_x").desc(), F.col("_u").desc_nulls_last())
+    asked = points.withColumn("_in", F.min("_u").over(here.rowsBetween(Window.unboundedPreceding, 0))).filter("_q is not null")
+    cells = points.groupBy("_k", "_b").agg(F.min("_u").alias("_first")).withColumn(
+        "_d", F.col("_b") - F.pmod(F.col("_b"), F.lit(_DAY_US)))
+    before = (Window.unboundedPreceding, -1)
+    minutes = Window.partitionBy("_k", "_d").orderBy(F.col("_b").desc()).rowsBetween(*before)
+    days = Window.partitionBy("_k").orderBy(F.col("_d").desc()).rowsBetween(*before)
+    per_day = cells.groupBy("_k", "_d").agg(F.min("_first").alias("_first")).select(
+        F.col("_k").alias("_dk"), F.col("_d").alias("_dd"), F.min("_first").over(days).alias("_days"))
+    later = cells.withColumn("_minutes", F.min("_first").over(minutes)).join(
+        per_day, F.col("_k").eqNullSafe(F.col("_dk")) & (F.col("_d") == F.col("_dd"))).select(
+        F.col("_k").alias("_ck"), F.col("_b").alias("_cb"), F.coalesce("_minutes", "_days").alias("_later"))
+    return asked.join(later, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb"))).select(
+        "_k", F.col("_q").alias("_t"), F.coalesce("_in", "_later").alias("_n")).filter("_n is not null")
 
 
 def greedy_window_dedupe(
@@ -123,39 +132,43 @@ def greedy_window_dedupe(
     """Per key, keep the first row, then drop every row closer than
     ``window_hours`` to the last KEPT row.
 
-    Order-dependent, so it is a fold, not a window aggregate.  A row that
-    follows a gap of at least ``window_hours`` is always kept, so each key is
-    first cut into independent segments at such gaps (:func:`gap_segments`);
-    the segments are hash-partitioned on (key, segment) and sorted inside each
-    partition, and a pandas iterator streams the sorted Arrow batches carrying
-    only ``(last segment, last kept time)`` — memory stays at one batch, a
-    key's segments fold in parallel, and nothing is collected per group.
+    The row kept after one at ``t`` is the key's first at or after ``t`` plus
+    the window, so the kept times are a chain from the key's first time.  Jumps
+    of 1, 2, 4, … links are made by joining a jump to itself; going down from
+    the longest, every known time adds the one its jump leads to.  As links are
+    at least a window apart, the longest span of a key bounds the number of
+    jumps: its logarithm.  A key with any number of rows is spread over its
+    times; nothing is folded in one task.  Jumps are written to the shared
+    checkpoint folder.
+
+    Of rows at one kept time the first by ``tie_col`` stays (else by a hash of
+    the row); rows without a time stay; null keys are one key.
     """
-    limit_us = int(window_hours * 3600 * 1_000_000)
-    cols = df.columns
-    seg = gap_segments(df, key, ts_col, window_hours, tie_col)
-    order = [key, "_seg", ts_col] + ([tie_col] if tie_col else [])
-    prepared = seg.repartition(key, "_seg").sortWithinPartitions(*order)
-    schema = df.select(*cols).schema
-
-    def fold(batches):
-        last_group = None
-        last_kept = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ts = pd.to_datetime(pdf[ts_col]).astype("int64") // 1000
-            groups = list(zip(pdf[key].tolist(), pdf["_seg"].tolist()))
-            keep = []
-            for g, t in zip(groups, ts.tolist()):
-                if g != last_group or last_kept is None or t - last_kept >= limit_us:
-                    keep.append(True)
-                    last_group, last_kept = g, t
-                else:
-                    keep.append(False)
-            yield pdf[keep][cols]
-
-    return prepared.mapInPandas(fold, schema)
+    spark, ahead = df.sparkSession, int(window_hours * 3600 * 1_000_000)
+
+    def written(part: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"dedupe-{name}")
+        part.write.parquet(path)
+        return spark.read.schema(part.schema).parquet(path)
+
+    times = written(df.select(F.col(key).alias("_k"), _micros(ts_col).alias("_t")).filter("_t is not null").distinct(), "times")
+    starts = times.groupBy("_k").agg(F.min("_t").alias("_t"), F.max("_t").alias("_last"))
+    span = starts.agg(F.coalesce(F.max(F.col("_last") - F.col("_t")), F.lit(0))).first()[0]  # one number
+    target = lambda jump: jump.select(F.col("_k").alias("_jk"), F.col("_t").alias("_jt"), F.col("_n").alias("_to"))
+    here = lambda c: F.col("_k").eqNullSafe(F.col("_jk")) & (F.col(c) == F.col("_jt"))
+    jumps = [written(first_at_or_after(times, ahead), "jump")] if span >= ahead else []
+    for _ in range((span // ahead).bit_length() - 1):
+        last = jumps[-1]
+        jumps.append(written(last.join(target(last), here("_n")).select("_k", "_t", F.col("_to").alias("_n")), "jump"))
+    kept = starts.select("_k", "_t")
+    for jump in reversed(jumps):
+        known = F.explode(F.array_compact(F.array("_t", "_to")))
+        kept = kept.join(target(jump), here("_t"), "left").select("_k", known.alias("_t"))
+    order = [F.col(tie_col)] if tie_col else [F.xxhash64(*df.columns)]
+    same = F.col(key).eqNullSafe(F.col("_k")) & (_micros(ts_col) == F.col("_t"))
+    nth = F.row_number().over(Window.partitionBy(key, ts_col).orderBy(*order))
+    first = df.filter(F.col(ts_col).isNotNull()).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    return first.join(kept, same, "left_semi").unionByName(df.filter(F.col(ts_col).isNull()))
 
 
 def skip_existing_minutes(

@@ -24,6 +24,7 @@ from tessera.streaming import stream
 
 # Fixed values of the re-aim: routes by name, keywords, the declared fields of a landing record
 ROUTES = {"sales": r"_purchase\.jsonl$", "traffic": r"_(click|view)\.jsonl$"}
+SECOND_DELIVERY = "2024-01-15"
 KEYWORDS = (("err", "faults"), ("sign", "accounts"))
 LANDING_FIELDS = [
     {"name": "event_id", "json_path": "$.id", "type": "INTEGER", "validations": [{"type": "not_null"}]},
@@ -218,6 +219,18 @@ def streamed_merge(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(target).select("event_id", F.col("at").cast("timestamp_ntz").alias("at"), "kind", "reading")
 
 
+def streamed_window_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    """The greedy 24-hour dedupe over two deliveries of the events."""
+    ev = Tables(spark, d).events.select("user_id", "event_id", "ts")
+    half = F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    landing, target, state = (scratch_path(spark, f"greedy-{n}") for n in ("landing", "target", "state"))
+    writer = stream.greedy_dedupe_writer(target, "user_id", "ts", 24.0)
+    for part in (ev.filter(half), ev.filter(~half)):
+        part.write.mode("append").parquet(landing)
+        stream.run_available_now(spark.readStream.schema(ev.schema).parquet(landing), "greedy", writer=writer, checkpoint=state)
+    return spark.read.parquet(target).select(*ev.columns)
+
+
 # ---- written tables ---------------------------------------------------------------
 
 def merged_days(spark: SparkSession, d: str) -> DataFrame:
@@ -250,6 +263,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         landing_names, parsed_lines, raw_envelopes, files_without_records, declared_fields, inferred_fields, ingested_events,
-        streamed_windows, streamed_dedupe, streamed_merge, merged_days, model_run,
+        streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, merged_days, model_run,
     )
 }

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators import keep
+from tessera.operators import keep, records
 from tessera.session import checkpoint_root
 from tessera.sources.jsonl import FieldSpec, extract_fields, with_lineage
 
@@ -126,28 +125,28 @@ def sliding_counts(df: DataFrame, ts_col: str, keys: Sequence[str], days: int =
     )
 
 
-def greedy_dedupe_stream(df: DataFrame, key: str, ts_col: str, window_hours: float,
-                         out_schema: T.StructType | None = None) -> DataFrame:
-    """The greedy window dedupe (N26) as keyed streaming state.
+def greedy_dedupe_writer(target_path: str, key: str, ts_col: str, window_hours: float, tie_col: str | None = None):
+    """``foreachBatch`` body — the greedy window dedupe (N26) across micro-batches.
 
-    State per key is only the last kept time, so it stays tiny however
-    long the stream runs.  Rows of a micro-batch are folded in time order.
+    A key's state is the last time it kept, read from the target itself: rows
+    less than the window after it, and late rows before it, go; the rest is
+    deduplicated as in batch, spread over all tasks.  Only kept rows within one
+    window of the batch's earliest row can matter, so no more of the target is
+    read.  A batch writes its own folder, and reads those of earlier batches
+    only, so a batch that is run again gives the same rows.
     """
-    limit = pd.Timedelta(hours=window_hours)
-    schema = out_schema or df.schema
-    state_schema = T.StructType([T.StructField("last_kept", T.TimestampType())])
-
-    def fold(k, pdfs, state):
-        last = state.get[0] if state.exists else None
-        kept = []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(ts_col)
-        for _, row in batch.iterrows():
-            t = row[ts_col]
-            if last is None or t - last >= limit:
-                kept.append(row)
-                last = t
-        if last is not None:
-            state.update((last.to_pydatetime() if hasattr(last, "to_pydatetime") else last,))
-        yield pd.DataFrame(kept, columns=schema.fieldNames()) if kept else pd.DataFrame(columns=schema.fieldNames())
-
-    return df.groupBy(key).applyInPandasWithState(fold, schema, state_schema, "append", "NoTimeout")
+    window = F.expr(f"INTERVAL {int(window_hours * 3_600_000_000)} MICROSECOND")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch
+        if keep.path_exists(spark, target_path):
+            since = batch.select(F.min(ts_col) - window).scalar()
+            kept = spark.read.parquet(target_path).filter((F.col("_batch") < batch_id) & (F.col(ts_col) > since))
+            last = kept.groupBy(F.col(key).alias("_lk")).agg(F.max(ts_col).alias("_last"))
+            far = F.col("_last").isNull() | (F.col(ts_col) >= F.col("_last") + window)
+            rows = batch.join(last, F.col(key).eqNullSafe(F.col("_lk")), "left").filter(far).select(*batch.columns)
+        out = records.greedy_window_dedupe(rows, key, ts_col, window_hours, tie_col)
+        out.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/_batch={batch_id}")
+
+    return write

@@ -106,18 +106,21 @@ def test_safe_millis_and_datetime(spark):
     assert one == dt.datetime(2024, 1, 2, 3, 4, 5)
 
 
-def test_greedy_dedupe_segments_match_brute_force(spark):
+def test_greedy_dedupe_matches_brute_force(spark):
     import random
 
-    from tessera.operators.records import gap_segments, greedy_window_dedupe
+    from tessera.operators.records import greedy_window_dedupe
 
     rnd = random.Random(7)
     rows = []
-    for k in range(4):
+    for k in range(4):  # sparse keys with gaps around the window; key 0 is null
         t = T0
         for i in range(60):
             t = t + dt.timedelta(hours=rnd.choice([0.5, 3, 11, 23.9, 24, 30, 50]))
-            rows.append((k, i, t))
+            rows.append((k or None, i, t))
+    # a hot key without any gap: microseconds apart in places, times that repeat, and before the epoch's day start
+    rows += [(9, i, T0 + dt.timedelta(microseconds=rnd.randrange(40 * 86_400_000_000) // 7 * 7)) for i in range(3000)]
+    rows += [(9, 5000 + i, t) for i, (_, _, t) in enumerate(rows[-3000::11])]
     df = spark.createDataFrame(rows, "k int, i int, ts timestamp")
 
     def brute(points):
@@ -128,8 +131,16 @@ def test_greedy_dedupe_segments_match_brute_force(spark):
                 last = t
         return kept
 
-    want = {(k, i) for k in range(4) for i in brute([(i, t) for kk, i, t in rows if kk == k])}
-    got = {(r.k, r.i) for r in greedy_window_dedupe(df, "k", "ts", 24.0).collect()}
+    want = {(k, i) for k in {r[0] for r in rows} for i in brute([(i, t) for kk, i, t in rows if kk == k])}
+    got = {(r.k, r.i) for r in greedy_window_dedupe(df, "k", "ts", 24.0, "i").collect()}
     assert got == want
-    segs = gap_segments(df, "k", "ts", 24.0).filter(F.col("k") == 0).select("_seg").distinct().count()
-    assert segs > 1  # the 30 h / 50 h gaps cut key 0 into independent segments
+
+
+def test_greedy_dedupe_of_nothing_and_of_rows_without_time(spark):
+    from tessera.operators.records import greedy_window_dedupe
+
+    empty = spark.createDataFrame([], "k int, i int, ts timestamp")
+    assert greedy_window_dedupe(empty, "k", "ts", 24.0).collect() == []
+    rows = [(1, 0, None), (1, 1, T0), (1, 2, T0), (1, 3, None)]
+    got = greedy_window_dedupe(spark.createDataFrame(rows, "k int, i int, ts timestamp"), "k", "ts", 24.0, "i").collect()
+    assert sorted(r.i for r in got) == [0, 1, 3]

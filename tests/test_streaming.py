@@ -62,19 +62,21 @@ def test_dedupe_within_watermark(spark, tmp_path):
     assert sorted(r.id for r in spark.sql("select * from dd_test").collect()) == [1, 2]
 
 
-def test_greedy_dedupe_stream(spark, tmp_path):
-    src = tmp_path / "src"
+def test_greedy_dedupe_across_batches(spark, tmp_path):
+    src, target, ckpt = tmp_path / "src", str(tmp_path / "kept"), str(tmp_path / "ck")
     t0 = dt.datetime(2024, 1, 1)
-    rows = [("u", t0 + dt.timedelta(hours=h)) for h in (0, 10, 23, 24, 30)]
-    spark.createDataFrame(rows, "k string, ts timestamp").write.parquet(str(src))
-    stream = spark.readStream.schema("k string, ts timestamp").parquet(str(src))
-    out = X.greedy_dedupe_stream(stream, "k", "ts", 24)
-    q = out.writeStream.format("memory").queryName("greedy_test").outputMode("append").option(
-        "checkpointLocation", str(tmp_path / "ck")).start()
-    q.processAllAvailable()
-    q.stop()
-    got = sorted(int((r.ts - t0).total_seconds() // 3600) for r in spark.sql("select * from greedy_test").collect())
-    assert got == [0, 24]
+    writer = X.greedy_dedupe_writer(target, "k", "ts", 24)
+    schema = "k string, ts timestamp"
+    # the second batch holds a late row (5 h), rows too close to the last kept one, and a new key
+    for batch in ([("u", 0), ("u", 10), ("u", 23), ("u", 24), ("u", 30)], [("u", 5), ("u", 47.5), ("u", 48), ("u", 60), ("v", 3)]):
+        rows = [(k, t0 + dt.timedelta(hours=h)) for k, h in batch]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(src))
+        X.run_available_now(spark.readStream.schema(schema).parquet(str(src)), "greedy", writer=writer, checkpoint=ckpt)
+    got = sorted((r.k, (r.ts - t0).total_seconds() / 3600) for r in spark.read.parquet(target).collect())
+    assert got == [("u", 0), ("u", 24), ("u", 48), ("v", 3)]
+    # a batch that is run again gives the same rows
+    writer(spark.createDataFrame([(k, t0 + dt.timedelta(hours=h)) for k, h in batch], schema), 1)
+    assert sorted((r.k, (r.ts - t0).total_seconds() / 3600) for r in spark.read.parquet(target).collect()) == got
 
 
 def test_daily_windows_over_events_table(spark, tmp_path):
