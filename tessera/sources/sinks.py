@@ -169,18 +169,12 @@ def write_documents(docs: DataFrame, key: str, path: str) -> None:
 
 
 def bundle(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row holding each (small, bounded) dataset as an array of structs."""
-    out = None
+    """One row holding each (small, bounded) dataset as an array of structs, each a scalar subquery."""
+    columns = []
     for name, part in parts.items():
         p = export_values(part)
-        one = p.agg(F.collect_list(F.struct(*p.columns)).alias(name))
-        out = one if out is None else _one_row_join(out, one)
-    return out
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row frames on a constant key (both sides are one row)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        columns.append(p.agg(F.collect_list(F.struct(*p.columns))).scalar().alias(name))
+    return next(iter(parts.values())).sparkSession.range(1).select(*columns)
 
 
 def export_population(stats: DataFrame, key: str, plays_col: str, last_col: str, top_n: int, since) -> DataFrame:

@@ -14,11 +14,15 @@ NESTED_LOOP = re.compile(r"BroadcastNestedLoopJoin|CartesianProduct")
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF")
 
 
+# jobs that write and return a plain read of what they wrote: their plan says nothing, and planning them runs them
+WRITTEN = re.compile(r"(streamed_|ingested_|merged_|model_run|json_round_trip|csv_round_trip)")
+
+
 def _plan(spark, name):
     return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n)))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n) and not WRITTEN.match(n)))
 def test_no_nested_loop_or_stray_python(spark, name):
     plan = _plan(spark, name)
     assert not NESTED_LOOP.search(plan), f"{name} plans a nested-loop / cartesian join"
