@@ -180,6 +180,39 @@ def test_op4(spark, sf_small, docs):
         assert out[i].score == pytest.approx(loss[True] - loss[False], abs=2e-3)
 
 
+def test_op4_counts_every_word_and_bigram_by_itself(spark):
+    """More different words and bigrams than any fixed table: the plain score over the words themselves."""
+    from tessera.llm import scoring as s
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(["the", "same", *(f"w{rng.randrange(1 << 18)}" for _ in range(3000))])) for i in range(80)]
+    rows += [(80 + i, "the same " * 50 + f"w{i}") for i in range(20)]
+    good = {i for i in range(100) if i % 4 == 0}
+    pairs = {i: list(zip([None, *t.split()], t.split(), strict=False)) for i, t in rows}
+    count = {m: [Counter(), Counter(), Counter()] for m in (True, False)}
+    three = lambda i: (Counter(w for _, w in pairs[i]), Counter(c for c, _ in pairs[i]), Counter(pairs[i]))
+    for m in count:
+        for i in good if m else pairs:
+            for c, o in zip(count[m], three(i), strict=True):
+                c.update(o)
+    assert len(count[False][0]) > 2 * s.WORDS
+    total = {m: sum(count[m][0].values()) for m in count}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    for r in s.score(docs, labels).collect():
+        loss = {}
+        for m in count:
+            scale, mine, inside = total[True] / total[m], three(r.doc_id), not m or r.doc_id in good
+            get = lambda k, x: max(scale * (count[m][k][x] - inside * mine[k][x]), 0.0)  # noqa: B023, E731
+            size, nll = total[True] - scale * r.n_tokens * inside, 0.0
+            for c, w in pairs[r.doc_id]:
+                unigram = (get(0, w) + s.PRIOR_WORD / s.WORDS) / (size + s.PRIOR_WORD)
+                nll -= np.log((min(get(2, (c, w)), get(1, c)) + s.PRIOR_PAIR * unigram) / (get(1, c) + s.PRIOR_PAIR))
+            loss[m] = nll / r.n_tokens
+        assert r.n_tokens == len(pairs[r.doc_id])
+        assert (r.target_loss, r.background_loss) == pytest.approx((loss[True], loss[False]), abs=1e-9)
+
+
 def test_op5(spark, sf_small, docs):
     out = run(spark, sf_small, "op5_quality_rules")
     lines = {i: {h: (c, n) for h, c, n in quality.line_hashes(r.text or "")} for i, r in docs.items()}
