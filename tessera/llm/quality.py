@@ -7,7 +7,8 @@ of them are distinct: copies and near copies of one document are not.  A
 document is told apart by its rarest line, as the smallest digest of that
 line's three-word runs, which an edit here or there seldom changes.  Lines in
 more than ``LINE_DOCS`` distinct documents, making up at least ``DISTINCT`` of
-the line's documents, are removed.  A document with less than ``LEFT`` of its
+the line's documents with different sets of lines, are removed: copies never
+switch a removal off.  A document with less than ``LEFT`` of its
 words left is rejected.
 
 A line's counts are pre-aggregated per task and never collected; joins on a
@@ -34,7 +35,7 @@ from tessera.llm.common import staged
 
 #: Fixed values of the base rules.
 LEAST_WORDS, MOST_REPEATED, SYMBOLS = 50, 50, b"#*$%&|<>"
-#: The method's limits: distinct documents of a line, share of them among its documents, words left.
+#: The method's limits: distinct documents of a line, share of them among its different sets of lines, words left.
 LINE_DOCS, DISTINCT, LEFT = 20, 0.5, 0.2
 _WHITE = b" \t\n\x0b\x0c\r"
 
@@ -110,13 +111,16 @@ def _judged(docs: DataFrame, line_docs: int, distinct: float, left: float) -> Da
     lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.c", "l.n")
     found = staged(lines.groupBy("host", "h").agg(F.count("*").alias("docs")), "quality-lines")
     rarest = F.min(F.struct("docs", -F.col("n"), "h", "c"))
-    known = staged(lines.join(found, ["host", "h"]).groupBy("row").agg(rarest["c"].alias("own")), "quality-rarest")
+    whole = F.bit_xor(F.xxhash64("h"))  # of the set of lines
+    known = lines.join(found, ["host", "h"]).groupBy("row").agg(rarest["c"].alias("own"), whole.alias("whole"))
+    known = staged(known, "quality-rarest")
     often = staged(lines.join(found.filter(F.col("docs") > line_docs), ["host", "h"]), "quality-often")
     frequent = (
         often.join(known, "row")
+        .select("host", "h", "own", "whole").distinct()
         .groupBy("host", "h", "own").agg(F.count("*").alias("n"))
-        .groupBy("host", "h").agg(F.sum("n").alias("docs"), F.count("*").alias("distinct"))
-        .filter((F.col("distinct") > line_docs) & (F.col("distinct") >= F.col("docs") * distinct))
+        .groupBy("host", "h").agg(F.sum("n").alias("wholes"), F.count("*").alias("distinct"))
+        .filter((F.col("distinct") > line_docs) & (F.col("distinct") >= F.col("wholes") * distinct))
         .select("host", "h")
     )
     removed = often.join(staged(frequent, "quality-frequent"), ["host", "h"]).groupBy("row").agg(

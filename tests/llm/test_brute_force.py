@@ -248,6 +248,15 @@ def test_frequent_lines_deplete_but_copies_do_not(spark):
     assert {r.kept for r in out if r.doc_id < 100} == {False} and {r.kept for r in out if r.doc_id >= 100} == {True}
 
 
+def test_copies_do_not_switch_a_removal_off(spark):
+    footer = " ".join(f"foot{j}" for j in range(60))
+    rows = [(i, footer + "\n" + " ".join(f"d{i}w{j}" for j in range(12)), "s") for i in range(200)]
+    page = "\n".join([footer, *(" ".join(f"page{k}w{j}" for j in range(15)) for k in range(8))])
+    rows += [(1000 + i, page, "s") for i in range(300)]
+    out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r.doc_id >= 1000, r.kept, r.n_removed_words) for r in out} == {(False, False, 60), (True, True, 60)}
+
+
 def plain_fingerprint(text):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
