@@ -5,7 +5,8 @@ normalised lines (lower case, single spaces) with the number of words it
 holds.  Per host (the source) the documents of a line are counted, and how many
 of them are distinct: copies and near copies of one document are not.  A
 document is told apart by its rarest line, as the smallest digest of that
-line's three-word runs, which an edit here or there seldom changes.  Lines in
+line's three-word runs, which an edit here or there seldom changes; if even
+that line is in more than ``LINE_DOCS`` documents, by its set of lines.  Lines in
 more than ``LINE_DOCS`` distinct documents, making up at least ``DISTINCT`` of
 the line's documents with different sets of lines, are removed: copies never
 switch a removal off.  A document with less than ``LEFT`` of its
@@ -111,8 +112,9 @@ def _judged(docs: DataFrame, line_docs: int, distinct: float, left: float) -> Da
     lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.c", "l.n")
     found = staged(lines.groupBy("host", "h").agg(F.count("*").alias("docs")), "quality-lines")
     rarest = F.min(F.struct("docs", -F.col("n"), "h", "c"))
-    whole = F.bit_xor(F.xxhash64("h"))  # of the set of lines
-    known = lines.join(found, ["host", "h"]).groupBy("row").agg(rarest["c"].alias("own"), whole.alias("whole"))
+    whole = F.bit_xor(F.xxhash64("h"))  # of the set of lines; tells a document without a line of its own apart
+    own = F.when(rarest["docs"] > line_docs, whole).otherwise(rarest["c"])
+    known = lines.join(found, ["host", "h"]).groupBy("row").agg(own.alias("own"), whole.alias("whole"))
     known = staged(known, "quality-rarest")
     often = staged(lines.join(found.filter(F.col("docs") > line_docs), ["host", "h"]), "quality-often")
     frequent = (

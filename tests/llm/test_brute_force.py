@@ -248,6 +248,14 @@ def test_frequent_lines_deplete_but_copies_do_not(spark):
     assert {r.kept for r in out if r.doc_id < 100} == {False} and {r.kept for r in out if r.doc_id >= 100} == {True}
 
 
+def test_documents_of_shared_lines_only_are_depleted(spark):
+    menu = [" ".join(f"menu{k}w{j}" for j in range(20)) for k in range(10)]
+    rng = random.Random(2)
+    rows = [(i, "\n".join(rng.sample(menu, 6)), "s") for i in range(400)]
+    out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r.kept, r.n_removed_words) for r in out} == {(False, 120)}
+
+
 def test_copies_do_not_switch_a_removal_off(spark):
     footer = " ".join(f"foot{j}" for j in range(60))
     rows = [(i, footer + "\n" + " ".join(f"d{i}w{j}" for j in range(12)), "s") for i in range(200)]
