@@ -8,7 +8,7 @@ keeps or drops each block.
 
 Defined results: a null or empty page has empty text and 0 characters; markup
 cut off at the end of a page is dropped; unclosed and stray tags do not
-matter; every input row gives one row, so repeated ids stay; a page of any
+matter (an unclosed script, style, textarea, title or comment reaches to the end); every input row gives one row, so repeated ids stay; a page of any
 length is read whole; an empty table gives an empty result; columns other than
 page_id, url and html are not looked at.
 """
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 
 #: HTML element names by role.
 _RAW = frozenset("script style noscript template svg math iframe object textarea title select option button".split())
+_TO_END = frozenset("script style textarea title".split())  # without an end tag: all the rest of the page
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
     " span strike strong sub sup time tt u var wbr".split()
@@ -42,16 +43,37 @@ _HINT = re.compile(
     re.I,
 )
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>%s)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|<[!?/a-zA-Z][^>]*(?:>|\Z)" % "|".join(sorted(_RAW)),
+    r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.I | re.S,
 )
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
+_ENDS["option"] = re.compile(r"</option\s*>|(?=</?(?:option|optgroup|select|datalist)\b)", re.I)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "main", "any_main")
 
 
+def marks(page: str) -> Iterator[tuple[re.Match, int, str]]:
+    """Tags and comments in page order: match, where the text goes on, name; raw elements whole and without a name."""
+    at, unclosed = 0, set()
+    while m := _TAG.search(page, at):
+        at, name = m.end(), (m["name"] or "").lower()
+        if name in _RAW and not m["end"]:
+            empty = name in ("svg", "math") and m["attrs"].endswith("/")
+            if not empty and name not in unclosed:
+                closed = _ENDS[name].search(page, at)
+                if closed:
+                    at = closed.end()
+                elif name in _TO_END:
+                    at = len(page)
+                else:
+                    unclosed.add(name)  # only the tag goes
+            name = ""
+        yield m, at, name
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """Flat blocks in page order: (text, words, words in links, boilerplate depth, article depth)."""
     found: list[tuple[str, int, int, int, int]] = []
@@ -77,13 +99,11 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
                 linked += len(raw.split())
 
     at = 0
-    for m in _TAG.finditer(page):
+    for m, after, name in marks(page):
         piece(page[at : m.start()])
-        at = m.end()
-        name = m["name"]
-        if name is None:
+        at = after
+        if not name:
             continue
-        name = name.lower()
         if name == "a":
             in_link = not m["end"]
             continue

@@ -147,6 +147,18 @@ def test_op3_on_pages_and_held_out_layouts(spark, sf_small):
     assert hits[0] >= 0.97 * hits[1]
 
 
+@pytest.mark.parametrize("inside, want", [
+    ('One <svg viewBox="0 0 1 1"/> two</p><p>three four', "One two\nthree four"),
+    ("One <math/> two</p><p>three <svg><path/></svg> four", "One two\nthree four"),
+    ("One</p><datalist><option>x<option>y</datalist><p>two</p><p>three", "One\ntwo\nthree"),
+    ("One <button>two</p><p>three", "One two\nthree"),
+    ("One <button>x</button> two</p><p>three <script>x", "One two\nthree"),
+    ("One <iframe src='x'> two</p><p>three<!-- x", "One two\nthree"),
+])
+def test_raw_elements_end_where_they_end(inside, want):
+    assert "\n".join(b[0] for b in html.blocks(f"<article><p>{inside}")) == want
+
+
 def test_op4(spark, sf_small, docs):
     """The same score with plain dictionaries over the same bins."""
     from tessera.llm import scoring as s
