@@ -7,12 +7,14 @@ It is trained here on ``labelled_table()``, a small table of tagged lines, by
 gradient ascent over forward-backward expectations, and decoded by Viterbi
 over padded numpy batches.
 
-A token without a digit or an at sign is plain, and the field's constraint is
+A token without a digit or an at sign, plain or bracketed, is plain, and the field's constraint is
 that plain tokens lie outside spans.  A text therefore falls apart exactly into
 the runs of other tokens between them (the text's ends count as plain):
 decoding the runs gives the best path of the whole text, and plain stretches
 of any length cost nothing.  A tagged sequence becomes a span if an exact
 check of its kind holds (digits, check sum, parts) and no base span is touched.
+Marks and a label (``tel:``) around it are left off; a bracketed at sign that
+stands by itself takes the words on either side.
 
 Defined results: a null text counts as empty (zero counts, the digest of the
 empty string, no spans); ids may be null or repeated (one result row per
@@ -39,7 +41,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_AT = re.compile(r"\[at\]|\(at\)|\{at\}|<at>", re.I)
+_TRIGGER = re.compile(r"[0-9@]|" + _AT.pattern, re.I)
+_LABEL, _OPEN, _CLOSE = re.compile(r"[A-Za-z]+[:=]"), "([{<\"'", ".,;:!?)]}>\"'"
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _WHITE, _WHITES = re.compile(r"[\x20\x09-\x0D]"), re.compile(r"[\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
@@ -113,18 +117,20 @@ OUTSIDE = np.array([0.0] + [-1e9] * (len(LABELS) - 1))
 
 
 def shape_features(token: str) -> tuple[str, ...]:
-    """Word-shape features; tokens without a digit or at sign are all ``PLAIN``."""
+    """Word-shape features; tokens without a trigger are all ``PLAIN``."""
     if not _TRIGGER.search(token):
         return PLAIN
-    shape = re.sub(r"[A-Z]", "X", re.sub(r"[^\W\d_]", "x", token[:80]))
+    bracketed = _AT.search(token)
+    core = _LABEL.sub("", _AT.sub("@@", token[:80]), count=1) if token[0].isalpha() else _AT.sub("@@", token[:80])
+    shape = re.sub(r"[A-Z]", "X", re.sub(r"[^\W\d_]", "x", core.lstrip(_OPEN).rstrip(_CLOSE)))
     runs = re.sub(r"x+", "x", re.sub(r"[0-9]+", lambda m: "d" * min(len(m.group()), 5), shape))
     digits = len(_DIGIT.findall(token))
     return (
-        "s=" + runs.strip(".,;:!?"),
+        "s=" + runs,
         "n=" + str(min(digits, 20)),
         "paren=" + str("(" in token and ")" in token),
         "seps=" + str(min(sum(token.strip(".,;:!?").count(c) for c in ".-"), 4)),
-        "at=" + str("@" in token or "[at]" in token.lower()),
+        "at=" + ("bracketed" if bracketed else str("@" in token)),
     )
 
 
@@ -137,6 +143,7 @@ def labelled_table(seed: int = 7, rows: int = 400) -> list[list[tuple[str, str]]
     def tag(kind: str, text: str) -> list[tuple[str, str]]:
         return [(t, f"{'B' if i == 0 else 'I'}-{kind}") for i, t in enumerate(text.split(" "))]
 
+    brackets = ("[at]", "(at)", "{at}", "<at>", "[AT]")
     private = [
         lambda: tag("phone", f"({num(3)}) {num(3)}-{num(4)}"),
         lambda: tag("phone", f"{num(3)}-{num(3)}-{num(4)}"),
@@ -148,6 +155,12 @@ def labelled_table(seed: int = 7, rows: int = 400) -> list[list[tuple[str, str]]
         lambda: tag("email", f"{word()}.{num(2)}@{word()}.com"),
         lambda: tag("email", f"{word()}@{word()}{num(1)}.org"),
         lambda: tag("email", f"{word()}{num(2)}[at]{word()}{num(1)}.com"),
+        lambda: tag("email", f"{word()}.{word()}{rng.choice(brackets)}{word()}.com"),
+        lambda: tag("email", f"{word()}{rng.choice(brackets)}{word()}.org"),
+        lambda: [(f"{word()}.{word()}", "O"), (rng.choice(brackets), "B-email"), (f"{word()}.com", "O")],
+        lambda: tag("phone", f"tel:{num(3)}-{num(3)}-{num(4)}"),
+        lambda: tag("phone", f"({num(3)}-{num(3)}-{num(4)})"),
+        lambda: tag("phone", f"({num(3)}){num(3)}-{num(4)}"),
         lambda: tag("ip", ".".join(str(rng.randint(1, 255)) for _ in range(4))),
     ]
     other = [
@@ -166,7 +179,8 @@ def labelled_table(seed: int = 7, rows: int = 400) -> list[list[tuple[str, str]]
     table = []
     for i in range(rows):
         line = [(word(), "O") for _ in range(rng.randint(2, 5))]
-        line += (private if i % 2 else other)[(i // 2) % 11]()
+        kinds = private if i % 2 else other
+        line += kinds[(i // 2) % len(kinds)]()
         table.append(line + [(word() + rng.choice(["", ".", ","]), "O") for _ in range(rng.randint(2, 4))])
     return table
 
@@ -260,11 +274,33 @@ def _added(kind: str, text: str) -> bool:
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits) and re.fullmatch(r"[0-9 .-]+", text) is not None
     if kind == "phone":
-        return re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", text) is not None
+        return re.fullmatch(r"(?:\([0-9]{3}\)[ .-]?|[0-9]{3}\)?[ .-])[0-9]{3}[ .-][0-9]{4}", text) is not None
     if kind == "ip":
         parts = text.split(".")
         return len(parts) == 4 and all(p.isdigit() and _octet(p) for p in parts)
-    return re.fullmatch(r"[A-Za-z0-9._%+-]+\s?\[at\]\s?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text, re.I) is not None
+    return re.fullmatch(rf"[A-Za-z0-9._%+-]+\s?(?:{_AT.pattern})\s?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text, re.I) is not None
+
+
+def _checked(kind: str, text: str, a: int, b: int) -> tuple[int, int] | None:
+    """The tagged span less marks and a label around it, if the exact check of its kind holds."""
+    if kind == "email" and _AT.match(text, a):  # the local part stands before
+        a -= a > 1 and _WHITE.match(text, a - 1) is not None
+        while a and text[a - 1] in _LOCAL:
+            a -= 1
+    if kind == "email" and _AT.fullmatch(text, max(b - 4, a), b) and (m := _TOKEN.match(text, b + 1)):
+        b = m.end()
+    label = _LABEL.match(text, a, b)
+    i, j = label.end() if label else a, b
+    while i < j and text[i] in _OPEN:
+        i += 1
+    while j > i and text[j - 1] in _CLOSE:
+        j -= 1
+    # one bracket on either side may belong to it
+    for start in dict.fromkeys((a, max(i - 1, a), i)):
+        for end in dict.fromkeys((b, min(j + 1, b), j)):
+            if start < end and _added(kind, text[start:end]):
+                return start, end
+    return None
 
 
 def sequences(text: str) -> list[list[tuple[int, int]]]:
@@ -305,11 +341,8 @@ def added_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int
                 end = token[1]
                 continue
             if kind:
-                a, b = start, end
-                while b > a and texts[i][b - 1] in ".,;:!?":
-                    b -= 1
-                if _added(kind, texts[i][a:b]):
-                    out[i].append((kind, a, b))
+                if span := _checked(kind, texts[i], start, end):
+                    out[i].append((kind, *span))
             kind = ""
             if name[0] != "O":
                 kind, (start, end) = name[2:], token

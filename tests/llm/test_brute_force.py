@@ -147,6 +147,25 @@ def test_op3_on_pages_and_held_out_layouts(spark, sf_small):
     assert hits[0] >= 0.97 * hits[1]
 
 
+@pytest.mark.parametrize("kind, value", [
+    ("email", "jane.doe[at]example.com"), ("email", "jane.doe(at)example.com"), ("email", "jane.doe [at] example.com"),
+    ("email", "jane (AT) example.org"), ("email", "jane7 [at] example.org"), ("phone", "555-123-4567"),
+    ("phone", "(555)123-4567"), ("phone", "(555) 123-4567"),
+])
+@pytest.mark.parametrize("around", ["{}", "tel:{}", "({})", '"{}",', "<{}>."])
+def test_added_spans_without_digits_and_in_marks(kind, value, around):
+    if " " in value and around == "tel:{}":
+        return
+    text = "please write to " + around.format(value) + " any day"
+    want = (kind, text.index(value), text.index(value) + len(value))
+    assert pii.added_spans([text], pii.default_field()) == [[want]]
+
+
+def test_plain_brackets_are_no_spans():
+    text = "look (at) this. meet [at] noon, or <at> 12:30 {at}"
+    assert pii.added_spans([text], pii.default_field()) == [[]]
+
+
 @pytest.mark.parametrize("inside, want", [
     ('One <svg viewBox="0 0 1 1"/> two</p><p>three four', "One two\nthree four"),
     ("One <math/> two</p><p>three <svg><path/></svg> four", "One two\nthree four"),
