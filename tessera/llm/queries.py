@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, html, mixing, pii, quality, scoring, sharding, simhash, substrings, tokens
+from tessera.llm import decontaminate, html, mixing, pieces, pii, quality, scoring, sharding, simhash, substrings, tokens
 from tessera.llm.common import table
 
 
@@ -50,11 +50,16 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_counts(table(spark, d, "documents"))
 
 
+def op13_sentence_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.digests(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_personal_data, op3_main_text, op4_cross_entropy_difference, op5_quality_rules,
         op6_simhash_groups, op7_shards, op8_contaminated, op9_repeated_substrings, op10_token_counts,
+        op13_sentence_pieces,
     )
 }
 
