@@ -40,6 +40,23 @@ def enrich(parent: DataFrame, child: DataFrame, key: str, as_col: str) -> DataFr
     return parent.join(payload, key, "left")
 
 
+def enrich_all(parent: DataFrame, children: dict[str, DataFrame], key: str) -> DataFrame:
+    """Attach several child payloads, a struct column each, in one shuffle on ``key``.
+
+    Parents and children are stacked and pivoted by one aggregate per key, instead of a join per child.  Parents
+    and each child hold a key once (keep-latest staging) and have a key; a missing child is a null struct, children
+    without a parent go.
+    """
+    kinds = {name: F.struct(*[c for c in child.columns if c != key]) for name, child in children.items()}
+    frames = {"_parent": parent.select(F.col(key), F.struct(*parent.columns).alias("_parent"))}
+    frames |= {name: child.select(F.col(key), kinds[name].alias(name)) for name, child in children.items()}
+    stacked = None
+    for frame in frames.values():
+        stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
+    held = stacked.groupBy(key).agg(*[F.first(n, ignorenulls=True).alias(n) for n in frames])
+    return held.filter(F.col("_parent").isNotNull()).select("_parent.*", *children)
+
+
 def recover_key(df: DataFrame, key: str, file_col: str, pattern: str = r"^(\d+)_") -> DataFrame:
     """N21 + N22: fill a missing id from the file name prefix, else drop the row."""
     name = F.regexp_extract(F.col(file_col), r"([^/]*)$", 1)

@@ -341,6 +341,15 @@ def thin_points(df: DataFrame, key: str, buckets: tuple[Column, Column], order_c
     return numbered.filter(F.pmod(F.col(index_col), step) == 0).withColumn("step", step).drop("_n", "_rn")
 
 
+def first_per_bucket(df: DataFrame, bucket: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """The first row of every bucket (for example key and day) by ``order_cols``, which are the columns it keeps.
+
+    A partial aggregate: a hot key reaches the shuffle as one row per bucket and task, so arrays gathered from the
+    result are bounded by the number of buckets.
+    """
+    return df.groupBy(*bucket).agg(F.min(F.struct(*order_cols)).alias("_first")).select(*bucket, "_first.*")
+
+
 def limited_ordered_array(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
                           value: Column, n: int, name: str, distinct: bool = False) -> DataFrame:
     """``ARRAY_AGG([DISTINCT] v ORDER BY … LIMIT n)`` per group.
