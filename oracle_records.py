@@ -309,3 +309,22 @@ SELECT user_id, COUNT(*) AS events, COUNT(DISTINCT CAST(ts AS DATE)) AS days FRO
 """
 
 ORACLES["streamed_window_dedupe"] = OTHERS["window_dedupe"]
+
+ORACLES["streamed_chain_dedupe"] = OTHERS["window_dedupe"]
+
+ORACLES["streamed_months"] = """
+WITH mark AS (SELECT MAX(l_shipdate) - INTERVAL 1 DAY AS m FROM lineitem)
+SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('month', l_shipdate) + INTERVAL 1 MONTH AS TIMESTAMP) AS window_end, l_returnflag,
+       COUNT(*) AS events, SUM(l_quantity) AS quantity
+FROM lineitem, mark WHERE date_trunc('month', l_shipdate) + INTERVAL 1 MONTH <= m GROUP BY ALL
+"""
+
+ORACLES["evolved_table"] = """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id % 4 AS form FROM events)
+SELECT event_id, CASE WHEN form = 2 THEN value ELSE CAST(k AS DOUBLE) END AS reading, user_id AS owner_id,
+       CASE WHEN form = 2 THEN k END AS owner_n, CASE WHEN form = 1 THEN event_type END AS event_type,
+       CASE WHEN form >= 2 THEN k END AS mark_a, CASE WHEN form = 3 THEN event_type END AS mark_b,
+       CAST(form AS INTEGER) AS version
+FROM e
+"""

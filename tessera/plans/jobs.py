@@ -17,6 +17,7 @@ from tessera.operators import keep
 from tessera.plans.registry import Model, Registry
 from tessera.session import scratch_path
 from tessera.sources import jsonl
+from tessera.sources.evolving import EvolvingTable
 from tessera.sources.jsonl import FieldSpec
 from tessera.sources.schema import infer_schema
 from tessera.sources.tables import Tables
@@ -24,7 +25,7 @@ from tessera.streaming import stream
 
 # Fixed values of the re-aim: routes by name, keywords, the declared fields of a landing record
 ROUTES = {"sales": r"_purchase\.jsonl$", "traffic": r"_(click|view)\.jsonl$"}
-SECOND_DELIVERY = "2024-01-15"
+SECOND_DELIVERY, SECOND_YEARS = "2024-01-15", "1998-06-10"
 KEYWORDS = (("err", "faults"), ("sign", "accounts"))
 LANDING_FIELDS = [
     {"name": "event_id", "json_path": "$.id", "type": "INTEGER", "validations": [{"type": "not_null"}]},
@@ -231,6 +232,31 @@ def streamed_window_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(target).select(*ev.columns)
 
 
+def streamed_months(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar months of the order lines that the watermark has closed, from two deliveries."""
+    lines = Tables(spark, d).lineitem.select("l_shipdate", "l_returnflag", "l_quantity")
+    landing, sink, state = (scratch_path(spark, f"months-{n}") for n in ("landing", "sink", "state"))
+    half = F.col("l_shipdate") < F.lit(SECOND_YEARS).cast("timestamp_ntz")
+    for part in (lines.filter(half), lines.filter(~half)):  # a month may stay open from one run to the next
+        part.write.mode("append").parquet(landing)
+        source = spark.readStream.schema(lines.schema).parquet(landing)
+        months = stream.tumbling_aggregates(source, "l_shipdate", "l_quantity", unit="month", group=["l_returnflag"])
+        stream.run_available_now(months, "months", sink_path=sink, checkpoint=state, state_store=stream.ROCKSDB[1])
+    return _ntz(spark.read.schema(months.schema).parquet(sink)).withColumnRenamed("total", "quantity")
+
+
+def streamed_chain_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    """The greedy 24-hour dedupe over four deliveries, each with events of all days: most rows come late."""
+    ev = Tables(spark, d).events.select("user_id", "event_id", "ts")
+    landing, state = (scratch_path(spark, f"chains-{n}") for n in ("landing", "state"))
+    chains = stream.GreedyChains(spark, scratch_path(spark, "chains"), "user_id", "ts", 24.0)
+    for form in (2, 0, 3, 1):
+        ev.filter(_form(4) == form).write.mode("append").parquet(landing)
+        stream.run_available_now(spark.readStream.schema(ev.schema).parquet(landing), "chains", writer=chains.writer(),
+                                 checkpoint=state)
+    return chains.table().select(*ev.columns)
+
+
 # ---- written tables ---------------------------------------------------------------
 
 def merged_days(spark: SparkSession, d: str) -> DataFrame:
@@ -244,6 +270,25 @@ def merged_days(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "value", "day", F.col("_dp_updated_at").isNotNull().alias("stamped"))
 
 
+def evolved_table(spark: SparkSession, d: str) -> DataFrame:
+    """Four deliveries into one table, with a new field, a new nested field, an INTEGER that becomes FLOAT
+    and, last, the first form again; all of them read back in the widest form."""
+    ev = _events(spark, d).withColumn("form", _form(4))
+    table = EvolvingTable(spark, scratch_path(spark, "evolving"))
+    part = lambda n: ev.filter(F.col("form") == n)
+    k, user = F.col("k"), F.col("user_id")
+    table.append(part(0).select("event_id", k.alias("reading"), F.struct(user.alias("id")).alias("owner")))
+    table.append(part(1).select("event_id", k.alias("reading"), F.struct(user.alias("id")).alias("owner"), "event_type"))
+    table.append(part(2).select(
+        F.struct(k.alias("n"), user.alias("id")).alias("owner"), "event_id", F.col("value").alias("reading"),
+        F.array(F.struct(k.alias("a"))).alias("marks")))
+    table.append(part(3).select("event_id", k.alias("reading"), F.struct(user.alias("id")).alias("owner"),
+                                F.array(F.struct(k.alias("a"), F.col("event_type").alias("b"))).alias("marks")))
+    return table.read("version").select(
+        "event_id", "reading", F.col("owner.id").alias("owner_id"), F.col("owner.n").alias("owner_n"), "event_type",
+        F.get("marks", F.lit(0))["a"].alias("mark_a"), F.get("marks", F.lit(0))["b"].alias("mark_b"), "version")
+
+
 def model_run(spark: SparkSession, d: str) -> DataFrame:
     """A view, a table and an incremental model run twice, the second time over more events."""
     ev = Tables(spark, d).events
@@ -263,6 +308,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         landing_names, parsed_lines, raw_envelopes, files_without_records, declared_fields, inferred_fields, ingested_events,
-        streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, merged_days, model_run,
+        streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
+        model_run, evolved_table,
     )
 }
