@@ -43,8 +43,10 @@ from tessera.llm.common import staged
 LEAST, LONGEST, TOP, COVERED = 10, 3, 2000, 50
 #: Positions added up at once in a task, words a task's lexicon may hold, bytes of text per bucket.
 SLICE, LEXICON, BUCKET_BYTES = 1 << 20, 400_000, 16 << 20
-#: Bitmap of frequent d-grams: a bit per 8 bytes of text, between these powers of two (128 KB to 128 MB).
-LEAST_BITS, MOST_BITS = 20, 30
+#: Parts of a language that are ranked by themselves first.
+PARTS = 16
+#: Bitmap of frequent d-grams: a bit per 8 bytes of text, between these powers of two (128 KB to 32 MB).
+LEAST_BITS, MOST_BITS = 20, 28
 #: Fixed values of the rule: what ends a piece, and what separates words; A-Z are lower-cased.
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _MAP = bytes(10 if c in ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -194,37 +196,42 @@ def partitions(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.nd
     return np.concatenate(found), np.concatenate(sizes)
 
 
+_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("h", pa.int64())])
+
+
 def _counted(depth: int, least: int):
-    """A bucket's routed grams -> lang, phrase, f, h of those with at least ``least`` (and for depth 1 a row of all words)."""
-
-    def work(table: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"lang": [], "phrase": [], "f": [], "h": []}
-        langs = table.column("lang").to_pylist()
-        for lang in sorted(set(langs)):
-            number: dict[bytes, int] = {}
-            grams, counts = [], []
-            for i in [i for i, x in enumerate(langs) if x == lang]:
-                words = table.column("words")[i].as_py().split(b" ")
+    """Buckets of routed grams -> lang, phrase, f, h of those with at least ``least`` (depth 1: and a row of all words)."""
+
+    def count(lang: str, number: dict[bytes, int], grams: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, weights = np.concatenate(grams), np.concatenate(counts)
+        grams.clear()
+        counts.clear()
+        at, sizes = partitions(keys, weights, least)
+        rows, names, seed = keys[at], list(number), _seed(lang)
+        hashes = np.zeros(len(names), np.uint64)
+        for w in np.unique(rows).tolist():
+            hashes[w] = xxhash.xxh64_intdigest(names[w], seed)
+        phrases = [b" ".join([names[w] for w in r]).decode() for r in rows.tolist()]
+        h = gram_hash([hashes[rows[:, j]] for j in range(depth)]).view(np.int64).tolist()
+        total = [(lang, None, int(weights.sum()), None)] if depth == 1 else []
+        out = [*zip([lang] * len(at), phrases, sizes.tolist(), h, strict=True), *total]
+        return pa.RecordBatch.from_pylist([dict(zip(_COUNTED.names, r, strict=True)) for r in out], schema=_COUNTED)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, number, grams, counts = None, {}, [], []
+        for batch in batches:
+            buckets, langs = batch.column("bucket").to_pylist(), batch.column("lang").to_pylist()
+            for i, place in enumerate(zip(buckets, langs, strict=True)):
+                if place != now:
+                    if grams:
+                        yield count(now[1], number, grams, counts)
+                    now, number, grams, counts = place, {}, [], []
+                words = batch.column("words")[i].as_py().split(b" ")
                 ids = np.array([number.setdefault(w, len(number)) for w in words], np.int32)
-                grams.append(ids[np.frombuffer(table.column("grams")[i].as_py(), np.int32)].reshape(-1, depth))
-                counts.append(np.frombuffer(table.column("counts")[i].as_py(), np.int64))
-            keys, weights = np.concatenate(grams), np.concatenate(counts)
-            del grams, counts
-            at, sizes = partitions(keys, weights, least)
-            rows, names = keys[at], list(number)
-            seed = _seed(lang)
-            hashes = np.zeros(len(names), np.uint64)
-            for w in np.unique(rows).tolist():
-                hashes[w] = xxhash.xxh64_intdigest(names[w], seed)
-            out["phrase"] += [b" ".join([names[w] for w in r]).decode() for r in rows.tolist()]
-            out["f"] += sizes.tolist()
-            out["h"] += gram_hash([hashes[rows[:, j]] for j in range(depth)]).view(np.int64).tolist()
-            out["lang"] += [lang] * len(at)
-            if depth == 1:
-                for name, x in (("lang", lang), ("phrase", None), ("f", int(weights.sum())), ("h", None)):
-                    out[name].append(x)
-        return pa.Table.from_pydict(out, schema=pa.schema(
-            [("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("h", pa.int64())]))
+                grams.append(ids[np.frombuffer(batch.column("grams")[i].as_py(), np.int32)].reshape(-1, depth))
+                counts.append(np.frombuffer(batch.column("counts")[i].as_py(), np.int64))
+        if grams:
+            yield count(now[1], number, grams, counts)
 
     return work
 
@@ -275,8 +282,9 @@ def _grams(docs: DataFrame, depth: int, least: int, buckets: int, power: int, fi
         yield from flush()
 
     routed = docs.mapInArrow(route, "bucket int, lang string, words binary, grams binary, counts binary")
-    return routed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        _counted(depth, least), "lang string, phrase string, f long, h long")
+    # a bucket is a partition, whose rows come sorted by language
+    placed = routed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "lang")
+    return placed.mapInArrow(_counted(depth, least), "lang string, phrase string, f long, h long")
 
 
 def _bitmap(grams: DataFrame, power: int) -> bytes:
@@ -350,6 +358,10 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int =
         longer = inside.groupBy("lang", "phrase").agg(F.max("a").alias("most"))
         scored = scored.join(longer, ["lang", "phrase"], "left").filter(
             F.col("most").isNull() | (100 * F.col("most") < covered * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of each of PARTS parts of a language first: what its last window sorts does not grow with the text
+    best = (F.desc("score"), F.desc("a"), "phrase")
+    part_of = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*best)
+    scored = scored.withColumn("rank", F.row_number().over(part_of)).filter(F.col("rank") <= top)
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(
+        F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
