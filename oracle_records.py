@@ -328,3 +328,24 @@ SELECT event_id, CASE WHEN form = 2 THEN value ELSE CAST(k AS DOUBLE) END AS rea
        CAST(form AS INTEGER) AS version
 FROM e
 """
+
+ORACLES["ingest_outcome"] = """
+WITH e AS (
+  SELECT event_type, CASE WHEN event_id % 10 = 7 THEN 'blank' WHEN event_id % 10 > 7 THEN 'bad'
+                          WHEN length(event_type) <= 6 AND value BETWEEN 10 AND 180 THEN 'accepted' ELSE 'rejected' END AS s
+  FROM events),
+f AS (
+  SELECT event_type, COUNT(*) FILTER (s = 'accepted') AS accepted, COUNT(*) FILTER (s = 'rejected') AS rejected,
+         COUNT(*) FILTER (s = 'bad') AS bad
+  FROM e GROUP BY event_type),
+t AS (SELECT COUNT(*) AS n, CAST(SUM(accepted) AS BIGINT) AS a, CAST(SUM(rejected) AS BIGINT) AS r, CAST(SUM(bad) AS BIGINT) AS b FROM f)
+SELECT 'file' AS part, event_type AS name, accepted, rejected, bad, CAST(NULL AS BIGINT) AS moved FROM f
+UNION ALL SELECT 'dry run', CAST(n AS VARCHAR), a, r, b, 0 FROM t
+UNION ALL SELECT 'run', CAST(n AS VARCHAR), a, r, b, n FROM t
+UNION ALL SELECT 'alert', 'rejection rate ' || printf('%.3f', r / (a + r)) || ' > 0.1', NULL, NULL, NULL, NULL
+FROM t WHERE r / (a + r) > 0.1
+"""
+
+ORACLES["clustered_table"] = """
+SELECT user_id, COUNT(*) AS events, true AS pruned FROM events WHERE event_type <> 'error' GROUP BY user_id
+"""

@@ -126,6 +126,42 @@ def replace_path(spark: SparkSession, staging: str, final: str) -> None:
         fs.delete(aside, True)
 
 
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    """A key's bucket; null keys have one like any other."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _numbers(df: DataFrame, col: str) -> list[int]:
+    """Distinct bucket numbers of a frame: at most as many as there are buckets."""
+    return sorted(r[0] for r in df.select(col).distinct().collect())
+
+
+def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """I03 on a table laid out by hash buckets of its keys: a merge reads and writes the buckets of its keys only.
+
+    The layout is the index: a key has one place, ``_bucket=<n>``, so nothing of other buckets is read, not even
+    their key columns, and their files stay as they are.  Touched buckets are written to the shared scratch folder
+    and then put in place by dynamic partition overwrite.  ``buckets`` (fixed at the first write; the number of
+    folders is the bound) should let a bucket be one to a few files.
+    """
+    from tessera.session import scratch_path
+
+    placed = source.withColumn("_bucket", _bucket(keys, buckets))
+    if not path_exists(spark, path):
+        placed.write.partitionBy("_bucket").parquet(path)
+        return spark.read.parquet(path)
+    staging = scratch_path(spark, "merge")
+    placed.write.partitionBy("_bucket").parquet(f"{staging}/source")  # once: it is read for its buckets and its rows
+    new = spark.read.schema(placed.schema).parquet(f"{staging}/source")
+    touched = F.col("_bucket").isin(_numbers(new, "_bucket"))
+    target = spark.read.parquet(path)
+    merged = merge_upsert(target.filter(touched), new, [*keys, "_bucket"])
+    merged.write.partitionBy("_bucket").parquet(f"{staging}/merged")
+    (spark.read.schema(merged.schema).parquet(f"{staging}/merged").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path))
+    return spark.read.parquet(path)
+
+
 def merge_into_path(
     spark: SparkSession,
     source: DataFrame,
@@ -134,6 +170,7 @@ def merge_into_path(
     full_refresh: bool = False,
     partition_by: Sequence[str] = (),
     updated_col: str | None = "_dp_updated_at",
+    buckets: int | None = None,
 ) -> DataFrame:
     """I03 + I05 + I06 on a Parquet directory.
 
@@ -141,21 +178,40 @@ def merge_into_path(
     Otherwise: new version = merge_upsert(target, source); written to a
     staging directory, then swapped in.  With ``partition_by`` only the
     partitions that the source writes to or whose keys move are rewritten
-    (dynamic partition overwrite); of the others only the key columns are read.
+    (dynamic partition overwrite).  With ``buckets`` a merge finds its keys by
+    hash buckets: without partitions the table itself lies in them
+    (:func:`merge_bucketed`, column ``_bucket``); with partitions an index of
+    (keys, partition) in the table's folder does, so that moved keys are found
+    without reading any other key of the table.
     """
     from tessera.session import scratch_path
 
     src = stamp_updated(source, updated_col) if updated_col else source
+    index = f"{path.rstrip('/')}/_key_index"  # readers of the table pass over names that begin with an underscore
+    place = [*keys, *[c for c in partition_by if c not in keys]]
     if full_refresh or not path_exists(spark, path):
+        if buckets and not partition_by:
+            placed = src.withColumn("_bucket", _bucket(keys, buckets))
+            placed.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+            return spark.read.parquet(path)
         writer = src.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        if buckets:
+            merge_bucketed(spark, spark.read.parquet(path).select(*place), index, keys, buckets)
         return spark.read.parquet(path)
+    if buckets and not partition_by:
+        return merge_bucketed(spark, src, path, keys, buckets)
     target = spark.read.parquet(path)
     if partition_by:
-        # partitions the source writes to, and those that hold a key that moves (keys and partitions only are read)
-        held = target.join(src.select(*keys).distinct(), list(keys), "left_semi").select(*partition_by)
+        # partitions the source writes to, and those that hold a key that moves
+        if buckets:
+            known = src.select(*keys).distinct().withColumn("_bucket", _bucket(keys, buckets))
+            held = spark.read.parquet(index).filter(F.col("_bucket").isin(_numbers(known, "_bucket"))).join(
+                known, [*keys, "_bucket"], "left_semi").select(*partition_by)
+        else:  # keys and partitions only are read
+            held = target.join(src.select(*keys).distinct(), list(keys), "left_semi").select(*partition_by)
         touched = src.select(*partition_by).unionByName(held).distinct()
         affected = target.join(touched, list(partition_by), "left_semi")
         merged = merge_upsert(affected, src, keys)
@@ -165,6 +221,9 @@ def merge_into_path(
         emptied = touched.join(written.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
         (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
+        if buckets:
+            moved = written.join(src.select(*keys).distinct(), list(keys), "left_semi").select(*place)
+            merge_bucketed(spark, moved, index, keys, buckets)
         for row in emptied:  # partition directories whose keys all moved away
             fs, gone = _fs(spark, path.rstrip("/") + "".join(f"/{c}={row[c]}" for c in partition_by))
             fs.delete(gone, True)

@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from tessera.functions.nested import json_path
 from tessera.operators import keep
+from tessera.operators.quality import alerts
 from tessera.plans.registry import Model, Registry
 from tessera.session import scratch_path
-from tessera.sources import jsonl
+from tessera.sources import jsonl, sinks
 from tessera.sources.evolving import EvolvingTable
 from tessera.sources.jsonl import FieldSpec
 from tessera.sources.schema import infer_schema
@@ -25,6 +26,7 @@ from tessera.streaming import stream
 
 # Fixed values of the re-aim: routes by name, keywords, the declared fields of a landing record
 ROUTES = {"sales": r"_purchase\.jsonl$", "traffic": r"_(click|view)\.jsonl$"}
+MERGE_BUCKETS = 16
 SECOND_DELIVERY, SECOND_YEARS = "2024-01-15", "1998-06-10"
 KEYWORDS = (("err", "faults"), ("sign", "accounts"))
 LANDING_FIELDS = [
@@ -162,6 +164,38 @@ def ingested_events(spark: SparkSession, d: str) -> DataFrame:
         .unionByName(left))
 
 
+def ingest_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """What one run told: lines of each file by status, the run's figures, a dry run's, alerts."""
+    landing = _land(spark, _events(spark, d).repartition("event_type"), "landing")  # a file per event type
+    target, specs = scratch_path(spark, "ingest-target"), _specs(LANDING_FIELDS)
+    dry = jsonl.ingest(spark, landing, specs, target, dry_run=True, pattern="*.txt")
+    run = jsonl.ingest(spark, landing, specs, target, archive_dir=scratch_path(spark, "ingest-archive"), pattern="*.txt",
+                       partition_col="at")
+    figures = [(part, str(r.files), r.records_read - r.records_rejected, r.records_rejected, r.bad_lines, r.files_archived)
+               for part, r in (("dry run", dry), ("run", run))]
+    told = alerts({"records_read": run.records_read, "records_rejected": run.records_rejected}, 0.0)
+    schema = "part string, name string, accepted long, rejected long, bad long, moved long"
+    rows = spark.createDataFrame(figures + [("alert", text, None, None, None, None) for text in told], schema)
+    kind = F.regexp_extract("source_file", "event_type=([a-z]+)", 1)
+    return run.outcome.select(F.lit("file").alias("part"), kind.alias("name"), "accepted", "rejected", "bad",
+                              F.lit(None).cast("long").alias("moved")).unionByName(rows)
+
+
+def clustered_table(spark: SparkSession, d: str) -> DataFrame:
+    """A table clustered by user, written twice (the second run replaces the first): files and rows per user."""
+    ev, path = Tables(spark, d).events, scratch_path(spark, "clustered")
+    sinks.append(ev, path, cluster_by=["user_id", "ts"])
+    sinks.append(ev.filter(F.col("event_type") != "error"), path, cluster_by=["user_id", "ts"], disposition="truncate")
+    table = spark.read.parquet(path).select("user_id", F.col("_metadata.file_path").alias("file"))
+    lone = table.groupBy("file").agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))
+    per_user = table.groupBy("user_id", "file").agg(F.count(F.lit(1)).alias("n"))
+    # a user lies between the bounds of the files that hold rows of it, and of no other file
+    pruned = per_user.join(lone, "file").groupBy("user_id").agg(
+        F.sum("n").alias("events"), F.count_if((F.col("low") < F.col("user_id")) & (F.col("user_id") < F.col("high")))
+        .alias("inside"))
+    return pruned.select("user_id", "events", (F.col("inside") <= 1).alias("pruned"))
+
+
 # ---- streams ----------------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
@@ -209,7 +243,7 @@ def streamed_merge(spark: SparkSession, d: str) -> DataFrame:
     fixed = ev.filter(_form(2) == 0).withColumn("value", F.col("value") + 1000).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
     target, state = scratch_path(spark, "merge-target"), scratch_path(spark, "merge-state")
     landing = scratch_path(spark, "merge-landing")
-    writer = stream.merge_batch_writer(target, ["event_id"], "at")
+    writer = stream.merge_batch_writer(target, ["event_id"], "at", buckets=MERGE_BUCKETS)
     for part in (ev, fixed):  # two deliveries into one landing folder, one checkpoint
         record = F.to_json(F.struct(
             F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at"),
@@ -264,9 +298,10 @@ def merged_days(spark: SparkSession, d: str) -> DataFrame:
     ev = Tables(spark, d).events
     day = F.to_date("ts")
     path = scratch_path(spark, "merge-days")
-    keep.merge_into_path(spark, ev.select("event_id", "value", day.alias("day")), path, ["event_id"], partition_by=["day"])
+    keep.merge_into_path(spark, ev.select("event_id", "value", day.alias("day")), path, ["event_id"], partition_by=["day"],
+                         buckets=MERGE_BUCKETS)
     moved = ev.filter(_form(3) == 0).select("event_id", (F.col("value") + 1).alias("value"), F.date_add(day, 1).alias("day"))
-    out = keep.merge_into_path(spark, moved, path, ["event_id"], partition_by=["day"])
+    out = keep.merge_into_path(spark, moved, path, ["event_id"], partition_by=["day"], buckets=MERGE_BUCKETS)
     return out.select("event_id", "value", "day", F.col("_dp_updated_at").isNotNull().alias("stamped"))
 
 
@@ -308,7 +343,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         landing_names, parsed_lines, raw_envelopes, files_without_records, declared_fields, inferred_fields, ingested_events,
-        streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
+        ingest_outcome, clustered_table, streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
         model_run, evolved_table,
     )
 }

@@ -270,17 +270,48 @@ def rules_from_specs(specs: Sequence[FieldSpec], required: Sequence[str] = ()) -
 
 @dataclass
 class IngestResult:
+    """Figures of a run; ``outcome`` has one row per file: source_file, accepted, rejected, bad, blank (lines)."""
+
     files: int
     records_read: int
     records_rejected: int
     bad_lines: int
-    rejected_files: list[str]
-    archived: list[str]
+    files_without_records: int
+    outcome: DataFrame
+    files_archived: int = 0
+    _archive: tuple[str, str] | None = None
 
     @property
     def rejection_rate(self) -> float:
         return self.records_rejected / self.records_read if self.records_read else 0.0
 
+    @property
+    def rejected_files(self) -> list[str]:
+        """Files without a record, gathered when asked for."""
+        return [r.source_file for r in self.outcome.filter("accepted + rejected = 0").select("source_file").toLocalIterator()]
+
+    @property
+    def archived(self) -> list[str]:
+        """Where the archived files went, gathered when asked for."""
+        from tessera.sources import sinks
+
+        if not self._archive:
+            return []
+        archive_dir, landing = self._archive
+        rows = self.outcome.filter("accepted + rejected > 0").select("source_file").toLocalIterator()
+        return [sinks.moved_path(self.outcome.sparkSession, r.source_file, archive_dir, landing) for r in rows]
+
+
+def classified(lines: DataFrame, specs: Sequence[FieldSpec], rules: Sequence[quality.Rule]) -> DataFrame:
+    """Every line once: its declared columns, its errors and its ``_status``: accepted, rejected, bad or blank."""
+    kind = (F.when(F.trim("value") == "", F.lit("blank")).when(is_json_object(F.col("value")), F.lit("record"))
+            .otherwise(F.lit("bad")))
+    told = lines.withColumn("_line", kind)
+    records = with_lineage(extract_fields(told, specs))  # of lines that are no records, no column has a value
+    checked = quality.with_errors(records, rules)
+    status = F.when(F.col("_line") != "record", F.col("_line")).when(F.size("_errors") == 0, "accepted").otherwise("rejected")
+    return checked.withColumn("_status", status).drop("_line")
+
 
 def ingest(
     spark: SparkSession,
@@ -296,53 +327,56 @@ def ingest(
     dry_run: bool = False,
     required: Sequence[str] = (),
     pattern: str = "*.jsonl",
+    cluster_by: Sequence[str] = (),
+    disposition: str = "append",
 ) -> IngestResult:
-    """Parse every landing file → validate → ONE append → archive.
+    """Read and parse every landing line once → validate → ONE append → archive.
+
+    One job scans the text and writes all lines, by status, to the shared scratch folder, and counts them on the way
+    (S20).  What follows reads that table, a folder per status: the append of accepted rows (with the rejected ones
+    unless ``mode`` is strict), the quarantine, and the counts per file, which stay a table.  So a landing file that
+    changes in between cannot split a run, and a run that is repeated after a failure starts from the landing files.
 
-    Metrics are gathered with ``observe`` during the write itself.  Files
-    are moved to ``archive_dir`` only after the append committed; files
-    without a single valid record go to ``rejected_dir`` instead (and are
-    not counted as succeeded).  ``dry_run`` parses and validates without
-    writing or moving anything.
+    Files are moved to ``archive_dir`` only after the append committed; files without a single record go to
+    ``rejected_dir`` instead.  Their names pass the driver one at a time.  ``dry_run`` (S21) parses, validates and
+    counts without writing to a table or moving anything.
     """
     from pyspark.sql import Observation
 
+    from tessera.session import scratch_path
     from tessera.sources import sinks
 
-    lines = scan_jsonl(spark, landing, pattern)
-    blank = F.trim("value") == ""
-    is_obj = is_json_object(F.col("value"))
-    records = with_lineage(extract_fields(lines.filter(~blank & is_obj), specs))
     rules = [] if mode == "skip" else rules_from_specs(specs, required)
-    checked = quality.with_errors(records, rules)
-    ok = F.size("_errors") == 0
-    obs = Observation("ingest")
-    observed = checked.observe(obs, F.count(F.lit(1)).alias("records_read"),
-                               F.count_if(~ok).alias("records_rejected"))
-    to_write = (observed.filter(ok) if mode == "strict" else observed).drop("_errors")
-    # per-file counts: one small row per landing file
-    stats = lines.groupBy("source_file").agg(
-        F.count_if(~blank & is_obj).alias("valid"), F.count_if(~blank & ~is_obj).alias("bad")).collect()
-    files = [r["source_file"] for r in stats]
-    rejected_files = [r["source_file"] for r in stats if r["valid"] == 0]
-    bad_lines = sum(r["bad"] for r in stats)
+    lines = classified(scan_jsonl(spark, landing, pattern), specs, rules)
+    is_in = lambda *names: F.count_if(F.col("_status").isin(*names))
+    staged = scratch_path(spark, "ingest")
+    metrics = Observation("ingest")
+    lines.observe(metrics, is_in("accepted", "rejected").alias("read"), is_in("rejected").alias("rejected"),
+                  is_in("bad").alias("bad")).write.partitionBy("_status").parquet(staged)
+    table = spark.read.schema(lines.schema).parquet(staged)
+    counts = scratch_path(spark, "ingest-files")
+    per_file = table.groupBy("source_file").agg(*[is_in(n).alias(n) for n in ("accepted", "rejected", "bad", "blank")])
+    per_file.write.parquet(counts)
+    outcome = spark.read.schema(per_file.schema).parquet(counts)
+    n_files, empty = outcome.agg(F.count(F.lit(1)), F.count_if(F.col("accepted") + F.col("rejected") == 0)).first()
+    numbers = metrics.get
+    result = IngestResult(n_files, numbers["read"], numbers["rejected"], numbers["bad"], empty, outcome)
     if dry_run or target is None:
-        m = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(~ok).alias("r")).first()
-        return IngestResult(len(files), m["n"], m["r"], bad_lines, rejected_files, [])
-    sinks.append(to_write, target, partition_col=partition_col, unit=partition_unit)
-    metrics = obs.get
+        return result
+    good = table.filter(F.col("_status") == "accepted" if mode == "strict" else F.col("_status").isin("accepted", "rejected"))
+    sinks.append(good.drop("_errors", "_status"), target, partition_col=partition_col, unit=partition_unit,
+                 cluster_by=cluster_by, disposition=disposition)
     if quarantine and mode == "strict":
-        checked.filter(~ok).write.mode("append").parquet(quarantine)
-    archived: list[str] = []
+        table.filter(F.col("_status") == "rejected").drop("_status").write.mode("append").parquet(quarantine)
     if archive_dir:
-        bad = set(rejected_files)
-        archived = sinks.move_files(spark, [f for f in files if f not in bad], archive_dir, landing)
-    if rejected_dir and rejected_files:
-        sinks.move_files(spark, rejected_files, rejected_dir, landing)
-    return IngestResult(len(files), metrics.get("records_read", 0), metrics.get("records_rejected", 0), bad_lines,
-                        rejected_files, archived)
-
-
+        whole = outcome.filter("accepted + rejected > 0").select("source_file").toLocalIterator()
+        result.files_archived = sum(1 for _ in sinks.move_each(spark, (r.source_file for r in whole), archive_dir, landing))
+        result._archive = (archive_dir, landing)
+    if rejected_dir:
+        none = outcome.filter("accepted + rejected = 0").select("source_file").toLocalIterator()
+        for _ in sinks.move_each(spark, (r.source_file for r in none), rejected_dir, landing):
+            pass
+    return result
 
 
 def select_datasets(routed: DataFrame, requested: Sequence[str] | None = None, owner: str | None = None,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +27,19 @@ def partition_value(col: str, unit: str = "DAY") -> Column:
 
 def append(df: DataFrame, path: str, partition_col: str | None = None, unit: str = "DAY",
            cluster_by: Sequence[str] = (), disposition: str = "append") -> None:
-    """S15 + S16 + S17: append (or truncate) with optional time partitioning
-    and clustering (sort within each output partition)."""
+    """S15 + S16 + S17: append (or truncate) with optional time partitioning and clustering.
+
+    Clustering deals rows out by ranges of (partition, ``cluster_by``) and sorts them, so files of a partition hold
+    ranges that do not overlap, and their minima and maxima let a filtered scan skip row groups.  Ranges are cut by
+    sampled sizes: a hot value of the leading column is split by the next ones.
+    """
     out = df
     writer_cols: list[str] = []
     if partition_col:
         out = out.withColumn("_partition", partition_value(partition_col, unit))
         writer_cols = ["_partition"]
     if cluster_by:
-        out = out.sortWithinPartitions(*writer_cols, *cluster_by)
+        out = out.repartitionByRange(*writer_cols, *cluster_by).sortWithinPartitions(*writer_cols, *cluster_by)
     mode = "overwrite" if disposition.lower() in ("truncate", "overwrite", "write_truncate") else "append"
     w = out.write.mode(mode)
     if writer_cols:
@@ -75,29 +79,38 @@ def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: _dt
     return removed
 
 
-def move_files(spark: SparkSession, files: Sequence[str], dest_dir: str, root: str | None = None) -> list[str]:
-    """Move files to ``dest_dir`` (archive / rejected), keeping their path below ``root`` (else their name).
+def _target(spark: SparkSession, file: str, dest_dir: str, root: str | None):
+    """(source, target) Hadoop paths of a moved file: its path below ``root``, else its name, below ``dest_dir``."""
+    path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    src, base = path(file), None
+    if root:
+        base = path(root).getFileSystem(conf).makeQualified(path(root)).toUri().getPath().rstrip("/") + "/"
+    whole = src.toUri().getPath()
+    return src, path(path(dest_dir), whole[len(base) :] if base and whole.startswith(base) else src.getName())
+
+
+def moved_path(spark: SparkSession, file: str, dest_dir: str, root: str | None = None) -> str:
+    """Where :func:`move_each` puts a file."""
+    return str(_target(spark, file, dest_dir, root)[1])
+
 
-    Returns where the files went; raises if one could not be moved, as it would be read again.
+def move_each(spark: SparkSession, files: Iterable[str], dest_dir: str, root: str | None = None) -> Iterator[str]:
+    """Move files to ``dest_dir`` (archive / rejected) one by one, keeping their path below ``root`` (else their name).
+
+    Yields where each went; raises if one could not be moved, as it would be read again.
     """
-    jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    dest = path(dest_dir)
-    fs = dest.getFileSystem(conf)
-    base = None
-    if root:
-        base = path(root).getFileSystem(conf).makeQualified(path(root)).toUri().getPath().rstrip("/") + "/"
-    moved = []
     for f in files:
-        src = path(f)
-        whole = src.toUri().getPath()
-        target = path(dest, whole[len(base) :] if base and whole.startswith(base) else src.getName())
-        fs.mkdirs(target.getParent())
+        src, target = _target(spark, f, dest_dir, root)
+        target.getFileSystem(conf).mkdirs(target.getParent())
         if not src.getFileSystem(conf).rename(src, target):
             raise OSError(f"could not move {f} to {target}")
-        moved.append(str(target))
-    return moved
+        yield str(target)
+
+
+def move_files(spark: SparkSession, files: Iterable[str], dest_dir: str, root: str | None = None) -> list[str]:
+    """:func:`move_each` of all files."""
+    return list(move_each(spark, files, dest_dir, root))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -44,15 +44,17 @@ def parsed_stream(lines: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
     return with_lineage(extract_fields(lines.filter(valid), specs))
 
 
-def merge_batch_writer(target_path: str, keys: Sequence[str], order_col: str, partition_by: Sequence[str] = ()):
+def merge_batch_writer(target_path: str, keys: Sequence[str], order_col: str, partition_by: Sequence[str] = (),
+                       buckets: int | None = None):
     """``foreachBatch`` body — keep-latest within the micro-batch, then
     upsert into the Parquet target (staged write + swap; with ``partition_by``
-    only the partitions the batch touches are rewritten)."""
+    only the partitions the batch touches are rewritten, with ``buckets`` only
+    the hash buckets of its keys)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         latest = keep.keep_latest(batch, list(keys), [F.col(order_col).desc()])
-        keep.merge_into_path(spark, latest, target_path, list(keys), partition_by=partition_by)
+        keep.merge_into_path(spark, latest, target_path, list(keys), partition_by=partition_by, buckets=buckets)
 
     return write
 
