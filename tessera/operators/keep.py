@@ -148,7 +148,7 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Sequ
 
     placed = source.withColumn("_bucket", _bucket(keys, buckets))
     if not path_exists(spark, path):
-        placed.write.partitionBy("_bucket").parquet(path)
+        placed.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(path)  # a bucket's rows together
         return spark.read.parquet(path)
     staging = scratch_path(spark, "merge")
     placed.write.partitionBy("_bucket").parquet(f"{staging}/source")  # once: it is read for its buckets and its rows
@@ -157,7 +157,7 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Sequ
     target = spark.read.parquet(path)
     merged = merge_upsert(target.filter(touched), new, [*keys, "_bucket"])
     merged.write.partitionBy("_bucket").parquet(f"{staging}/merged")
-    (spark.read.schema(merged.schema).parquet(f"{staging}/merged").write.mode("overwrite")
+    (spark.read.schema(merged.schema).parquet(f"{staging}/merged").hint("rebalance", "_bucket").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path))
     return spark.read.parquet(path)
 
@@ -192,7 +192,7 @@ def merge_into_path(
     if full_refresh or not path_exists(spark, path):
         if buckets and not partition_by:
             placed = src.withColumn("_bucket", _bucket(keys, buckets))
-            placed.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+            placed.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
             return spark.read.parquet(path)
         writer = src.write.mode("overwrite")
         if partition_by:

@@ -184,8 +184,9 @@ def ingest_outcome(spark: SparkSession, d: str) -> DataFrame:
 def clustered_table(spark: SparkSession, d: str) -> DataFrame:
     """A table clustered by user, written twice (the second run replaces the first): files and rows per user."""
     ev, path = Tables(spark, d).events, scratch_path(spark, "clustered")
-    sinks.append(ev, path, cluster_by=["user_id", "ts"])
-    sinks.append(ev.filter(F.col("event_type") != "error"), path, cluster_by=["user_id", "ts"], disposition="truncate")
+    sinks.append(ev, path, cluster_by=["user_id", "ts"], ranges=8)
+    sinks.append(ev.filter(F.col("event_type") != "error"), path, cluster_by=["user_id", "ts"], disposition="truncate",
+                 ranges=8)
     table = spark.read.parquet(path).select("user_id", F.col("_metadata.file_path").alias("file"))
     lone = table.groupBy("file").agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))
     per_user = table.groupBy("user_id", "file").agg(F.count(F.lit(1)).alias("n"))

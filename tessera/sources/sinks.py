@@ -26,12 +26,13 @@ def partition_value(col: str, unit: str = "DAY") -> Column:
 
 
 def append(df: DataFrame, path: str, partition_col: str | None = None, unit: str = "DAY",
-           cluster_by: Sequence[str] = (), disposition: str = "append") -> None:
+           cluster_by: Sequence[str] = (), disposition: str = "append", ranges: int | None = None) -> None:
     """S15 + S16 + S17: append (or truncate) with optional time partitioning and clustering.
 
     Clustering deals rows out by ranges of (partition, ``cluster_by``) and sorts them, so files of a partition hold
     ranges that do not overlap, and their minima and maxima let a filtered scan skip row groups.  Ranges are cut by
-    sampled sizes: a hot value of the leading column is split by the next ones.
+    sampled sizes: a hot value of the leading column is split by the next ones.  ``ranges`` sets their number (else the
+    shuffle's partitions, which AQE joins up to its advisory size).
     """
     out = df
     writer_cols: list[str] = []
@@ -39,7 +40,9 @@ def append(df: DataFrame, path: str, partition_col: str | None = None, unit: str
         out = out.withColumn("_partition", partition_value(partition_col, unit))
         writer_cols = ["_partition"]
     if cluster_by:
-        out = out.repartitionByRange(*writer_cols, *cluster_by).sortWithinPartitions(*writer_cols, *cluster_by)
+        order = [*writer_cols, *cluster_by]
+        dealt = out.repartitionByRange(ranges, *order) if ranges else out.repartitionByRange(*order)
+        out = dealt.sortWithinPartitions(*order)
     mode = "overwrite" if disposition.lower() in ("truncate", "overwrite", "write_truncate") else "append"
     w = out.write.mode(mode)
     if writer_cols:
