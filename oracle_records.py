@@ -56,7 +56,7 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 
 _ROWS = """
 v AS (SELECT vec_id, embedding AS e, CAST(vec_id % 3 + 2 AS INTEGER) AS w FROM embeddings),
-r AS (SELECT vec_id, w, e, unnest(range(0, 12 // w)) AS row_no FROM v),
+r AS (SELECT vec_id, w, e, unnest(range(0, (len(e) + w - 1) // w)) AS row_no FROM v),
 x AS (SELECT vec_id, w, CAST(row_no AS INTEGER) AS row_no,
              CAST(e[row_no * w + 1] AS DOUBLE) AS a, CAST(e[row_no * w + 2] AS DOUBLE) AS b,
              CASE WHEN w > 2 THEN CAST(e[row_no * w + 3] AS DOUBLE) END AS c,
@@ -349,3 +349,28 @@ FROM t WHERE r / (a + r) > 0.1
 ORACLES["clustered_table"] = """
 SELECT user_id, COUNT(*) AS events, true AS pruned FROM events WHERE event_type <> 'error' GROUP BY user_id
 """
+
+ORACLES["ranking_documents"] = ORACLES["rankings_together"]
+
+ORACLES["model_increments"] = """
+WITH m AS (SELECT MAX(CAST(ts AS DATE)) AS mark FROM events WHERE ts < TIMESTAMP '2024-01-15')
+SELECT event_id,
+       CASE WHEN event_id % 7 = 0 THEN value + 5000 WHEN CAST(ts AS DATE) > mark THEN value + 1000 ELSE value END AS reading,
+       CAST(CASE WHEN event_id % 7 = 0 THEN DATE '2024-02-01' ELSE CAST(ts AS DATE) END AS DATE) AS delivered,
+       CAST(CASE WHEN event_id % 7 = 0 OR CAST(ts AS DATE) > mark THEN DATE '2024-02-01' ELSE mark END AS DATE) AS high_water
+FROM events, m
+"""
+
+ORACLES["legacy_arrays"] = """
+WITH v AS (SELECT vec_id AS id, embedding AS e FROM embeddings),
+pair AS (SELECT id, 'pair' AS part, CAST(i AS INTEGER) AS row_no, CAST(e[2 * i + 1] AS DOUBLE) AS v0, CAST(e[2 * i + 2] AS DOUBLE) AS v1,
+                CAST(NULL AS DOUBLE) AS v2
+         FROM (SELECT id, e, unnest(range(0, len(e) // 2)) AS i FROM v)),
+deep AS (SELECT id, 'deep' AS part, CAST(i AS INTEGER) AS row_no, CAST(e[3 * i + 1] AS DOUBLE) AS v0, CAST(e[3 * i + 2] AS DOUBLE) AS v1,
+                CAST(e[3 * i + 3] AS DOUBLE) AS v2
+         FROM (SELECT id, e, unnest(range(0, (len(e) + 2) // 3)) AS i FROM v)),
+cell AS (SELECT id, 'list' AS part, CAST(i AS INTEGER) AS row_no, CAST(e[2 * i + 1] AS DOUBLE) AS v0, CAST(e[2 * i + 2] AS DOUBLE) AS v1,
+                CAST(NULL AS DOUBLE) AS v2
+         FROM (SELECT id, e, unnest(range(0, len(e) // 2)) AS i FROM v))
+SELECT * FROM pair UNION ALL SELECT * FROM deep UNION ALL SELECT * FROM cell
+"""

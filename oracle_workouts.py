@@ -134,3 +134,5 @@ SELECT id AS "activityId", 'Activity ' || s_name AS "activityName", l.id IS NOT
        CASE WHEN id % 11 <> 4 THEN CAST(h3 AS DOUBLE) END AS zone3_seconds
 FROM act LEFT JOIN l USING (id) LEFT JOIN t USING (id) LEFT JOIN v USING (id)
 """
+
+ORACLES["activity_documents"] = ORACLES["hub_activity_elements"]

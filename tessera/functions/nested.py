@@ -7,7 +7,7 @@ are reshaped with higher-order functions (``transform``, ``filter``,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,7 +134,7 @@ def _is_numeric_matrix(dt: T.DataType) -> bool:
 def flatten_nested_arrays(col: Column, dt: T.DataType, widths: dict[str, int] | None = None, name: str = "") -> Column:
     """Walk a schema and rewrite every numeric ``[[…]]`` to an array of
     structs (pairs → ``{timestamp,value}``, wider → ``{val_i}``), recursing
-    into structs and arrays of structs.  ``widths`` names the widest element of
+    into structs, lists (of lists) and maps.  ``widths`` names the widest element of
     each path (see :func:`matrix_widths`); without it an element keeps what
     stands behind its pair in ``more``.  Driven by the schema on the driver;
     the resulting expression runs on executors.
@@ -153,33 +153,37 @@ def flatten_nested_arrays(col: Column, dt: T.DataType, widths: dict[str, int] |
             flatten_nested_arrays(col[f.name], f.dataType, widths, f"{name}.{f.name}".strip(".")).alias(f.name)
             for f in dt.fields
         ]))
-    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, (T.StructType, T.ArrayType, T.MapType)):
         return F.transform(col, lambda x: flatten_nested_arrays(x, dt.elementType, widths, name))
+    if isinstance(dt, T.MapType):
+        return F.transform_values(col, lambda k, v: flatten_nested_arrays(v, dt.valueType, widths, name))
     return col
 
 
-def _widest(field: str):
-    return lambda element: F.array_max(F.transform(element[field], lambda x: F.size(x)))
+def _width_paths(dt: T.DataType, name: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    """(path, expression of the widest element) of every numeric ``[[…]]`` of a type, at any depth."""
+    widest = lambda inner: lambda arr: F.array_max(F.transform(arr, inner))
+    if _is_numeric_matrix(dt):
+        return [(name, widest(F.size))]
+    if isinstance(dt, T.StructType):
+        member = lambda inner, key: lambda col: inner(col[key])
+        return [(path, member(inner, f.name)) for f in dt.fields
+                for path, inner in _width_paths(f.dataType, f"{name}.{f.name}".strip("."))]
+    if isinstance(dt, T.ArrayType):
+        return [(path, widest(inner)) for path, inner in _width_paths(dt.elementType, name)]
+    if isinstance(dt, T.MapType):
+        values = lambda inner: lambda col: widest(inner)(F.map_values(col))
+        return [(path, values(inner)) for path, inner in _width_paths(dt.valueType, name)]
+    return []
 
 
 def matrix_widths(df: DataFrame) -> dict[str, int]:
-    """Widest element of every numeric ``[[…]]`` of a frame, by path: one row of maxima reaches the driver."""
-    found: dict[str, Column] = {}
-
-    def walk(col: Column, dt: T.DataType, name: str) -> None:
-        if _is_numeric_matrix(dt):
-            found[name] = F.array_max(F.transform(col, lambda x: F.size(x)))
-        elif isinstance(dt, T.StructType):
-            for f in dt.fields:
-                walk(col[f.name], f.dataType, f"{name}.{f.name}".strip("."))
-        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
-            for f in dt.elementType.fields:
-                if _is_numeric_matrix(f.dataType):  # the widest over the array's elements
-                    found[f"{name}.{f.name}".strip(".")] = F.array_max(F.transform(col, _widest(f.name)))
-
-    for f in df.schema.fields:
-        walk(F.col(f.name), f.dataType, f.name)
+    """Widest element of every numeric ``[[…]]`` of a frame, by path: one row of maxima reaches the driver.
+
+    Lists and maps on the way are no part of the path: the widest over all of their members counts.
+    """
+    found = [(path, inner(F.col(f"`{f.name}`"))) for f in df.schema.fields for path, inner in _width_paths(f.dataType, f.name)]
     if not found:
         return {}
-    row = df.agg(*[F.max(c).alias(f"w{i}") for i, c in enumerate(found.values())]).first()
-    return {name: w for name, w in zip(found, row) if w is not None}
+    row = df.agg(*[F.max(c).alias(f"w{i}") for i, (_, c) in enumerate(found)]).first()
+    return {name: w for (name, _), w in zip(found, row, strict=True) if w is not None}

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tessera.functions.nested import json_path
 from tessera.operators import keep
 from tessera.operators.quality import alerts
-from tessera.plans.registry import Model, Registry
+from tessera.plans.registry import Model, Registry, global_high_water
 from tessera.session import scratch_path
 from tessera.sources import jsonl, sinks
 from tessera.sources.evolving import EvolvingTable
@@ -26,7 +26,7 @@ from tessera.streaming import stream
 
 # Fixed values of the re-aim: routes by name, keywords, the declared fields of a landing record
 ROUTES = {"sales": r"_purchase\.jsonl$", "traffic": r"_(click|view)\.jsonl$"}
-MERGE_BUCKETS = 16
+MERGE_BUCKETS, LAST_DELIVERY = 16, "2024-02-01"
 SECOND_DELIVERY, SECOND_YEARS = "2024-01-15", "1998-06-10"
 KEYWORDS = (("err", "faults"), ("sign", "accounts"))
 LANDING_FIELDS = [
@@ -340,11 +340,59 @@ def model_run(spark: SparkSession, d: str) -> DataFrame:
     return registry.run(spark, {"events": ev}, select=["product_users"])["product_users"].select("user_id", "events", "days")
 
 
+def model_increments(spark: SparkSession, d: str) -> DataFrame:
+    """The source's high-water mark, carried through a hub model, bounds the next run of an incremental one.
+
+    The second run delivers every event again with another reading, and a seventh of them once more at a later day:
+    rows up to the mark of the first run are left alone, newer ones are merged, also over older keys.
+    """
+    ev, mark = Tables(spark, d).events, "max__dp_inserted_at"
+    registry = Registry(scratch_path(spark, "increments"))
+    registry.add(Model("lake_deliveries", lambda e: e, ["deliveries"], layer="lake"))
+    registry.add(Model("hub_deliveries", lambda e: global_high_water(e, name=mark), ["lake_deliveries"], layer="hub",
+                       materialized="table"))
+    registry.add(Model("product_readings", lambda h: h, ["hub_deliveries"], materialized="incremental",
+                       unique_key=["event_id"], updated_col=mark, stamp=False))
+    first = ev.select("event_id", F.col("value").alias("reading"), F.to_date("ts").alias("_dp_inserted_at"), "ts")
+    early = first.filter(F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")).drop("ts")
+    late = first.drop("ts").withColumn("reading", F.col("reading") + F.when(_form(7) == 0, 5000).otherwise(1000)).withColumn(
+        "_dp_inserted_at", F.when(_form(7) == 0, F.lit(LAST_DELIVERY).cast("date")).otherwise(F.col("_dp_inserted_at")))
+    registry.run(spark, {"deliveries": early})
+    out = registry.run(spark, {"deliveries": late})["product_readings"]
+    return out.select("event_id", "reading", F.col("_dp_inserted_at").alias("delivered"), F.col(mark).alias("high_water"))
+
+
+def legacy_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Raw files with number lists in records in lists, rewritten, read back, every value."""
+    emb = Tables(spark, d).embeddings
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    rows = lambda w: F.transform(F.sequence(F.lit(0), (F.ceil(F.size("embedding") / w) - 1).cast("int")),
+                                 lambda i: F.slice(e, i * w + 1, w))
+    pairs = F.filter(rows(2), lambda r: F.size(r) == 2)
+    raw = emb.select(F.to_json(F.struct(
+        F.col("vec_id").alias("id"), pairs.alias("pair"),
+        F.array(F.struct(F.lit("x").alias("name"), F.struct(rows(3).alias("m")).alias("deep"))).alias("list"),
+        F.array(F.array(F.struct(pairs.alias("cell")))).alias("grid"))).alias("value"))
+    landing, out = scratch_path(spark, "legacy"), scratch_path(spark, "legacy-out")
+    raw.write.text(landing)
+    jsonl.retransform_legacy(spark, landing, out, pattern="*.txt")
+    wide = "array<struct<val_0:double,val_1:double,val_2:double>>"
+    pair = "array<struct<timestamp:double,value:double>>"
+    back = spark.read.schema(f"id long, pair {pair}, list array<struct<name:string,deep:struct<m:{wide}>>>, "
+                             f"grid array<array<struct<cell:{pair}>>>").json(out)
+    none = F.lit(None).cast("double")
+    two = lambda c, part: back.select("id", F.lit(part).alias("part"), F.posexplode(c).alias("row_no", "r")).select(
+        "id", "part", "row_no", F.col("r.timestamp").alias("v0"), F.col("r.value").alias("v1"), none.alias("v2"))
+    three = back.select("id", F.lit("deep").alias("part"), F.posexplode(F.get("list", F.lit(0))["deep"]["m"]).alias("row_no", "r"))
+    return two("pair", "pair").unionByName(two(F.get(F.get("grid", F.lit(0)), F.lit(0))["cell"], "list")).unionByName(
+        three.select("id", "part", "row_no", F.col("r.val_0").alias("v0"), F.col("r.val_1").alias("v1"), F.col("r.val_2").alias("v2")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         landing_names, parsed_lines, raw_envelopes, files_without_records, declared_fields, inferred_fields, ingested_events,
         ingest_outcome, clustered_table, streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
-        model_run, evolved_table,
+        model_run, model_increments, evolved_table, legacy_arrays,
     )
 }

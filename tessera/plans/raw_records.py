@@ -127,10 +127,11 @@ def inherited_entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matrix() -> Column:
-    """A vector's first twelve values as rows of 2, 3 or 4, by its id."""
+    """A vector's values as rows of 2, 3 or 4, by its id; the last row may be shorter."""
     width = (F.pmod(F.col("vec_id"), F.lit(3)) + 2).cast("int")
     e = F.transform("embedding", lambda x: x.cast("double"))
-    return F.transform(F.sequence(F.lit(0), (F.lit(12) / width).cast("int") - 1), lambda i: F.slice(e, i * width + 1, width))
+    return F.transform(F.sequence(F.lit(0), (F.ceil(F.size("embedding") / width) - 1).cast("int")),
+                       lambda i: F.slice(e, i * width + 1, width))
 
 
 def arrays_by_width(spark: SparkSession, d: str) -> DataFrame:

@@ -37,6 +37,7 @@ class Model:
     tags: Sequence[str] = ()
     inserted_col: str = "_dp_inserted_at"
     updated_col: str = "_dp_updated_at"
+    stamp: bool = True                  # False: ``updated_col`` is the model's own column (a high-water mark it carries)
 
 
 @dataclass
@@ -95,7 +96,7 @@ class Registry:
                     target = spark.read.parquet(path)
                     df = keep.incremental_filter(df, target, m.inserted_col, m.updated_col)
                 keep.merge_into_path(spark, df, path, list(m.unique_key), full_refresh=full_refresh or not exists,
-                                     partition_by=list(m.partition_by), updated_col=m.updated_col)
+                                     partition_by=list(m.partition_by), updated_col=m.updated_col if m.stamp else None)
             else:
                 raise ValueError(f"unknown materialization {m.materialized!r}")
             frames[name] = spark.read.parquet(path)

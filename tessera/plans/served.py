@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.relational import interval_join
 from tessera.plans import activities as acts_plan
-from tessera.plans import health, hub, music, reads, staging
+from tessera.plans import health, hub, music, reads, staging, workouts
 from tessera.plans.star import EVENTS_AS_OF, LINEITEM_AS_OF, star_from_events, star_from_tables
 from tessera.session import scratch_path
 from tessera.sources import sinks
@@ -151,10 +151,31 @@ def pending_chunks(spark: SparkSession, d: str) -> DataFrame:
     return sinks.pending_slices(sinks.day_chunks(spark, lo, hi, CHUNK_DAYS), progress)
 
 
+def ranking_documents(spark: SparkSession, d: str) -> DataFrame:
+    """A document per period and ranking, written to a store, read back and compared entry by entry."""
+    entry = F.struct("rank", "id", "play_count", "total_duration_ms")
+    name = F.concat_ws("-", F.lit("last_30_days"), "kind")
+    docs = rankings_together(spark, d).groupBy(name.alias("name"), "kind").agg(
+        F.array_sort(F.collect_list(entry)).alias("entries"))  # a ranking has at most its limit of entries
+    store = sinks.DocumentStore(spark, scratch_path(spark, "rankings"), "name", buckets=4)
+    store.write(docs)
+    kinds = [f"last_30_days-{k}" for k in ("artists", "tracks", "albums")]
+    return store.read(docs.schema, kinds).select("kind", F.explode("entries").alias("e")).select("kind", "e.*")
+
+
+def activity_documents(spark: SparkSession, d: str) -> DataFrame:
+    """A document per running activity with all its arrays, written to a store, read back, every element."""
+    docs = workouts.hub(spark, d)
+    store = sinks.DocumentStore(spark, scratch_path(spark, "activities"), "activityId", buckets=16)
+    store.write(docs)
+    kept = docs.select("activityId", "kilometer_laps", "training_intervals", "time_series", "polyline")
+    return workouts.elements(store.read(kept.schema))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        rankings_together, activity_list, activity_points, homepage_sizes, hub_fact_played, hub_bridge_albums_artists,
+        ranking_documents, activity_documents, rankings_together, activity_list, activity_points, homepage_sizes, hub_fact_played, hub_bridge_albums_artists,
         staged_saved_albums, staged_saved_tracks, artist_document_sizes, exported_artists, json_round_trip, csv_round_trip,
         pending_months, pending_chunks,
     )

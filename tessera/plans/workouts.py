@@ -266,13 +266,14 @@ def details_payload(spark: SparkSession, d: str) -> DataFrame:
 # ---- registered queries -----------------------------------------------------------
 
 
-def _hub(spark: SparkSession, d: str) -> DataFrame:
+def hub(spark: SparkSession, d: str) -> DataFrame:
+    """H07 over the derived payloads."""
     return hub_activities(activity_payload(spark, d), splits_payload(spark, d), details_payload(spark, d))
 
 
 def hub_activity_rows(spark: SparkSession, d: str) -> DataFrame:
     """One row per running activity, structs flattened, arrays by their size (null without a payload)."""
-    h = _hub(spark, d)
+    h = hub(spark, d)
     arrays = ("kilometer_laps", "training_intervals", "time_series", "polyline")
     plain = [c for c in h.columns if c not in (*arrays, "fastestSplits", "hr_zones", "power_zones")]
     return h.select(
@@ -280,8 +281,8 @@ def hub_activity_rows(spark: SparkSession, d: str) -> DataFrame:
         *[F.when(F.col(a).isNotNull(), F.size(a)).alias(f"n_{a}") for a in arrays])
 
 
-def hub_activity_elements(spark: SparkSession, d: str) -> DataFrame:
-    """Every element of the four arrays of every running activity, at its place."""
+def elements(activities: DataFrame) -> DataFrame:
+    """Every element of the four arrays of every activity, at its place."""
 
     def element(part: str, started: Column, kind: Column, *values: Column):
         filled = [*values, *[F.lit(None)] * (9 - len(values))]
@@ -300,7 +301,12 @@ def hub_activity_elements(spark: SparkSession, d: str) -> DataFrame:
         placed("time_series", lambda x: element(
             "reading", none, none, *[x[f] for f in ("timestamp", "distance", "heartRate", "pace", "altitude", "speed")])),
         placed("polyline", lambda x: element("point", none, none, x["lat"], x["lon"], x["time"])))
-    return _hub(spark, d).select("activityId", F.explode(parts).alias("e")).select("activityId", "e.*")
+    return activities.select("activityId", F.explode(parts).alias("e")).select("activityId", "e.*")
+
+
+def hub_activity_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Every element of the four arrays of every running activity."""
+    return elements(hub(spark, d))
 
 
 def activity_card_rows(spark: SparkSession, d: str) -> DataFrame:

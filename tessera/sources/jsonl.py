@@ -389,14 +389,15 @@ def select_datasets(routed: DataFrame, requested: Sequence[str] | None = None, o
     return routed
 
 
-def retransform_legacy(spark: SparkSession, raw_dir: str, out_dir: str, widths: dict[str, int] | None = None) -> int:
+def retransform_legacy(spark: SparkSession, raw_dir: str, out_dir: str, widths: dict[str, int] | None = None,
+                       pattern: str = "*.jsonl") -> int:
     """Read raw landing files, rewrite numeric ``[[…]]`` arrays as arrays of
     structs (N10–N14) using the inferred schema, and write a JSON-lines mirror."""
     from tessera.functions.nested import flatten_nested_arrays, matrix_widths
     from tessera.sources.schema import infer_schema
     from tessera.sources.sinks import write_jsonl
 
-    lines = scan_jsonl(spark, raw_dir)
+    lines = scan_jsonl(spark, raw_dir, pattern)
     schema = infer_schema(lines)
     good, _ = parse_lines(lines, schema)
     widths = matrix_widths(good) | (widths or {})

@@ -13,7 +13,7 @@ import datetime as _dt
 import re
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,6 +184,54 @@ def write_documents(docs: DataFrame, key: str, path: str) -> None:
     docs.repartition(key).write.mode("overwrite").partitionBy(key).json(path)
 
 
+class DocumentStore:
+    """S26–S29 for many entities: JSON documents in a fixed number of files, found by key.
+
+    ``documents/_bucket=<n>/`` holds one file of JSON lines, in key order: the documents whose key hashes to ``n``.
+    ``index/`` (Parquet, by bucket too) says for each key its file, its line there (from 0) and its length, so a
+    reader of plain files can fetch one document.  A million entities are a few hundred files, not a million folders,
+    and reading some keys reads their buckets only.  ``buckets`` bounds the files; choose it so that a bucket fits a task.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.buckets)).cast("int").alias("_bucket")
+
+    def write(self, docs: DataFrame) -> None:
+        """Replace the store by these documents: one row each, ``key`` unique and not null."""
+        text = export_values(docs).select(
+            F.col(self.key).cast("string").alias("key"), self._bucket(F.col(self.key)), F.to_json(F.struct("*")).alias("value"))
+        # one task per bucket writes its file in key order
+        placed = text.repartition(self.buckets, "_bucket").sortWithinPartitions("_bucket", "key")
+        placed.select("_bucket", "value").write.mode("overwrite").partitionBy("_bucket").text(f"{self.path}/documents")
+        line = F.row_number().over(Window.partitionBy("_bucket").orderBy("key")) - 1
+        files = self.lines().select("_bucket", "file").distinct()
+        index = text.select("key", "_bucket", line.cast("long").alias("line"), F.octet_length("value").alias("bytes"))
+        index.join(files, "_bucket").repartition(self.buckets, "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
+            f"{self.path}/index")
+
+    def lines(self) -> DataFrame:
+        """All documents as text: _bucket, value, file."""
+        read = self.spark.read.schema("value string, _bucket int").text(f"{self.path}/documents")
+        return read.select("_bucket", "value", F.col("_metadata.file_name").alias("file"))
+
+    def index(self) -> DataFrame:
+        """key, file, line, bytes of every document."""
+        return self.spark.read.parquet(f"{self.path}/index")
+
+    def read(self, schema: T.StructType, keys: Sequence | None = None) -> DataFrame:
+        """The documents as rows; with ``keys`` only those, from their buckets only."""
+        found = self.lines()
+        if keys is not None:
+            names = [str(k) for k in keys]
+            own = self.spark.createDataFrame([(n,) for n in names], "key string").select(self._bucket(F.col("key")))
+            found = found.filter(F.col("_bucket").isin([r[0] for r in own.distinct().collect()])).filter(
+                F.get_json_object("value", f"$.{self.key}").isin(names))
+        return found.select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
 def bundle(parts: dict[str, DataFrame]) -> DataFrame:
     """One row holding each (small, bounded) dataset as an array of structs, each a scalar subquery."""
     columns = []
