@@ -724,6 +724,9 @@ played AS (
 work AS (SELECT * FROM played p WHERE NOT EXISTS (SELECT 1 FROM enrichment e WHERE e.artist_id = p.artist_id))
 """
 
+# the catalogue has every supplier; work lists take those without a positive balance as not enriched
+_ENRICH_ALL = _ENRICH.replace(" WHERE s_acctbal > 0", "")
+
 ORACLES["anti_join_worklist"] = f"WITH {_ENRICH} SELECT * FROM work"
 
 ORACLES["batch_ids"] = f"""
@@ -741,20 +744,20 @@ FROM played p LEFT JOIN enrichment e USING (artist_id)
 """
 
 ORACLES["stale_rows"] = f"""
-WITH {_ENRICH}
+WITH {_ENRICH_ALL}
 SELECT artist_id, enriched_at, CAST(DATE '2024-01-31' - enriched_at AS INTEGER) AS days_old
 FROM enrichment WHERE DATE '2024-01-31' - enriched_at > 90
 """
 
 ORACLES["genre_summary"] = f"""
-WITH {_ENRICH}
+WITH {_ENRICH_ALL}
 SELECT genre, COUNT(DISTINCT artist_id) AS artists, CAST(SUM(followers) AS BIGINT) AS total_followers,
        {rnd('AVG(popularity)', 1)} AS avg_popularity
 FROM enrichment GROUP BY genre
 """
 
 ORACLES["tier_histogram"] = f"""
-WITH {_ENRICH},
+WITH {_ENRICH_ALL},
 t AS (
   SELECT e.*, s.s_name AS artist_name,
     CASE WHEN popularity >= 80 THEN '80-100 very high' WHEN popularity >= 60 THEN '60-79 high'
@@ -895,7 +898,7 @@ WITH {_LOG_NESTED},
 enrichment AS (
   SELECT s_suppkey AS artist_id, CAST(floor(s_acctbal / 100) AS INTEGER) AS popularity,
          CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey AS followers, n_name AS genre
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 ex AS (SELECT play_id, playedAt, trackDurationMs, unnest(artists) AS a FROM log),
 per AS (
   SELECT a.artistId AS artist_id, COUNT(*) AS play_count, CAST(SUM(trackDurationMs) AS BIGINT) AS total_listen_duration,
@@ -914,19 +917,19 @@ FROM fact f LEFT JOIN tracks t USING (track_id) LEFT JOIN prim p USING (track_id
 """
 
 ORACLES["artists_of_genre"] = f"""
-WITH {_ENRICH}
+WITH {_ENRICH_ALL}
 SELECT e.artist_id, s.s_name AS artist_name, e.popularity, e.followers
 FROM enrichment e JOIN supplier s ON s.s_suppkey = e.artist_id WHERE lower(e.genre) = lower('nation_7')
 """
 
 ORACLES["popularity_follower_ratio"] = f"""
-WITH {_ENRICH}
+WITH {_ENRICH_ALL}
 SELECT artist_id, popularity, followers, {rnd('popularity * 1000 / nullif(followers, 0)', 4)} AS pop_per_k_followers
 FROM enrichment WHERE popularity >= 50
 """
 
 ORACLES["enrichment_runs_by_day"] = f"""
-WITH {_ENRICH}
+WITH {_ENRICH_ALL}
 SELECT enriched_at AS run_date, COUNT(*) AS artists,
        COUNT(DISTINCT CASE WHEN genre IS NOT NULL THEN artist_id END) AS artists_with_genres,
        {rnd('AVG(popularity)', 1)} AS avg_popularity, {rnd('AVG(followers)', 0)} AS avg_followers
@@ -1019,8 +1022,12 @@ album_enrichment AS (
   FROM brands WHERE no % 3 <> 0)
 """
 
+# the catalogue has every brand; the work list takes every third as not enriched
+_ALBUM_GAPS = _ALBUM_ENRICH
+_ALBUM_ENRICH = _ALBUM_ENRICH.replace(" WHERE no % 3 <> 0", "")
+
 ORACLES["album_backfill_worklist"] = f"""
-WITH {STAR}, {_ALBUM_ENRICH}
+WITH {STAR}, {_ALBUM_GAPS}
 SELECT t.album_id, t.album_id AS album_name, MIN(f.played_at) AS first_played_at, COUNT(*) AS play_count
 FROM fact f JOIN tracks t USING (track_id)
 WHERE t.album_id NOT IN (SELECT album_id FROM album_enrichment)

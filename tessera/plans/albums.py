@@ -3,8 +3,9 @@
 The album enrichment table is re-aimed at ``part`` grouped by brand (the
 star's album): one aggregate per brand gives the track count, a
 popularity, a label (the type of the brand's first part) and the genres
-(distinct lower-cased types of its largest parts).  A brand counts as
-enriched unless its number is a multiple of three.  Plays come from the
+(distinct lower-cased types of its largest parts).  Catalogue queries read
+all brands; the work list takes a brand whose number is a multiple of three
+as not enriched yet.  Plays come from the
 lineitem play fact, pre-aggregated per track before any join.
 """
 
@@ -32,8 +33,8 @@ def _tier(pop: F.Column) -> F.Column:
             .when(pop >= 40, "40-59 (Moderate)").when(pop >= 20, "20-39 (Niche)").otherwise("0-19 (Emerging)"))
 
 
-def album_enrichment(spark: SparkSession, d: str) -> DataFrame:
-    """The normalized album enrichment rows (one per enriched album)."""
+def album_enrichment(spark: SparkSession, d: str, gaps: bool = False) -> DataFrame:
+    """The normalized album enrichment rows, one per brand; with ``gaps`` every third is still to be enriched."""
     part = Tables(spark, d).part
     per_brand = part.groupBy(F.col("p_brand").alias("album_id")).agg(
         F.count(F.lit(1)).alias("total_tracks"),
@@ -44,7 +45,7 @@ def album_enrichment(spark: SparkSession, d: str) -> DataFrame:
     no = F.substring("album_id", 7, 10).cast("int")
     release = F.date_add(F.lit("1990-01-01").cast("date"), no * 97)
     day_precision = F.pmod(no, F.lit(5)) != 0
-    return per_brand.filter(F.pmod(no, F.lit(3)) != 0).select(
+    return (per_brand.filter(F.pmod(no, F.lit(3)) != 0) if gaps else per_brand).select(
         "album_id", F.col("album_id").alias("album_name"), "popularity", "label", "genres", "total_tracks",
         F.when(F.pmod(no, F.lit(4)) == 0, "single").when(F.pmod(no, F.lit(4)) == 1, "compilation")
         .otherwise("album").alias("album_type"),
@@ -65,7 +66,7 @@ def _album_plays(star: MusicStar) -> DataFrame:
 def album_backfill_worklist(spark: SparkSession, d: str) -> DataFrame:
     """E02 backfill mode / D11: played albums without enrichment, first play and plays."""
     star = star_from_tables(spark, d)
-    return albums_lacking_enrichment(star.fact, star.tracks, album_enrichment(spark, d)).select(
+    return albums_lacking_enrichment(star.fact, star.tracks, album_enrichment(spark, d, gaps=True)).select(
         "album_id", F.col("album_id").alias("album_name"), "first_played_at", "play_count")
 
 

@@ -1,8 +1,9 @@
 """Enrichment work lists and catalogue queries.
 
-The enrichment table is re-aimed at ``supplier``: an artist counts as
-enriched when its account balance is positive; popularity, followers and
+The enrichment table is re-aimed at ``supplier``: popularity, followers,
 the genre (its nation) and enrichment date derive from the supplier row.
+Catalogue queries read all of them; work lists take artists without a
+positive balance as not enriched yet.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ ARTIST_BATCH = 50
 SAMPLE_SIZE = 3
 
 
-def enrichment(spark: SparkSession, d: str) -> DataFrame:
+def enrichment(spark: SparkSession, d: str, gaps: bool = False) -> DataFrame:
+    """One row per supplier; with ``gaps`` those without a positive balance are still to be enriched (work lists)."""
     t = Tables(spark, d)
+    suppliers = t.supplier.filter(F.col("s_acctbal") > 0) if gaps else t.supplier
     return (
-        t.supplier.filter(F.col("s_acctbal") > 0)
+        suppliers
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("s_suppkey").alias("artist_id"),
@@ -49,7 +52,7 @@ def played_artists(star: MusicStar) -> DataFrame:
 def artists_lacking_enrichment(spark: SparkSession, d: str) -> DataFrame:
     """E01 backfill mode / D02: played artists with no enrichment row, by plays."""
     star = star_from_tables(spark, d)
-    return played_artists(star).join(enrichment(spark, d), "artist_id", "left_anti")
+    return played_artists(star).join(enrichment(spark, d, gaps=True), "artist_id", "left_anti")
 
 
 def enrichment_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -64,7 +67,7 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     """Share of played artists lacking enrichment (one row)."""
     star = star_from_tables(spark, d)
     marked = played_artists(star).join(
-        enrichment(spark, d).select("artist_id", F.lit(1).alias("_has")), "artist_id", "left")
+        enrichment(spark, d, gaps=True).select("artist_id", F.lit(1).alias("_has")), "artist_id", "left")
     return marked.agg(
         F.count(F.lit(1)).alias("played_artists"),
         F.count_if(F.col("_has").isNull()).alias("missing"),

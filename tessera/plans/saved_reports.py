@@ -206,4 +206,4 @@ def artists_lacking_enrichment_recent(spark: SparkSession, d: str, as_of=INCREME
         F.col("first_played_at") >= F.date_sub(as_date(as_of), INCREMENT_DAYS).cast("timestamp_ntz"))
     if not table_exists:
         return played
-    return played.join(enrichment(spark, d).select("artist_id"), "artist_id", "left_anti")
+    return played.join(enrichment(spark, d, gaps=True).select("artist_id"), "artist_id", "left_anti")
