@@ -374,3 +374,34 @@ cell AS (SELECT id, 'list' AS part, CAST(i AS INTEGER) AS row_no, CAST(e[2 * i +
          FROM (SELECT id, e, unnest(range(0, len(e) // 2)) AS i FROM v))
 SELECT * FROM pair UNION ALL SELECT * FROM deep UNION ALL SELECT * FROM cell
 """
+
+_TILES = {
+    "music_time_daily": ("day_spine_fill", "date", "total_duration_ms", "bar_height_percent"),
+    "running_weekly_volume": ("week_spine_fill", "week_start", "total_km", "runs"),
+    "running_by_day": ("running_by_day", "date", "km", "runs", "aerobic"),
+    "body_battery": ("seven_day_array", "date", "highest", "lowest", "gain"),
+    "hrv": ("median_baseline", "date", "hrv", "baseline", "height_pct"),
+    "race_prediction": ("latest_vs_30_days", "metric", "current_value", "previous_value", "delta"),
+    "vo2max": ("weekly_avg_array", "week_start", "weekly_avg", "current_value", "delta"),
+    "sleep_stages": ("latest_day_stages", "date", "total", "pct"),
+    "steps": ("steps_goal", "date", "steps", "goal", "goal_pct"),
+    "resting_hr": ("resting_hr_week", "date", "value", "display_height_percent", "average"),
+    "sleep_scores": ("sleep_scores_week", "date", "score", "average"),
+    "sleep_body_battery": ("sleep_battery_week", "date", "sleep_score", "battery_at_bedtime", "battery_gain"),
+    "stress": ("stress_week", "date", "avg_stress", "max_stress", "average_stress"),
+    "top_tracks": ("top_tracks_recent", "rank", "play_count", "track_id"),
+    "top_artists": ("top_entity_recent", "rank", "total_duration_ms", "play_count", "artist_id"),
+}
+
+
+def _tile(tile: str, query: str, key: str, *figures: str) -> str:
+    cells = [f"CAST(r.{c} AS DOUBLE)" for c in figures] + ["CAST(NULL AS DOUBLE)"] * (3 - len(figures))
+    named = ", ".join(f"{c} AS v{i}" for i, c in enumerate(cells, 1))
+    return f"SELECT '{tile}' AS tile, substr(CAST(r.{key} AS VARCHAR), 1, 10) AS name, {named} FROM ({OTHERS[query]}) r"
+
+
+ORACLES["home_page_tiles"] = " UNION ALL ".join(_tile(t, *spec) for t, spec in _TILES.items())
+
+for _part, _same in (("overview", "entity_overview_streak"), ("top_tracks", "top_k_per_group_share"), ("albums", "completion_rate"),
+                     ("calendar", "daily_calendar"), ("heatmap", "hour_weekday_heatmap"), ("evolution", "monthly_evolution")):
+    ORACLES[f"artist_documents_{_part}"] = OTHERS[_same]

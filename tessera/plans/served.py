@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.relational import interval_join
 from tessera.plans import activities as acts_plan
@@ -24,6 +25,26 @@ CHUNK_DAYS = 7
 EXPORT_TOP, EXPORT_SINCE = 20, "2001-10-01"
 
 
+# The key and up to three figures of each home-page tile, as they are returned by home_page_tiles
+TILE_COLUMNS = {
+    "music_time_daily": ("date", "total_duration_ms", "bar_height_percent"),
+    "running_weekly_volume": ("week_start", "total_km", "runs"),
+    "running_by_day": ("date", "km", "runs", "aerobic"),
+    "body_battery": ("date", "highest", "lowest", "gain"),
+    "hrv": ("date", "hrv", "baseline", "height_pct"),
+    "race_prediction": ("metric", "current_value", "previous_value", "delta"),
+    "vo2max": ("week_start", "weekly_avg", "current_value", "delta"),
+    "sleep_stages": ("date", "total", "pct"),
+    "steps": ("date", "steps", "goal", "goal_pct"),
+    "resting_hr": ("date", "value", "display_height_percent", "average"),
+    "sleep_scores": ("date", "score", "average"),
+    "sleep_body_battery": ("date", "sleep_score", "battery_at_bedtime", "battery_gain"),
+    "stress": ("date", "avg_stress", "max_stress", "average_stress"),
+    "top_tracks": ("rank", "play_count", "track_id"),
+    "top_artists": ("rank", "total_duration_ms", "play_count", "artist_id"),
+}
+
+
 def rankings_together(spark: SparkSession, d: str) -> DataFrame:
     """The three rankings of one period in one result."""
     out = None
@@ -151,6 +172,42 @@ def pending_chunks(spark: SparkSession, d: str) -> DataFrame:
     return sinks.pending_slices(sinks.day_chunks(spark, lo, hi, CHUNK_DAYS), progress)
 
 
+def _artist_documents(part: str, events: bool = False):
+    """The documents of all artists, written to a store and read back: the entries of one of their lists."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        star, as_of = (star_from_events(spark, d), STREAK_AS_OF) if events else (star_from_tables(spark, d), LINEITEM_AS_OF)
+        views = {"overview": lambda: music.artist_overview(star, as_of), "top_tracks": lambda: music.artist_top_tracks(star),
+                 "albums": lambda: music.artist_albums(star), "calendar": lambda: music.artist_calendar(star),
+                 "heatmap": lambda: music.artist_heatmap(star), "evolution": lambda: music.artist_evolution(star)}
+        docs = music.artist_documents(star, as_of)
+        store = sinks.DocumentStore(spark, scratch_path(spark, f"artists-{part}"), "artist_id", buckets=32)
+        store.write(docs)
+        view = views[part]().schema  # the types that the JSON text is read back in
+        entry = T.StructType([f for f in view.fields if f.name != "artist_id"])
+        schema = T.StructType([T.StructField("artist_id", docs.schema["artist_id"].dataType), T.StructField(part, T.ArrayType(entry))])
+        entries = store.read(schema).select("artist_id", F.explode(part).alias("e")).select("artist_id", "e.*")
+        return entries.select(*view.names)
+
+    return query
+
+
+def home_page_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """The home-page bundle as one JSON document, read back: every entry of its tiles (its key and figures)."""
+    whole = health.homepage_bundle(spark, d, EVENTS_AS_OF)
+    path = scratch_path(spark, "home-page")
+    whole.write.mode("overwrite").json(path)
+    back = spark.read.schema(whole.schema).json(path)
+    out = None
+    for tile, columns in TILE_COLUMNS.items():
+        number = [F.col(f"e.{c}").cast("double").alias(f"v{i}") for i, c in enumerate(columns[1:], 1)]
+        filled = number + [F.lit(None).cast("double").alias(f"v{i}") for i in range(len(number) + 1, 4)]
+        part = back.select(F.explode(tile).alias("e")).select(
+            F.lit(tile).alias("tile"), F.substring(F.col(f"e.{columns[0]}").cast("string"), 1, 10).alias("name"), *filled)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def ranking_documents(spark: SparkSession, d: str) -> DataFrame:
     """A document per period and ranking, written to a store, read back and compared entry by entry."""
     entry = F.struct("rank", "id", "play_count", "total_duration_ms")
@@ -175,10 +232,13 @@ def activity_documents(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        ranking_documents, activity_documents, rankings_together, activity_list, activity_points, homepage_sizes, hub_fact_played, hub_bridge_albums_artists,
+        ranking_documents, activity_documents, home_page_tiles, rankings_together, activity_list, activity_points, homepage_sizes, hub_fact_played, hub_bridge_albums_artists,
         staged_saved_albums, staged_saved_tracks, artist_document_sizes, exported_artists, json_round_trip, csv_round_trip,
         pending_months, pending_chunks,
     )
+} | {
+    f"artist_documents_{part}": _artist_documents(part, part in ("overview", "heatmap"))
+    for part in ("overview", "top_tracks", "albums", "calendar", "heatmap", "evolution")
 } | {
     "profile_overview": _profile("overview", events=True),
     "profile_heatmap": _profile("heatmap", events=True),
