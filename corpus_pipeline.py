@@ -13,26 +13,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, mixing, quality, sharding, simhash
-from tessera.llm.common import staged, table
+from tessera.llm.common import bounded_batches, staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are depleted by their hosts' frequent lines go."""
+    bounded_batches(spark)
     return quality.keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
+    bounded_batches(spark)
     return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    bounded_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated, cut or left out so that each source meets its target."""
+    bounded_batches(spark)
     return mixing.mixed(docs)
 
 

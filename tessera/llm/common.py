@@ -15,6 +15,30 @@ WHITE = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
+#: Bytes of rows sent to a Python worker at once by the stages of the corpus pipeline.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Let Arrow batches end at ``limit`` bytes too, not at a number of rows alone (a row beyond it is a batch).
+
+    A session setting that is read when a plan is made; results don't depend on it.  Stages of several kinds share
+    the Python workers of a long session, which keep the memory of their largest batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
+def free_names(columns: Sequence[str], *names: str) -> list[str]:
+    """Helper column names that none of ``columns`` has (compared without case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs of a text; null counts as empty."""
     parts = F.split(F.coalesce(text, F.lit("")), WHITE)

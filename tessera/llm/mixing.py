@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import running_total, staged, word_count
+from tessera.llm.common import free_names, running_total, staged, word_count
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Words of a block (the unit a slot takes) and slots numbered together.
@@ -172,23 +172,25 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     id, source and text share evenly what they take.  Documents that take
     nothing leave.
     """
+    own_id, own_source, own_hash, own_size, own_taken = free_names(
+        docs.columns, "__id", "__source", "__hash", "__size", "__taken")
     takes = (
         mix(docs, weights, share, block)
-        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"))
-        .agg(F.first("size").alias("__size"), F.expr("sum(taken) div count(*)").alias("__taken"))
-        .filter("__taken > 0")
+        .groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("text_hash").alias(own_hash))
+        .agg(F.first("size").alias(own_size), F.expr("sum(taken) div count(*)").alias(own_taken))
+        .filter(F.col(own_taken) > 0)
     )
     same = (
-        docs.doc_id.eqNullSafe(F.col("__id")) & docs.source.eqNullSafe(F.col("__source"))
-        & (F.xxhash64(docs.text) == F.col("__hash"))
+        docs.doc_id.eqNullSafe(F.col(own_id)) & docs.source.eqNullSafe(F.col(own_source))
+        & (F.xxhash64(docs.text) == F.col(own_hash))
     )
-    chosen = docs.join(takes, same).select(*docs.columns, "__size", "__taken")
+    chosen = docs.join(takes, same).select(*docs.columns, own_size, own_taken)
     names = docs.columns
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, texts = [], []
-            sizes, taken = batch.column("__size").to_pylist(), batch.column("__taken").to_pylist()
+            sizes, taken = batch.column(own_size).to_pylist(), batch.column(own_taken).to_pylist()
             for row, (text, size, left) in enumerate(zip(batch.column("text").to_pylist(), sizes, taken, strict=True)):
                 while left > 0:
                     rows.append(row)

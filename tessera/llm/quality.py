@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import free_names, staged
 
 #: Fixed values of the base rules.
 LEAST_WORDS, MOST_REPEATED, SYMBOLS = 50, 50, b"#*$%&|<>"
@@ -149,9 +149,10 @@ def keep(docs: DataFrame, line_docs: int = LINE_DOCS, distinct: float = DISTINCT
 
     The verdict is a function of id, source and text, so rows equal in these share it.
     """
+    own_id, own_host, own_hash = free_names(docs.columns, "__id", "__host", "__hash")
     out = _judged(docs, line_docs, distinct, left).filter("not kept")
-    out = out.select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("text_hash").alias("__hash"))
+    out = out.select(F.col("doc_id").alias(own_id), F.col("host").alias(own_host), F.col("text_hash").alias(own_hash))
     same = (
-        docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__hash")) & (_host(docs) == F.col("__host"))
+        docs.doc_id.eqNullSafe(F.col(own_id)) & (F.xxhash64(docs.text) == F.col(own_hash)) & (_host(docs) == F.col(own_host))
     )
     return docs.join(out, same, "left_anti")

@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_names
+
 SHARDS, TABLE_SIZE = 64, 65_537
 
 
@@ -47,9 +49,9 @@ def lookup_table(names: list[str], size: int = TABLE_SIZE) -> np.ndarray:
 def place(df: DataFrame, key: str = "doc_id", shards: int = SHARDS, size: int = TABLE_SIZE) -> DataFrame:
     """``df`` with ``slot`` and ``shard`` (int): one map-side lookup per row, no shuffle of ``df``."""
     names = [f"shard-{i:05d}" for i in range(shards)]
-    filled = pa.table({"__slot": np.arange(size, dtype=np.int64), "shard": lookup_table(names, size)})
+    kept = df.drop("slot", "shard")
+    (own,) = free_names(kept.columns, "__slot")
+    filled = pa.table({own: np.arange(size, dtype=np.int64), "shard": lookup_table(names, size)})
     slots = F.broadcast(df.sparkSession.createDataFrame(filled))  # ``size`` rows, fixed by the parameter
-    keyed = df.drop("slot", "shard").withColumn("__slot", F.pmod(F.xxhash64(F.col(key)), F.lit(size)))
-    return keyed.join(slots, "__slot").withColumnRenamed("__slot", "slot").select(
-        *df.drop("slot", "shard").columns, "slot", "shard"
-    )
+    keyed = kept.withColumn(own, F.pmod(F.xxhash64(F.col(key)), F.lit(size)))
+    return keyed.join(slots, own).select(*kept.columns, F.col(own).alias("slot"), "shard")

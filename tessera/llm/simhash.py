@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, staged
+from tessera.llm.common import free_names, slices, staged
 
 #: Contract: words of a shingle, most differing bits, seed of the shingle hash.
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -227,10 +227,11 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) ->
     first = _grouped(docs, size, radius).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k")
     )
-    first = first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash")).distinct()
-    hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = hashed.doc_id.eqNullSafe(F.col("__id")) & (hashed["__text_hash"] == F.col("__hash"))
+    own_id, own_hash, text_hash, place = free_names(docs.columns, "__id", "__hash", "__text_hash", "__nth")
+    first = first.select(F.col("k.doc_id").alias(own_id), F.col("k.text_hash").alias(own_hash)).distinct()
+    hashed = docs.withColumn(text_hash, F.xxhash64("text"))
+    same = hashed.doc_id.eqNullSafe(F.col(own_id)) & (hashed[text_hash] == F.col(own_hash))
     rest = [F.xxhash64(*docs.columns)]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "__text_hash").orderBy(*rest))
-    kept = hashed.join(first, same, "left_semi").withColumn("__nth", nth)
-    return kept.filter("__nth = 1").select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy("doc_id", text_hash).orderBy(*rest))
+    kept = hashed.join(first, same, "left_semi").withColumn(place, nth)
+    return kept.filter(F.col(place) == 1).select(*docs.columns)

@@ -3,6 +3,9 @@ import pytest
 CLASHING = {
     "size": 1, "taken": 2, "row": 3, "key": "k", "fp": 4, "slot": 5, "shard": 6, "host": "h", "target": True,
     "lines": "l", "hash": 7, "kept": "x", "n": 8, "digest": "d", "root": 9, "bucket": 10,
+    "__id": 11, "__hash": "i", "__host": 12, "__slot": 13, "__size": "j", "__taken": 14, "__text_hash": 15, "__nth": "k",
+    "__block": 16, "__source": 17, "phrase": "p", "f": 18, "rank": 19, "score": 20, "item": 21, "terms": "t", "ids": "u",
+    "decoded": "v", "a": 22, "l": 23, "r": 24,
 }
 
 

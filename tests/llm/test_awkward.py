@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import decontaminate, html, mixing, pii, quality, scoring, sharding, simhash, substrings, tokens
+from tessera.llm import (collocations, decontaminate, html, mixing, pieces, pii, quality, ranking, scoring, sharding, simhash,
+                         substrings, tokens)
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -120,12 +121,51 @@ def test_tokens(awkward):
     assert all(r.over_limit == (r.n_tokens > 4096) for r in rows)
 
 
+def test_collocations(awkward):
+    rows = collocations.mine(awkward, least=2).collect()  # phrases are those of the row that is there twice
+    assert {r.lang for r in rows} == {"en"} and all(r.a >= 2 for r in rows)
+    n = {r.lang: r.n for r in collocations.mine(awkward, least=1, top=1).collect()}
+    assert n == {"en": 60_000 + 6 + 6 + 1 + 3}  # the blank text without a language holds no word
+    assert collocations.mine(awkward.filter("doc_id = 2 OR doc_id IS NULL")).count() == 0
+
+
+def test_ranking(awkward, benchmark):
+    rows = ranking.search(awkward, benchmark).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.item_id, []).append((r["rank"], r.doc_id, r.score))
+    # the two items 2 are searched by themselves; equal scores of repeated rows take a rank each
+    assert sorted(by[None])[0][1] == 3 and {d for _, d, _ in by[2]} == {None, 4}
+    assert sorted(x for x in by[2] if x[1] == 4) == [(1, 4, s) if i == 0 else (2, 4, s) for i, (_, _, s) in enumerate(
+        sorted(x for x in by[2] if x[1] == 4))]
+    assert set(by) == {None, 2}
+    few = ranking.search(awkward, benchmark, k=1, block_bytes=1).collect()
+    assert sorted(map(str, few)) == sorted(str(r) for r in rows if r["rank"] == 1)
+
+
+def test_pieces(awkward):
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces.MODEL))
+    rows = by_text(awkward, pieces.digests(awkward)).collect()
+    want = [sp.encode(r.text or "", add_eos=True) for r in awkward.collect()]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == sorted(
+        (len(x), digest(" ".join(map(str, x))), digest(sp.decode(x))) for x in want)
+    coded = pieces.encode(awkward, end=False)
+    texts = pieces.decode(coded).collect()
+    assert sorted(r.text for r in texts) == sorted(r.text or "" for r in awkward.collect())
+
+
 def test_empty_tables(awkward, benchmark, labels):
     none = awkward.limit(0)
     outs = [mixing.mix(none), mixing.mixed(none), pii.find(none), scoring.score(none, labels.limit(0)), quality.judge(none),
             quality.keep(none), simhash.near_duplicates(none), simhash.one_per_group(none), sharding.place(none),
             decontaminate.contaminated(none, benchmark.limit(0)), decontaminate.clean(none, benchmark),
-            substrings.removal_digests(none), tokens.token_counts(none)]
+            substrings.removal_digests(none), tokens.token_counts(none), collocations.mine(none), pieces.digests(none),
+            pieces.decode(pieces.encode(none)), ranking.search(none, benchmark), ranking.search(none, benchmark.limit(0)),
+            ranking.search(awkward, benchmark.limit(0))]
     assert [o.count() for o in outs] == [0] * len(outs)
 
 
