@@ -2,7 +2,10 @@
 
 A page is cut into flat text blocks at block-level tags.  Each block has its
 word count, its link density and those of the blocks before and after it,
-and the section it stands in.  A decision tree, trained here on
+and the section it stands in: boilerplate by element or by a purpose named in
+class, id or role, or part of an article.  Names of layout (header, sidebar)
+around an article, or around most of a page without one, decide nothing.  An
+end tag that may be left out is implied by the next tag of its kind.  A decision tree, trained here on
 ``labelled_pages()`` (a small table of built pages whose blocks are known),
 keeps or drops each block.
 
@@ -35,22 +38,35 @@ _INLINE = frozenset(
 _BOILER = frozenset("nav header footer aside form menu dialog".split())
 _MAIN = frozenset(("article", "main"))
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Words in class, id and role that name a section's purpose.
-_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|sidebar|side|nav\w*|menu|breadcrumbs?|header|footer"
-    r"|foot|cookies?|consent|notice|newsletter|subscribe|signup|login|popup|modal|comments?|replies|reply|disqus"
-    r"|related|share|social|widget|contentinfo|complementary|navigation|search)(?:$|[\s_-])",
-    re.I,
+_CLOSED_BY = {  # elements whose end tag may be left out, and the start tags that end them
+    "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+                   " header hgroup hr main menu nav ol p pre section table ul".split()),
+    "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
+    "tr": frozenset("tr tbody tfoot".split()), "td": frozenset("td th tr tbody tfoot".split()),
+    "th": frozenset("td th tr tbody tfoot".split()),
+}
+#: Words in class, id and role that name a section's purpose, those of the page's layout, and words that
+#: say that a section holds others.
+_PURPOSE = frozenset(
+    "ad ads banner sponsor cookie cookies consent notice newsletter subscribe signup login popup modal comment comments"
+    " replies reply disqus related share social widget contentinfo complementary".split()
 )
+_LAYOUT = frozenset("side sidebar nav menu breadcrumb breadcrumbs header footer foot navigation search".split())
+_PREFIXES = ("advert", "promo", "sponsor", "nav")
+_HOLDER = frozenset("wrapper wrap container content main article post entry body page layout inner outer results root".split())
+#: A layout section that holds more than this share of a page's plain words is the page (pages without an article).
+WHOLE = 0.6
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9-]*)"
+    # white space, slashes and attributes one by one; a value without quotes ends at white space or the tag's end
+    r"(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)?+)*+)(?:>|\Z)"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.I | re.S,
 )
 _ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 _ENDS["option"] = re.compile(r"</option\s*>|(?=</?(?:option|optgroup|select|datalist)\b)", re.I)
-_ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "main", "any_main")
 
@@ -74,12 +90,34 @@ def marks(page: str) -> Iterator[tuple[re.Match, int, str]]:
         yield m, at, name
 
 
+@lru_cache(4096)
+def hint_of(attrs: str) -> int:
+    """What class, id and role say: 2 a purpose that is no article text, 1 a part of the layout, 0 neither."""
+    hint = 0
+    for value in _ATTR.findall(attrs):
+        for name in (value[0] or value[1] or value[2]).lower().split():
+            parts = [x for x in re.split(r"[\s_-]+", name) if x]
+            if any(x in _PURPOSE or x.startswith(_PREFIXES[:3]) for x in parts):
+                hint = 2
+            elif any(x in _LAYOUT or x.startswith(_PREFIXES[3]) for x in parts) and not any(x in _HOLDER for x in parts):
+                hint = max(hint, 1)
+    return hint
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
-    """Flat blocks in page order: (text, words, words in links, boilerplate depth, article depth)."""
+    """Flat blocks in page order: (text, words, words in links, boilerplate depth, article depth).
+
+    Elements and hints of class, id and role give the boilerplate depth.  A hint of layout alone does not decide: it
+    is void for an article inside its section, and where a page has no article, for a section that holds most of the
+    page's plain words.
+    """
     found: list[tuple[str, int, int, int, int]] = []
-    stack: list[tuple[str, int, int]] = []  # open sections: name, boiler, main
+    inside: list[tuple[int, ...]] = []  # per block, its open layout sections
+    stack: list[tuple[str, int, int, int]] = []  # open sections: name, boiler, main, layout section
     text: list[str] = []
     linked = boiler = main = 0
+    layout: tuple[int, ...] = ()
+    numbered = 0
     in_link = False
 
     def close() -> None:
@@ -88,9 +126,19 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if whole:
             words = whole.count(" ") + 1
             found.append((whole, words, min(linked, words), boiler, main))
+            inside.append(layout)
         text.clear()
         linked = 0
 
+    def pop(i: int) -> None:
+        nonlocal boiler, main, layout
+        boiler -= sum(s[1] for s in stack[i:])
+        main -= sum(s[2] for s in stack[i:])
+        gone = {s[3] for s in stack[i:] if s[3]}
+        if gone:
+            layout = tuple(x for x in layout if x not in gone)
+        del stack[i:]
+
     def piece(raw: str) -> None:
         nonlocal linked
         if raw:
@@ -112,27 +160,44 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
                 text.append(" ")
             continue
         close()
+        if not m["end"]:
+            while stack and name in _CLOSED_BY.get(stack[-1][0], ()):
+                pop(len(stack) - 1)
         if name in _VOID:
             continue
         if m["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    boiler -= sum(s[1] for s in stack[i:])
-                    main -= sum(s[2] for s in stack[i:])
-                    del stack[i:]
+                    pop(i)
                     in_link = False
                     break
             continue
-        hint = int(name in _BOILER)
-        if not hint and m["attrs"] and name not in ("html", "body"):
-            hint = int(any(_HINT.search(a or b or c) for a, b, c in _ATTR.findall(m["attrs"])))
         here = int(name in _MAIN)
+        hint = 2 if name in _BOILER else 0
+        if not hint and m["attrs"] and name not in ("html", "body"):
+            hint = hint_of(m["attrs"])
+        deeper, own = int(hint > 0), 0
+        if hint == 1:
+            numbered += 1
+            own = numbered
+            layout += (own,)
+        if here:  # layout around an article says nothing about the article
+            deeper -= sum(1 for x in layout if x != own)
         if hint or here or name in ("div", "section", "ul", "ol", "table"):
-            stack.append((name, hint, here))
-            boiler += hint
+            stack.append((name, deeper, here, own))
+            boiler += deeper
             main += here
     piece(page[at:])
     close()
+    if numbered and not any(b[4] for b in found):
+        plain = sum(b[1] - b[2] for b in found)
+        held = [0] * (numbered + 1)
+        for b, sections in zip(found, inside, strict=True):
+            for x in sections:
+                held[x] += b[1] - b[2]
+        void = {x for x in range(1, numbered + 1) if held[x] > WHOLE * plain}
+        found = [(*b[:3], b[3] - sum(1 for x in sections if x in void), b[4])
+                 for b, sections in zip(found, inside, strict=True)]
     return found
 
 
