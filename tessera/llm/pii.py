@@ -113,6 +113,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 #: O, then begin and inside of each kind.
 LABELS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 PLAIN = ("plain",)
+#: Tokens up to this length are kept in a task's table of scores; longer ones are scored each time, as whole as any.
+KEPT = 200
 OUTSIDE = np.array([0.0] + [-1e9] * (len(LABELS) - 1))
 
 
@@ -121,7 +123,7 @@ def shape_features(token: str) -> tuple[str, ...]:
     if not _TRIGGER.search(token):
         return PLAIN
     bracketed = _AT.search(token)
-    core = _LABEL.sub("", _AT.sub("@@", token[:80]), count=1) if token[0].isalpha() else _AT.sub("@@", token[:80])
+    core = _LABEL.sub("", _AT.sub("@@", token), count=1) if token[0].isalpha() else _AT.sub("@@", token)
     shape = re.sub(r"[A-Z]", "X", re.sub(r"[^\W\d_]", "x", core.lstrip(_OPEN).rstrip(_CLOSE)))
     runs = re.sub(r"x+", "x", re.sub(r"[0-9]+", lambda m: "d" * min(len(m.group()), 5), shape))
     digits = len(_DIGIT.findall(token))
@@ -324,14 +326,16 @@ def sequences(text: str) -> list[list[tuple[int, int]]]:
 
 def added_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int]]]:
     """Spans the field adds to each text."""
-    cached = lru_cache(100_000)(lambda token: field.scores(shape_features(token)))
+    scored = lambda token: field.scores(shape_features(token))
+    kept = lru_cache(100_000)(scored)
+    cached = lambda token: (kept if len(token) <= KEPT else scored)(token)
     owner, tokens, scores = [], [], []
     for i, text in enumerate(texts):
         for seq in sequences(text):
             owner.append(i)
             tokens.append(seq)
             # a plain token on either side carries the moves from and to the text around
-            scores.append([OUTSIDE, *(cached(text[a : min(b, a + 200)]) for a, b in seq), OUTSIDE])
+            scores.append([OUTSIDE, *(cached(text[a:b]) for a, b in seq), OUTSIDE])
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     for i, seq, path in zip(owner, tokens, field.viterbi(scores), strict=True):
         kind, start, end = "", 0, 0
