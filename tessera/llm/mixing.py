@@ -5,7 +5,7 @@
 2. Slot ``i`` of the schedule has the golden-ratio point ``i * F45 mod F46``
    (exact in longs); mapped through the cumulative targets it names a source.
    Slots are ranked per source by counts per run of slots plus prefix sums.
-3. A source's documents, shuffled by a hash of their id, are one long stream
+3. A source's documents, shuffled by a hash of their id and text, are one long stream
    of words read up to twice, cut into blocks of ``block`` words.  Slot rank
    ``r`` takes block ``r``; the last block is cut so that the source ends at
    its target.  A source whose slots fall short by the schedule's discrepancy
@@ -103,14 +103,18 @@ def schedule(plan: DataFrame, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block: int = BLOCK) -> DataFrame:
-    """documents -> one row each: doc_id, size, source_size, target, taken, source, text_hash."""
+    """documents -> one row each: doc_id, size, source_size, target, taken, slot, source, text_hash.
+
+    ``slot`` is the first slot of the schedule that takes words of the document (null if none does): read in this
+    order, the mix holds its sources at their target weights all along.
+    """
     sized = staged(
         docs.select(
             "doc_id",
             "source",
             F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("key"),
             word_count(F.col("text")).alias("size"),
-            F.xxhash64("doc_id").alias("hash"),
+            F.xxhash64("doc_id", "text").alias("hash"),  # rows of one id (or none) do not share a bucket
             F.xxhash64("text").alias("text_hash"),
         ),
         "mix-sizes",
@@ -151,8 +155,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     taken = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), words)), F.lit(0)).cast("long").alias("taken")
     return (
         joined.groupBy("ord", "bucket", "row", "doc_id", "source", "text_hash", "size", "source_size", "target")
-        .agg(taken)
-        .select("doc_id", "size", "source_size", "target", "taken", "source", "text_hash")
+        .agg(taken, F.min("slot").alias("slot"))
+        .select("doc_id", "size", "source_size", "target", "taken", "slot", "source", "text_hash")
     )
 
 
@@ -170,21 +174,23 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     What a document takes beyond whole readings is a row cut after that many
     words (``n_chars``, where there is such a column, follows).  Rows equal in
     id, source and text share evenly what they take.  Documents that take
-    nothing leave.
+    nothing leave.  Every partition is in the order of the schedule's slots, so
+    a reader meets the sources at their target weights from its first rows on.
     """
-    own_id, own_source, own_hash, own_size, own_taken = free_names(
-        docs.columns, "__id", "__source", "__hash", "__size", "__taken")
+    own_id, own_source, own_hash, own_size, own_taken, own_slot = free_names(
+        docs.columns, "__id", "__source", "__hash", "__size", "__taken", "__slot")
     takes = (
         mix(docs, weights, share, block)
         .groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("text_hash").alias(own_hash))
-        .agg(F.first("size").alias(own_size), F.expr("sum(taken) div count(*)").alias(own_taken))
+        .agg(F.first("size").alias(own_size), F.expr("sum(taken) div count(*)").alias(own_taken),
+             F.min("slot").alias(own_slot))
         .filter(F.col(own_taken) > 0)
     )
     same = (
         docs.doc_id.eqNullSafe(F.col(own_id)) & docs.source.eqNullSafe(F.col(own_source))
         & (F.xxhash64(docs.text) == F.col(own_hash))
     )
-    chosen = docs.join(takes, same).select(*docs.columns, own_size, own_taken)
+    chosen = docs.join(takes, same).select(*docs.columns, own_size, own_taken, own_slot).sortWithinPartitions(own_slot)
     names = docs.columns
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
