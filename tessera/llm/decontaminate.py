@@ -11,11 +11,14 @@ radius are verified by the exact weighted similarity of the shingles.
 A window without a shared shingle has similarity 0, so leaving it out loses
 nothing.  The benchmark is read in blocks of at most about ``BLOCK_WORDS``
 words; each block's index is broadcast and all documents are read against it.
+Equal item texts are one entry of one block, however many items have them; their
+ids are joined back on Spark.
 
 Defined results: null, empty or wordless items and documents match nothing; a
 document shorter than an item is one window; repeated rows each give their
-rows; a repeated item id gives a row per item text it matches; a document of
-any length is read whole; empty tables give an empty result.
+rows; a repeated item id gives a row per item text it matches; of windows
+equally similar to an item the first counts; a document of any length is read
+whole; other columns, whatever their names, are not looked at; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -29,13 +32,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tessera.llm.common import word_count
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
 BLOCK_WORDS = 1_000_000
+#: Window starts, and words they spread over, that are fingerprinted at once: bounds a task's memory on very long texts.
+WINDOWS, SPAN = 4_096, 65_536
 _MARKS = b".,;:!?\"'()[]{}"
 _LOWER = bytes(range(256)).lower()
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -69,6 +73,15 @@ def window_fingerprints(hashes: np.ndarray, starts: np.ndarray, count: int) -> n
     return np.packbits(2 * ones > count, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def _spans(starts: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of sorted window starts, of at most ``WINDOWS`` starts over at most ``SPAN`` words."""
+    at = 0
+    while at < len(starts):
+        stop = min(at + WINDOWS, int(np.searchsorted(starts, starts[at] + SPAN, "right")))
+        yield starts[at:stop]
+        at = stop
+
+
 class BlockTables:
     """Multi-index Hamming lookup of the fingerprints of all items of one length."""
 
@@ -153,41 +166,41 @@ class Index:
                     starts.setdefault(n, set()).update(range(max(0, min(q - n + size, last)), min(q, last) + 1))
         best: dict[int, tuple[float, int]] = {}
         for n, begun in starts.items():
-            first = np.array(sorted(begun))
+            every = np.array(sorted(begun))
             size = min(SHINGLE, n)
-            low, high = int(first[0]), min(int(first[-1]) + n, len(words))
-            hashes = shingles(words[low:high], size)
             count = min(n, len(words)) - size + 1
-            windows = window_fingerprints(np.array(hashes, np.uint64), first - low, count)
-            at, item = self.tables[n].within(windows)
-            for w in np.unique(at).tolist():
-                start = int(first[w])
-                held = Counter(hashes[start - low : start - low + count])
-                for i in item[at == w].tolist():
-                    i = int(self.by_size[n][i])
-                    alike = similarity(held, self.counts[i])
-                    if alike >= least and alike > best.get(i, (0.0, 0))[0]:
-                        best[i] = (alike, start)
+            for first in _spans(every):  # bounded runs of windows, the earliest first
+                low, high = int(first[0]), min(int(first[-1]) + n, len(words))
+                hashes = shingles(words[low:high], size)
+                windows = window_fingerprints(np.array(hashes, np.uint64), first - low, count)
+                at, item = self.tables[n].within(windows)
+                for w in np.unique(at).tolist():
+                    start = int(first[w])
+                    held = Counter(hashes[start - low : start - low + count])
+                    for i in item[at == w].tolist():
+                        i = int(self.by_size[n][i])
+                        alike = similarity(held, self.counts[i])
+                        if alike >= least and alike > best.get(i, (0.0, 0))[0]:
+                            best[i] = (alike, start)
         return [(self.ids[i], s, start) for i, (s, start) in sorted(best.items())]
 
 
 def indexes(benchmark: DataFrame, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> Iterator[Index]:
-    """The benchmark's index, one block of about ``block_words`` words at a time; at least one, maybe empty."""
-    items = benchmark.select("item_id", "text")
+    """The index of the benchmark's texts by their hash, a block of about ``block_words`` words at a time; at least one."""
+    items = benchmark.filter("text IS NOT NULL").select("text").distinct()
     total = items.agg(F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()[0]
     parts = max(1, -(-total // block_words))
     for part in range(parts):
-        own = items.filter((F.pmod(F.xxhash64("text"), F.lit(parts)) == part) & F.col("text").isNotNull())
-        yield Index([(r.item_id, r.text.encode()) for r in own.toLocalIterator()], radius)
+        own = items.withColumn("key", F.xxhash64("text")).filter(F.pmod("key", F.lit(parts)) == part)
+        yield Index([(r.key, r.text.encode()) for r in own.toLocalIterator()], radius)
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """documents, benchmark -> doc_id, item_id, similarity, word_start: every item found in a document."""
-    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = StructType([
-        StructField("doc_id", docs.schema["doc_id"].dataType), StructField("item_id", benchmark.schema["item_id"].dataType),
+        StructField("doc_id", docs.schema["doc_id"].dataType), StructField("key", LongType()),
         StructField("similarity", DoubleType()), StructField("word_start", LongType()),
     ])
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -202,14 +215,16 @@ def contaminated(
                     found += [(row, *m) for m in shared.value.matches(text, least)]
                 row, item, alike, start = zip(*found, strict=True) if found else ((),) * 4
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(item, item_type),
+                    [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(item, pa.int64()),
                      pa.array(alike, pa.float64()), pa.array(start, pa.int64())],
-                    names=["doc_id", "item_id", "similarity", "word_start"],
+                    names=["doc_id", "key", "similarity", "word_start"],
                 )
 
         return texts.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, map(against, indexes(benchmark, radius, block_words)))
+    found = reduce(DataFrame.unionByName, map(against, indexes(benchmark, radius, block_words)))
+    ids = benchmark.filter("text IS NOT NULL").select("item_id", F.xxhash64("text").alias("key"))
+    return found.join(ids, "key").select("doc_id", "item_id", "similarity", "word_start")
 
 
 def clean(

@@ -479,3 +479,56 @@ def test_pipeline(spark, sf_small, docs):
     for r in rows:
         assert docs[r.doc_id].text.startswith(r.text) and r.n_chars == len(r.text) and 0 <= r.shard < sharding.SHARDS
     assert max(Counter(r.doc_id for r in rows).values()) <= 2
+
+
+def test_mix_follows_the_schedule(spark, documents):
+    """The sources of the words read by slot keep near their shares from the start, which needs the schedule."""
+    rows = [r for r in mixing.mix(documents).collect() if r.taken]
+    share = {r.source: r.target for r in rows}
+    whole = sum(share.values())
+    rows.sort(key=lambda r: r.slot)
+    so_far, seen = Counter(), 0
+    for i, r in enumerate(rows):
+        so_far[r.source] += r.taken
+        seen += r.taken
+        if i > len(rows) // 4:
+            assert all(abs(so_far[s] / seen - t / whole) < 0.15 for s, t in share.items()), (i, so_far)
+    mixed = mixing.mixed(documents).select("source").toPandas().source.tolist()  # the slots' order, partition by partition
+    assert len(mixed) >= len(rows)
+
+
+def test_long_tokens_are_shaped_whole():
+    field = pii.default_field()
+    for n in (90, 250, 5000):
+        name = "a" * n
+        for text in (f"to {name}[at]example.com now", f"to {name} [at] example.com now"):
+            start, word = text.index(name), text[text.index(name) : text.index(" now")]
+            assert pii.added_spans([text], field) == [[("email", start, start + len(word))]]
+
+
+def test_decontamination_of_a_very_long_text_in_bounded_slices(spark, monkeypatch):
+    import tracemalloc
+
+    item = " ".join(f"q{i}" for i in range(30))
+    words = [f"w{i % 5000}" for i in range(300_000)]
+    text = " ".join(["x", item, *words, item, *words[:50], "q3 q4 q5 q6 q7", *words[:40]]).encode()
+    index = decontaminate.Index([(7, item.encode())])
+    assert [(i, s) for i, s, _ in index.matches(text, 0.8)] == [(7, 1.0)] and index.matches(text, 0.8)[0][2] == 1
+    tracemalloc.start()
+    index.matches(text, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    want = index.matches(text, 0.8)
+    monkeypatch.setattr(decontaminate, "WINDOWS", 3)
+    monkeypatch.setattr(decontaminate, "SPAN", 40)
+    assert index.matches(text, 0.8) == want
+
+
+def test_equal_items_share_an_entry(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"a {item} b"), (2, "other words")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, item) for i in range(50)] + [(60, None)], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()) == [(1, i) for i in range(50)]
+    index = list(decontaminate.indexes(items, block_words=15))
+    assert sum(len(x.ids) for x in index) == 1
