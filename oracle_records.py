@@ -405,3 +405,20 @@ ORACLES["home_page_tiles"] = " UNION ALL ".join(_tile(t, *spec) for t, spec in _
 for _part, _same in (("overview", "entity_overview_streak"), ("top_tracks", "top_k_per_group_share"), ("albums", "completion_rate"),
                      ("calendar", "daily_calendar"), ("heatmap", "hour_weekday_heatmap"), ("evolution", "monthly_evolution")):
     ORACLES[f"artist_documents_{_part}"] = OTHERS[_same]
+
+_SOURCES = [  # name, number of key columns, whether another column orders before the delivery time
+    *[(f"activity_{x}" if x else "activities", 1, False) for x in ("", "details", "exercise_sets", "hr_zones", "splits", "weather")],
+    ("all_day_events", 2, False), ("body_battery", 1, False), ("body_composition", 1, False), ("endurance_score", 1, False),
+    ("floors", 1, False), ("heart_rate", 1, False), ("hill_score", 1, True), ("hrv", 1, False), ("intensity_minutes", 1, False),
+    ("max_metrics", 1, False), ("race_predictions", 1, False), ("respiration", 1, False), ("rhr_daily", 1, False),
+    ("sleep", 1, False), ("spo2", 1, False), ("stats_and_body", 1, False), ("steps", 1, False), ("stress", 1, False),
+    ("training_readiness", 2, False), ("training_status", 1, False), ("user_summary", 1, False), ("weight", 1, False),
+    ("artist_enrichment", 1, True), ("recently_played", 1, False), ("saved_albums", 1, False), ("saved_tracks", 1, False),
+]
+ORACLES["staged_sources"] = " UNION ALL ".join(
+    f"""
+SELECT '{name}' AS dataset, {f"CAST(event_id // {6 + 2 * (n % 4)} AS VARCHAR) || '/' || " if keys == 2 else ""}
+       CAST(event_id // {3 + n % 4} AS VARCHAR) AS key,
+       arg_max(event_id, ({"(event_id * 7) % 5, " if extra else ""}ts, 0)) AS event_id
+FROM events GROUP BY event_id // {3 + n % 4}{f", event_id // {6 + 2 * (n % 4)}" if keys == 2 else ""}"""
+    for n, (name, keys, extra) in enumerate(_SOURCES))

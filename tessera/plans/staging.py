@@ -251,3 +251,24 @@ def artists_with_profile_image(spark, d: str, k: int = 20) -> DataFrame:
     top = global_top_k(s, [F.col("popularity").desc(), F.col("artistId")], k)
     return top.select("rank", "artistName", "popularity", "followerCount",
                       F.col("imageUrlLarge").alias("profile_image"))
+
+
+def staged_sources(spark, d: str) -> DataFrame:
+    """§2.4: all 32 keep-latest sources by their own keys and orders, each over deliveries derived from every event.
+
+    The n-th source gets three to six deliveries per key; those of two key columns share the first among two keys.
+    """
+    from tessera.sources.tables import Tables
+
+    ev = Tables(spark, d).events.select("event_id", F.col("ts").alias("_dp_inserted_at"))
+    out = None
+    for n, (dataset, (keys, extra)) in enumerate(STAGING_KEYS.items()):
+        each = 3 + n % 4
+        key = lambda size: F.expr(f"event_id div {size}")
+        values = [key(each)] if len(keys) == 1 else [key(2 * each), key(each)]
+        delivery = ev.select("*", *[v.alias(k) for k, v in zip(keys, values, strict=True)],
+                             *[((F.col("event_id") * 7) % 5).alias(c) for c in extra])
+        part = stage(delivery, dataset).select(
+            F.lit(dataset).alias("dataset"), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]).alias("key"), "event_id")
+        out = part if out is None else out.unionByName(part)
+    return out
