@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import ellipsis, ms_to_hm, ms_to_hms, ordered_array, pct
+from tessera.functions.columns import ellipsis, ms_to_hm, ms_to_hms, ordered_array, ordered_join, pct
 from tessera.operators.relational import (
     as_date,
     current_streak,
@@ -28,6 +28,7 @@ from tessera.operators.relational import (
     top_k_per_group,
 )
 from tessera.plans.star import MusicStar
+from tessera.session import scratch_path
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -35,6 +36,13 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A few rows, written to the shared scratch folder and read back: later readers do not compute them again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _track_counts_by_period(star: MusicStar, as_of, periods=PERIODS) -> DataFrame:
     counts = period_rollup(star.fact, "played_at", as_of, ["track_id"], periods=periods)
     return counts.join(star.tracks.select("track_id", "album_id", "duration_ms"), "track_id", "left").withColumn(
@@ -191,13 +199,17 @@ def top_artists_with_tracks(star: MusicStar, k: int = 20, tracks_per_artist: int
         .groupBy("artist_id", "credit_id")
         .agg(F.sum("total_duration_ms").alias("total_duration_ms"), F.sum("play_count").alias("play_count"))
     )
-    ranked = global_top_k(stats, [F.col("total_duration_ms").desc(), F.col("artist_id"), F.col("credit_id")], k)
-    # Both broadcast sides hold at most k rows: the ranked ids, then the
-    # credit strings they select (credit_ids itself grows with the catalogue).
-    names = credit_ids.join(_bounded(ranked.select("credit_id")), "credit_id", "left_semi")
-    top = ranked.join(_bounded(names), "credit_id", "left")
-    top_ids = top.select("artist_id").distinct()
-    artist_tracks = fan.join(_bounded(top_ids), "artist_id", "left_semi")
+    # The k ranked rows are written: what follows reads them, not the fan-out behind them, three times over
+    order = [F.col("total_duration_ms").desc(), F.col("artist_id"), F.col("credit_id")]
+    ranked = _written(global_top_k(stats, order, k), "top-artists")
+    # A credit id is a track with that credit string, so its text is that track's credits: k tracks are read
+    chosen = star.bridge.join(_bounded(ranked.select(F.col("credit_id").alias("track_id")).distinct()), "track_id", "left_semi")
+    names = chosen.join(star.artists, "artist_id").groupBy(F.col("track_id").alias("credit_id")).agg(
+        ordered_join(F.col("artist_name"), ", ", F.col("artist_position")).alias("all_artist_names"))
+    top = ranked.join(names, "credit_id", "left")
+    mine = star.bridge.select("track_id", "artist_id").join(_bounded(ranked.select("artist_id").distinct()), "artist_id",
+                                                            "left_semi")
+    artist_tracks = mine.join(per_track, "track_id")
     best = top_k_per_group(
         artist_tracks, ["artist_id"], [F.col("total_duration_ms").desc(), F.col("track_id")], tracks_per_artist,
         rank_col="track_rank")
