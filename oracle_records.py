@@ -266,8 +266,14 @@ SELECT event_id AS id, user_id AS uid, k AS n, 2 AS n_items, k AS first_n, 'z' A
 """
 
 ORACLES["inferred_fields"] = """
-SELECT * FROM (VALUES ('deep', 'struct<n:bigint>'), ('flag', 'boolean'), ('id', 'bigint'), ('kind', 'string'),
-                      ('list', 'array<string>'), ('reading', 'double')) AS f(field, type)
+WITH e AS (SELECT event_id % 2 = 1 AS half, event_type, json_extract_string(props, '$.k') IS NOT NULL AS has_k FROM events),
+s AS (SELECT bool_or(half AND has_k) AS halves, bool_or(has_k) AS ks, bool_or(event_type IS NOT NULL) AS kinds, COUNT(*) AS n FROM e)
+SELECT 'id' AS field, 'bigint' AS type FROM s WHERE n > 0
+UNION ALL SELECT 'reading', CASE WHEN halves THEN 'double' ELSE 'bigint' END FROM s WHERE ks
+UNION ALL SELECT 'deep', 'struct<n:bigint>' FROM s WHERE ks
+UNION ALL SELECT 'kind', 'string' FROM s WHERE kinds
+UNION ALL SELECT 'flag', 'boolean' FROM s WHERE n > 0
+UNION ALL SELECT 'list', 'array<string>' FROM s WHERE n > 0
 """
 
 ORACLES["ingested_events"] = """
@@ -422,3 +428,21 @@ SELECT '{name}' AS dataset, {f"CAST(event_id // {6 + 2 * (n % 4)} AS VARCHAR) ||
        arg_max(event_id, ({"(event_id * 7) % 5, " if extra else ""}ts, 0)) AS event_id
 FROM events GROUP BY event_id // {3 + n % 4}{f", event_id // {6 + 2 * (n % 4)}" if keys == 2 else ""}"""
     for n, (name, keys, extra) in enumerate(_SOURCES))
+
+ORACLES["explicit_schema_load"] = f"""
+WITH {_EV}
+SELECT event_id AS id, user_id AS athlete_id, event_type AS kind, CASE WHEN event_id % 3 > 0 THEN props END AS line,
+       CAST(CASE WHEN event_id % 4 > 0 THEN 2 END AS INTEGER) AS n_points,
+       CASE WHEN event_id % 4 > 0 THEN date_trunc('second', ts) END AS first_at,
+       CASE WHEN event_id % 4 > 0 THEN CAST(k AS DOUBLE) END AS second_v, event_type || '|z' AS tags,
+       CASE WHEN event_id % 5 > 0 THEN CAST(ts AS DATE) END AS day
+FROM ev
+"""
+
+ORACLES["selected_datasets"] = """
+WITH f AS (SELECT user_id, CASE WHEN event_type = 'purchase' THEN 'sales' WHEN event_type IN ('click', 'view') THEN 'traffic'
+                                ELSE 'other' END AS dataset FROM events)
+SELECT 'list' AS mode, dataset, COUNT(*) AS files FROM f WHERE dataset IN ('sales', 'traffic') GROUP BY dataset
+UNION ALL SELECT 'owner', dataset, COUNT(*) FROM f WHERE user_id = 7 GROUP BY dataset
+UNION ALL SELECT 'all', dataset, COUNT(*) FROM f GROUP BY dataset
+"""

@@ -20,7 +20,7 @@ from tessera.session import scratch_path
 from tessera.sources import jsonl, sinks
 from tessera.sources.evolving import EvolvingTable
 from tessera.sources.jsonl import FieldSpec
-from tessera.sources.schema import infer_schema
+from tessera.sources.schema import infer_schema, schema_from_config
 from tessera.sources.tables import Tables
 from tessera.streaming import stream
 
@@ -197,6 +197,52 @@ def clustered_table(spark: SparkSession, d: str) -> DataFrame:
     return pruned.select("user_id", "events", (F.col("inside") <= 1).alias("pruned"))
 
 
+# Fixed values of the declared load: five nested fields, as a configuration writes them
+EXPLICIT_FIELDS = [
+    {"name": "id", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "athlete", "type": "RECORD", "fields": [{"name": "id", "type": "INTEGER"}, {"name": "kind", "type": "STRING"}]},
+    {"name": "map", "type": "RECORD", "fields": [
+        {"name": "line", "type": "STRING"}, {"name": "points", "type": "RECORD", "mode": "REPEATED", "fields": [
+            {"name": "at", "type": "DATETIME"}, {"name": "v", "type": "FLOAT"}]}]},
+    {"name": "tags", "type": "STRING", "mode": "REPEATED"},
+    {"name": "day", "type": "DATE"},
+]
+
+
+def explicit_schema_load(spark: SparkSession, d: str) -> DataFrame:
+    """JSON files loaded by a declared nested schema: unknown fields go, what does not fit is null."""
+    ev = _events(spark, d)
+    points = F.array(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), F.col("value").alias("v")),
+                     F.struct(F.lit(None).cast("string").alias("at"), F.col("k").alias("v")))
+    raw = F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind")).alias("athlete"),
+        F.struct(F.when(_form(3) > 0, F.col("props")).alias("line"), F.when(_form(4) > 0, points).alias("points")).alias("map"),
+        F.array(F.col("event_type"), F.lit("z")).alias("tags"),
+        F.when(_form(5) > 0, F.date_format("ts", "yyyy-MM-dd")).otherwise("no day").alias("day"), F.lit(1).alias("unknown")))
+    landing = scratch_path(spark, "explicit")
+    ev.select(raw.alias("value")).write.text(landing)
+    load = spark.read.schema(schema_from_config(EXPLICIT_FIELDS)).json(landing)
+    return load.select(
+        "id", F.col("athlete.id").alias("athlete_id"), F.col("athlete.kind").alias("kind"), F.col("map.line").alias("line"),
+        F.when(F.col("map.points").isNotNull(), F.size("map.points")).alias("n_points"),
+        F.get("map.points", F.lit(0))["at"].alias("first_at"), F.get("map.points", F.lit(1))["v"].alias("second_v"),
+        F.array_join("tags", "|").alias("tags"), "day")
+
+
+def selected_datasets(spark: SparkSession, d: str) -> DataFrame:
+    """What a run takes: a list of datasets if the user gives one, else the files of one owner, else all."""
+    ev = _events(spark, d)
+    name = F.concat(F.lit("x_app_u"), F.col("user_id").cast("string"), F.lit("_"), F.col("event_type"), F.lit(".jsonl"))
+    routed = jsonl.route_by_regex(ev.select("event_id", name.alias("file_name")), ROUTES, default="other")
+    owned = jsonl.user_and_type_from_name(routed, "app", ["click", "view"])
+    out = None
+    for mode, choice in (("list", {"requested": ["sales", "traffic"], "owner": "u7"}), ("owner", {"owner": "u7"}), ("all", {})):
+        part = jsonl.select_datasets(owned, **choice).groupBy("dataset").agg(F.count(F.lit(1)).alias("files")).select(
+            F.lit(mode).alias("mode"), "dataset", "files")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- streams ----------------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
@@ -392,7 +438,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         landing_names, parsed_lines, raw_envelopes, files_without_records, declared_fields, inferred_fields, ingested_events,
-        ingest_outcome, clustered_table, streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
+        ingest_outcome, explicit_schema_load, selected_datasets, clustered_table, streamed_windows, streamed_dedupe, streamed_merge, streamed_window_dedupe, streamed_months, streamed_chain_dedupe, merged_days,
         model_run, model_increments, evolved_table, legacy_arrays,
     )
 }
