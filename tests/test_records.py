@@ -144,3 +144,20 @@ def test_greedy_dedupe_of_nothing_and_of_rows_without_time(spark):
     rows = [(1, 0, None), (1, 1, T0), (1, 2, T0), (1, 3, None)]
     got = greedy_window_dedupe(spark.createDataFrame(rows, "k int, i int, ts timestamp"), "k", "ts", 24.0, "i").collect()
     assert sorted(r.i for r in got) == [0, 1, 3]
+
+
+def test_nested_deep(spark):
+    """Number lists below lists of lists, records in maps, and null members on the way."""
+    schema = T.StructType.fromDDL(
+        "a array<array<struct<m:array<array<double>>>>>, b map<string,struct<m:array<array<double>>>>, c struct<d:array<struct<e:array<array<double>>>>>")
+    df = spark.createDataFrame(
+        [([[([[1.0, 2.0]],), None], None], {"x": ([[1.0, 2.0, 3.0], [4.0]],), "y": None}, ([([[7.0, 8.0]],), (None,)],)), (None, None, None)],
+        schema)
+    widths = N.matrix_widths(df)
+    assert widths == {"a.m": 2, "b.m": 3, "c.d.e": 2}
+    flat = df.select(*[N.flatten_nested_arrays(F.col(f.name), f.dataType, widths, f.name).alias(f.name) for f in schema.fields])
+    first, last = flat.collect()
+    assert first.a[0][0].m[0].value == 2.0 and first.a[0][1] is None and first.a[1] is None
+    assert [tuple(x) for x in first.b["x"].m] == [(1.0, 2.0, 3.0), (4.0, None, None)] and first.b["y"] is None
+    assert first.c.d[0].e[0].timestamp == 7.0 and first.c.d[1].e is None
+    assert last.a is None and last.b is None and last.c is None
