@@ -15,7 +15,7 @@ PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsI
 
 
 # jobs that write and return a plain read of what they wrote: their plan says nothing, and planning them runs them
-WRITTEN = re.compile(r"(streamed_|ingested_|merged_|model_run|json_round_trip|csv_round_trip)")
+WRITTEN = re.compile(r"(streamed_|ingested_|merged_|model_run|model_increments|evolved_table|json_round_trip|csv_round_trip)")
 
 
 def _plan(spark, name):
