@@ -1,8 +1,8 @@
 """Cross-entropy difference of two matched bigram models (operator 4).
 
 The target model counts the documents labelled good and not toxic, the
-background model all documents.  Both share one smoothing (every word has the
-prior share 1 / ``WORDS``) and one mass: the background's counts are scaled to
+background model all documents.  Both share one vocabulary (the different words
+of all documents; each has the same prior share) and one mass: the background's counts are scaled to
 the target's number of tokens.  A document's score is the mean per-token loss
 under the target model less that under the background model; lower is closer
 to the target.  A document is left out of the counts that score it, or it
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, staged
 
-#: Words of the uniform prior; pseudo-counts of the two smoothing steps.
-WORDS, PRIOR_PAIR, PRIOR_WORD = 1 << 16, 50.0, 1000.0
+#: Pseudo-counts of the two smoothing steps: the unigram's share in a bigram, the uniform prior's share in the unigram.
+PRIOR_PAIR, PRIOR_WORD = 50.0, 1000.0
 #: Bytes of text of a pack; least bits of the hash ranges, and bytes of text for each range beyond them.
 PACK_BYTES, RANGE_BITS, RANGE_BYTES = 1 << 23, 10, 1 << 23
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -119,8 +119,12 @@ def own_counts(owner: np.ndarray, kind: np.ndarray) -> np.ndarray:
 class Model:
     """Smoothed bigram model over the counts of one pack's hashes."""
 
-    def __init__(self, counts: np.ndarray, total: float, mass: float):
-        """``counts`` of each hash in the corpus and at ends of texts, scaled so that ``total`` tokens become ``mass``."""
+    def __init__(self, counts: np.ndarray, total: float, mass: float, words: int):
+        """``counts`` of each hash in the corpus and at ends of texts, scaled so that ``total`` tokens become ``mass``.
+
+        ``words``: size of the vocabulary; the unigram's shares of its words sum to one.
+        """
+        self.prior = PRIOR_WORD / max(words, 1)
         # a word is the context of the next token wherever it does not end its text
         self.counts, self.mass, self.scale = (counts[0], counts[0] - counts[1], counts[0]), mass, mass / total if total else 0.0
 
@@ -129,7 +133,7 @@ class Model:
         word, context, pair = (
             np.maximum(self.scale * (held[k] - mine), 0.0) for held, k, mine in zip(self.counts, at, own, strict=True)
         )
-        unigram = (word + PRIOR_WORD / WORDS) / (np.maximum(self.mass - self.scale * size, 0.0) + PRIOR_WORD)
+        unigram = (word + self.prior) / (np.maximum(self.mass - self.scale * size, 0.0) + PRIOR_WORD)
         return -np.log((np.minimum(pair, context) + PRIOR_PAIR * unigram) / (context + PRIOR_PAIR))
 
 
@@ -200,6 +204,20 @@ def _counts(table: pa.Table) -> np.ndarray:
     return np.concatenate([numbers(zlib.decompress(c), 4 * n).reshape(4, n) for c, n in held], 1)
 
 
+def vocabulary(packs: DataFrame) -> int:
+    """Number of different words of all documents; a pack sends each of its words once."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.column("pack"):
+                _, texts, _ = _open(pack.as_py(), [])
+                parts = [np.unique(bins(texts[a:b])[1]) for a, b in slices(texts)]
+                held = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], names=["h"])
+
+    return packs.select("pack").mapInArrow(words, "h long").distinct().count()
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """documents, labels -> doc_id, n_tokens, target_loss, background_loss, score (their difference)."""
     packs = packed(docs)
@@ -208,6 +226,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     size, background = packs.agg(F.coalesce(F.sum("bytes"), F.lit(0)), total).first()
     target = chosen.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     bits = max(RANGE_BITS, (size // RANGE_BYTES).bit_length())
+    words = vocabulary(packs)
 
     def run(pack: pa.Table, known: pa.Table) -> pa.Table:
         ids, texts, inside = _open(pack["pack"][0].as_py(), _places(known))
@@ -215,8 +234,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         counts = _counts(known.filter(pc.greater_equal(known["range"], 0)).sort_by("range")).astype(float)
         owner = np.repeat(np.arange(len(texts)), sizes)
         own, tokens, inside = [own_counts(owner, kind) for kind in at], sizes[owner], inside[owner]
-        losses = (Model(counts[1::2], target, target).losses(at, [n * inside for n in own], tokens * inside),
-                  Model(counts[0::2], background, target).losses(at, own, tokens))
+        losses = (Model(counts[1::2], target, target, words).losses(at, [n * inside for n in own], tokens * inside),
+                  Model(counts[0::2], background, target, words).losses(at, own, tokens))
         t, g = (np.bincount(owner, x, len(texts)) / np.maximum(sizes, 1) for x in losses)
         return pa.table({"doc_id": ids, "n_tokens": sizes, "target_loss": t, "background_loss": g, "score": t - g})
 

@@ -193,6 +193,7 @@ def test_op4(spark, sf_small, docs):
                 for c, o in zip(counts[target], own[i][0], strict=True):
                     c.update(o)
                 total[target] += len(word)
+    vocabulary = len(counts[False][0])
     out = run(spark, sf_small, "op4_cross_entropy_difference")
     for i in list(docs)[::10]:
         mine, tokens_ = own[i]
@@ -204,7 +205,7 @@ def test_op4(spark, sf_small, docs):
             get = lambda k, b: max(scale * (counts[target][k][b] - inside * mine[k][b]), 0.0)  # noqa: B023, E731
             nll = 0.0
             for w, c, p in tokens_:
-                unigram = (get(0, w) + s.PRIOR_WORD / s.WORDS) / (size + s.PRIOR_WORD)
+                unigram = (get(0, w) + s.PRIOR_WORD / vocabulary) / (size + s.PRIOR_WORD)
                 nll -= np.log((min(get(2, p), get(1, c)) + s.PRIOR_PAIR * unigram) / (get(1, c) + s.PRIOR_PAIR))
             loss[target] = nll / max(len(tokens_), 1)
         assert out[i].target_loss == pytest.approx(loss[True], abs=1e-3)
@@ -226,7 +227,8 @@ def test_op4_counts_every_word_and_bigram_by_itself(spark):
         for i in good if m else pairs:
             for c, o in zip(count[m], three(i), strict=True):
                 c.update(o)
-    assert len(count[False][0]) > 2 * s.WORDS
+    vocabulary = len(count[False][0])
+    assert vocabulary > 2 << 16
     total = {m: sum(count[m][0].values()) for m in count}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(100)], "doc_id long, quality int, toxic int")
@@ -237,7 +239,7 @@ def test_op4_counts_every_word_and_bigram_by_itself(spark):
             get = lambda k, x: max(scale * (count[m][k][x] - inside * mine[k][x]), 0.0)  # noqa: B023, E731
             size, nll = total[True] - scale * r.n_tokens * inside, 0.0
             for c, w in pairs[r.doc_id]:
-                unigram = (get(0, w) + s.PRIOR_WORD / s.WORDS) / (size + s.PRIOR_WORD)
+                unigram = (get(0, w) + s.PRIOR_WORD / vocabulary) / (size + s.PRIOR_WORD)
                 nll -= np.log((min(get(2, (c, w)), get(1, c)) + s.PRIOR_PAIR * unigram) / (get(1, c) + s.PRIOR_PAIR))
             loss[m] = nll / r.n_tokens
         assert r.n_tokens == len(pairs[r.doc_id])
@@ -532,3 +534,14 @@ def test_equal_items_share_an_entry(spark):
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()) == [(1, i) for i in range(50)]
     index = list(decontaminate.indexes(items, block_words=15))
     assert sum(len(x.ids) for x in index) == 1
+
+
+def test_unigram_shares_of_the_vocabulary_sum_to_one():
+    from tessera.llm import scoring as s
+
+    counts = np.array([[5.0, 3.0, 2.0, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0, 0.0]])  # four words and a context that was never seen
+    for total, mass in ((10.0, 10.0), (10.0, 4.0)):
+        model = s.Model(counts, total, mass, 4)
+        at = np.array([[0, 1, 2, 3], [4] * 4, [4] * 4])
+        none = np.zeros(4)
+        assert np.exp(-model.losses(at, [none, none, none], none)).sum() == pytest.approx(1.0)
