@@ -1335,8 +1335,17 @@ def _phase_sql(name: str, secs: str, lo: float, hi: float) -> str:
             f"AS {name}_status")
 
 
+# one level per ten minutes of a user's day: the first event's
+_LEVELS = """
+lev AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, (hour(ts) * 60 + minute(ts)) // 10 AS slot, MIN(ts) AS ts,
+         arg_min(value, (ts, event_id)) AS v
+  FROM events GROUP BY ALL)
+"""
+
 ORACLES["hub_sleep_nights"] = f"""
-WITH d AS (
+WITH {_LEVELS},
+d AS (
   SELECT user_id, CAST(ts AS DATE) AS date, COUNT(*) * 1200 AS total,
          COUNT(*) FILTER (WHERE event_type = 'click') * 1200 AS deep,
          COUNT(*) FILTER (WHERE event_type = 'view') * 1200 AS light,
@@ -1345,10 +1354,10 @@ WITH d AS (
          MIN(ts) AS start_ts, SUM(value) AS s,
          MAX(value) FILTER (WHERE event_type = 'view') - MIN(value) FILTER (WHERE event_type = 'view') AS bb,
          AVG(value) FILTER (WHERE event_type = 'click') AS hrv,
-         MIN(value) FILTER (WHERE event_type = 'error') AS rhr,
-         arg_max(value, (ts, event_id)) AS last_v
+         MIN(value) FILTER (WHERE event_type = 'error') AS rhr
   FROM events GROUP BY 1, 2),
-n AS (SELECT *, CAST(round(CAST(s AS DECIMAL(38,9))) AS BIGINT) % 101 AS score FROM d)
+last AS (SELECT user_id, date, COUNT(*) AS levels, arg_max(v, ts) AS last_v FROM lev GROUP BY ALL),
+n AS (SELECT *, CAST(round(CAST(s AS DECIMAL(38,9))) AS BIGINT) % 101 AS score FROM d JOIN last USING (user_id, date))
 SELECT user_id, date, date_trunc('millisecond', start_ts) AS sleep_start_gmt, {rnd('total / 3600', 2)} AS sleep_hours,
        {_phase_sql('deep', 'deep', 16.0, 33.0)}, {_phase_sql('light', 'light', 30.0, 64.0)},
        {_phase_sql('rem', 'rem', 21.0, 31.0)},
@@ -1357,11 +1366,20 @@ SELECT user_id, date, date_trunc('millisecond', start_ts) AS sleep_start_gmt, {r
        CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 80 THEN 'good' WHEN score >= 60 THEN 'fair'
             ELSE 'poor' END AS quality,
        {rnd('hrv', 2)} AS avg_hrv, CAST(round(CAST(rhr AS DECIMAL(38,9))) AS BIGINT) AS resting_hr,
-       CAST(total / 1200 AS INTEGER) AS level_count,
+       CAST(levels AS INTEGER) AS level_count,
        date_trunc('second', start_ts) + INTERVAL 1 HOUR AS first_level_local, last_v / 100 AS last_level
 FROM n
 """
 
+ORACLES["hub_sleep_levels"] = f"""
+WITH {_LEVELS}
+SELECT user_id, date, CAST(row_number() OVER (PARTITION BY user_id, date ORDER BY slot) - 1 AS INTEGER) AS place,
+       date_trunc('second', ts) + INTERVAL 1 HOUR AS start_local,
+       date_trunc('second', ts + INTERVAL 10 MINUTE) + INTERVAL 1 HOUR AS end_local, v / 100 AS level
+FROM lev
+"""
+
+
 _STAGED_ENRICH = """
 raw AS (
   SELECT s_suppkey AS artistId, s_name AS artistName, r.run,

@@ -481,21 +481,27 @@ def hub_running_activities(spark: SparkSession, d: str) -> DataFrame:
 def sleep_records(spark: SparkSession, d: str) -> DataFrame:
     """Sleep export rows (``SLEEP_SCHEMA`` shape), one per user and day of events.
 
-    Phases come from event counts (20 min each), the levels array from the
-    day's events in time order (bounded by one user-day).
+    Phases come from event counts (20 min each).  The levels array has one
+    level per ``LEVEL_MINUTES`` of the day, its first event's, so it is bounded
+    by the day however many events a user has: slots are aggregated first.
     """
     ev = _events(spark, d)
     t = F.col("event_type")
-    n = lambda typ: F.count_if(t == typ).cast("bigint") * 1200
-    level = F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v"))
-    day = ev.groupBy("user_id", F.to_date("ts").alias("_date")).agg(
-        F.count(F.lit(1)).alias("_n"), n("click").alias("deep"), n("view").alias("light"), n("signup").alias("rem"),
-        F.count_if(t == "error").alias("awake_count"), F.min("ts").alias("_start"),
-        F.sum("value").alias("_sum"), F.max(F.when(t == "view", F.col("value"))).alias("_hi"),
-        F.min(F.when(t == "view", F.col("value"))).alias("_lo"),
-        F.avg(F.when(t == "click", F.col("value"))).alias("_hrv"),
-        F.min(F.when(t == "error", F.col("value"))).alias("_rhr"),
-        F.array_sort(F.collect_list(level)).alias("_levels"))
+    day, slot = F.to_date("ts").alias("_date"), F.expr(f"(hour(ts) * 60 + minute(ts)) div {LEVEL_MINUTES}").alias("_slot")
+    count = lambda typ: F.count_if(t == typ)
+    of = lambda typ: F.when(t == typ, F.col("value"))
+    slots = ev.groupBy("user_id", day, slot).agg(
+        F.count(F.lit(1)).alias("n"), count("click").alias("clicks"), count("view").alias("views"), count("signup").alias("signups"),
+        count("error").alias("errors"), F.sum("value").alias("s"), F.max(of("view")).alias("hi"), F.min(of("view")).alias("lo"),
+        F.sum(of("click")).alias("click_s"), F.min(of("error")).alias("rhr"),
+        F.min(F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v"))).alias("first"))
+    total = lambda c: F.sum(c).cast("bigint")
+    day = slots.groupBy("user_id", "_date").agg(
+        total("n").alias("_n"), (total("clicks") * 1200).alias("deep"), (total("views") * 1200).alias("light"),
+        (total("signups") * 1200).alias("rem"), total("errors").alias("awake_count"), F.min("first._t").alias("_start"),
+        F.sum("s").alias("_sum"), F.max("hi").alias("_hi"), F.min("lo").alias("_lo"),
+        (F.sum("click_s") / F.nullif(F.sum("clicks"), F.lit(0))).alias("_hrv"), F.min("rhr").alias("_rhr"),
+        F.array_sort(F.collect_list("first")).alias("_levels"))
     start_ms = F.unix_millis(F.col("_start").cast("timestamp"))
     ideal = {p: F.struct(F.lit(lo).alias("idealStartInSeconds"), F.lit(hi).alias("idealEndInSeconds")).alias(p)
              for p, (lo, hi) in IDEAL_PHASES.items()}
@@ -531,3 +537,11 @@ def hub_sleep_nights(spark: SparkSession, d: str) -> DataFrame:
         F.size("levels").alias("level_count"),
         F.element_at("levels", 1)["start_local"].cast("timestamp_ntz").alias("first_level_local"),
         F.element_at("levels", -1)["level"].alias("last_level"))
+
+
+def hub_sleep_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Every level of every night, in local time."""
+    n = sleep_nights(sleep_records(spark, d), keys=["user_id"])
+    levels = n.select("user_id", "date", F.posexplode("levels").alias("place", "l"))
+    local = lambda c: F.col(f"l.{c}").cast("timestamp_ntz").alias(c)
+    return levels.select("user_id", "date", "place", local("start_local"), local("end_local"), F.col("l.level").alias("level"))
