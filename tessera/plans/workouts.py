@@ -48,10 +48,7 @@ METRICS = ("directSpeed", "directTimestamp", "directHeartRate", "sumDistance", "
 def _sorted(arr: Column, by) -> Column:
     """An array by a key of its elements, null keys first."""
     keyed = F.transform(arr, lambda x, i: F.struct(by(x).alias("k"), i.alias("i"), x.alias("v")))
-    return F.transform(F.array_sort(keyed, lambda a, b: F.when(a["k"].isNull() & b["k"].isNull(), a["i"] - b["i"])
-                                    .when(a["k"].isNull(), -1).when(b["k"].isNull(), 1)
-                                    .when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(a["i"] - b["i"])),
-                       lambda x: x["v"])
+    return F.transform(F.array_sort(keyed), lambda x: x["v"])  # structs sort by key, null first, then place
 
 
 LAP_FIELDS = ("lapIndex", "startTimeGMT", "distance", "duration", "averageSpeed", "calories", "averageHR", "maxHR",
@@ -135,8 +132,12 @@ def hub_activities(activities: DataFrame, splits: DataFrame, details: DataFrame)
 
 def thinned(points: Column, most: int = MAX_POINTS) -> Column:
     """Every ``ceil(n / most)``-th point of an array in order (all of them up to ``most``), by index inside the row."""
-    step = F.ceil(F.size(points) / F.lit(float(most)))
-    return F.filter(points, lambda p, i: (F.size(points) <= most) | (F.pmod(i, step) == 0))
+    def thin(ps: Column) -> Column:
+        step = F.ceil(F.size(ps) / F.lit(float(most)))
+        return F.filter(ps, lambda p, i: (F.size(ps) <= most) | (F.pmod(i, step) == 0))
+
+    # the filter reads its array for every element: bound to a variable, the array is built once
+    return F.get(F.transform(F.array(points), thin), F.lit(0))
 
 
 def activity_cards(activities: DataFrame, details: DataFrame) -> DataFrame:

@@ -78,6 +78,14 @@ def test_thinned_keeps_all_up_to_the_limit(spark):
     assert got[160] == list(range(0, 160, 2)) and got[161] == list(range(0, 161, 3))
 
 
+def test_thinned_builds_its_array_once(spark):
+    df = spark.createDataFrame([([3, None, 1],)], "a array<int>").select(W.thinned(F.array_sort("a")).alias("t"))
+    assert df.first().t == [1, 3, None]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") <= 1  # not once more per element
+    plan = spark.range(1).select(W.thinned(F.array_sort(F.array("id"))).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array_sort(") == 1
+
+
 def test_enrich_all_is_one_shuffle(spark):
     parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
     one = spark.createDataFrame([(1, 10), (9, 90)], "id int, v int")
