@@ -478,30 +478,34 @@ def hub_running_activities(spark: SparkSession, d: str) -> DataFrame:
         F.element_at("laps", -1)["avg_hr"].alias("last_lap_hr"))
 
 
-def sleep_records(spark: SparkSession, d: str) -> DataFrame:
+def sleep_records(spark: SparkSession, d: str, slotted: bool = False) -> DataFrame:
     """Sleep export rows (``SLEEP_SCHEMA`` shape), one per user and day of events.
 
-    Phases come from event counts (20 min each).  The levels array has one
-    level per ``LEVEL_MINUTES`` of the day, its first event's, so it is bounded
-    by the day however many events a user has: slots are aggregated first.
+    Phases come from event counts (20 min each).  The levels array holds the
+    day's events in time order (bounded by one user-day); ``slotted`` has one
+    level per ``LEVEL_MINUTES`` of the day, its first event's: slots are aggregated first.
     """
-    ev = _events(spark, d)
     t = F.col("event_type")
     day, slot = F.to_date("ts").alias("_date"), F.expr(f"(hour(ts) * 60 + minute(ts)) div {LEVEL_MINUTES}").alias("_slot")
-    count = lambda typ: F.count_if(t == typ)
+    one = lambda when: F.when(when, 1).otherwise(0)
     of = lambda typ: F.when(t == typ, F.col("value"))
-    slots = ev.groupBy("user_id", day, slot).agg(
-        F.count(F.lit(1)).alias("n"), count("click").alias("clicks"), count("view").alias("views"), count("signup").alias("signups"),
-        count("error").alias("errors"), F.sum("value").alias("s"), F.max(of("view")).alias("hi"), F.min(of("view")).alias("lo"),
-        F.sum(of("click")).alias("click_s"), F.min(of("error")).alias("rhr"),
-        F.min(F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v"))).alias("first"))
+    rows = _events(spark, d).select(
+        "user_id", day, slot, F.lit(1).alias("n"), one(t == "click").alias("clicks"), one(t == "view").alias("views"),
+        one(t == "signup").alias("signups"), one(t == "error").alias("errors"), F.col("value").alias("s"),
+        of("view").alias("hi"), of("view").alias("lo"), of("click").alias("click_s"),
+        one(of("click").isNotNull()).alias("click_n"), of("error").alias("rhr"),
+        F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), F.col("value").alias("_v")).alias("level"))
+    if slotted:
+        rows = rows.groupBy("user_id", "_date", "_slot").agg(
+            *[F.sum(c).alias(c) for c in ("n", "clicks", "views", "signups", "errors", "s", "click_s", "click_n")],
+            F.max("hi").alias("hi"), *[F.min(c).alias(c) for c in ("lo", "rhr", "level")])
     total = lambda c: F.sum(c).cast("bigint")
-    day = slots.groupBy("user_id", "_date").agg(
+    day = rows.groupBy("user_id", "_date").agg(
         total("n").alias("_n"), (total("clicks") * 1200).alias("deep"), (total("views") * 1200).alias("light"),
-        (total("signups") * 1200).alias("rem"), total("errors").alias("awake_count"), F.min("first._t").alias("_start"),
+        (total("signups") * 1200).alias("rem"), total("errors").alias("awake_count"), F.min("level._t").alias("_start"),
         F.sum("s").alias("_sum"), F.max("hi").alias("_hi"), F.min("lo").alias("_lo"),
-        (F.sum("click_s") / F.nullif(F.sum("clicks"), F.lit(0))).alias("_hrv"), F.min("rhr").alias("_rhr"),
-        F.array_sort(F.collect_list("first")).alias("_levels"))
+        (F.sum("click_s") / F.nullif(F.sum("click_n"), F.lit(0))).alias("_hrv"), F.min("rhr").alias("_rhr"),
+        F.array_sort(F.collect_list("level")).alias("_levels"))
     start_ms = F.unix_millis(F.col("_start").cast("timestamp"))
     ideal = {p: F.struct(F.lit(lo).alias("idealStartInSeconds"), F.lit(hi).alias("idealEndInSeconds")).alias(p)
              for p, (lo, hi) in IDEAL_PHASES.items()}
@@ -540,8 +544,8 @@ def hub_sleep_nights(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hub_sleep_levels(spark: SparkSession, d: str) -> DataFrame:
-    """Every level of every night, in local time."""
-    n = sleep_nights(sleep_records(spark, d), keys=["user_id"])
+    """Every level of every night (one per ``LEVEL_MINUTES``), in local time."""
+    n = sleep_nights(sleep_records(spark, d, slotted=True), keys=["user_id"])
     levels = n.select("user_id", "date", F.posexplode("levels").alias("place", "l"))
     local = lambda c: F.col(f"l.{c}").cast("timestamp_ntz").alias(c)
     return levels.select("user_id", "date", "place", local("start_local"), local("end_local"), F.col("l.level").alias("level"))

@@ -46,3 +46,14 @@ def test_running_activities(spark):
     r = rows[0]
     assert (r.distance_km, r.duration_min, r.pace_min_per_km, r.avg_hr, r.max_hr) == (5.0, 30.0, 6.0, 150, 176)
     assert [lap.lap for lap in r.laps] == [1, 2] and r.activity_type == "run"
+
+
+def test_every_event_of_a_night_is_a_level(spark, tmp_path):
+    rows = [(1, "2024-01-05 22:00:01", 7, "click", 50.0), (2, "2024-01-05 22:03:00", 7, "click", None),
+            (3, "2024-01-05 22:09:59", 7, "view", 30.0), (4, "2024-01-05 22:10:00", 7, "error", 20.0)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    night = H.hub_sleep_nights(spark, str(tmp_path)).first()
+    assert (night.level_count, night.last_level, night.avg_hrv) == (4, 0.2, 50.0)
+    levels = H.hub_sleep_levels(spark, str(tmp_path)).orderBy("place").collect()
+    assert [(x.place, x.level) for x in levels] == [(0, 0.5), (1, 0.2)]  # one per ten minutes
