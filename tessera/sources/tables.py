@@ -41,6 +41,12 @@ class Tables:
             raise AttributeError(name)
         return read_table(self.spark, self.sf_dir, name)
 
+    def bytes_of(self, name: str) -> int:
+        """Bytes of a table's files."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(self.sf_dir, name))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.getContentSummary(path).getLength()
+
     def register_views(self, names=TEST_TABLES) -> None:
         for n in names:
             read_table(self.spark, self.sf_dir, n).createOrReplaceTempView(n)
