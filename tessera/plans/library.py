@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import first_elem, ordered_array, regexp_extract_or_null, round_half_up
 from tessera.operators.relational import global_top_k, limited_ordered_array
 from tessera.plans.albums import album_enrichment
+from tessera.plans.hub import CREDIT_BYTES
 from tessera.plans.star import MusicStar, star_from_tables
 from tessera.sources.tables import Tables
 
@@ -238,28 +239,36 @@ def track_vs_album_artists(spark: SparkSession, d: str) -> DataFrame:
     track name), the names of every credited artist of those tracks.
 
     The model nests tracks (with their artists) per album and unnests them
-    twice again.  Here the lines are joined straight to each track's
-    credited names (bounded by one track's credits) and regrouped per
-    (order, track name): the same multiset of names, with no album-level
-    arrays built only to be exploded.  The album artist is the supplier of
-    the order's first line, as in :func:`saved_albums`.
+    twice again.  Here the lines are grouped per (order, track name) by their
+    track ids alone.  A group of one line takes its track's names (bounded by
+    one track's credits), sorted once per track, straight into the result;
+    only groups of several lines gather names.  The album artist is the
+    supplier of the order's first line, as in :func:`saved_albums`.
     """
     t = Tables(spark, d)
     star = star_from_tables(spark, d)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("track_id"), "l_suppkey")
-    names = star.bridge.join(star.artists, "artist_id").groupBy("track_id").agg(
-        F.collect_list("artist_name").alias("names")).filter(F.size("names") > 1)
+    tasks = max(8, t.bytes_of("lineitem") // CREDIT_BYTES)
+    names = star.bridge.join(star.artists, "artist_id").repartition(tasks, "track_id").groupBy("track_id").agg(
+        F.array_sort(F.collect_list("artist_name")).alias("names")).filter(F.size("names") > 1)
     part = t.part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"))
-    per = lines.join(names, "track_id").join(part, "track_id", "left").groupBy("l_orderkey", "track_name").agg(
-        F.flatten(F.collect_list("names")).alias("_names"))
+    groups = (lines.select("l_orderkey", "track_id").join(part, "track_id", "left").repartition("l_orderkey")
+              .groupBy("l_orderkey", "track_name").agg(F.collect_list("track_id").alias("_ids")))
     first = lines.groupBy("l_orderkey").agg(
         F.min(F.struct("l_linenumber", "l_suppkey", "track_id"))["l_suppkey"].alias("_s"))
     albums = (t.orders.select(F.col("o_orderkey").alias("l_orderkey")).join(first, "l_orderkey")
               .join(t.supplier.select(F.col("s_suppkey").alias("_s"), F.col("s_name").alias("album_artist")), "_s",
-                    "left"))
-    return per.join(albums, "l_orderkey").select(
+                    "left")).select("l_orderkey", "album_artist")
+    single = groups.filter(F.size("_ids") == 1).join(albums, "l_orderkey").select(
+        "l_orderkey", "album_artist", "track_name", F.get("_ids", F.lit(0)).alias("track_id")).join(names, "track_id")
+    several = (groups.filter(F.size("_ids") > 1).select("l_orderkey", "track_name", F.explode("_ids").alias("track_id"))
+               .join(names, "track_id").groupBy("l_orderkey", "track_name")
+               .agg(F.array_sort(F.flatten(F.collect_list("names"))).alias("names")).join(albums, "l_orderkey"))
+    both = single.select("l_orderkey", "album_artist", "track_name", "names").unionByName(
+        several.select("l_orderkey", "album_artist", "track_name", "names"))
+    return both.select(
         F.concat(F.lit("Album #"), F.col("l_orderkey").cast("string")).alias("album_name"), "album_artist",
-        "track_name", F.array_join(F.array_sort("_names"), ", ").alias("track_artists"))
+        "track_name", F.array_join("names", ", ").alias("track_artists"))
 
 
 def copyright_types(spark: SparkSession, d: str, samples: int = 5) -> DataFrame:
