@@ -201,16 +201,19 @@ class DocumentStore:
 
     def write(self, docs: DataFrame) -> None:
         """Replace the store by these documents: one row each, ``key`` unique and not null."""
-        text = export_values(docs).select(
-            F.col(self.key).cast("string").alias("key"), self._bucket(F.col(self.key)), F.to_json(F.struct("*")).alias("value"))
+        exported = export_values(docs)
+        text = exported.select(self._bucket(F.col(self.key)), F.col(self.key).cast("string").alias("key"),
+                               F.to_json(F.struct("*")).alias("value"))
         # one task per bucket writes its file in key order
         placed = text.repartition(self.buckets, "_bucket").sortWithinPartitions("_bucket", "key")
         placed.select("_bucket", "value").write.mode("overwrite").partitionBy("_bucket").text(f"{self.path}/documents")
+        # the index is taken from what was written: the documents are not built a second time
+        own = T.StructType([T.StructField(self.key, exported.schema[self.key].dataType)])
+        written = self.lines().select("_bucket", F.from_json("value", own)[self.key].cast("string").alias("key"),
+                                      F.octet_length("value").alias("bytes"), "file")
         line = F.row_number().over(Window.partitionBy("_bucket").orderBy("key")) - 1
-        files = self.lines().select("_bucket", "file").distinct()
-        index = text.select("key", "_bucket", line.cast("long").alias("line"), F.octet_length("value").alias("bytes"))
-        index.join(files, "_bucket").repartition(self.buckets, "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
-            f"{self.path}/index")
+        index = written.select("_bucket", "key", line.cast("long").alias("line"), "bytes", "file")
+        index.repartition(self.buckets, "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/index")
 
     def lines(self) -> DataFrame:
         """All documents as text: _bucket, value, file."""

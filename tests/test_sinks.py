@@ -65,3 +65,26 @@ def test_export_population(spark):
     got = sorted(r.artist_id for r in K.export_population(stats, "artist_id", "plays", "last_day", 2,
                                                            dt.date(2024, 1, 3)).collect())
     assert got == [0, 1, 2, 5, 8]
+
+
+def test_document_store_builds_documents_once(spark, tmp_path):
+    built = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        built.add(1)
+        return "é" * i
+
+    docs = spark.range(1, 21, 1, 2).select("id", text("id").alias("t"))
+    store = K.DocumentStore(spark, str(tmp_path / "once"), "id", buckets=3)
+    store.write(docs)
+    assert built.value == 20
+    lines = {(r.file, r.value): r.value for r in store.lines().collect()}
+    index = {r.key: r for r in store.index().collect()}
+    assert set(index) == {str(i) for i in range(1, 21)}
+    for file, value in lines:
+        key = str(json.loads(value)["id"])
+        assert index[key].file == file and index[key].bytes == len(value.encode())
+    for file in {f for f, _ in lines}:
+        held = sorted((r for r in index.values() if r.file == file), key=lambda r: r.key)
+        assert [r.line for r in held] == list(range(len(held)))
