@@ -143,49 +143,79 @@ def first_at_or_after(times: DataFrame, ahead_us: int) -> DataFrame:
         "_k", F.col("_q").alias("_t"), F.coalesce("_in", "_later").alias("_n")).filter("_n is not null")
 
 
-def greedy_window_dedupe(
-    df: DataFrame, key: str, ts_col: str, window_hours: float, tie_col: str | None = None
-) -> DataFrame:
-    """Per key, keep the first row, then drop every row closer than
-    ``window_hours`` to the last KEPT row.
+# Keys with more rows than this are spread over their times by the window dedupe; others are walked, one array each
+WALKED_ROWS = 20_000
 
-    The row kept after one at ``t`` is the key's first at or after ``t`` plus
-    the window, so the kept times are a chain from the key's first time.  Jumps
-    of 1, 2, 4, … links are made by joining a jump to itself; going down from
-    the longest, every known time adds the one its jump leads to.  As links are
-    at least a window apart, the longest span of a key bounds the number of
-    jumps: its logarithm.  A key with any number of rows is spread over its
-    times; nothing is folded in one task.  Jumps are written to the shared
-    checkpoint folder.
 
-    Of rows at one kept time the first by ``tie_col`` stays (else by a hash of
-    the row); rows without a time stay; null keys are one key.
-    """
-    spark, ahead = df.sparkSession, int(window_hours * 3600 * 1_000_000)
+def _written(part: DataFrame, name: str) -> DataFrame:
+    """A frame written to the shared checkpoint folder and read back."""
+    path = scratch_path(part.sparkSession, f"dedupe-{name}")
+    part.write.parquet(path)
+    return part.sparkSession.read.schema(part.schema).parquet(path)
+
 
-    def written(part: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, f"dedupe-{name}")
-        part.write.parquet(path)
-        return spark.read.schema(part.schema).parquet(path)
+def _walked_chains(times: DataFrame, ahead_us: int) -> DataFrame:
+    """(_k, _t long) -> the kept (_k, _t): a key's times in one sorted array, walked once."""
+    none = F.array().cast("array<bigint>")
+    step = lambda kept, t: F.when(F.size(kept) == 0, F.array(t)).when(
+        t >= F.element_at(kept, -1) + ahead_us, F.array_append(kept, t)).otherwise(kept)
+    walked = times.groupBy("_k").agg(F.sort_array(F.collect_list("_t")).alias("_ts"))
+    return walked.select("_k", F.explode(F.aggregate("_ts", none, step)).alias("_t"))
 
-    times = written(df.select(F.col(key).alias("_k"), _micros(ts_col).alias("_t")).filter("_t is not null").distinct(), "times")
+
+def _spread_chains(times: DataFrame, ahead_us: int) -> DataFrame:
+    """(_k, _t long, distinct and written) -> the kept (_k, _t), by jumps of 1, 2, 4, … links."""
     starts = times.groupBy("_k").agg(F.min("_t").alias("_t"), F.max("_t").alias("_last"))
     span = starts.agg(F.coalesce(F.max(F.col("_last") - F.col("_t")), F.lit(0))).first()[0]  # one number
     target = lambda jump: jump.select(F.col("_k").alias("_jk"), F.col("_t").alias("_jt"), F.col("_n").alias("_to"))
     here = lambda c: F.col("_k").eqNullSafe(F.col("_jk")) & (F.col(c) == F.col("_jt"))
-    jumps = [written(first_at_or_after(times, ahead), "jump")] if span >= ahead else []
-    for _ in range((span // ahead).bit_length() - 1):
+    jumps = [_written(first_at_or_after(times, ahead_us), "jump")] if span >= ahead_us else []
+    for _ in range((span // ahead_us).bit_length() - 1):
         last = jumps[-1]
-        jumps.append(written(last.join(target(last), here("_n")).select("_k", "_t", F.col("_to").alias("_n")), "jump"))
+        jumps.append(_written(last.join(target(last), here("_n")).select("_k", "_t", F.col("_to").alias("_n")), "jump"))
     kept = starts.select("_k", "_t")
     for jump in reversed(jumps):
         known = F.explode(F.array_compact(F.array("_t", "_to")))
         kept = kept.join(target(jump), here("_t"), "left").select("_k", known.alias("_t"))
+    return kept
+
+
+def greedy_window_dedupe(
+    df: DataFrame, key: str, ts_col: str, window_hours: float, tie_col: str | None = None, walked_rows: int = WALKED_ROWS
+) -> DataFrame:
+    """Per key, keep the first row, then drop every row closer than
+    ``window_hours`` to the last KEPT row.
+
+    A key of at most ``walked_rows`` rows is one sorted array of its times,
+    walked once: its times are shuffled once, packed.
+
+    A longer key is spread over its times and never folded in one task.  The
+    row kept after one at ``t`` is the key's first at or after ``t`` plus
+    the window, so the kept times are a chain from the key's first time.  Jumps
+    of 1, 2, 4, … links are made by joining a jump to itself; going down from
+    the longest, every known time adds the one its jump leads to.  As links are
+    at least a window apart, the longest span of a key bounds the number of
+    jumps: its logarithm.  Jumps are written to the shared checkpoint folder.
+
+    Of rows at one kept time the first by ``tie_col`` stays (else by a hash of
+    the row); rows without a time stay; null keys are one key.  ``df`` is read
+    several times.
+    """
+    ahead = int(window_hours * 3600 * 1_000_000)
+    times = df.select(F.col(key).alias("_k"), _micros(ts_col).alias("_t")).filter("_t is not null")
+    long = _written(times.groupBy(F.col("_k").alias("_lk")).agg(F.count(F.lit(1)).alias("_rows")).filter(
+        F.col("_rows") > walked_rows).select("_lk"), "long")
+    if long.isEmpty():
+        kept = _walked_chains(times, ahead)
+    else:
+        is_long = F.col("_k").eqNullSafe(F.col("_lk"))
+        kept = _walked_chains(times.join(long, is_long, "left_anti"), ahead).unionByName(
+            _spread_chains(_written(times.join(long, is_long, "left_semi").distinct(), "times"), ahead))
     order = [F.col(tie_col)] if tie_col else [F.xxhash64(*df.columns)]
     same = F.col(key).eqNullSafe(F.col("_k")) & (_micros(ts_col) == F.col("_t"))
     nth = F.row_number().over(Window.partitionBy(key, ts_col).orderBy(*order))
-    first = df.filter(F.col(ts_col).isNotNull()).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    return first.join(kept, same, "left_semi").unionByName(df.filter(F.col(ts_col).isNull()))
+    stay = df.filter(F.col(ts_col).isNotNull()).join(kept, same, "left_semi")
+    return stay.withColumn("_nth", nth).filter("_nth = 1").drop("_nth").unionByName(df.filter(F.col(ts_col).isNull()))
 
 
 def skip_existing_minutes(

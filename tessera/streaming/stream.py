@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tessera.operators import keep, records
-from tessera.session import checkpoint_root
+from tessera.session import checkpoint_root, scratch_path
 from tessera.sources.jsonl import FieldSpec, extract_fields, with_lineage
 
 
@@ -259,6 +259,12 @@ class GreedyChains:
         df = self.spark.read.parquet(f"{self.path}/{part}")
         return df if before is None else df.filter(F.col("_batch") < before)
 
+    def _once(self, late: DataFrame) -> DataFrame:
+        """Chains to emit again, written: the dedupe reads them several times, and they are joins of all three tables."""
+        path = scratch_path(self.spark, "chains-again")
+        late.write.parquet(path)
+        return self.spark.read.schema(late.schema).parquet(path)
+
     def table(self, before: int | None = None) -> DataFrame:
         """The rows kept so far (by the batches below ``before``)."""
         later = Window.partitionBy(self.key).orderBy(F.col("_batch").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -287,7 +293,8 @@ class GreedyChains:
                 delivered = self._read("rows", batch_id).drop("_batch").filter(F.col(ts).isNotNull())
                 known = delivered.unionByName(new)  # rows without a time stand once, in their own batch
                 past = F.col("_fixed").isNull() | F.col(ts).isNull() | (F.col(ts) >= F.col("_fixed") + window)
-                again = known.join(fixed, F.col(key).eqNullSafe(F.col("_fk"))).filter(past).select(*batch.columns)
+                late = known.join(fixed, F.col(key).eqNullSafe(F.col("_fk"))).filter(past).select(*batch.columns)
+                again = self._once(late)
             put(records.greedy_window_dedupe(again, key, ts, self.hours, self.tie), "kept")
             put(cuts, "cuts")
 

@@ -205,3 +205,23 @@ def test_chains_of_shuffled_deliveries_equal_the_batch(spark, tmp_path, seed):
     again = spark.read.parquet(f"{tmp_path}/c/rows/_batch={batches - 1}").select("k", "ts", "id").collect()
     chains.writer()(spark.createDataFrame(again, schema), batches - 1)
     assert tell(chains.table()) == tell(want)
+
+
+def test_late_chains_are_joined_once_per_batch(spark, tmp_path):
+    from pathlib import Path
+
+    from tessera.session import checkpoint_root
+
+    again = lambda: {str(p) for p in Path(checkpoint_root(spark).removeprefix("file:")).glob("chains-again-*")}
+    start, schema = dt.datetime(2024, 1, 1), "k int, ts timestamp, id int"
+    chains = X.GreedyChains(spark, str(tmp_path / "c"), "k", "ts", 24.0, "id")
+    before = again()
+    deliveries = [[(1, 30, 0), (1, 60, 1), (2, 5, 2)], [(1, 0, 3), (2, 100, 4), (2, 29, 5)]]
+    for n, part in enumerate(deliveries):
+        batch = spark.createDataFrame([(k, start + dt.timedelta(hours=h), i) for k, h, i in part], schema)
+        chains.writer()(batch, n)
+        assert len(again() - before) == n  # the first delivery has no chain to emit again
+    made, = again() - before
+    # key 1 from its late first row on; key 2 from its last fixed row's window on
+    assert sorted(r.id for r in spark.read.parquet(made).collect()) == [0, 1, 3, 4, 5]
+    assert sorted(r.id for r in chains.table().collect()) == [0, 1, 2, 3, 4, 5]

@@ -161,3 +161,42 @@ def test_nested_deep(spark):
     assert [tuple(x) for x in first.b["x"].m] == [(1.0, 2.0, 3.0), (4.0, None, None)] and first.b["y"] is None
     assert first.c.d[0].e[0].timestamp == 7.0 and first.c.d[1].e is None
     assert last.a is None and last.b is None and last.c is None
+
+
+def _jumps(spark):
+    from pathlib import Path
+
+    from tessera.session import checkpoint_root
+
+    return {p.name for p in Path(checkpoint_root(spark).removeprefix("file:")).glob("dedupe-jump-*")}
+
+
+def test_short_keys_are_walked_and_shuffled_once(spark):
+    from tessera.operators.records import greedy_window_dedupe
+
+    rows = [(k, i, T0 + dt.timedelta(hours=7 * i)) for k in (None, 1, 2) for i in range(200)]
+    before = _jumps(spark)
+    out = greedy_window_dedupe(spark.createDataFrame(rows, "k int, i int, ts timestamp"), "k", "ts", 24.0, "i")
+    # times by key, rows and kept times by (key, time), kept rows by (key, time)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 4
+    assert _jumps(spark) == before
+    assert sorted((str(r.k), r.i) for r in out.collect()) == [(str(k), i) for k in (1, 2, None) for i in range(0, 200, 4)]
+
+
+def test_long_and_short_keys_together(spark):
+    import random
+
+    from tessera.operators.records import greedy_window_dedupe
+
+    rnd = random.Random(3)
+    sizes = {None: 400, 1: 400, 2: 101, 3: 100, 4: 99, 5: 1}  # null and 1 and 2 have more than 100 rows
+    rows = [(k, i, T0 + dt.timedelta(minutes=rnd.randrange(30 * 1440))) for k, n in sizes.items() for i in range(n)]
+    rows += [(k, 1000 + i, t) for k, i, t in rows[::5]] + [(1, 5000, None), (None, 5001, None), (6, 5002, None)]
+    df, before = spark.createDataFrame(rows, "k int, i int, ts timestamp"), _jumps(spark)
+    tell = lambda out: {(r.k, r.i, r.ts) for r in out.collect()}
+    walked = tell(greedy_window_dedupe(df, "k", "ts", 24.0, "i"))
+    assert _jumps(spark) == before
+    assert tell(greedy_window_dedupe(df, "k", "ts", 24.0, "i", walked_rows=100)) == walked
+    assert _jumps(spark) > before  # the long keys were spread
+    assert tell(greedy_window_dedupe(df, "k", "ts", 24.0, "i", walked_rows=0)) == walked
+    assert {i for _, i, t in walked if t is None} == {5000, 5001, 5002}
